@@ -101,9 +101,9 @@ def slug_check(c: Column, kind: str = "publisher") -> Column:
 
 def split_paired(c: Column) -> Column:
     """``0.88 (0.28%)`` to ``struct<value, percent>``; no pair leaves percent empty."""
-    pattern = r"\(([-+]?[0-9.]+%)\)"
-    percent = F.regexp_extract(c, pattern, 1)
-    before = strip_space(F.substring_index(c, F.concat(F.lit("("), percent, F.lit(")")), 1))
+    pattern = r"(?s)\A(.*?)\(([-+]?[0-9.]+%)\)"
+    percent = F.regexp_extract(c, pattern, 2)
+    before = strip_space(F.regexp_extract(c, pattern, 1))
     return F.struct(
         F.when(percent != "", before).otherwise(c).alias("value"),
         percent.alias("percent"),
