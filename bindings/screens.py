@@ -277,9 +277,9 @@ def release_detail(t):
     return S.release_detail(_releases(t), "not-specified")
 
 
-@query("publisher_filter", "SELECT doc_id, source AS publisher FROM documents WHERE source = 'web'")
+@query("publisher_filter", "SELECT doc_id, source AS publisher FROM documents WHERE source = 'src3'")
 def publisher_filter(t):
-    return S.publisher_filter(t("documents").select("doc_id", F.col("source").alias("publisher")), "web")
+    return S.publisher_filter(t("documents").select("doc_id", F.col("source").alias("publisher")), "src3")
 
 
 # ---------------------------------------------------------------- joins

@@ -14,17 +14,20 @@ from pyspark.sql import types as T
 
 from ..functions.hashing import canonical_map, hash_response
 
-CAPTURE_SCHEMA = T.StructType.fromDDL(
+CAPTURE_SCHEMA = (
     "capture_id bigint, endpoint string, query map<string,string>, content_type string, "
     "status_code int, body string, fetched_at timestamp"
 )
 NOT_FOUND_TITLE = r"(?i)<title>[^<]*(?:page (?:was )?not found|404 error)[^<]*</title>"
 
 
-def src_captures(spark: SparkSession, path: str, fmt: str = "parquet", schema=CAPTURE_SCHEMA) -> DataFrame:
+def src_captures(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema=CAPTURE_SCHEMA, rename: dict[str, str] | None = None
+) -> DataFrame:
     """Captures from files in any Spark format, with the response hash added.
 
-    ``binaryFile`` gives one capture per file (body decoded as UTF-8).
+    ``rename`` maps the file's column names to capture columns. ``binaryFile``
+    gives one capture per file (body decoded as UTF-8).
     """
     if fmt == "binaryFile":
         files = spark.read.format("binaryFile").load(path)
@@ -39,15 +42,22 @@ def src_captures(spark: SparkSession, path: str, fmt: str = "parquet", schema=CA
     reader = spark.read.format(fmt)
     if schema is not None and fmt != "parquet":
         reader = reader.schema(schema)
-    return with_response_hash(reader.load(path))
+    return with_response_hash(reader.load(path).withColumnsRenamed(rename or {}))
 
 
-def src_captures_stream(spark: SparkSession, path: str, schema=CAPTURE_SCHEMA, fmt: str = "parquet", files_per_trigger: int | None = None) -> DataFrame:
+def src_captures_stream(
+    spark: SparkSession,
+    path: str,
+    schema=CAPTURE_SCHEMA,
+    fmt: str = "parquet",
+    files_per_trigger: int | None = None,
+    rename: dict[str, str] | None = None,
+) -> DataFrame:
     """The same captures, picked up incrementally as files arrive."""
     reader = spark.readStream.format(fmt).schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return with_response_hash(reader.load(path))
+    return with_response_hash(reader.load(path).withColumnsRenamed(rename or {}))
 
 
 def with_response_hash(df: DataFrame) -> DataFrame:
