@@ -581,7 +581,7 @@ def x_calendar_detail(t):
 
 @query(
     "x_tiles",
-    "SELECT 'V' || vec_id AS ticker, 'L' || label AS label, label + 0.5 AS last, (vec_id % 100) / 100 AS change, CAST(len(embedding) AS INTEGER) AS n_points, list_sum(list_transform(embedding, lambda x: CAST(trunc(CAST(x AS DOUBLE) * 1000) AS INTEGER)))::DOUBLE AS points, 'odd' AS extra FROM embeddings",
+    "SELECT 'V' || vec_id AS ticker, 'L' || label AS label, label + 0.5::DOUBLE AS last, (vec_id % 100) / 100 AS change, CAST(len(embedding) AS INTEGER) AS n_points, list_sum(list_transform(embedding, lambda x: CAST(trunc(CAST(x AS DOUBLE) * 1000) AS INTEGER)))::DOUBLE AS points, 'odd' AS extra FROM embeddings",
 )
 def x_tiles(t):
     ints = F.transform("embedding", lambda x: (x.cast("double") * 1000).cast("int"))

@@ -117,7 +117,6 @@ def asof_join(
     rows of the same instant, ``tie`` orders right rows among themselves.
     """
     rest = [c for c in left.columns if c not in key]
-    # The key tuple also identifies right rows, so no left row can match another key.
     value = F.struct(F.col(right_at).alias("_seen_at"), *[F.col(c) for c in take])
     r = right.select(*key, F.col(right_at).alias("_at"), F.lit(0).alias("_side"), F.col(tie).cast("bigint").alias("_tie"), value.alias("_value"), F.lit(None).cast(left.select(F.struct(*rest)).schema[0].dataType).alias("_row"))
     l = left.select(*key, F.col(left_at).alias("_at"), F.lit(1).alias("_side"), F.lit(0).cast("bigint").alias("_tie"), F.lit(None).cast(r.schema["_value"].dataType).alias("_value"), F.struct(*rest).alias("_row"))
@@ -182,7 +181,9 @@ def hist_window_stats(
         .agg(F.array_sort(F.collect_list(item)).alias("_tail"))  # at most ``rows`` items
     )
     recent = W.partitionBy(*key).orderBy("_bucket").rowsBetween(-rows, -1)
-    halo = tails.select(*key, "_bucket", F.explode(F.slice(F.reverse(F.array_sort(F.flatten(F.collect_list("_tail").over(recent)))), 1, rows)).alias("h"))
+    before = tails.withColumn("_before", F.flatten(F.collect_list("_tail").over(recent)))
+    latest = F.slice(F.reverse(F.array_sort("_before")), 1, rows)
+    halo = before.select(*key, "_bucket", F.explode(latest).alias("h"))
     halo = halo.select(*key, "_bucket", *[F.col(f"h.{c}").alias(c) for c in order], F.col("h._v").alias("_v"), F.lit(False).alias("_own"))
     own = base.select(*key, "_bucket", *order, F.col(value).alias("_v"), F.lit(True).alias("_own"))
     w = W.partitionBy(*key, "_bucket").orderBy(*order).rowsBetween(-rows, 0)

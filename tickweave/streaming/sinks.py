@@ -56,7 +56,8 @@ class LateRows:
         ).write.mode("overwrite").parquet(f"{self.folder}/watermark/epoch={epoch}")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.option("basePath", f"{self.folder}/rows").parquet(f"{self.folder}/rows/epoch=*")
+        rows = spark.read.option("basePath", f"{self.folder}/rows").parquet(f"{self.folder}/rows/epoch=*")
+        return rows.withColumn("late", F.col("late").cast("boolean"))
 
 
 class ChangeFeed:
