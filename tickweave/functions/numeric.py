@@ -6,8 +6,6 @@ unit's grammar becomes null; nothing throws, whatever ``spark.sql.ansi.enabled``
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,7 +14,7 @@ NULL_DISPLAYS = ("", "-", "--", "---", "—", "–", "n/a", "N/A", "NA", "None",
 # Compact suffixes and their powers of ten.
 SUFFIX_EXPONENT = {"K": 3, "M": 6, "B": 9, "T": 12}
 
-COMPACT = r"(?i)\A([+-]?)([0-9]+)(?:\.([0-9]+))?([KMBT]?)\z"
+COMPACT = r"(?i)\A[+-]?[0-9]+(?:\.[0-9]+)?[KMBT]?\z"
 PLAIN_FLOAT = r"\A\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*\z"
 PLAIN_INT = r"\A\s*[+-]?[0-9]+\s*\z"
 
@@ -37,29 +35,38 @@ def without_commas(c: Column) -> Column:
 
 
 def without_percent(c: Column) -> Column:
-    return F.regexp_replace(c, r"%\s*\z", "")
+    text = F.rtrim(c, F.lit(" \t\r\n"))
+    return F.when(text.endswith("%"), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(c)
+
+
+def _finite(text: Column) -> Column:
+    """A validated spelling to double; overflow to infinity is null."""
+    value = text.try_cast("double")
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def to_finite(c: Column) -> Column:
     """A plain decimal spelling to double; NaN, infinities and overflow are null."""
-    value = F.when(c.rlike(PLAIN_FLOAT), F.trim(c).try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    return F.when(c.rlike(PLAIN_FLOAT), _finite(F.trim(c)))
+
+
+def _suffix(text: Column) -> Column:
+    last = F.upper(F.right(text, F.lit(1)))
+    return F.when(last.isin(*SUFFIX_EXPONENT), last).otherwise(F.lit(""))
 
 
 def _exponent(suffix: Column) -> Column:
-    pairs = SUFFIX_EXPONENT.items()
-    return reduce(
-        lambda chain, kv: chain.when(F.upper(suffix) == kv[0], F.lit(kv[1])),
-        pairs,
-        F.when(F.lit(False), F.lit(0)),
-    ).otherwise(F.lit(0))
+    chain = F.when(suffix == "", 0)
+    for letter, power in SUFFIX_EXPONENT.items():
+        chain = chain.when(suffix == letter, power)
+    return chain
 
 
-def _scaled(c: Column) -> Column:
-    """``1.20B`` to ``1.20e9`` and then one correctly rounded conversion."""
-    suffix = F.regexp_extract(c, COMPACT, 4)
-    mantissa = F.substring(c, F.lit(1), F.length(c) - F.length(suffix))
-    return to_finite(F.concat(mantissa, F.lit("e"), _exponent(suffix).cast("string")))
+def _scaled(text: Column) -> Column:
+    """A display matching ``COMPACT``: ``1.20B`` is read as ``1.20e9``, rounded once."""
+    suffix = _suffix(text)
+    mantissa = F.substring(text, F.lit(1), F.length(text) - F.length(suffix))
+    return _finite(F.concat(mantissa, F.lit("e"), _exponent(suffix).cast("string")))
 
 
 def norm_compact(c: Column) -> Column:
@@ -88,13 +95,15 @@ def norm_count(c: Column) -> Column:
     Works on the digits as text, so no mantissa length can be rounded.
     """
     text = without_commas(c)
-    sign, whole, fraction, suffix = (F.regexp_extract(text, COMPACT, i) for i in (1, 2, 3, 4))
+    suffix = _suffix(text)
     shift = _exponent(suffix)
+    body = F.substring(text, F.lit(1), F.length(text) - F.length(suffix))
+    whole = F.substring_index(body, ".", 1)
+    fraction = F.substring(body, F.length(whole) + 2, F.length(body))
     moved = F.rpad(F.substring(fraction, F.lit(1), shift), shift, F.lit("0"))
     rest = F.substring(fraction, shift + 1, F.length(fraction))
-    digits = F.regexp_replace(F.concat(whole, moved), r"\A0+(?=[0-9])", "")
-    signed = F.concat(F.replace(sign, F.lit("+"), F.lit("")), digits)
-    return F.when(text.rlike(COMPACT) & rest.rlike(r"\A0*\z"), signed.try_cast("bigint"))
+    signed = F.replace(F.concat(whole, moved), F.lit("+"), F.lit(""))
+    return F.when(text.rlike(COMPACT) & (F.rtrim(rest, F.lit("0")) == ""), signed.try_cast("bigint"))
 
 
 def norm_ragged(c: Column) -> Column:

@@ -28,14 +28,6 @@ def _warning(code: str, field: str, raw: Column) -> Column:
     )
 
 
-def _unit_value(field: Field, shown: Column, anchor: Column) -> tuple[Column, Column | None]:
-    """Typed value and, for moments, the parse status of a non-null display."""
-    if field.unit == "timestamp":
-        at = M.norm_ts_eastern(shown, anchor)
-        return at["instant"].cast("timestamp"), at["status"]
-    return _SCALARS[field.unit](shown), None
-
-
 def build_dataset(
     df: DataFrame,
     name: str,
@@ -81,45 +73,57 @@ def build_dataset(
     anchor_col = F.col(anchor) if anchor else M.anchor_date(F.col(fetched_at))
     unknown = sorted(c for c in given if c not in known)
 
-    out: dict[str, Column] = {}
-    notes: list[Column] = []
+    # First projection: every display is converted once. The second one only
+    # refers to the converted columns, so warnings cost no further parsing.
+    first: dict[str, Column] = {}
     for f in ds.source_fields:
-        typed_unit = f.struct_field().dataType.simpleString()
         if f.name not in given:
-            out[f.name] = F.lit(None).cast(typed_unit)
-            if f.raw:
-                override = f"{f.name}__display"
-                shown = F.col(override) if override in df.columns else F.lit(None)
-                out[f"{f.name}_raw"] = shown.cast("string")
-            if f.raw and f.unit == "timestamp":
-                out[f"{f.name}_status"] = F.lit(None).cast("string")
             continue
         source = F.col(f"`{f.name}`")
+        if types[f.name] == f.struct_field().dataType.simpleString() and f.unit != "text":
+            first[f"_missing_{f.name}"], first[f"_value_{f.name}"] = source.isNull(), source
+            continue
         shown = source.cast("string")
-        if types[f.name] == typed_unit and f.unit != "text":
-            value, status, missing = source, None, source.isNull()
+        missing = shown.isNull() | N.is_null_display(shown, key_symbol=f.name == "symbol")
+        first[f"_missing_{f.name}"] = missing
+        if f.unit == "timestamp":
+            first[f"_value_{f.name}"] = F.when(~missing, M.norm_ts_eastern(shown, anchor_col))
         else:
-            missing = shown.isNull() | N.is_null_display(shown, key_symbol=f.name == "symbol")
-            value, status = _unit_value(f, shown, anchor_col)
-            value = F.when(~missing, value)
-            status = None if status is None else F.when(~missing, status)
+            first[f"_value_{f.name}"] = F.when(~missing, _SCALARS[f.unit](shown))
+    df = df.withColumns(first)
+
+    out: dict[str, Column] = {}
+    notes: list[Column] = []
+    for f in ds.source_fields:
+        kind = f.struct_field().dataType.simpleString()
+        override = f"{f.name}__display"
+        shown_raw = F.col(override) if override in df.columns else None
+        if f.name not in given:
+            out[f.name] = F.lit(None).cast(kind)
+            if f.raw:
+                out[f"{f.name}_raw"] = (F.lit(None) if shown_raw is None else shown_raw).cast("string")
+                if f.unit == "timestamp":
+                    out[f"{f.name}_status"] = F.lit(None).cast("string")
+            continue
+        shown = F.col(f"`{f.name}`").cast("string")
+        missing, value = F.col(f"_missing_{f.name}"), F.col(f"_value_{f.name}")
+        status = None
+        if f.unit == "timestamp" and types[f.name] != kind:
+            value, status = value["instant"].cast("timestamp"), value["status"]
         failed = ~missing & value.isNull()
         ambiguous = F.lit(False) if status is None else F.coalesce(status == "ambiguous", F.lit(False))
+        checked = value
         if f.unit != "text" and (on_error == "raise" or not f.raw):
             message = F.concat(F.lit(f"{name}.{f.name}: cannot convert "), shown)
-            value = F.when(failed, F.raise_error(message)).otherwise(value)
+            checked = F.when(failed, F.raise_error(message)).otherwise(checked)
         if not f.nullable:
-            value = F.when(
-                value.isNull(), F.raise_error(F.lit(f"{name}.{f.name}: required value is null"))
-            ).otherwise(value)
-        out[f.name] = value
+            problem = F.raise_error(F.lit(f"{name}.{f.name}: required value is null"))
+            checked = F.when(value.isNull(), problem).otherwise(checked)
+        out[f.name] = checked
         if f.raw:
-            override = f"{f.name}__display"
-            out[f"{f.name}_raw"] = F.col(override) if override in df.columns else shown
+            out[f"{f.name}_raw"] = shown if shown_raw is None else shown_raw
             if f.unit == "timestamp":
-                out[f"{f.name}_status"] = (
-                    F.lit(None).cast("string") if status is None else status
-                )
+                out[f"{f.name}_status"] = F.lit(None).cast("string") if status is None else status
         sentinel = missing & shown.isNotNull()
         notes.append(F.when(sentinel, _warning("null_sentinel", f.name, shown)))
         if f.unit != "text":

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.hashing import hash_row
+from ..functions.nested import array_rows
 
 BUCKET = "day"
 
@@ -183,7 +184,7 @@ def hist_window_stats(
     recent = W.partitionBy(*key).orderBy("_bucket").rowsBetween(-rows, -1)
     before = tails.withColumn("_before", F.flatten(F.collect_list("_tail").over(recent)))
     latest = F.slice(F.reverse(F.array_sort("_before")), 1, rows)
-    halo = before.select(*key, "_bucket", F.explode(latest).alias("h"))
+    halo = array_rows(before, [*key, "_bucket"], latest, "_at", "h")
     halo = halo.select(*key, "_bucket", *[F.col(f"h.{c}").alias(c) for c in order], F.col("h._v").alias("_v"), F.lit(False).alias("_own"))
     own = base.select(*key, "_bucket", *order, F.col(value).alias("_v"), F.lit(True).alias("_own"))
     w = W.partitionBy(*key, "_bucket").orderBy(*order).rowsBetween(-rows, 0)

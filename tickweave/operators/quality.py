@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric as N
 from ..functions.hashing import hash_row
+from ..functions.nested import array_rows, struct_rows
 
 
 def batch_status(requested: Column, succeeded: Column) -> Column:
@@ -57,7 +58,7 @@ def unit_errors(units: DataFrame, code: str, ok: str = "ok", problem: str = "pro
 
 
 def warning_rows(df: DataFrame, keys: list[str], column: str = "warnings") -> DataFrame:
-    return df.select(*keys, F.inline(column))
+    return struct_rows(df, keys, column)
 
 
 def warning_counts(df: DataFrame, by: list[str] | None = None, column: str = "warnings") -> DataFrame:
@@ -75,7 +76,7 @@ def dq_required(df: DataFrame, required: list[str]) -> DataFrame:
         ]
     )
     missing = [F.count_if(F.col(f).isNull() | N.is_null_display(F.col(f).cast("string"), key_symbol=f == "symbol")).alias(f"_{i}") for i, f in enumerate(required)]
-    return df.agg(*missing).select(F.inline(counts))
+    return struct_rows(df.agg(*missing), [], counts)
 
 
 def dq_conversion(raw: Column, typed: Column) -> Column:
@@ -85,7 +86,7 @@ def dq_conversion(raw: Column, typed: Column) -> Column:
 
 def dq_unknown_field(df: DataFrame, bag: str, known: list[str]) -> DataFrame:
     """Keys outside the contract, with the number of rows that carry them."""
-    keys = df.select(F.explode(F.map_keys(bag)).alias("field"))
+    keys = array_rows(df, [], F.map_keys(bag), "_at", "field")
     return keys.where(~F.col("field").isin(*known)).groupBy("field").agg(F.count("*").alias("n"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import canonical_map
+from ..functions.nested import array_rows, struct_rows
 from ..functions.text import sym_canonical
 from ..plans.registry import STATEMENT_CODES, QueryError
 from ..schemas import ContractError, empty_typed
@@ -201,9 +202,11 @@ def stmt_long(df: DataFrame, keys: list[str], periods: str, ends: str, metrics:
     """
     base = df.withColumns({"_lengths": period_lengths(F.col(ends))})
     entries = F.map_entries(metrics)
+    frame = [*keys, periods, ends, "_lengths"]
+    per_metric = array_rows(base, frame, entries, "metric_no", "m")
+    frame = [*frame, "metric_no", F.col("m.key").alias("metric")]
     return (
-        base.select(*keys, periods, ends, "_lengths", F.posexplode(entries).alias("metric_no", "m"))
-        .select(*keys, periods, ends, "_lengths", "metric_no", F.col("m.key").alias("metric"), F.posexplode("m.value").alias("position", "value"))
+        array_rows(per_metric, frame, "m.value", "position", "value")
         .select(
             *keys,
             "metric_no",
@@ -239,4 +242,4 @@ def wide_to_long(df: DataFrame, keys: list[str], columns: list[str], units: dict
             for c in columns
         ]
     )
-    return df.select(*keys, F.inline(entries))
+    return struct_rows(df, keys, entries)

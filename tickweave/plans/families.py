@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import numeric as N
 from ..functions import temporal as M
 from ..functions import text as X
+from ..functions.nested import array_rows, let, map_rows, struct_rows
 from ..sources.embedded import json_between, x_embedded_json, x_js_literal, x_object_literal
 from ..sources.html import first_text, has_class, html_documents, nodes_of
 from . import registry as R
@@ -59,7 +60,7 @@ def table_rows(docs: DataFrame, css: str | None = None, table_id: str | None = N
     """Data rows of the tables with a class or id: one row per ``tr`` with cells."""
     rows = nodes_of(docs).where((F.col("tag") == "tr") & (F.size("cells") > 0))
     if css:
-        rows = rows.where(has_class(F.col("table_class"), css))
+        rows = rows.where(has_class(F.col("table_classes"), css))
     if table_id:
         rows = rows.where(F.col("table_id") == table_id)
     return rows
@@ -77,7 +78,7 @@ def dq_header(docs: DataFrame, css: str, required: list[str]) -> DataFrame:
     """Required header labels a family's table lacks, per document."""
     heads = F.get(
         F.filter(
-            "nodes", lambda n: (n["tag"] == "tr") & has_class(n["table_class"], css)
+            "nodes", lambda n: (n["tag"] == "tr") & has_class(n["table_classes"], css)
         ),
         F.lit(0),
     )["heads"]
@@ -213,7 +214,7 @@ def perf_table(rows: DataFrame, identity: str, labels: list[str]) -> DataFrame:
 def x_spectrum_ref(docs: DataFrame, dimension: str = "sector") -> DataFrame:
     """The one spectrum image of a group page; pages with another count drop out."""
     images = F.filter(
-        "nodes", lambda n: (n["tag"] == "img") & F.coalesce(n["class"].contains("groups_spectrum-image"), F.lit(False))
+        "nodes", lambda n: (n["tag"] == "img") & has_class(n["classes"], "groups_spectrum-image")
     )
     src = F.trim(F.get(images, F.lit(0))["href"])
     url = F.when(src.startswith("//"), F.concat(F.lit("https:"), src)).otherwise(src)
@@ -253,7 +254,7 @@ def x_gallery_charts(docs: DataFrame) -> DataFrame:
     symbol = F.upper(F.regexp_extract(url, r"(?i)[?&]t=@([a-z0-9]+)", 1))
     return (
         nodes_of(docs)
-        .where((F.col("tag") == "img") & F.col("class").contains("charts-gal"))
+        .where((F.col("tag") == "img") & has_class(F.col("classes"), "charts-gal"))
         .select(*keys_of(docs), symbol.alias("symbol"), url.alias("source_url"), X.media_type(url).alias("media_type"))
         .where(F.col("symbol") != "")
     )
@@ -264,17 +265,17 @@ def x_gallery_charts(docs: DataFrame) -> DataFrame:
 
 def quote_documents(docs: DataFrame) -> DataFrame:
     """Documents with the header's identity columns, ``symbol`` first of all."""
-    header = F.get(F.filter("nodes", lambda n: has_class(n["class"], "quote-header")), F.lit(0))["pos"]
+    header = F.get(F.filter("nodes", lambda n: has_class(n["classes"], "quote-header")), F.lit(0))["pos"]
 
     def inside(n: Column) -> Column:
         return F.coalesce(F.array_contains(n["ancestors"], F.col("_header")), F.lit(False))
 
     ticker = F.get(F.filter("nodes", lambda n: inside(n) & n["attrs"]["data-ticker"].isNotNull()), F.lit(0))["attrs"]["data-ticker"]
     company = first_text(
-        F.col("nodes"), lambda n: inside(n) & has_class(n["class"], "quote-header_ticker-wrapper_company")
+        F.col("nodes"), lambda n: inside(n) & has_class(n["classes"], "quote-header_ticker-wrapper_company")
     )
     links = F.transform(
-        F.filter("nodes", lambda n: inside(n) & (n["tag"] == "a") & has_class(n["class"], "quote-header_category")),
+        F.filter("nodes", lambda n: inside(n) & (n["tag"] == "a") & has_class(n["classes"], "quote-header_category")),
         lambda n: F.struct(
             F.regexp_extract(n["href"], r"f=([a-z]+)_[a-z0-9]+", 1).alias("kind"), n["text"].alias("text")
         ),
@@ -306,7 +307,7 @@ def snapshot_pairs(quotes: DataFrame) -> DataFrame:
 
     Only the first pair of a label counts, whatever table it stands in.
     """
-    cells = F.filter("nodes", lambda n: (n["tag"] == "td") & has_class(n["class"], "snapshot-td2"))
+    cells = F.filter("nodes", lambda n: (n["tag"] == "td") & has_class(n["classes"], "snapshot-td2"))
     base = quotes.withColumn("_cells", cells)
     tables = F.array_distinct(F.transform("_cells", lambda n: n["table_no"]))
     pair = F.transform(
@@ -319,15 +320,16 @@ def snapshot_pairs(quotes: DataFrame) -> DataFrame:
         ),
     )
     base = base.withColumn("_tables", tables).withColumn("_all", F.filter(pair, lambda p: p["label"] != ""))
-    first = F.filter(
-        "_all", lambda p, i: F.array_position(F.transform("_all", lambda q: q["label"]), p["label"]) == i + 1
+    first = let(
+        F.transform("_all", lambda p: p["label"]),
+        lambda labels: F.filter("_all", lambda p, i: F.array_position(labels, p["label"]) == i + 1),
     )
     return base.withColumn("pairs", first).drop("_cells", "_tables", "_all")
 
 
 def snapshot_label_value(quotes: DataFrame) -> DataFrame:
     """The label/value rows of each snapshot region."""
-    return snapshot_pairs(quotes).select("symbol", F.inline("pairs")).select(
+    return struct_rows(snapshot_pairs(quotes), ["symbol"], "pairs").select(
         "symbol", F.col("table").alias("table_no"), "pos", "label", "value"
     )
 
@@ -383,7 +385,7 @@ def x_quote_snapshot(quotes: DataFrame) -> DataFrame:
 
 def x_quote_description(quotes: DataFrame) -> DataFrame:
     """One row per page with a non-empty description."""
-    bio = first_text(F.col("nodes"), lambda n: has_class(n["class"], "quote_profile-bio"))
+    bio = first_text(F.col("nodes"), lambda n: has_class(n["classes"], "quote_profile-bio"))
     keys = [c for c in keys_of(quotes) if c in ("symbol", "fetched_at")]
     return quotes.select(*keys, bio.alias("description")).where(F.col("description") != "")
 
@@ -412,8 +414,8 @@ def x_quote_ratings(quotes: DataFrame) -> DataFrame:
 
 
 def x_quote_news(quotes: DataFrame) -> DataFrame:
-    link = item(lambda i: (i["tag"] == "a") & has_class(i["class"], "tab-link-news"))
-    right = item(lambda i: has_class(i["class"], "news-link-right"))
+    link = item(lambda i: (i["tag"] == "a") & has_class(i["classes"], "tab-link-news"))
+    right = item(lambda i: has_class(i["classes"], "news-link-right"))
     rows = table_rows(quotes, table_id="news-table").where((F.size("cells") >= 2) & link.isNotNull())
     when = F.get("cells", F.lit(0))
     anchor = M.anchor_date(F.col("fetched_at"))
@@ -454,17 +456,20 @@ def x_quote_insider(quotes: DataFrame) -> DataFrame:
 def _ticker_links(quotes: DataFrame, label: str, name: str) -> DataFrame:
     """Tagged spans beside the link called ``label``, in page order."""
     parent = F.get(
-        F.filter("nodes", lambda n: (n["tag"] == "a") & has_class(n["class"], "tab-link") & (n["text"] == label)),
+        F.filter("nodes", lambda n: (n["tag"] == "a") & has_class(n["classes"], "tab-link") & (n["text"] == label)),
         F.lit(0),
     )["parent"]
-    spans = F.filter(
-        "nodes",
-        lambda n: (n["tag"] == "span")
-        & (F.coalesce(n["attrs"]["data-boxover-ticker"], F.lit("")) != "")
-        & F.array_contains(n["ancestors"], F.col("_parent")),
+    spans = let(
+        parent,
+        lambda p: F.filter(
+            "nodes",
+            lambda n: (n["tag"] == "span")
+            & (F.coalesce(n["attrs"]["data-boxover-ticker"], F.lit("")) != "")
+            & F.array_contains(n["ancestors"], p),
+        ),
     )
-    listed = quotes.withColumn("_parent", parent).where(F.col("_parent").isNotNull())
-    return listed.select(*_quote_keys(quotes), F.posexplode(spans).alias("_at", "n")).select(
+    listed = quotes
+    return array_rows(listed, _quote_keys(quotes), spans, "_at", "n").select(
         *_quote_keys(quotes),
         F.col("n.attrs")["data-boxover-ticker"].alias(name),
         (F.col("_at") + 1).cast("bigint").alias("rank"),
@@ -485,7 +490,7 @@ def x_quote_etf_holders(quotes: DataFrame) -> DataFrame:
 
 def x_quote_signals(quotes: DataFrame) -> DataFrame:
     links = nodes_of(quotes, *_quote_keys(quotes)).where(
-        (F.col("tag") == "a") & has_class(F.col("class"), "sig-tab-link") & F.col("href").contains("screener")
+        (F.col("tag") == "a") & has_class(F.col("classes"), "sig-tab-link") & F.col("href").contains("screener")
     )
     return links.select(*_quote_keys(quotes), F.col("text").alias("signal"), F.col("href").alias("url"))
 
@@ -497,18 +502,18 @@ def missing_region(quotes: DataFrame) -> DataFrame:
         return F.exists("nodes", test)
 
     def linked(label: str) -> Column:
-        return found(lambda n: (n["tag"] == "a") & has_class(n["class"], "tab-link") & (n["text"] == label))
+        return found(lambda n: (n["tag"] == "a") & has_class(n["classes"], "tab-link") & (n["text"] == label))
 
     present = {
-        "description": found(lambda n: has_class(n["class"], "quote_profile-bio")),
-        "ratings": found(lambda n: (n["tag"] == "table") & has_class(n["class"], "js-table-ratings")),
+        "description": found(lambda n: has_class(n["classes"], "quote_profile-bio")),
+        "ratings": found(lambda n: (n["tag"] == "table") & has_class(n["classes"], "js-table-ratings")),
         "news": found(lambda n: (n["tag"] == "table") & (n["id"] == "news-table")),
         "insider": found(
-            lambda n: (n["tag"] == "tr") & has_class(n["table_class"], "body-table") & F.array_contains(n["heads"], "SEC Form 4")
+            lambda n: (n["tag"] == "tr") & has_class(n["table_classes"], "body-table") & F.array_contains(n["heads"], "SEC Form 4")
         ),
         "peers": linked("Peers"),
         "etf_holders": linked("Held by"),
-        "signals": found(lambda n: has_class(n["class"], "js-quote-correlation-links-container")),
+        "signals": found(lambda n: has_class(n["classes"], "js-quote-correlation-links-container")),
     }
     gaps = F.array_compact(
         F.array(*[F.when(~F.coalesce(present[r], F.lit(False)), F.lit(r)) for r in OPTIONAL_REGIONS])
@@ -543,11 +548,11 @@ def bundle_fanout(docs: DataFrame) -> dict[str, DataFrame]:
 
 
 def _news_rows(rows: DataFrame, default: Column, *columns) -> DataFrame:
-    link_col = item(lambda i: has_class(i["class"], "news_link-cell"))["col_no"]
-    when = item(lambda i: has_class(i["class"], "news_date-cell"))["text"]
+    link_col = item(lambda i: has_class(i["classes"], "news_link-cell"))["col_no"]
+    when = item(lambda i: has_class(i["classes"], "news_date-cell"))["text"]
 
     def link(css: str) -> Column:
-        return item(lambda i: (i["tag"] == "a") & (i["col_no"] == link_col) & has_class(i["class"], css))
+        return item(lambda i: (i["tag"] == "a") & (i["col_no"] == link_col) & has_class(i["classes"], css))
 
     anchor = F.coalesce(link("nn-tab-link"), link("tab-link"))
     icon = item(lambda i: (i["tag"] == "use") & F.coalesce(i["href"].rlike(r"(?i)#[a-z0-9-]+-light\z"), F.lit(False)))
@@ -566,11 +571,11 @@ def x_global_news(docs: DataFrame) -> DataFrame:
     """Global news rows with their category: first table News, second Blogs."""
 
     def listing(n: Column) -> Column:
-        return (n["tag"] == "table") & has_class(n["class"], "styled-table-new") & has_class(n["class"], "table-fixed")
+        return (n["tag"] == "table") & has_class(n["classes"], "styled-table-new") & has_class(n["classes"], "table-fixed")
 
     tables = F.transform(F.filter("nodes", listing), lambda n: n["table_no"])
     headings = F.transform(
-        F.filter("nodes", lambda n: has_class(n["class"], "news-calendar_heading")),
+        F.filter("nodes", lambda n: has_class(n["classes"], "news-calendar_heading")),
         lambda n: F.lower(n["text"]),
     )
     base = docs.withColumns({"_tables": tables, "_headings": headings})
@@ -649,10 +654,8 @@ def _release_rows(df: DataFrame, body: str, section: str, field: str) -> DataFra
         F.get_json_object("_payload", f"$.{section}.{field}"), F.get_json_object("_payload", f"$.data.{field}")
     )
     keys = [c for c in df.columns if c != body]
-    base = df.withColumn("_payload", payload).select(
-        *keys,
-        F.posexplode(F.from_json(where, f"array<{_ENTRY}>")).alias("position", "e"),
-    )
+    parsed = df.withColumn("_payload", payload)
+    base = array_rows(parsed, keys, F.from_json(where, f"array<{_ENTRY}>"), "position", "e")
     split = M.norm_ts_calendar(F.col("e.date"))
     return base.select(
         *keys,
@@ -697,7 +700,7 @@ def x_tiles(df: DataFrame, anchor: str, body: str = "body") -> DataFrame:
     """
     keys = [c for c in df.columns if c != body]
     payload = F.from_json(x_embedded_json(F.col(body), anchor), f"map<string,{_TILE}>")
-    base = df.select(*keys, payload.alias("_tiles")).select(*keys, F.explode("_tiles").alias("key", "t"))
+    base = map_rows(df, keys, payload, "key", "t")
     t = F.col("t")
 
     def number(name: str) -> Column:
@@ -749,7 +752,7 @@ def x_futures(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
     def value(name: str) -> Column:
         return F.try_element_at(t, F.lit(name))
 
-    rows = base.select(*keys, "delay_minutes", F.explode(tiles).alias("symbol", "t")).select(
+    rows = map_rows(base, [*keys, "delay_minutes"], tiles, "symbol", "t").select(
         *keys,
         "symbol",
         value("label").alias("name"),
@@ -764,9 +767,10 @@ def x_futures(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
         "delay_minutes",
         F.map_filter(t, lambda k, _: ~k.isin(*known)).alias("extra"),
     )
+    labelled = array_rows(base, keys, groups, "g_no", "g")
+    labelled = labelled.select(*keys, "g_no", F.col("g.label").alias("category"), "g.contracts")
     listed = (
-        base.select(*keys, F.posexplode(groups).alias("g_no", "g"))
-        .select(*keys, "g_no", F.col("g.label").alias("category"), F.posexplode("g.contracts").alias("c_no", "c"))
+        array_rows(labelled, [*keys, "g_no", "category"], "contracts", "c_no", "c")
         .select(*keys, "g_no", "c_no", "category", F.col("c.ticker").alias("symbol"))
         .where(F.col("symbol").isNotNull())
     )
@@ -782,7 +786,8 @@ def x_map_perf(df: DataFrame, body: str = "body") -> DataFrame:
     )
     delay = F.regexp_extract(body, r"Stock quotes delayed by ([0-9]+) minute", 1).try_cast("double")
     base = df.select(*keys, payload.alias("p"), delay.alias("delay_minutes"))
-    return base.select(*keys, "p.subtype", "p.version", F.col("p.hash").alias("payload_hash"), "delay_minutes", F.explode("p.nodes").alias("symbol", "_v")).select(
+    facts = ["p.subtype", "p.version", F.col("p.hash").alias("payload_hash"), "delay_minutes"]
+    return map_rows(base, [*keys, *facts], "p.nodes", "symbol", "_v").select(
         *keys, "subtype", "version", "payload_hash", "delay_minutes", "symbol", N.to_finite(F.col("_v")).alias("perf")
     )
 
@@ -803,10 +808,12 @@ def x_hierarchy(df: DataFrame, body: str = "body") -> DataFrame:
 
 def leaves_of(df: DataFrame, keys: list[str]) -> DataFrame:
     """Leaves of a ``root`` struct with their sector/industry path and position."""
+    sectors = array_rows(df, keys, "root.children", "sector_no", "s")
+    path = [*keys, "sector_no", F.col("s.name").alias("sector")]
+    industries = array_rows(sectors, path, "s.children", "industry_no", "i")
+    path = [*keys, "sector_no", "sector", "industry_no", F.col("i.name").alias("industry")]
     return (
-        df.select(*keys, F.posexplode("root.children").alias("sector_no", "s"))
-        .select(*keys, "sector_no", F.col("s.name").alias("sector"), F.posexplode("s.children").alias("industry_no", "i"))
-        .select(*keys, "sector_no", "sector", "industry_no", F.col("i.name").alias("industry"), F.posexplode("i.children").alias("leaf_no", "leaf"))
+        array_rows(industries, path, "i.children", "leaf_no", "leaf")
         .select(
             *keys, "sector_no", "industry_no", "leaf_no", "sector", "industry",
             F.col("leaf.name").alias("symbol"),
@@ -877,9 +884,8 @@ def x_screener_json(docs: DataFrame) -> DataFrame:
     ).otherwise(F.col("p.selectedColumns"))
     order = F.array_distinct(F.filter(asked, lambda k: F.try_element_at(label_of_key, k).isNotNull()))
     base = base.withColumn("field_keys", order)
-    rows = base.select(
-        *keys_of(docs), "p.data.totalCount", "p.data.firstRow", "field_keys", F.posexplode("p.data.rows").alias("i", "row")
-    )
+    facts = [*keys_of(docs), "p.data.totalCount", "p.data.firstRow", "field_keys"]
+    rows = array_rows(base, facts, "p.data.rows", "i", "row")
     given = F.try_element_at("row.numbers", F.lit("order"))
     rank = F.when(given.rlike(r"\A[0-9]+\z"), given.try_cast("bigint") + 1).otherwise(F.col("firstRow") + F.col("i") + 1)
     symbol = F.upper(X.strip_space(F.try_element_at("row.text", F.lit("ticker"))))
@@ -910,7 +916,7 @@ def screener_json_typed(docs: DataFrame, fields: list[str]) -> DataFrame:
         & F.get_json_object(n["text"], "$.data.totalCount").isNotNull(),
     )
     base = docs.select(*keys_of(docs), F.from_json(script, _SCREEN_JSON).alias("p"))
-    rows = base.select(*keys_of(docs), F.inline("p.data.rows"))
+    rows = struct_rows(base, keys_of(docs), "p.data.rows")
     labels = {key: label for _, key, label in R.JSON_FIELDS}
     return rows.select(
         *keys_of(docs),
@@ -933,7 +939,7 @@ def x_universe(df: DataFrame, host: str, body: str = "body") -> tuple[DataFrame,
     """Sitemap bodies to symbol rows (with first-seen order) and unexpected URLs."""
     keys = [c for c in df.columns if c != body]
     locs = F.regexp_extract_all(F.col(body), F.lit(r"(?s)<loc>\s*(.*?)\s*</loc>"), F.lit(1))
-    rows = df.select(*keys, F.posexplode(locs).alias("position", "loc"))
+    rows = array_rows(df, keys, locs, "position", "loc")
     plain = F.replace(F.regexp_replace("loc", r"(?s)<!--.*?-->", ""), F.lit("&amp;"), F.lit("&"))
     rows = rows.withColumn("symbol", X.sym_from_url(plain, host))
     return rows.where(F.col("symbol").isNotNull()), rows.where(F.col("symbol").isNull())
@@ -949,7 +955,7 @@ def x_suggestions(df: DataFrame, body: str = "body") -> DataFrame:
     ``row_ok`` is false for a malformed ticker or a blank company or exchange.
     """
     keys = [c for c in df.columns if c != body]
-    rows = df.select(*keys, F.posexplode(F.from_json(body, "array<map<string,string>>")).alias("position", "m"))
+    rows = array_rows(df, keys, F.from_json(body, "array<map<string,string>>"), "position", "m")
     ticker, company, exchange = (F.try_element_at("m", F.lit(k)) for k in ("ticker", "company", "exchange"))
     taken = (*RESERVED_SUGGESTION_FIELDS, "company", "exchange")
     rest = F.map_filter("m", lambda k, _: ~k.isin("ticker", "company", "exchange"))

@@ -15,6 +15,13 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Captured bodies are large: keep the Arrow batches handed to Python small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    # The JVM never compiles methods beyond 8000 bytecodes. Wide projections
+    # (fifty typed fields) exceed that as one generated method; past this limit
+    # Spark generates split methods instead, which do get compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Projections wider than this do not fit one generated class at all: do not
+    # spend seconds on a compilation that fails.
+    "spark.sql.codegen.maxFields": "48",
 }
 
 

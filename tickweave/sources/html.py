@@ -19,18 +19,20 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.nested import array_rows, struct_rows
+
 # Ship this module's code with the job: executors need no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ITEM_DDL = "col_no int, tag string, class string, text string, href string, attrs map<string,string>"
+ITEM_DDL = "col_no int, tag string, classes array<string>, text string, href string, attrs map<string,string>"
 NODE_DDL = (
-    "pos int, tag string, id string, class string, parent int, ancestors array<int>, "
-    "table_no int, table_id string, table_class string, row_no int, col_no int, "
+    "pos int, tag string, id string, classes array<string>, parent int, ancestors array<int>, "
+    "table_no int, table_id string, table_classes array<string>, row_no int, col_no int, "
     "section string, head string, text string, href string, attrs map<string,string>, "
     f"heads array<string>, cells array<string>, items array<struct<{ITEM_DDL}>>"
 )
 NODE_FIELDS = (
-    "pos", "tag", "id", "class", "parent", "ancestors", "table_no", "table_id", "table_class",
+    "pos", "tag", "id", "classes", "parent", "ancestors", "table_no", "table_id", "table_classes",
     "row_no", "col_no", "section", "head", "text", "href", "attrs", "heads", "cells", "items",
 )
 
@@ -62,19 +64,20 @@ TABLE_PARTS = frozenset("table thead tbody tfoot tr".split())
 class _Open:
     """An element whose end tag has not been seen."""
 
-    __slots__ = ("tag", "pos", "node", "mark", "table", "row", "cells")
+    __slots__ = ("tag", "pos", "node", "mark", "table", "row", "section")
 
-    def __init__(self, tag, pos, node, mark):
-        self.tag, self.pos, self.node, self.mark = tag, pos, node, mark
-        self.table = self.row = None
-        self.cells = 0
+    def __init__(self, tag, pos, mark, parent):
+        self.tag, self.pos, self.node, self.mark = tag, pos, None, mark
+        self.table = self.row = self.section = None
+        if parent is not None:
+            self.table, self.row, self.section = parent.table, parent.row, parent.section
 
 
 class _Table:
-    __slots__ = ("no", "id", "css", "rows", "ths", "thead")
+    __slots__ = ("no", "id", "classes", "rows", "ths", "thead")
 
     def __init__(self, no, attrs):
-        self.no, self.id, self.css = no, attrs.get("id"), attrs.get("class")
+        self.no, self.id, self.classes = no, attrs.get("id"), attrs.get("class", "").split()
         self.rows, self.ths, self.thead = [], [], []
 
 
@@ -103,8 +106,8 @@ class _Nodes(HTMLParser):
             self.out.append({"pos": self.count, "tag": "#document", "text": "\n".join(self.shape)})
         return self.out
 
-    def _nearest(self, *tags: str) -> _Open | None:
-        return next((e for e in reversed(self.open) if e.tag in tags), None)
+    def updatepos(self, i: int, j: int) -> int:
+        return j  # line numbers are not used
 
     def _end_last(self) -> None:
         e = self.open.pop()
@@ -134,40 +137,44 @@ class _Nodes(HTMLParser):
     def handle_starttag(self, tag, attrs):
         self._imply_ends(tag)
         attrs = {k: v or "" for k, v in attrs}
-        css = attrs.get("class")
+        css = attrs.get("class") or ""
+        classes = css.split()
         if self.skeleton:
-            self.shape.append(f"{tag}.{css or ''}")
+            self.shape.append(f"{tag}.{css}")
         parent = self.open[-1] if self.open else None
-        here = _Open(tag, self.count, None, len(self.words))
-        table = parent.table if parent else None
-        row = parent.row if parent else None
+        here = _Open(tag, self.count, len(self.words), parent)
+        table, row = here.table, here.row
         if tag == "table":
-            table, row = _Table(len(self.tables), attrs), None
+            table, row, here.section = _Table(len(self.tables), attrs), None, None
             self.tables.append(table)
+        elif tag in ("thead", "tbody", "tfoot"):
+            here.section = tag
         elif tag == "tr" and table is not None:
             row = {"no": len(table.rows), "cells": [], "items": [], "node": None, "cols": 0}
             table.rows.append(row)
         elif tag in ("td", "th") and row is not None:
             row["cols"] += 1
         here.table, here.row = table, row
-        named = css is not None and not self.classes.isdisjoint(css.split())
-        named = named or attrs.get("id") in self.ids or any(a in attrs for a in NODE_ATTRS)
+        named = bool(attrs) and (
+            not self.classes.isdisjoint(classes)
+            or attrs.get("id") in self.ids
+            or not attrs.keys().isdisjoint(NODE_ATTRS)
+        )
         if tag in NODE_TAGS or named:
-            part = self._nearest("thead", "tbody", "tfoot", "table")
             node = {
                 "pos": self.count,
                 "tag": tag,
                 "id": attrs.get("id"),
-                "class": css,
+                "classes": classes,
                 "parent": parent.pos if parent else None,
                 "ancestors": [e.pos for e in self.open],
-                "section": part.tag if part is not None and part.tag != "table" else None,
+                "section": here.section,
                 "href": attrs.get("href", attrs.get("xlink:href", attrs.get("src"))),
                 "attrs": list(attrs.items()),
                 "keep": tag in TEXT_TAGS or (named and tag != "table"),
             }
             if table is not None:
-                node |= {"table_no": table.no, "table_id": table.id, "table_class": table.css}
+                node |= {"table_no": table.no, "table_id": table.id, "table_classes": table.classes}
             if row is not None:
                 node["row_no"] = row["no"]
                 if row["cols"]:
@@ -223,11 +230,12 @@ class _Nodes(HTMLParser):
 
 _MAP = pa.map_(pa.string(), pa.string())
 _ITEM = pa.struct(
-    [("col_no", pa.int32()), ("tag", pa.string()), ("class", pa.string()), ("text", pa.string()),
+    [("col_no", pa.int32()), ("tag", pa.string()), ("classes", pa.list_(pa.string())), ("text", pa.string()),
      ("href", pa.string()), ("attrs", _MAP)]
 )
 _NODE_TYPES = {
     "pos": pa.int32(), "parent": pa.int32(), "ancestors": pa.list_(pa.int32()),
+    "classes": pa.list_(pa.string()), "table_classes": pa.list_(pa.string()),
     "table_no": pa.int32(), "row_no": pa.int32(), "col_no": pa.int32(), "attrs": _MAP,
     "heads": pa.list_(pa.string()), "cells": pa.list_(pa.string()), "items": pa.list_(_ITEM),
 }
@@ -294,15 +302,15 @@ def html_documents(
 # ---------------------------------------------------------------- node expressions
 
 
-def has_class(css: Column, name: str) -> Column:
-    """Whether a class attribute holds the class ``name``."""
-    return F.coalesce(F.array_contains(F.split(F.trim(css), r"\s+"), name), F.lit(False))
+def has_class(classes: Column, name: str) -> Column:
+    """Whether a class list holds the class ``name``."""
+    return F.coalesce(F.array_contains(classes, name), F.lit(False))
 
 
 def nodes_of(docs: DataFrame, *keep: str) -> DataFrame:
     """Nodes as rows, with the key columns of the documents (all, or ``keep``)."""
     keys = keep or [c for c in docs.columns if c != "nodes"]
-    return docs.select(*keys, F.inline("nodes"))
+    return struct_rows(docs, list(keys), "nodes")
 
 
 def first_text(nodes: Column, test) -> Column:
@@ -340,7 +348,7 @@ def x_links_fast(df: DataFrame, key: str, body: str) -> DataFrame:
         F.regexp_extract_all(F.col(body), F.lit(pattern), F.lit(1)).alias("href"),
         F.regexp_extract_all(F.col(body), F.lit(pattern), F.lit(2)).alias("text"),
     )
-    return df.select(key, F.posexplode(found).alias("link_no", "link")).select(
+    return array_rows(df, [key], found, "link_no", "link").select(
         key,
         "link_no",
         F.col("link.href").alias("href"),
