@@ -34,6 +34,15 @@ class Tables:
             return VIEWS[name](self)
         return self.spark.read.parquet(self.path(name))
 
+    def wide(self, name: str) -> DataFrame:
+        """A base table for work that is heavy per row.
+
+        A scan with fewer splits than cores (one small file) is redistributed;
+        a table of many files has splits enough and is read as it is.
+        """
+        df = self(name)
+        return df if df.rdd.getNumPartitions() >= self.spread else df.repartition(self.spread)
+
     @property
     def spread(self) -> int:
         """Tasks to spread small single-file inputs over."""

@@ -20,7 +20,6 @@ from tickweave.session import shared_folder
 from tickweave.sources import captures as C
 from tickweave.sources import html as D
 from tickweave.sources.embedded import x_embedded_json
-from tickweave.streaming.sinks import run_available
 
 from .core import query
 from .screens import plain
@@ -558,7 +557,7 @@ def _release_docs(t, section: str, field: str):
     new = F.concat(F.lit(f'<script type="application/json" data-ssr-props="x"> {{"{section}":{{"{field}":['), entry, F.lit("]}} </script>"))
     old = F.concat(F.lit(f'<script id="route-init-data" type="application/json">{{"data":{{"{field}":['), entry, F.lit("]}}</script>"))
     body = F.when(F.col("o_orderkey") % 2 == 0, new).otherwise(old)
-    return t("orders").select(F.col("o_orderkey").alias("capture_id"), stamped(), body.alias("body"))
+    return t.wide("orders").select(F.col("o_orderkey").alias("capture_id"), stamped(), body.alias("body"))
 
 
 _RELEASE = f"""SELECT 'O' || o_orderkey AS symbol, 'E' || o_custkey AS event, CAST(o_orderdate AS DATE) AS release_date,
@@ -706,5 +705,3 @@ def x_suggestions(t):
     rows, _ = A.suggestions(t("part").select(F.col("p_partkey").alias("capture_id"), stamped(), body.alias("body")))
     return rows.select("symbol", "company", "exchange", H.canonical_map(F.col("extra_fields")).alias("extra"))
 
-
-_ = run_available

@@ -526,7 +526,7 @@ def _re2(pattern: str) -> str:
         '{_re2(X.SECRET_LABEL)}', '\\1\\2[REDACTED]', 'g'), '{_re2(X.PROXY_URL)}', '\\1[REDACTED]', 'g') AS redacted FROM documents)""",
 )
 def redact_text(t):
-    base = t("documents").select("doc_id", "text", X.redact_text(F.col("text")).alias("redacted"))
+    base = t.wide("documents").select("doc_id", "text", X.redact_text(F.col("text")).alias("redacted"))
     return base.select(
         "doc_id",
         F.sha2("redacted", 256).alias("digest"),

@@ -11,7 +11,7 @@ from tickweave.operators import quality as Q
 from tickweave.operators import ranking as K
 from tickweave.operators import relations as L
 from tickweave.operators import screening as S
-from tickweave.operators.dataset import build_dataset, provenance_cols, required_gaps, split_required
+from tickweave.operators.dataset import build_dataset, provenance_cols, split_required
 from tickweave.plans import api as A
 from tickweave.plans import families as P
 from tickweave.plans import registry as R
@@ -867,10 +867,14 @@ def entry_earnings(t):
 
 @query(
     "entry_statements_batch",
-    "SELECT 'C' || c_custkey AS symbol, 'unit_failed' AS code, 'no capture' AS message FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    """SELECT 'C' || c_custkey AS symbol, 'unit_failed' AS code, 'no capture' AS message FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+    UNION ALL SELECT 'S' || s_suppkey, 'unit_failed', 'no capture' FROM supplier""",
 )
 def entry_statements_batch(t):
-    return _batch(t)["unit_errors"]
+    """Unit errors when suppliers, who publish no statements, are asked for too."""
+    asked = t("customer").select(F.col("c_custkey").alias("position"), F.concat(F.lit("c"), "c_custkey").alias("requested"))
+    more = t("supplier").select((F.col("s_suppkey") + 10**9).alias("position"), F.concat(F.lit("s"), "s_suppkey").alias("requested"))
+    return A.statements_batch(t("statement_docs"), asked.unionByName(more), "IA")["unit_errors"]
 
 
 @query(
@@ -881,5 +885,3 @@ def entry_statements_batch(t):
 def entry_signal(t):
     return plain(A.signal(t("securities"), "Most Active").data)
 
-
-_ = required_gaps

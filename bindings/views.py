@@ -169,7 +169,7 @@ def displays(t: Tables):
     chosen = F.when(F.lit(False), lit(""))
     for i, s in enumerate(shapes):
         chosen = chosen.when(F.col("k") % 13 == i, s)
-    base = t("lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"))
+    base = t.wide("lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"))
     return base.select("k", chosen.alias("display"))
 
 

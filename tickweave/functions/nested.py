@@ -36,3 +36,13 @@ def map_rows(df: DataFrame, keep: Sequence, entries: Column | str, key: str, val
 def struct_rows(df: DataFrame, keep: Sequence[str], array: Column | str) -> DataFrame:
     """One row per element of an array of structs, its fields as columns."""
     return array_rows(df, keep, array, "_pos", "_item").select(*keep, "_item.*")
+
+
+def once(df: DataFrame, keep: Sequence[str], columns: dict[str, Column]) -> DataFrame:
+    """``keep`` plus computed columns that are evaluated exactly once per row.
+
+    A later filter on a computed column would be pushed below it with the whole
+    computation copied in. One-element arrays of structs keep it above.
+    """
+    packed = F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))
+    return df.select(*keep, F.explode_outer(packed).alias("_once")).select(*keep, "_once.*")

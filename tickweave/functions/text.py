@@ -225,11 +225,23 @@ PROXY_URL = (
 )
 
 
+# Cheap necessary conditions: most texts hold no secret, and the full patterns
+# backtrack over every word. A text that fails one of these cannot match.
+_MAY_LABEL = r"(?i)(?:auth|key|token|credential|cookie|session|passw|pwd|secret|prox|body|payload|content|html)[a-z0-9_.-]*\s*\"?\s*[:=]"
+_MAY_PROXY = r"(?i)(?:prox|route)"
+
+
 def redact_text(c: Column) -> Column:
     """URL credentials, labelled secrets and proxy URLs masked, whole text."""
-    c = F.regexp_replace(c, URL_CREDENTIALS, r"$1://[REDACTED]@")
-    c = F.regexp_replace(c, SECRET_LABEL, r"$1$2[REDACTED]")
-    return F.regexp_replace(c, PROXY_URL, r"$1[REDACTED]")
+    by_url = F.when(
+        c.contains("://") & c.contains("@"), F.regexp_replace(c, URL_CREDENTIALS, r"$1://[REDACTED]@")
+    ).otherwise(c)
+    by_label = F.when(
+        by_url.rlike(_MAY_LABEL), F.regexp_replace(by_url, SECRET_LABEL, r"$1$2[REDACTED]")
+    ).otherwise(by_url)
+    return F.when(
+        c.contains("://") & c.rlike(_MAY_PROXY), F.regexp_replace(by_label, PROXY_URL, r"$1[REDACTED]")
+    ).otherwise(by_label)
 
 
 def _key_matches(key: Column, words: tuple[str, ...]) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import numeric as N
 from ..functions import temporal as M
 from ..functions import text as X
-from ..functions.nested import array_rows, let, map_rows, struct_rows
+from ..functions.nested import array_rows, let, map_rows, once, struct_rows
 from ..sources.embedded import json_between, x_embedded_json, x_js_literal, x_object_literal
 from ..sources.html import first_text, has_class, html_documents, nodes_of
 from . import registry as R
@@ -286,16 +286,15 @@ def quote_documents(docs: DataFrame) -> DataFrame:
 
     exchange = category("exch")
     base = docs.withColumn("_header", header).withColumn("_links", links)
-    return base.select(
-        *keys_of(docs),
-        ticker.alias("symbol"),
-        F.nullif(company, F.lit("")).alias("company"),
-        category("sec").alias("sector"),
-        category("ind").alias("industry"),
-        category("geo").alias("country"),
-        F.when(exchange == "NASD", F.lit("NASDAQ")).otherwise(exchange).alias("exchange"),
-        "nodes",
-    )
+    identity = {
+        "symbol": ticker,
+        "company": F.nullif(company, F.lit("")),
+        "sector": category("sec"),
+        "industry": category("ind"),
+        "country": category("geo"),
+        "exchange": F.when(exchange == "NASD", F.lit("NASDAQ")).otherwise(exchange),
+    }
+    return once(base, [*keys_of(docs), "nodes"], identity).select(*keys_of(docs), *identity, "nodes")
 
 
 def x_quote_header(quotes: DataFrame) -> DataFrame:
@@ -941,7 +940,7 @@ def x_universe(df: DataFrame, host: str, body: str = "body") -> tuple[DataFrame,
     locs = F.regexp_extract_all(F.col(body), F.lit(r"(?s)<loc>\s*(.*?)\s*</loc>"), F.lit(1))
     rows = array_rows(df, keys, locs, "position", "loc")
     plain = F.replace(F.regexp_replace("loc", r"(?s)<!--.*?-->", ""), F.lit("&amp;"), F.lit("&"))
-    rows = rows.withColumn("symbol", X.sym_from_url(plain, host))
+    rows = once(rows, [*keys, "position", "loc"], {"symbol": X.sym_from_url(plain, host)})
     return rows.where(F.col("symbol").isNotNull()), rows.where(F.col("symbol").isNull())
 
 
@@ -989,12 +988,15 @@ def x_statement(df: DataFrame, body: str = "body") -> DataFrame:
     exception, so one bad document cannot fail a batch.
     """
     keys = [c for c in df.columns if c != body]
-    base = df.select(
-        *keys,
-        F.get_json_object(body, "$.error").alias("_error"),
-        F.size(F.json_object_keys(body)).alias("_n_keys"),
-        F.get_json_object(body, "$.currency").alias("currency"),
-        F.from_json(F.get_json_object(body, "$.data"), "map<string,array<string>>").alias("data"),
+    base = once(
+        df,
+        keys,
+        {
+            "_error": F.get_json_object(body, "$.error"),
+            "_n_keys": F.size(F.json_object_keys(body)),
+            "currency": F.get_json_object(body, "$.currency"),
+            "data": F.from_json(F.get_json_object(body, "$.data"), "map<string,array<string>>"),
+        },
     )
     periods = F.try_element_at("data", F.lit("Period"))
     ends = F.try_element_at("data", F.lit("Period End Date"))

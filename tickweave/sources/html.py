@@ -10,9 +10,10 @@ bring a cell together with its header, its row or its page.
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -61,6 +62,17 @@ IMPLIED_END = {
 TABLE_PARTS = frozenset("table thead tbody tfoot tr".split())
 
 
+# One markup token: comment, declaration, end tag, start tag with its attributes.
+# The last alternative takes start tags whose quotes do not pair up.
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"""
+    r"""|<([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<([a-zA-Z][^\s/>]*)([^>]*)>""",
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+_RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in ("script", "style")}
+
+
 class _Open:
     """An element whose end tag has not been seen."""
 
@@ -81,24 +93,39 @@ class _Table:
         self.rows, self.ths, self.thead = [], [], []
 
 
-class _Nodes(HTMLParser):
+class _Nodes:
     """Collects the nodes of one body, supplying the end tags HTML may omit."""
 
     def __init__(self, classes: frozenset[str], ids: frozenset[str], skeleton: bool):
-        super().__init__(convert_charrefs=True)
         self.classes, self.ids, self.skeleton = classes, ids, skeleton
 
     def parse(self, body: str) -> list[dict]:
-        self.reset()
         self.out: list[dict] = []
         self.open: list[_Open] = []
         self.words: list[str] = []
         self.shape: list[str] = []
         self.tables: list[_Table] = []
         self.count = 0
-        self.code: list[str] | None = None
-        self.feed(body)
-        self.close()
+        self.code: str | None = None
+        at = 0
+        while (m := _TOKEN.search(body, at)) is not None:
+            if m.start() > at:
+                self._text(body[at : m.start()])
+            at = m.end()
+            end, tag, attributes = m.group(1), m.group(2) or m.group(4), m.group(3) or m.group(5)
+            if tag is not None:
+                tag = tag.lower()
+                self._start(tag, attributes or "")
+                if tag in _RAW_END:
+                    close = _RAW_END[tag].search(body, at)
+                    stop = close.start() if close else len(body)
+                    self.code = body[at:stop]
+                    self._end(tag)
+                    at = close.end() if close else len(body)
+            elif end is not None:
+                self._end(end.lower())
+        if at < len(body):
+            self._text(body[at:])
         while self.open:
             self._end_last()
         self._fill_tables()
@@ -106,16 +133,14 @@ class _Nodes(HTMLParser):
             self.out.append({"pos": self.count, "tag": "#document", "text": "\n".join(self.shape)})
         return self.out
 
-    def updatepos(self, i: int, j: int) -> int:
-        return j  # line numbers are not used
+    def _text(self, data: str) -> None:
+        self.words.append(unescape(data) if "&" in data else data)
 
     def _end_last(self) -> None:
         e = self.open.pop()
         if e.node is not None and e.node["keep"]:
-            parts = self.code if e.tag == "script" else self.words[e.mark :]
-            e.node["text"] = "".join(parts or ()).strip()
-        if e.tag in ("script", "style"):
-            self.code = None
+            text = self.code if e.tag == "script" else "".join(self.words[e.mark :])
+            e.node["text"] = (text or "").strip()
 
     def _imply_ends(self, tag: str) -> None:
         if tag in IMPLIED_END:
@@ -134,9 +159,13 @@ class _Nodes(HTMLParser):
         while cut is not None and len(self.open) > cut:
             self._end_last()
 
-    def handle_starttag(self, tag, attrs):
+    def _start(self, tag: str, written: str) -> None:
         self._imply_ends(tag)
-        attrs = {k: v or "" for k, v in attrs}
+        attrs: dict[str, str] = {}
+        if written and not written.isspace():
+            for name, double, single, bare in _ATTRIBUTE.findall(written):
+                value = double or single or bare
+                attrs.setdefault(name.lower(), unescape(value) if "&" in value else value)
         css = attrs.get("class") or ""
         classes = css.split()
         if self.skeleton:
@@ -193,8 +222,6 @@ class _Nodes(HTMLParser):
         if tag in VOID:
             return
         self.open.append(here)
-        if tag in ("script", "style"):
-            self.code = []
 
     def _fill_tables(self) -> None:
         for table in self.tables:
@@ -209,12 +236,7 @@ class _Nodes(HTMLParser):
                     "items": row["items"],
                 }
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
+    def _end(self, tag: str) -> None:
         for at in range(len(self.open) - 1, -1, -1):
             name = self.open[at].tag
             if name == tag:
@@ -224,9 +246,6 @@ class _Nodes(HTMLParser):
             if name == "table" or (name in ("td", "th") and tag not in TABLE_PARTS):
                 return
 
-    def handle_data(self, data):
-        (self.words if self.code is None else self.code).append(data)
-
 
 _MAP = pa.map_(pa.string(), pa.string())
 _ITEM = pa.struct(
