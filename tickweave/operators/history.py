@@ -3,7 +3,8 @@
 One symbol may hold a large share of all captures, so nothing here windows over a
 whole key. Ordered operators cut every key into time buckets, work inside
 ``(key, bucket)``, and bring over what the earlier buckets contribute from a
-table with one row per key and bucket.
+table with one row per key and bucket. The rows of one bucket, not of one key,
+bound a task; pass a finer ``unit`` where one key is busier still.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Window as W
 from ..functions.hashing import hash_row
 from ..functions.nested import array_rows
 
-BUCKET = "day"
+BUCKET = "hour"
 
 
 def _bucket(at: str, unit: str) -> Column:

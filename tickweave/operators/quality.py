@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import numeric as N
@@ -121,3 +121,13 @@ def dq_fixture_hygiene(df: DataFrame, key: str, text: str, max_bytes: int = MAX_
 def row_identity(df: DataFrame, volatile: tuple[str, ...] = ("fetched_at",)) -> DataFrame:
     """``row_hash`` over every column but the volatile collection metadata."""
     return df.withColumn("row_hash", hash_row(*[F.col(c) for c in df.columns if c not in volatile]))
+
+
+def observed(df: DataFrame, column: str = "warnings") -> tuple[DataFrame, Observation]:
+    """The rows unchanged, with row and warning counts gathered while they flow by.
+
+    Progress without a second pass: read ``observation.get`` after the first action.
+    """
+    seen = Observation("progress")
+    counts = [F.count("*").alias("rows"), F.sum(F.size(column)).alias("warnings")]
+    return df.observe(seen, *counts), seen

@@ -154,9 +154,9 @@ def _comparable(df: DataFrame) -> DataFrame:
 
 
 def set_diff(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows with ``side`` added, removed or common, as sets."""
-    a = _comparable(old).distinct().withColumn("_o", F.lit(1))
-    b = _comparable(new).distinct().withColumn("_n", F.lit(1))
+    """Rows with ``side`` added, removed or common, as sets: one combined aggregation."""
+    a = _comparable(old).withColumn("_o", F.lit(1))
+    b = _comparable(new).withColumn("_n", F.lit(1))
     columns = old.columns
     both = a.unionByName(b, allowMissingColumns=True).groupBy(*columns).agg(
         F.max("_o").alias("_o"), F.max("_n").alias("_n")

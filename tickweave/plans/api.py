@@ -21,6 +21,7 @@ from ..operators import screening as S
 from ..operators.dataset import build_dataset, provenance_cols
 from ..operators.ranking import dedupe_first, order_keys, rank_limited, walk_limits
 from ..schemas import dataset
+from ..session import broadcast_if_small
 from . import families as P
 from . import registry as R
 from .query import Filter, GroupQuery, Order, ScreenQuery
@@ -227,7 +228,8 @@ def statements_batch(captures: DataFrame, requests: DataFrame, statement: str) -
         ["position"],
     )
     mine = captures.where(F.col("statement") == statement)
-    parsed = statement_documents(mine.join(wanted.select("symbol"), "symbol", "left_semi"))
+    asked = broadcast_if_small(wanted.select("symbol"))
+    parsed = statement_documents(mine.join(asked, "symbol", "left_semi"))
     outcome = wanted.join(parsed.select("symbol", "problem", "fetched_at"), "symbol", "left").withColumns(
         {
             "problem": F.when(F.col("fetched_at").isNull(), F.lit("no capture")).otherwise(F.col("problem")),
@@ -273,7 +275,7 @@ def quote_projection(bundle: dict[str, DataFrame], region: str, requests: DataFr
     wanted = dedupe_first(
         resolved.select(F.col("canonical").alias("symbol"), "position"), ["symbol"], ["position"]
     )
-    rows = bundle[region].join(wanted, "symbol").orderBy("position").drop("position")
+    rows = bundle[region].join(broadcast_if_small(wanted), "symbol").orderBy("position").drop("position")
     return provenance_cols(rows, projected_from="quote")
 
 

@@ -17,7 +17,7 @@ from html import unescape
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.nested import array_rows, struct_rows
@@ -373,3 +373,16 @@ def x_links_fast(df: DataFrame, key: str, body: str) -> DataFrame:
         F.col("link.href").alias("href"),
         F.regexp_replace(F.col("link.text"), "<[^>]*>", "").alias("text"),
     )
+
+
+def register_html_cells(spark: SparkSession, name: str = "html_cells") -> None:
+    """The cell relation as a table function: ``FROM captures, LATERAL html_cells(body)``."""
+
+    @F.udtf(returnType="table_no int, row_no int, col_no int, head string, text string")
+    class HtmlCells:
+        def eval(self, body: str):
+            for n in _Nodes(frozenset(), frozenset(), False).parse(body or ""):
+                if n["tag"] in ("td", "th") and "col_no" in n:
+                    yield n["table_no"], n["row_no"], n["col_no"], n.get("head"), n["text"]
+
+    spark.udtf.register(name, HtmlCells)
