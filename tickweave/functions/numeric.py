@@ -35,44 +35,29 @@ def without_commas(c: Column) -> Column:
 
 
 def without_percent(c: Column) -> Column:
-    text = F.rtrim(c, F.lit(" \t\r\n"))
-    return F.when(text.endswith("%"), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(c)
-
-
-def _finite(text: Column) -> Column:
-    """A validated spelling to double; overflow to infinity is null."""
-    value = text.try_cast("double")
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    return F.regexp_replace(c, r"%\s*\z", "")
 
 
 def to_finite(c: Column) -> Column:
     """A plain decimal spelling to double; NaN, infinities and overflow are null."""
-    return F.when(c.rlike(PLAIN_FLOAT), _finite(F.trim(c)))
+    value = F.trim(c).try_cast("double")
+    return F.when(c.rlike(PLAIN_FLOAT) & (F.abs(value) < F.lit(float("inf"))), value)
 
 
-def _suffix(text: Column) -> Column:
-    last = F.upper(F.right(text, F.lit(1)))
-    return F.when(last.isin(*SUFFIX_EXPONENT), last).otherwise(F.lit(""))
+def _as_exponent(text: Column, flags: str = "(?i)", sign: str = "[+-]?") -> Column:
+    """``1.20B`` spelled ``1.20e9``; text that is no compact display stays.
 
-
-def _exponent(suffix: Column) -> Column:
-    chain = F.when(suffix == "", 0)
+    A chain in which every step holds its input once: short generated code.
+    """
     for letter, power in SUFFIX_EXPONENT.items():
-        chain = chain.when(suffix == letter, power)
-    return chain
-
-
-def _scaled(text: Column) -> Column:
-    """A display matching ``COMPACT``: ``1.20B`` is read as ``1.20e9``, rounded once."""
-    suffix = _suffix(text)
-    mantissa = F.substring(text, F.lit(1), F.length(text) - F.length(suffix))
-    return _finite(F.concat(mantissa, F.lit("e"), _exponent(suffix).cast("string")))
+        shape = rf"{flags}\A({sign}[0-9]+(?:\.[0-9]+)?){letter}\z"
+        text = F.regexp_replace(text, shape, f"$1e{power}")
+    return text
 
 
 def norm_compact(c: Column) -> Column:
     """K/M/B/T magnitudes; a percent sign is dropped without dividing."""
-    text = without_percent(without_commas(c))
-    return F.when(text.rlike(COMPACT), _scaled(text)).otherwise(to_finite(text))
+    return to_finite(_as_exponent(without_percent(without_commas(c))))
 
 
 def norm_percent(c: Column) -> Column:
@@ -95,15 +80,14 @@ def norm_count(c: Column) -> Column:
     Works on the digits as text, so no mantissa length can be rounded.
     """
     text = without_commas(c)
-    suffix = _suffix(text)
-    shift = _exponent(suffix)
-    body = F.substring(text, F.lit(1), F.length(text) - F.length(suffix))
+    shift = F.instr(F.lit("".join(SUFFIX_EXPONENT)), F.upper(F.right(text, F.lit(1)))) * 3
+    body = F.regexp_replace(text, r"(?i)[KMBT]\z", "")
     whole = F.substring_index(body, ".", 1)
     fraction = F.substring(body, F.length(whole) + 2, F.length(body))
     moved = F.rpad(F.substring(fraction, F.lit(1), shift), shift, F.lit("0"))
-    rest = F.substring(fraction, shift + 1, F.length(fraction))
+    rest = F.rtrim(F.substring(fraction, shift + 1, F.length(fraction)), F.lit("0"))
     signed = F.replace(F.concat(whole, moved), F.lit("+"), F.lit(""))
-    return F.when(text.rlike(COMPACT) & (F.rtrim(rest, F.lit("0")) == ""), signed.try_cast("bigint"))
+    return F.when(text.rlike(COMPACT) & (rest == ""), signed.try_cast("bigint"))
 
 
 def norm_ragged(c: Column) -> Column:
@@ -112,8 +96,7 @@ def norm_ragged(c: Column) -> Column:
     return (
         F.when(c.isin("", "-"), None)
         .when(text.endswith("%"), norm_percent(c))
-        .when(text.rlike(r"\A-?[0-9]+(?:\.[0-9]+)?[KMBT]\z"), _scaled(text))
-        .otherwise(to_finite(text))
+        .otherwise(to_finite(_as_exponent(text, flags="", sign="-?")))
     )
 
 

@@ -143,15 +143,17 @@ def screener_is_empty(docs: DataFrame) -> DataFrame:
 
 def header_table(rows: DataFrame, labels: list[str], family: str, skip: tuple[str, ...], raw: bool) -> DataFrame:
     """Header-driven rows to typed columns, ``_raw`` companions where asked."""
+    names = {label: X.label_to_field(label) for label in labels if label not in skip}
+    rest = [c for c in rows.columns if c not in ("heads", "cells", "row_ok")]
+    # Look every cell up once, then convert.
+    shown = rows.select(*rest, *[cell(label).alias(f"{name}_raw") for label, name in names.items()])
     columns = []
-    for label in labels:
-        if label in skip:
-            continue
-        name = X.label_to_field(label)
-        columns.append(R.typed_cell(label, cell(label), family).alias(name))
+    for label, name in names.items():
+        display = F.col(f"{name}_raw")
+        columns.append(R.typed_cell(label, display, family).alias(name))
         if raw and R.unit_of(label, family) != "text":
-            columns.append(cell(label).alias(f"{name}_raw"))
-    return rows.select(*[c for c in rows.columns if c not in ("heads", "cells", "row_ok")], *columns)
+            columns.append(display)
+    return shown.select(*rest, *columns)
 
 
 def screener_table(rows: DataFrame, labels: list[str]) -> DataFrame:
@@ -201,12 +203,16 @@ def perf_table(rows: DataFrame, identity: str, labels: list[str]) -> DataFrame:
     known = [x for x in labels if x in R.MARKET_FIELDS]
     names = ["name"] if "Name" in labels else []
     rest = [c for c in rows.columns if c not in ("rank", "identity", "name", "heads", "cells", "row_ok")]
-    return rows.where("row_ok").select(
+    raws = {x: f"{R.MARKET_FIELDS[x]}_raw" for x in known}
+    shown = rows.where("row_ok").select(
+        "rank", F.col("identity").alias(identity.lower()), *names, *rest, *[cell(x).alias(r) for x, r in raws.items()]
+    )
+    return shown.select(
         "rank",
-        F.col("identity").alias(identity.lower()),
+        identity.lower(),
         *names,
-        *[R.typed_cell(x, cell(x), "market").alias(R.MARKET_FIELDS[x]) for x in known],
-        *[cell(x).alias(f"{R.MARKET_FIELDS[x]}_raw") for x in known],
+        *[R.typed_cell(x, F.col(raws[x]), "market").alias(R.MARKET_FIELDS[x]) for x in known],
+        *raws.values(),
         *rest,
     )
 

@@ -22,7 +22,7 @@ RUNTIME_CONF = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Projections wider than this do not fit one generated class at all: do not
     # spend seconds on a compilation that fails.
-    "spark.sql.codegen.maxFields": "48",
+    "spark.sql.codegen.maxFields": "30",
 }
 
 
