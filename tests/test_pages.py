@@ -68,7 +68,7 @@ def test_screener_rows_quarantine_and_facts(spark):
 
 
 def test_recognised_empty_screen(spark):
-    docs = P.documents(captures(spark, '<table id="js-screener-body-empty"></table>', "<p>x"))
+    docs = P.documents(captures(spark, '<table id="js-screener-body-empty"></table>', "<table><tr><td>x</table>"))
     assert [r.is_empty for r in P.screener_is_empty(docs).orderBy("capture_id").collect()] == [True, False]
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric as N
 from ..functions import temporal as M
-from ..schemas import ContractError, Field, dataset
+from ..schemas import ContractError, dataset
 
 WARNINGS = "warnings"
 WARNING_TYPE = "struct<code string, field string, raw string>"

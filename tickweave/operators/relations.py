@@ -42,7 +42,9 @@ def map_bundle(leaves: DataFrame, perf: DataFrame) -> dict[str, DataFrame]:
         F.count("perf").alias("n_with_perf"),
         F.countDistinct("sector").alias("n_sectors"),
     ).crossJoin(unmapped.agg(F.count("*").alias("n_unmapped")))  # one row by one row
-    return {"constituents": joined, "unmapped": unmapped, "facts": facts}
+    place = [c for c in ("sector_no", "industry_no", "leaf_no") if c in joined.columns]
+    ordered = joined.orderBy(*place) if place else joined
+    return {"constituents": ordered, "unmapped": unmapped, "facts": facts}
 
 
 def futures_category(tiles: DataFrame, listed: DataFrame, order: Sequence[str] = ("g_no", "c_no")) -> DataFrame:

@@ -138,7 +138,7 @@ def x_screener_table(docs: DataFrame) -> DataFrame:
 def screener_is_empty(docs: DataFrame) -> DataFrame:
     """Documents with the positively recognised no-results table."""
     empty = F.exists("nodes", lambda n: (n["tag"] == "table") & (n["id"] == "js-screener-body-empty"))
-    return docs.select(*keys_of(docs), empty.alias("is_empty"))
+    return docs.select(*keys_of(docs), F.coalesce(empty, F.lit(False)).alias("is_empty"))
 
 
 def header_table(rows: DataFrame, labels: list[str], family: str, skip: tuple[str, ...], raw: bool) -> DataFrame:
