@@ -121,6 +121,13 @@ def test_streaming_change_feed_is_the_same_when_an_epoch_is_replayed(spark, tmp_
         assert sorted(r.id for r in sink.read(spark).collect()) == before
 
 
+def test_a_lost_state_stops_the_stream(spark, tmp_path, data):
+    sink = S.ChangeFeed(str(tmp_path / "out"), ["symbol"], ["value"])
+    part = spark.createDataFrame(data[:50], "id int, symbol string, value double, fetched_at timestamp")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        sink(part, 3)
+
+
 def test_late_rows_are_diverted_never_lost(spark, tmp_path):
     on_time = [(1, "A", 1.0, T0 + dt.timedelta(hours=10))]
     mixed = [(2, "A", 1.0, T0 + dt.timedelta(hours=9, minutes=30)), (3, "A", 1.0, T0), (4, "A", 1.0, T0 + dt.timedelta(hours=12))]

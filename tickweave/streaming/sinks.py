@@ -10,19 +10,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.history import hist_change_feed
 
 
 def _read_epoch(spark: SparkSession, path: str, epoch: int, schema: str) -> DataFrame:
-    """The state written by ``epoch``, or its empty table before the first one."""
+    """The state written by ``epoch``; only before the first epoch it is empty.
+
+    A state that should be there and is not fails the batch: starting over from
+    nothing would silently append every row again.
+    """
     if epoch < 0:
         return spark.createDataFrame([], schema)
-    try:
-        return spark.read.schema(schema).parquet(f"{path}/epoch={epoch}")
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/epoch={epoch}")
 
 
 class LateRows:
