@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join
+from . import jaccard_join, mixing, topk_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,44 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     out = jaccard_join.near_duplicate_components(table(spark, folder, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query("op1_exact_top_k", """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk_search.quantised(table(spark, folder, "embeddings"))
+    found = topk_search.top_k(vectors.where("id % 50 = 0"), vectors, 5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query("op2_mix_sources", """
+WITH d AS (
+    SELECT doc_id, source, COALESCE(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+           -ln((CAST('0x' || substr(md5('0' || chr(31) || COALESCE(doc_id::VARCHAR, chr(30))), 1, 13) AS BIGINT)::DOUBLE + 0.5) / 4503599627370496.0) AS key
+    FROM documents),
+s AS (
+    SELECT source, sum(size)::DOUBLE AS n, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1]::DOUBLE AS w
+    FROM d GROUP BY source),
+c AS (SELECT *, 2 * n AS cap, sum(n) OVER () * 1.5 AS total FROM s),
+l AS (
+    SELECT *, (total - COALESCE(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM c WINDOW o AS (ORDER BY cap / w, source IS NULL, source)),
+t AS (
+    SELECT source, n::BIGINT AS n, least(cap, COALESCE((SELECT max(level) FROM l WHERE cap > level * w) * w, cap)) AS target FROM l),
+e AS (SELECT *, CASE WHEN n > 0 THEN floor(target / n)::BIGINT ELSE 1 END AS epochs FROM t),
+r AS (
+    SELECT d.doc_id, d.size, e.n, e.target, e.epochs, floor(e.target)::BIGINT - e.epochs * e.n
+           - COALESCE(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room
+    FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, n AS source_size, target, (epochs * size + greatest(0, least(size, room)))::BIGINT AS taken FROM r""")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, folder, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
