@@ -7,6 +7,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -199,3 +200,33 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
         known = now
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+
+
+def bit_of(column: str, bits: int):
+    return F.pmod(F.xxhash64(column), F.lit(bits))
+
+
+def bitmap(ids: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A bitmap of hashed ids as 64-bit words: ``bits`` in all, at any size of input."""
+    bit = ids.select(bit_of(column, bits).alias("bit"))
+    words = bit.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask")).toPandas()
+    out = np.zeros(bits // 64, np.uint64)
+    out[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def split_by_ids(rows: DataFrame, ids: DataFrame, row_id: str, column: str, bits: int = 1 << 25) -> tuple[DataFrame, DataFrame]:
+    """``rows`` that may and that surely do not have an id of ``ids``; only the first need a join.
+
+    Wide rows whose id is not listed are thus never shuffled. The bitmap's size is fixed;
+    where it fills up, more rows go the longer way. Null ids count like any other.
+    """
+    marks = bitmap(ids, column, bits)
+
+    @F.pandas_udf("boolean")
+    def listed(bit: pd.Series) -> pd.Series:
+        at = bit.to_numpy(np.int64)
+        return pd.Series(((marks[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)) > 0)
+
+    hit = listed(bit_of(row_id, bits))
+    return rows.where(hit), rows.where(~hit)

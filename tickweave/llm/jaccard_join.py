@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, in_chunks, materialise, mix, ragged, words_of
+from .common import bit_of, bitmap, connected_components, in_chunks, materialise, mix, ragged, words_of
 
 #: Tokens that one bucket of the counting step holds on average.
 BUCKET_TOKENS = 400_000
@@ -288,19 +288,6 @@ def whole_sets(batches: Iterator[pa.RecordBatch], text_col: str, width: int, wan
             yield pa.RecordBatch.from_arrays([rows["id"].combine_chunks(), pa.array(digests(h, first).view(np.int64)), pa.array(data, pa.binary())], names=["id", "sid", "shingles"])
 
 
-def bit_of(column: str, bits: int):
-    return F.pmod(F.xxhash64(column), F.lit(bits))
-
-
-def bitmap(ids: DataFrame, column: str, bits: int) -> np.ndarray:
-    """A bitmap of hashed ids as 64-bit words: ``bits`` in all, at any size of input."""
-    bit = ids.select(bit_of(column, bits).alias("bit"))
-    words = bit.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask")).toPandas()
-    out = np.zeros(bits // 64, np.uint64)
-    out[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64).view(np.uint64)
-    return out
-
-
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, mixing, topk_search
+from . import jaccard_join, mixing, secret_scan, topk_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +72,17 @@ r AS (
 SELECT doc_id, size, n AS source_size, target, (epochs * size + greatest(0, least(size, room)))::BIGINT AS taken FROM r""")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query("op10_secret_scan")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, folder, "documents"))
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    live = F.size(F.filter("spans", lambda s: s["live"])).cast("long")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(count(k).alias(f"n_{name}") for k, name in enumerate(secret_scan.KINDS)),
+        F.sha2(secret_scan.rendered(F.col("spans"), secret_scan.KINDS[:3]), 256).alias("base_sha256"),
+        secret_scan.rendered(F.col("spans")).alias("spans"),
+        live.alias("n_live"),
+    )
