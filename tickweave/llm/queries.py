@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, mixing, secret_scan, topk_search
+from . import jaccard_join, language_id, mixing, secret_scan, topk_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +86,16 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         secret_scan.rendered(F.col("spans")).alias("spans"),
         live.alias("n_live"),
     )
+
+
+def fold(count: int, column: str = "doc_id"):
+    """The remainder that deals documents to folds."""
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(count))
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language_id.train(docs, use=fold(4) != 2)
+    out = language_id.annotate(docs.select("doc_id", "text", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out")), model, keep=["doc_id", "held_out"])
+    return out.select("doc_id", "held_out", "lang_pred", "score", "entropy", "accepted")
