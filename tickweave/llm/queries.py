@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, language_id, mixing, secret_scan, topk_search
+from . import jaccard_join, language_id, mixing, secret_scan, topk_search, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +99,18 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     model = language_id.train(docs, use=fold(4) != 2)
     out = language_id.annotate(docs.select("doc_id", "text", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out")), model, keep=["doc_id", "held_out"])
     return out.select("doc_id", "held_out", "lang_pred", "score", "entropy", "accepted")
+
+
+@query("op3_arc_to_warc", """
+WITH p AS (
+    SELECT page_id, octet_length(encode(COALESCE(html, ''))) AS payload_bytes, sha256(COALESCE(html, '')) AS payload_digest FROM pages),
+m AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS lead FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> lead THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> lead THEN lead END AS refers_to
+FROM m""")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    arcs, warcs = warc.new_folder(spark, "arc"), warc.new_folder(spark, "warc")
+    warc.write_arc(table(spark, folder, "pages"), arcs)
+    warc.convert(spark, arcs, warcs)
+    return warc.read_warc(spark, warcs).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
