@@ -18,11 +18,12 @@ set's filled segments are filled alike in a linked partner (pigeonhole).
   segments do not hold two shingles either, they index single shingles besides.
 * **Verification** compares whole sets of 64-bit shingle hashes, exactly.
 
-Equal sets are one node (by a 64-bit digest), so a group of copies is never paired. Within
-the sets that share a token, random pivots are compared first, and only pairs that are still
-in different components afterwards meet in later rounds, with eight times as many pivots
-each. Every pair that may link is either compared or already connected: components are
-exact, and a group of near copies costs a multiple of its size, not its square.
+Equal sets are one node (by a 64-bit digest), so a group of copies is never paired. Of the
+sets that share a token, the one with the fewest tokens of its own (likely the original of
+copies) is compared with all others first. Only sets that stay in different components
+afterwards are compared further, block by block within a task, and only pairs that join two
+components leave it. Every pair that may link is either compared or already connected:
+components are exact, and a group of near copies sends a multiple of its size, not its square.
 """
 
 from __future__ import annotations
@@ -40,7 +41,9 @@ from .common import bit_of, bitmap, connected_components, in_chunks, materialise
 #: Tokens that one bucket of the counting step holds on average.
 BUCKET_TOKENS = 400_000
 _TAG = np.uint64(0xC2B2AE3D27D4EB4F)
-_FLAGS = np.uint32(3)
+#: Segments are counted in so many classes, to bound the difference of two sets.
+FOLDS = 16
+_LOW = np.uint32(63)  # of a token: two bits for its kind, four for its fold
 _POSITIVE = np.uint64((1 << 63) - 1)
 
 
@@ -114,7 +117,7 @@ class Scheme:
 
 
 def tokens_of(h, first, which, band, deletions: bool = False):
-    """Tokens of the sets ``which`` in their ``band``: (set index, token hash, segment size).
+    """Tokens of the sets ``which`` in their ``band``: (set index, token hash, segment size, fold).
 
     With ``deletions`` the tokens are those of segments with one shingle left out.
     """
@@ -132,27 +135,27 @@ def tokens_of(h, first, which, band, deletions: bool = False):
     total = np.add.reduceat(value, begin) if len(begin) else np.zeros(0, np.uint64)
     salt = mix(seg[begin].astype(np.uint64) * _TAG + band[owner[begin]].astype(np.uint64)) if len(begin) else total
     if not deletions:
-        return owner[begin], mix(total + salt), count
+        return owner[begin], mix(total + salt), count, seg[begin] % FOLDS
     some = np.repeat(count >= 2, count)
     left = np.repeat(total, count) - value
-    return owner[some], mix(left + np.repeat(salt, count))[some], None
+    return owner[some], mix(left + np.repeat(salt, count))[some], None, None
 
 
 def describe(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str, width: int, scheme: Scheme):
-    """One row per document: id, set size, digest and filled segments of its two schemes."""
+    """One row per document: id, set size, digest, filled segments by fold of its two schemes, all of them."""
     for rows, texts in in_chunks(batches, text_col):
         h, first = shingle_sets(texts, width)
         n = np.diff(first)
         own, lower = scheme.bands(n)
         filled = []
         for which, band in ((np.flatnonzero(n > 0), own), (np.flatnonzero(lower), own - 1)):
-            owner, _, _ = tokens_of(h, first, which, band[which])
-            count = np.zeros(len(n), np.int64)
-            count[which] = np.bincount(owner, minlength=len(which))
+            owner, _, _, fold = tokens_of(h, first, which, band[which])
+            count = np.zeros((len(n), FOLDS), np.uint16)
+            count[which] = np.minimum(np.bincount(owner * FOLDS + fold, minlength=len(which) * FOLDS), 65535).reshape(-1, FOLDS)
             filled.append(count)
         yield pa.RecordBatch.from_arrays(
-            [rows[id_col].combine_chunks().cast(pa.int64()), pa.array(n), pa.array(digests(h, first).view(np.int64)), pa.array(filled[0]), pa.array(filled[1])],
-            names=["id", "n", "sid", "filled", "filled_below"],
+            [rows[id_col].combine_chunks().cast(pa.int64()), pa.array(n), pa.array(digests(h, first).view(np.int64)), *(pa.array([c.tobytes() for c in count], pa.binary()) for count in filled), pa.array(sum(c.sum(axis=1, dtype=np.int64) for c in filled))],
+            names=["id", "n", "sid", "filled", "filled_below", "tokens"],
         )
 
 
@@ -178,7 +181,7 @@ def emit_tokens(batches: Iterator[pa.RecordBatch], text_col: str, width: int, sc
     """Packed (token, set) entries by bucket of the token; a set is emitted once per task.
 
     The low two bits of a token say what it is: the parity of its band, or 2 for what a set
-    with too few filled segments indexes.
+    with too few filled segments indexes; the next four are the fold of its segment.
     """
     seen: set[int] = set()
     for _, texts in in_chunks(batches, text_col):
@@ -192,26 +195,26 @@ def emit_tokens(batches: Iterator[pa.RecordBatch], text_col: str, width: int, sc
         own, lower = scheme.bands(n)
         tokens, sids = [], []
 
-        def add(which, owner, token, flag, tokens=tokens, sids=sids, sid=sid):
-            low = (token >> np.uint64(32)).astype(np.uint32) & ~_FLAGS
-            tokens.append((token.astype(np.uint32) % np.uint32(buckets), low | flag.astype(np.uint32)))
+        def add(which, owner, token, kind, fold, tokens=tokens, sids=sids, sid=sid):
+            high = (token >> np.uint64(32)).astype(np.uint32) & ~_LOW
+            tokens.append((token.astype(np.uint32) % np.uint32(buckets), high | (kind | fold << 2).astype(np.uint32)))
             sids.append(sid[which][owner])
 
         for mask, band in ((new, own), (new & lower, own - 1)):
             which = np.flatnonzero(mask)
             b = band[which]
-            owner, token, count = tokens_of(h, first, which, b)
-            add(which, owner, token, b[owner] & 1)
+            owner, token, count, fold = tokens_of(h, first, which, b)
+            add(which, owner, token, b[owner] & 1, fold)
             limit = scheme.limit(n[which], b)
             short = np.bincount(owner, minlength=len(which)) <= limit
             if short.any():
                 pairs = np.bincount(owner[count >= 2], minlength=len(which))
                 some, alone = which[short], which[short & (2 * pairs <= limit)]
                 for deletions in (False, True):
-                    o, t, _ = tokens_of(h, first, some, band[some], deletions)
-                    add(some, o, mix(t), np.full(len(t), 2))
+                    o, t, *_ = tokens_of(h, first, some, band[some], deletions)
+                    add(some, o, mix(t), np.full(len(t), 2), np.zeros(len(t), np.int64))
                 at = ragged(first[alone], n[alone])
-                add(alone, np.repeat(np.arange(len(alone)), n[alone]), mix(h[at] * _TAG), np.full(len(at), 2))
+                add(alone, np.repeat(np.arange(len(alone)), n[alone]), mix(h[at] * _TAG), np.full(len(at), 2), np.zeros(len(at), np.int64))
         if tokens and sum(len(t) for _, t in tokens):
             bucket = np.concatenate([b for b, _ in tokens])
             yield _packed(_as_rows(bucket, tokens=np.concatenate([t for _, t in tokens]), sids=np.concatenate(sids)), ["tokens", "sids"])
@@ -250,31 +253,40 @@ def shared_tokens(table: pa.Table, sid_buckets: int) -> pa.Table:
 
 
 def signatures(shared: pa.Table, sets: pa.Table, scheme: Scheme) -> pa.Table:
-    """The tokens that each set of one bucket indexes: the H + 1 rarest of either scheme."""
-    names = ["token", "sid", "n"]
+    """The tokens that each set of one bucket indexes: the H + 1 rarest of either scheme.
+
+    ``own`` counts, by fold, the segments that the set fills like no other set.
+    """
+    names = ["token", "sid", "n", "apart", "own"]
+    kinds = [pa.int64()] * 3 + [pa.float64(), pa.list_(pa.int32())]
     if not len(shared) or not len(sets):
-        return pa.table([pa.array([], pa.int64())] * 3, names=names)
+        return pa.table([pa.array([], k) for k in kinds], names=names)
     sid, token, held = _joined(shared["sids"], np.uint64), _joined(shared["tokens"], np.uint64), _joined(shared["held"], np.uint16)
     known = sets["sid"].to_numpy().view(np.uint64)
     order = np.argsort(known)
-    known = known[order]
-    info = {c: sets[c].to_numpy()[order] for c in ("n", "filled", "filled_below")}
+    known, size = known[order], sets["n"].to_numpy()[order]
+    filled = np.stack([_joined(sets[c], np.uint16).reshape(-1, FOLDS)[order].astype(np.int64) for c in ("filled", "filled_below")], axis=1)
     at = np.searchsorted(known, sid)
-    kind = (token & np.uint64(3)).astype(np.int64)
-    n = info["n"][at]
+    kind, fold = (token & np.uint64(3)).astype(np.int64), (token >> np.uint64(2) & np.uint64(FOLDS - 1)).astype(np.int64)
+    n = size[at]
     own = band_of(n)
-    below = (kind < 2) & (kind != (own & 1))
+    below = ((kind < 2) & (kind != (own & 1))).astype(np.int64)
     limit = scheme.limit(n, own - below)
-    filled = np.where(below, info["filled_below"][at], info["filled"][at])
+    exact = kind < 2
+    part = (at * 2 + below) * FOLDS + fold
+    alone = filled - np.bincount(part[exact], minlength=filled.size).reshape(filled.shape)
     group = at * 4 + kind
     order = np.lexsort((token, held, group))
-    group, token, at, kind, limit, filled = group[order], token[order], at[order], kind[order], limit[order], filled[order]
+    group, token, at, kind, limit, below = group[order], token[order], at[order], kind[order], limit[order], below[order]
     begin = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-    size = np.diff(np.append(begin, len(group)))
-    rank = np.arange(len(group)) - np.repeat(begin, size)
-    unique = filled - np.repeat(size, size)
+    rank = np.arange(len(group)) - np.repeat(begin, np.diff(np.append(begin, len(group))))
+    unique = alone.sum(axis=2)[at, below]
     keep = (kind == 2) | (rank < limit + 1 - unique)
-    return pa.table([pa.array(token[keep].view(np.int64)), pa.array(known[at[keep]].view(np.int64)), pa.array(info["n"][at[keep]])], names=names)
+    at, below, kind, unique, token = at[keep], below[keep], kind[keep], unique[keep], token[keep]
+    apart = np.where(kind == 2, 0.0, unique / np.maximum(filled.sum(axis=2)[at, below], 1))
+    folds = np.where(kind[:, None] == 2, 0, np.maximum(alone[at, below], 0)).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, folds.size + 1, FOLDS, dtype=np.int32)), pa.array(folds.ravel()))
+    return pa.table([pa.array(token.view(np.int64)), pa.array(known[at].view(np.int64)), pa.array(size[at]), pa.array(apart), lists], names=names)
 
 
 def whole_sets(batches: Iterator[pa.RecordBatch], text_col: str, width: int, wanted: np.ndarray):
@@ -301,7 +313,7 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
 
-def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75, first_pivots: int = 2, filter_bits: int = 1 << 25) -> DataFrame:
+def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75, block_sets: int = 256, filter_bits: int = 1 << 25) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles`` and ``component_id``.
 
     Null and empty texts and texts without words have no shingles and are their own
@@ -312,10 +324,10 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     """
     scheme = Scheme(percent)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    info = materialise(texts.mapInArrow(lambda it: describe(it, "id", "text", width, scheme), "id long, n long, sid long, filled long, filled_below long"))
+    info = materialise(texts.mapInArrow(lambda it: describe(it, "id", "text", width, scheme), "id long, n long, sid long, filled binary, filled_below binary, tokens long"))
     known = info.where("id is not null and n > 0")
-    sets = known.groupBy("sid").agg(*(F.min(c).alias(c) for c in ("id", "n", "filled", "filled_below")))
-    tokens, count = sets.agg(F.sum(F.col("filled") + F.col("filled_below")), F.count("*")).first()
+    sets = known.groupBy("sid").agg(*(F.min(c).alias(c) for c in ("id", "n", "tokens", "filled", "filled_below")))
+    tokens, count = sets.agg(F.sum("tokens"), F.count("*")).first()
     if not tokens:
         links = info.sparkSession.createDataFrame([], "node long, label long")
         return _labelled(info, sets, links)
@@ -324,43 +336,102 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     packed = texts.where("id is not null").select("text").mapInArrow(lambda it: emit_tokens(it, "text", width, scheme, buckets), "bucket int, tokens binary, sids binary")
     shared = packed.groupBy("bucket").applyInArrow(lambda t: shared_tokens(t, sid_buckets), "bucket int, sids binary, tokens binary, held binary")
     sized = sets.withColumn("bucket", F.expr(f"cast((sid & {(1 << 63) - 1}) % {sid_buckets} as int)"))
-    signed = shared.groupBy("bucket").cogroup(sized.groupBy("bucket")).applyInArrow(lambda s, i: signatures(s, i, scheme), "token long, sid long, n long")
+    signed = shared.groupBy("bucket").cogroup(sized.groupBy("bucket")).applyInArrow(lambda s, i: signatures(s, i, scheme), "token long, sid long, n long, apart double, own array<int>")
     ids = sets.select("sid", "id")
-    signed = materialise(signed.join(ids, "sid").select("token", "n", "sid", F.col("id").alias("node")))
+    signed = materialise(signed.join(ids, "sid").select("token", "n", "apart", "own", "sid", F.col("id").alias("node")))
 
-    groups = signed.groupBy("token").agg(F.count("*").alias("g")).where("g > 1")
-    grouped = materialise(signed.join(groups, "token").withColumn("u", F.xxhash64("sid").bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40))))
+    # The lead of a token is the set with the least of its own: an original rather than a copy.
+    groups = signed.groupBy("token").agg(F.count("*").alias("g"), F.min(F.struct("apart", "sid")).alias("first")).where("g > 1")
+    grouped = materialise(signed.join(groups, "token").select("token", "n", "own", "sid", "node", "g", (F.col("sid") == F.col("first.sid")).alias("lead")))
     wanted = bitmap(grouped.select("node").distinct(), "node", filter_bits)
     marked = texts.where("id is not null").withColumn("bit", bit_of("id", filter_bits))
     packed_sets = marked.mapInArrow(lambda it: whole_sets(it, "text", width, wanted), "id long, sid long, shingles binary")
     needed = grouped.select("sid", F.col("node").alias("node")).distinct()
     packed_sets = materialise(packed_sets.join(needed, "sid").where("id = node").select("sid", "shingles").dropDuplicates(["sid"]))
 
-    labels = info.sparkSession.createDataFrame([], "node long, label long")
-    links, before, pivots = None, 0, first_pivots
-    still = grouped.withColumn("label", F.col("node"))
-    while not still.isEmpty():
-        share = F.when(F.col("g") <= 3, 1.0).otherwise(F.lit(float(pivots)) / F.col("g"))
-        now = still.withColumn("new", F.col("u") < share).withColumn("old", F.col("u") < F.lit(float(before)) / F.col("g"))
-        p = now.where("new and not old").select("token", *(F.col(c).alias(f"p_{c}") for c in ("sid", "n", "label")))
-        m = now.where("not old").select("token", "sid", "n", "label", "new")
-        # A pivot meets every set that was no pivot before; two new pivots meet once.
-        meets = (p.token == m.token) & (p.p_label != m.label) & (~m.new | (p.p_sid < m.sid)) & (p.p_n * 100 >= m.n * percent) & (m.n * 100 >= p.p_n * percent)
-        pairs = p.join(m, meets).select(F.least("p_sid", "sid").alias("a"), F.greatest("p_sid", "sid").alias("b")).distinct()
-        both = pairs.join(packed_sets.select(F.col("sid").alias("a"), F.col("shingles").alias("set_a")), "a").join(packed_sets.select(F.col("sid").alias("b"), F.col("shingles").alias("set_b")), "b")
-        linked = both.mapInArrow(lambda it: _verify(it, percent), "a long, b long")
-        linked = linked.join(ids.select(F.col("sid").alias("a"), F.col("id").alias("ia")), "a").join(ids.select(F.col("sid").alias("b"), F.col("id").alias("ib")), "b").select(F.col("ia").alias("a"), F.col("ib").alias("b"))
-        found = materialise(linked)
-        links = found if links is None else links.unionByName(found)
-        labels = connected_components(links)
-        # Only tokens whose sets were not all compared and lie in several components go on.
-        still = grouped.where(F.col("g") > max(pivots, 3)).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        apart = still.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("token")
-        still = materialise(still.join(apart, "token"))
-        before, pivots = pivots, pivots * 8
+    p = grouped.where("lead or g <= 3").select("token", *(F.col(c).alias(f"p_{c}") for c in ("sid", "n", "own", "lead")))
+    m = grouped.select("token", "sid", "n", "own", "lead", "g")
+    # A lead meets all others; in groups of three the rest meet once, too.
+    meets = (p.token == m.token) & F.when(p.p_lead, ~m.lead).otherwise(~m.lead & (p.p_sid < m.sid))
+    meets &= (p.p_n * 100 >= m.n * percent) & (m.n * 100 >= p.p_n * percent)
+    # A segment that one of the two fills like no other set holds a shingle that they do not share.
+    differ = F.aggregate(F.zip_with(p.p_own, m.own, lambda x, y: F.greatest(x, y)), F.lit(0), lambda a, x: a + x)
+    meets &= differ * (100 + percent) <= (p.p_n + m.n) * (100 - percent)
+    pairs = p.join(m, meets).select(F.least("p_sid", "sid").alias("a"), F.greatest("p_sid", "sid").alias("b")).distinct()
+    both = pairs.join(packed_sets.select(F.col("sid").alias("a"), F.col("shingles").alias("set_a")), "a").join(packed_sets.select(F.col("sid").alias("b"), F.col("shingles").alias("set_b")), "b")
+    links = materialise(_named(both.mapInArrow(lambda it: _verify(it, percent), "a long, b long"), ids))
+    labels = connected_components(links)
+
+    # Tokens whose sets still lie in several components: compare those sets block by block.
+    still = grouped.where("g > 3").select("token", "node", "sid", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    apart = still.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("node").alias("hub")).where("lo < hi").select("token", "hub")
+    still = materialise(still.join(apart, "token"))
+    if not still.isEmpty():
+        more = _named(_block_links(still, packed_sets, percent, block_sets), ids)
+        labels = connected_components(links.unionByName(more))
     return _labelled(info, sets, labels)
 
 
+def _named(pairs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Pairs of set digests as pairs of document ids."""
+    pairs = pairs.join(ids.select(F.col("sid").alias("a"), F.col("id").alias("ia")), "a")
+    return pairs.join(ids.select(F.col("sid").alias("b"), F.col("id").alias("ib")), "b").select(F.col("ia").alias("a"), F.col("ib").alias("b"))
+
+
+def _block_links(still: DataFrame, packed_sets: DataFrame, percent: int, block_sets: int) -> DataFrame:
+    """Links between different components among sets that tokens tie together.
+
+    Such sets form clusters; a cluster is cut into blocks by hash, of ``block_sets`` sets
+    or 400,000 shingles on average, and every two blocks meet in one task, where overlaps are
+    counted by matrix products. No pair leaves a task unless it joins two components.
+    """
+    clusters = connected_components(still.select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    members = still.select("node", "sid", "n", "label").distinct().join(clusters.select("node", F.col("label").alias("cluster")), "node")
+    sizes = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / 400_000)).cast("int").alias("blocks"))
+    members = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("sid"), "blocks").cast("int"))
+    cells = members.select("cluster", "sid", "label", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    cells = cells.select("cluster", "sid", "label", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    cells = cells.join(packed_sets, "sid")
+    return cells.groupBy("cluster", "lo", "hi").applyInArrow(lambda t: _compare_blocks(t, percent), "a long, b long")
+
+
+def _compare_blocks(table: pa.Table, percent: int, columns: int = 16_384) -> pa.Table:
+    block, lo, hi = table["block"].to_numpy(), table["lo"][0].as_py(), table["hi"][0].as_py()
+    sid, label = table["sid"].to_numpy(), table["label"].to_numpy()
+    sets = [np.frombuffer(x.as_py(), np.uint64) for x in table["shingles"]]
+    left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+    flat = {k: (np.concatenate([sets[i] for i in side]) if len(side) else np.zeros(0, np.uint64), np.repeat(np.arange(len(side)), [len(sets[i]) for i in side])) for k, side in (("l", left), ("r", right))}
+    common = np.intersect1d(*(np.unique(flat[k][0]) for k in "lr"))
+    overlap = np.zeros((len(left), len(right)))
+    for start in range(0, len(common), columns):
+        part, sides = common[start : start + columns], []
+        for k, side in (("l", left), ("r", right)):
+            h, owner = flat[k]
+            at = np.searchsorted(part, h)
+            hit = (at < len(part)) & (part[np.minimum(at, len(part) - 1)] == h)
+            has = np.zeros((len(side), len(part)), np.float32)
+            has[owner[hit], at[hit]] = 1
+            sides.append(has)
+        overlap += sides[0] @ sides[1].T
+    n = np.array([len(s) for s in sets])
+    link = 100 * overlap >= percent * (n[left][:, None] + n[right][None, :] - overlap)
+    link &= label[left][:, None] != label[right][None, :]
+    names: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while names.get(x, x) != x:
+            x = names[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(link), strict=True):
+        x, y = root(int(label[left[i]])), root(int(label[right[j]]))
+        if x != y:
+            names[max(x, y)] = min(x, y)
+            out.append((sid[left[i]], sid[right[j]]))
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+
 def _labelled(info: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
     """Every row with the smallest id of its component: by id, by equal sets, by links.
 
