@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, language_id, mixing, secret_scan, topk_search, warc
+from . import ann_search, jaccard_join, language_id, mixing, secret_scan, topk_search, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,3 +114,10 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     warc.write_arc(table(spark, folder, "pages"), arcs)
     warc.convert(spark, arcs, warcs)
     return warc.read_warc(spark, warcs).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op4_ann_posting_lists")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = ann_search.usable(table(spark, folder, "embeddings"))
+    found = ann_search.search(vectors.where("id % 20 = 0"), vectors, 20, ann_search.build_index(vectors))
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
