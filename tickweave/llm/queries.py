@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_search, jaccard_join, language_id, mixing, secret_scan, topk_search, warc
+from . import ann_search, jaccard_join, language_id, lm_scoring, mixing, secret_scan, topk_search, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,3 +121,10 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     vectors = ann_search.usable(table(spark, folder, "embeddings"))
     found = ann_search.search(vectors.where("id % 20 = 0"), vectors, 20, ann_search.build_index(vectors))
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query("op8_lm_scoring")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    held = F.coalesce(fold(5) == 1, F.lit(False))
+    out = lm_scoring.score(table(spark, folder, "documents"), fold(5) != 1, tag=held)
+    return out.select(F.col("id").alias("doc_id"), F.col("row_tag").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "open_score")
