@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_search, jaccard_join, language_id, lm_scoring, mixing, secret_scan, topk_search, warc
+from . import ann_search, jaccard_join, language_id, lm_scoring, mixing, secret_scan, sentence_pieces, topk_search, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +128,17 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     held = F.coalesce(fold(5) == 1, F.lit(False))
     out = lm_scoring.score(table(spark, folder, "documents"), fold(5) != 1, tag=held)
     return out.select(F.col("id").alias("doc_id"), F.col("row_tag").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "open_score")
+
+
+def piece_vocabulary(path: str | None = None) -> sentence_pieces.Vocabulary:
+    """The vocabulary of a model file; without a path, of the installed public 32k model."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("piece_bpe_32k.model")
+    return sentence_pieces.Vocabulary.load(path)
+
+
+@query("op7_sentencepiece")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return sentence_pieces.encode(table(spark, folder, "documents"), piece_vocabulary(), keep=["doc_id"])
