@@ -1,12 +1,67 @@
-"""From raw documents to tokens: the stages, each a function of (spark, docs, folder)."""
+"""From raw documents to tokens: five stages, each a function of (spark, docs, folder).
+
+A stage works on all that the one before kept. All but the last return the columns of
+``documents``. Python UDFs run in every stage but the mixing.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from tickweave.llm import jaccard_join, language_id, mixing, queries, secret_scan, sentence_pieces
+from tickweave.llm.common import materialise, split_by_ids
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the corpus is labelled with; texts that it rejects go.
+
+    Without a letter, or with a cross-entropy beyond any held-out text's, a text is rejected.
+    """
+    return language_id.annotate(docs, language_id.train(docs), only_accepted=True)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group that near duplicates connect.
+
+    Of rows that repeat an id one stays. Documents without id or without words stay.
+    """
+    found = materialise(jaccard_join.near_duplicate_components(docs))
+    listed = found.where("id is not null").groupBy("id").agg(F.max((F.col("component_id") != F.col("id")).cast("int")).alias("copy"), F.count("*").alias("rows"))
+    listed = materialise(listed.where("copy = 1 or rows > 1").select(F.col("id").alias("__id"), F.col("copy").alias("__copy")))
+    maybe, single = split_by_ids(docs, listed, "doc_id", "__id")
+    maybe = maybe.join(listed, maybe["doc_id"] == listed["__id"], "left").where("__copy is null or __copy = 0")
+    place = F.row_number().over(W.partitionBy("doc_id").orderBy(F.xxhash64("text", "source", "lang"), "text"))
+    first = maybe.where("__copy = 0").withColumn("__place", place).where("__place = 1")
+    rest = maybe.where("__copy is null")
+    return single.unionByName(rest.select(*docs.columns)).unionByName(first.select(*docs.columns))
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, the values of live secrets replaced by a mark; widely copied examples stay."""
+    return secret_scan.redact(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the target weights of their sources take them."""
+    return mixing.mixed_documents(docs)
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document of the mix."""
+    return sentence_pieces.encode(docs, queries.piece_vocabulary(), keep=["doc_id", "lang", "source"])
+
 
-STAGES: list = []
+STAGES = [
+    ("language_id", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("secrets", hide_secrets),
+    ("mixing", mix_sources),
+    ("tokens", tokenise),
+]
 
-#: SQL has no language models, piece tables or samplers; the stages are tested against brute force.
+#: SQL has no language models and piece tables; the stages are tested against brute force.
 ORACLE_SQL = None
 
 

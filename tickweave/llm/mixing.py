@@ -18,7 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import WORD, materialise
+
+#: Sources whose goals are sent to every task; beyond that they are joined by shuffling.
+BROADCAST_SOURCES = 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -59,20 +62,22 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), sha
     return s.select("source", "source_size", F.least("cap", F.coalesce(level * F.col("weight"), "cap")).alias("target"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", quality: Column | None = None, seed: int = 0, bins: int = 1024, **targets) -> DataFrame:
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", quality: Column | None = None, seed: int = 0, bins: int = 1024, carry: bool = False, **targets) -> DataFrame:
     """One row per row of ``docs``: id, source, ``size``, ``source_size``, ``target``, ``copies``, ``taken``.
 
     ``taken`` counts the words that the mix takes of the document, ``copies`` how often it is
     taken whole (the one that ends the budget counts if at least half of it fits). ``quality``
     weighs documents within their source (null or not positive: 1). Null texts have size 0
     and are taken with their epochs; rows that repeat an id are documents of their own, with equal keys;
-    a null source is a source. Other columns are not read. The result depends on the rows alone.
+    a null source is a source. The result depends on the rows alone. With ``carry`` the columns
+    of ``docs`` come as one struct ``row``; they are shuffled only where a budget ends.
     """
     q = F.lit(1.0) if quality is None else F.when(quality > 0, quality.cast("double")).otherwise(1.0)
-    u = uniform(F.lit(seed), F.col(id_col))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), (-F.ln(u) / q).alias("key"))
+    u = uniform(F.lit(seed), docs[id_col])
+    columns = [docs[id_col].alias("id"), docs[source_col].alias("source"), word_count(docs[text_col]).alias("size"), (-F.ln(u) / q).alias("key")]
     # Equal shares of an exponential of rate one; heavier documents crowd into the early bins.
-    rows = rows.withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * bins).cast("int"))
+    in_bin = F.floor((1 - F.exp(-F.col("key"))) * bins).cast("int")
+    rows = materialise(docs.select(*columns).withColumn("bin", in_bin))
     goals = source_targets(rows, **targets)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(1)).cast("long")
     goals = goals.withColumn("epochs", epochs).withColumn("budget", F.floor("target").cast("long") - F.col("epochs") * F.col("source_size"))
@@ -82,6 +87,11 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ends = filled.join(goals.select(F.col("source").alias("goal_source"), "budget"), F.col("at").eqNullSafe(F.col("goal_source")))
     ends = ends.where("upto > budget").groupBy("at").agg(F.min_by(F.struct("bin", (F.col("upto") - F.col("s")).alias("offset")), "bin").alias("end"))
     goals = goals.join(ends, F.col("source").eqNullSafe(F.col("at")), "left").select(F.col("source").alias("goal_source"), "source_size", "target", "epochs", "budget", "end")
+    goals = materialise(goals)
+    if goals.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
+        goals = F.broadcast(goals)
+    if carry:
+        rows = docs.select(*columns, F.struct(*docs.columns).alias("row")).withColumn("bin", in_bin)
     placed = rows.join(goals, F.col("source").eqNullSafe(F.col("goal_source"))).drop("goal_source")
     settled = placed.where("end is null or bin <> end.bin").withColumn("extra", F.when(F.col("end").isNull() | (F.col("bin") < F.col("end.bin")), F.col("size")).otherwise(F.lit(0)))
     ending = placed.where("bin = end.bin")
@@ -90,4 +100,11 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ending = ending.withColumn("extra", F.greatest(F.lit(0), F.least("size", room)))
     out = settled.unionByName(ending)
     whole = F.when((F.col("extra") > 0) & (2 * F.col("extra") >= F.col("size")), 1).otherwise(0)
-    return out.select("id", "source", "size", "source_size", "target", (F.col("epochs") + whole).cast("int").alias("copies"), (F.col("epochs") * F.col("size") + F.col("extra")).cast("long").alias("taken"))
+    more = ["row"] if carry else []
+    return out.select(*more, "id", "source", "size", "source_size", "target", (F.col("epochs") + whole).cast("int").alias("copies"), (F.col("epochs") * F.col("size") + F.col("extra")).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` as the mix takes them: each row as often as it is taken whole."""
+    mixed = mix_sources(docs, carry=True, **options)
+    return mixed.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

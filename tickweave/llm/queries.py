@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_search, jaccard_join, language_id, lm_scoring, mixing, secret_scan, sentence_pieces, topk_search, warc
+from . import ann_search, jaccard_join, language_id, license_scan, lm_scoring, mixing, secret_scan, sentence_pieces, topk_search, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -142,3 +142,12 @@ def piece_vocabulary(path: str | None = None) -> sentence_pieces.Vocabulary:
 @query("op7_sentencepiece")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return sentence_pieces.encode(table(spark, folder, "documents"), piece_vocabulary(), keep=["doc_id"])
+
+
+@query("op9_license_scan")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = license_scan.scan(docs, license_scan.train(docs))
+    families = F.array_sort(F.array_distinct(F.transform("notices", lambda n: n["family"])))
+    spans = F.array_join(F.transform("notices", lambda n: F.concat_ws(":", n["family"], n["start"], n["end"])), ",")
+    return found.select(F.col("id").alias("doc_id"), "n_paragraphs", F.size("notices").cast("long").alias("n_notices"), F.array_join(families, ",").alias("families"), spans.alias("spans"))
