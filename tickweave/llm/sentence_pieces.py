@@ -1,7 +1,7 @@
 """SentencePiece (BPE) encoding and decoding by suffix-array matching.
 
-A batch's distinct units (a run of spaces and what follows up to the next space; no piece of
-the vocabulary spans that border) are concatenated and their suffixes sorted. Every piece is
+A batch's distinct units (texts cut wherever no piece of the vocabulary has the two bytes
+side by side, as before a space) are concatenated and their suffixes sorted. Every piece is
 looked up by binary search; its range of suffixes is where it occurs. The occurrences are
 edges of a lattice, sorted by position (longer ones first) and relaxed. BPE has no costs to
 add: an edge is relaxed if merging the texts of the token before and its own, by the
@@ -42,6 +42,9 @@ class Vocabulary:
     unknown_id: int
     ids: dict[str, int] = field(default_factory=dict)
     memo: int = 0  # names the vocabulary in a worker's memory of agreeing neighbours
+    rank: list[int] = field(default_factory=list)  # the order in which merging prefers pieces
+    halves: list[tuple[int, int] | None] = field(default_factory=list)  # what a piece is merged from last
+    whole: dict[int, int] = field(default_factory=dict)  # two pieces -> rank of the piece they make
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -65,15 +68,35 @@ class Vocabulary:
         out = cls(pieces, {pieces[i]: sp.get_score(i) for i in plain}, [by_byte.get(f"<0x{b:02X}>", sp.unk_id()) for b in range(256)], sp.unk_id())
         out.ids = {pieces[i]: i for i in plain}
         out.memo = hash(tuple(pieces))
+        out._prepare()
         return out
 
+    def _prepare(self) -> None:
+        """Ranks, last merges and mergeable pairs; pieces that merging never makes are not used."""
+        order = sorted(self.ids.values(), key=lambda i: (-self.score[self.pieces[i]], i))
+        self.rank, self.halves = [0] * len(self.pieces), [None] * len(self.pieces)
+        for r, i in enumerate(order):
+            self.rank[i] = r
+        for text, i in list(self.ids.items()):
+            if len(text) > 1:
+                parts = self.merge(text, stop=2)
+                if len(parts) != 2 or self.merge(text) != [text]:
+                    del self.ids[text]
+                elif all(x in self.ids or len(x) == 1 for x in parts):
+                    self.halves[i] = (self.ids.get(parts[0], -1), self.ids.get(parts[1], -1))
+        for text, i in self.ids.items():
+            for k in range(1, len(text)):
+                a, b = self.ids.get(text[:k]), self.ids.get(text[k:])
+                if a is not None and b is not None:
+                    self.whole[a << 20 | b] = self.rank[i]
+
     def text(self, token: int) -> str:
         return chr(token - _UNKNOWN) if token >= _UNKNOWN else self.pieces[token]
 
-    def merge(self, text: str) -> list[str]:
-        """What BPE makes of a short text: the best-scored pair first, the leftmost of equals."""
+    def merge(self, text: str, stop: int = 1) -> list[str]:
+        """What BPE makes of a short text: the best-scored pair first, the leftmost of equals; down to ``stop`` parts."""
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > stop:
             best, at = None, -1
             for i in range(len(parts) - 1):
                 s = self.score.get(parts[i] + parts[i + 1])
@@ -86,15 +109,39 @@ class Vocabulary:
 
     def agree(self, left: int, right: int, memo: dict[int, bool]) -> bool:
         """Whether two tokens stay as they are side by side (``left`` < 0: the unit begins)."""
-        key = (left + 1) << 22 | right
-        known = memo.get(key)
-        if known is None:
-            b = self.text(right)
-            a = self.text(left) if left >= 0 else ""
-            known = self.merge(a + b) == ([a, b] if a else [b])
-            memo[key] = known
+        if left < 0:
+            return True
+        known = self._apart(left, right)
+        if len(memo) > 500_000:
+            memo.clear()
+        memo[(left + 1) << 22 | right] = known
         return known
 
+    def _apart(self, left: int, right: int) -> bool:
+        """Undo the last merges on both sides of the border, latest first: would a pair across it have come earlier?
+
+        Ranks decide, and of equal ones the left; runs of spaces have equal scores, for them
+        and for characters without a piece the merges are done.
+        """
+        a, b = self.text(left), self.text(right)
+        if left >= _UNKNOWN or right >= _UNKNOWN or a.startswith("  ") or b.startswith("  "):
+            return self.merge(a + b) == [a, b]
+        rank, halves, whole = self.rank, self.halves, self.whole
+        limit = len(rank)
+        while True:
+            made = whole.get(left << 20 | right)
+            if made is not None and made < limit:
+                return False
+            l, r = halves[left], halves[right]
+            if l is None and r is None:
+                return True
+            if r is None or (l is not None and rank[left] > rank[right]):
+                limit, left = rank[left], l[1]
+            else:
+                limit, right = rank[right] + 1, r[0]
+            if left < 0 or right < 0:
+                return self.merge(a + b) == [a, b]
+
     def piece_bytes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The bytes a token decodes to: all in one buffer, with start and length per id."""
         raw = [self.pieces[i].encode() if self.pieces[i] in self.ids and self.ids[self.pieces[i]] == i else b"" for i in range(len(self.pieces))]
@@ -132,6 +179,12 @@ class Encoder:
         self.memo = _agree.setdefault(vocabulary.memo, {})
         names = sorted((p.encode(), i) for p, i in vocabulary.ids.items() if p)
         width = -(-max((len(p) for p, _ in names), default=8) // 8) * 8
+        # Two bytes that no piece has side by side are a border that no merge crosses.
+        self.border = np.ones((256, 256), bool)
+        for p, _ in names:
+            x = np.frombuffer(p, np.uint8)
+            self.border[x[:-1], x[1:]] = False
+        self.border[:, 0x80:0xC0] = False
         self.names = np.array([p for p, _ in names], f"S{width}")
         self.name_size = np.array([len(p) for p, _ in names], np.int64)
         self.name_id = np.array([i for _, i in names], np.int64)
@@ -149,9 +202,9 @@ class Encoder:
         parts = [b" " + raw[a:b].replace(mark, b" ") if b > a else b"" for a, b in zip(cut[:-1], cut[1:], strict=True)]
         buffer = np.frombuffer(b"".join(parts), np.uint8)
         bounds = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
-        space = buffer == 0x20
-        begin = space.copy()
-        begin[1:] &= ~space[:-1]
+        begin = np.zeros(len(buffer), bool)
+        if len(buffer):
+            begin[1:] = self.border[buffer[:-1], buffer[1:]]
         begin[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
         starts = np.flatnonzero(begin)
         ends = np.append(starts[1:], len(buffer))[: len(starts)]
