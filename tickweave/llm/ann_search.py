@@ -125,10 +125,8 @@ def build_index(vectors: DataFrame, list_rows: int = 100, max_centroids: int = 4
 
 def assign(batches: Iterator[pa.RecordBatch], index: Index, query: bool, width: int, ratio: float, most: int, sizes: np.ndarray | None, enough: int) -> Iterator[pa.RecordBatch]:
     """(list, id, v, primary): the lists of each vector, or those that each query searches."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in (whole.slice(i, 512) for i in range(0, len(whole), 512))):
         ids = batch.column("id").to_numpy()
-        if not len(ids):
-            continue
         v = batch.column("v").flatten().to_numpy().reshape(len(ids), -1)
         lists, dist = index.nearest(index.lifted(v, query), width)
         if query:
@@ -136,11 +134,12 @@ def assign(batches: Iterator[pa.RecordBatch], index: Index, query: bool, width:
             before = np.cumsum(sizes[lists], axis=1) - sizes[lists]
             keep = ((keep & (np.arange(lists.shape[1]) < most)) | (before < enough)) & np.isfinite(dist)
         else:
-            keep = (dist <= (1 + ratio) * dist[:, :1] + 1e-12) & (np.arange(lists.shape[1]) < most) & np.isfinite(dist)
-            # A further list is worth a copy only if it lies nearer to the vector than to the lists it has.
+            lists, dist = lists[:, :most], dist[:, :most]
+            keep = (dist <= (1 + ratio) * dist[:, :1] + 1e-12) & np.isfinite(dist)
+            # A third or later list is worth a copy only if its centroid is not nearer to one that has the vector.
             gap = np.linalg.norm(index.centroids[lists][:, :, None, :] - index.centroids[lists][:, None, :, :], axis=3)
-            for j in range(1, min(most, lists.shape[1])):
-                keep[:, j] &= ~((gap[:, j, :j] < dist[:, j : j + 1]) & keep[:, :j]).any(axis=1) | (j < 2)
+            for j in range(2, lists.shape[1]):
+                keep[:, j] &= ~((gap[:, j, :j] < dist[:, j : j + 1]) & keep[:, :j]).any(axis=1)
         row, col = np.nonzero(keep)
         yield pa.RecordBatch.from_arrays([pa.array(lists[row, col].astype(np.int32)), batch.column("id").take(pa.array(row)), batch.column("v").take(pa.array(row)), pa.array(col == 0)], names=["list", "id", "v", "primary"])
 
