@@ -160,9 +160,11 @@ def describe(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str, widt
 
 
 def _as_rows(bucket, **columns) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
+    if not len(bucket):
+        return
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
-    cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, np.int64)
+    cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
     columns = {k: v[order] for k, v in columns.items()}
     for lo, hi in zip(cut, np.append(cut[1:], len(bucket)), strict=True):
         yield int(bucket[lo]), {k: v[lo:hi] for k, v in columns.items()}
@@ -447,4 +449,4 @@ def _labelled(info: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
         return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("label", "id")).otherwise(F.col("id")).alias("component_id"))
     whole = info.join(heads, "sid", "left").withColumn("head", F.when(F.col("n") > 0, F.col("head")).otherwise(F.col("id")))
     whole = whole.join(labels.select(F.col("node").alias("head"), "label"), "head", "left")
-    return whole.select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("label", "head")).otherwise(F.col("id")).alias("component_id"))
+    return whole.select("id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull() & (F.col("n") > 0), F.coalesce("label", "head")).otherwise(F.col("id")).alias("component_id"))

@@ -66,7 +66,7 @@ class Model:
     weights: np.ndarray  # features x families, a row for the intercept behind
     temperature: float = 1.0
     least: float = 0.5
-    window: int = 60
+    window: int = 30
 
     @property
     def features(self) -> int:
@@ -152,7 +152,7 @@ def label_of(text: str) -> str:
     return found[0] if len(found) == 1 else NONE if not found else ""
 
 
-def train(docs: DataFrame, text_col: str = "text", sample_paragraphs: int = 8000, features: int = 1 << 16, window: int = 60, seed: int = 3) -> Model:
+def train(docs: DataFrame, text_col: str = "text", sample_paragraphs: int = 8000, features: int = 1 << 16, window: int = 30, seed: int = 3) -> Model:
     """A model from templates and about ``sample_paragraphs`` paragraphs (the documented bound) of ``docs``.
 
     Half of them, at most, hold a word that notices use; they are chosen by a hash of their text
@@ -167,12 +167,17 @@ def train(docs: DataFrame, text_col: str = "text", sample_paragraphs: int = 8000
     own = sorted({r.line for r in picked.collect()})
     rng = np.random.default_rng(seed)
     texts, labels = [], []
+    prose = [w for line in own[:2000] if label_of(line) == NONE for w in line.split()[:40]]
     for family, notices in TEMPLATES.items():
         for notice in notices:
             words = notice.split()
             for k in range(24):
                 kept = [w for w in words if k == 0 or rng.random() > 0.08]
                 if family == label_of(" ".join(kept)) or len(words) > 14 or k == 0:
+                    if k % 2 and prose:  # as it stands in a window with other words
+                        around = rng.choice(prose, 20)
+                        cut = rng.integers(0, 21)
+                        kept = [*around[:cut], *kept, *around[cut:]]
                     texts.append(" ".join(kept))
                     labels.append(family)
     for line in own:
