@@ -76,14 +76,19 @@ class Index:
         return np.take_along_axis(ids, order, axis=1), np.sqrt(np.take_along_axis(dist, order, axis=1))
 
 
+def _gaps(points: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Squared distances of points to centroids."""
+    return (points**2).sum(1)[:, None] - 2 * points @ c.T + (c**2).sum(1)[None, :]
+
+
 def balanced_means(points: np.ndarray, count: int, rng: np.random.Generator, rounds: int = 12, weight: float = 0.15) -> np.ndarray:
     """k-means whose assignments are charged for the size of a cluster, so that sizes stay close."""
     c = points[rng.choice(len(points), count, replace=False)].copy()
     load = np.full(count, len(points) / count)
     for _ in range(rounds):
-        d = (points**2).sum(1)[:, None] - 2 * points @ c.T + (c**2).sum(1)[None, :]
-        charge = weight * max(float(np.median(d.min(axis=1))), 1e-12) * (load / load.mean() - 1)
-        own = (d + charge[None, :]).argmin(axis=1)
+        near = np.concatenate([(_gaps(points[i : i + 2048], c)).min(axis=1) for i in range(0, len(points), 2048)])
+        charge = weight * max(float(np.median(near)), 1e-12) * (load / load.mean() - 1)
+        own = np.concatenate([(_gaps(points[i : i + 2048], c) + charge[None, :]).argmin(axis=1) for i in range(0, len(points), 2048)])
         size = np.bincount(own, minlength=count)
         order = np.argsort(own, kind="stable")
         some = np.flatnonzero(size)
@@ -95,7 +100,7 @@ def balanced_means(points: np.ndarray, count: int, rng: np.random.Generator, rou
     return c
 
 
-def build_index(vectors: DataFrame, list_rows: int = 100, max_centroids: int = 4096, sample_rows: int = 40_000, degree: int = 16, seed: int = 7) -> Index | None:
+def build_index(vectors: DataFrame, list_rows: int = 100, max_centroids: int = 4096, sample_rows: int = 20_000, degree: int = 16, seed: int = 7) -> Index | None:
     """An index over (id, v); None if there are no vectors.
 
     The sample, of about ``sample_rows`` rows at most, is chosen by a hash of the id.
@@ -104,16 +109,15 @@ def build_index(vectors: DataFrame, list_rows: int = 100, max_centroids: int = 4
     if not n:
         return None
     u = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    frame = vectors.where(u < min(1.0, sample_rows / n)).select("id", "v").toPandas().sort_values("id")
+    frame = vectors.where(u < min(1.0, sample_rows / n)).select("id", F.col("v").cast("array<float>").alias("v")).toPandas().sort_values("id")
     index = Index(np.zeros((0, 0)), np.zeros((0, 0), int), np.zeros(0, int), float(longest))
     rng = np.random.default_rng(seed)
-    points = index.lifted(np.stack(frame["v"].to_numpy()), False) if len(frame) else None
+    points = index.lifted(np.stack(frame["v"].to_numpy()).astype(float), False) if len(frame) else None
     if points is None:  # a sample of a handful may come out empty
         points = index.lifted(np.stack([np.array(r.v) for r in vectors.orderBy("id").limit(1).collect()]), False)
     count = max(1, min(n // list_rows, max_centroids, len(points) // 4))
     c = balanced_means(points, count, rng)
-    d = (c**2).sum(1)[:, None] - 2 * c @ c.T + (c**2).sum(1)[None, :]
-    near = np.argsort(d, axis=1, kind="stable")[:, 1 : degree + 1]
+    near = np.concatenate([np.argsort(_gaps(c[i : i + 512], c), axis=1, kind="stable")[:, 1 : degree + 1] for i in range(0, count, 512)])
     far = rng.integers(0, count, (count, max(1, degree // 4)))  # a few long links keep the graph connected
     links = np.sort(np.concatenate([near, far, np.roll(np.arange(count), 1)[:, None]], axis=1), axis=1)
     # A link that stands twice becomes one to the node itself, which a search knows already.
