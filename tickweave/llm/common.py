@@ -25,7 +25,8 @@ _LOWER[65:91] += 32
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _STEP_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_CHUNK = 4 << 20
+_CHUNK = 2 << 20
+_PIECE = 1 << 20
 
 
 @contextmanager
@@ -83,7 +84,7 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     i = 0
     while i < len(starts):
         base = starts[i]
-        j = max(i + 1, int(np.searchsorted(ends, base + _CHUNK, "right")))
+        j = max(i + 1, int(np.searchsorted(ends, base + _PIECE, "right")))
         piece = data[base : ends[j - 1]].astype(np.uint64) + np.uint64(1)
         up, down = powers(len(piece) + 1)
         piece *= up[: len(piece)]

@@ -186,7 +186,7 @@ def emit_tokens(batches: Iterator[pa.RecordBatch], text_col: str, width: int, sc
     with too few filled segments indexes; the next four are the fold of its segment.
     """
     seen: set[int] = set()
-    for _, texts in in_chunks(batches, text_col):
+    for _, texts in in_chunks(batches, text_col, 4 << 20):
         h, first = shingle_sets(texts, width)
         n, sid = np.diff(first), digests(h, first)
         new = np.zeros(len(n), bool)

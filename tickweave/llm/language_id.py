@@ -27,6 +27,7 @@ from .common import Texts, in_chunks, mix
 
 ORDER = 4
 _SPACE = 32
+_CHUNK = 1 << 20  # several arrays per letter are alive at once
 _letters: np.ndarray | None = None
 
 
@@ -139,7 +140,7 @@ class Model:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, texts in in_chunks(batches, "text"):
+    for rows, texts in in_chunks(batches, "text", _CHUNK):
         codes, owner, _ = sequences(texts)
         langs = np.array(rows["lang"].to_pylist(), object)
         for lang in set(langs.tolist()):
@@ -225,7 +226,7 @@ def annotate(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
     fields = [docs.schema[c] for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in in_chunks(batches, "__text" if own else text_col):
+        for rows, texts in in_chunks(batches, "__text" if own else text_col, _CHUNK):
             if model.languages:
                 best, entropy, confidence, found = model.score(texts)
                 limit = np.inf if model.limits is None else model.limits[best]
