@@ -34,19 +34,12 @@ class Tables:
             return VIEWS[name](self)
         return self.spark.read.parquet(self.path(name))
 
-    def wide(self, name: str) -> DataFrame:
-        """A base table for work that is heavy per row.
+    def spread(self, name: str) -> DataFrame:
+        """Rows of a base table from which a view makes far larger bodies, dealt out first.
 
-        A scan with fewer splits than cores (one small file) is redistributed;
-        a table of many files has splits enough and is read as it is.
+        Only the few columns that a view uses are moved, never a body.
         """
-        df = self(name)
-        return df if df.rdd.getNumPartitions() >= self.spread else df.repartition(self.spread)
-
-    @property
-    def spread(self) -> int:
-        """Tasks to spread small single-file inputs over."""
-        return self.spark.sparkContext.defaultParallelism
+        return self(name).repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def view(name: str, sql: str | None = None):

@@ -134,7 +134,7 @@ def classify_tier(t):
         regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>'), lambda x: {'href': regexp_extract(x, 'href="([^"]*)"', 1), 'label': regexp_extract(x, '>([^<]*)<', 1)})) AS r FROM pages)""",
 )
 def x_html_links(t):
-    docs = D.html_documents(t("pages"), "page_id", "html", spread=t.spread)
+    docs = D.html_documents(t("pages"), "page_id", "html")
     links = D.x_html_links(docs).where(F.col("tag") == "a")
     return links.select("page_id", "href", F.col("text").alias("label"))
 
@@ -155,7 +155,7 @@ def x_links_fast(t):
     "securities",
 )
 def x_html_cells(t):
-    docs = P.documents(t("screen_docs"), spread=t.spread)
+    docs = P.documents(t("screen_docs"))
     cells = D.x_html_cells(docs).where(F.col("tag") == "td")
     return cells.select("capture_id", "head", F.col("text").alias("display"))
 
@@ -167,7 +167,7 @@ def x_html_cells(t):
 )
 def header_cell_join(t):
     """Cells beside their header labels: a lookup inside the row, no join at all."""
-    rows = P.table_rows(P.documents(t("screen_docs"), spread=t.spread), "screener_table")
+    rows = P.table_rows(P.documents(t("screen_docs")), "screener_table")
     return rows.select("capture_id", P.cell("Ticker").alias("symbol"), P.cell("Sector").alias("sector"), P.cell("Market Cap").alias("cap"))
 
 
@@ -177,7 +177,7 @@ def header_cell_join(t):
         '<[a-zA-Z][^>]*>'), lambda x: lower(regexp_extract(x, '<([a-zA-Z0-9]+)', 1)) || '.' || regexp_extract(x, 'class="([^"]*)"', 1)), chr(10))) AS fingerprint FROM pages""",
 )
 def x_fingerprint(t):
-    return D.x_fingerprint(D.html_documents(t("pages"), "page_id", "html", skeleton=True, spread=t.spread))
+    return D.x_fingerprint(D.html_documents(t("pages"), "page_id", "html", skeleton=True))
 
 
 def _script_docs(t):
@@ -208,7 +208,7 @@ def x_embedded_json_(t):
     "securities",
 )
 def x_screener_table(t):
-    rows = P.x_screener_table(P.documents(t("screen_docs"), carry=("fetched_at",), spread=t.spread))
+    rows = P.x_screener_table(P.documents(t("screen_docs"), carry=("fetched_at",)))
     return plain(P.screener_table(rows, ["No.", "Ticker", "Company", "Sector", "Market Cap", "Change %", "Volume"]))
 
 
@@ -223,8 +223,8 @@ _CAP = "CASE WHEN market_cap >= 1e6 THEN format('{:.2f}T', market_cap / 1e6) WHE
     "securities",
 )
 def x_screener_json(t):
-    rows = P.x_screener_json(P.documents(t("json_docs"), spread=t.spread))
-    shown = F.transform(F.slice("cells", 3, 20), lambda c: F.when(c == "0%", F.lit("0%")).otherwise(c))
+    rows = P.x_screener_json(P.documents(t("json_docs")))
+    shown = F.transform(F.slice("cells", 3, F.size("cells")), lambda c: c)
     return rows.select(
         "capture_id", "rank", "symbol", F.array_join(shown, "|").alias("displays"), "page_start", F.array_join("heads", "|").alias("heads")
     )
@@ -232,7 +232,7 @@ def x_screener_json(t):
 
 @query("x_screener_json_typed", "SELECT symbol, sector, market_cap, CAST(volume * 1234 AS DOUBLE) AS volume FROM securities", "securities")
 def x_screener_json_typed(t):
-    return P.screener_json_typed(P.documents(t("json_docs"), spread=t.spread), ["sector", "marketCap", "volume"]).drop("capture_id")
+    return P.screener_json_typed(P.documents(t("json_docs")), ["sector", "marketCap", "volume"]).drop("capture_id")
 
 
 def _group_docs(t):
@@ -257,7 +257,7 @@ def _group_docs(t):
 def x_groups_table(t):
     rows, head = _group_docs(t)
     body = F.concat(F.lit(head.format("Name", "Stocks", "Market Cap", "Dividend", "Odd")), F.array_join("rows.html", ""), F.lit("</table>"))
-    docs = P.documents(rows.select("capture_id", body.alias("body")), spread=t.spread)
+    docs = P.documents(rows.select("capture_id", body.alias("body")))
     labels = ["No.", "Name", "Stocks", "Market Cap", "P/E", "Dividend", "Odd"]
     return P.groups_table(P.x_groups_table(docs), labels).drop("capture_id")
 
@@ -272,7 +272,7 @@ def _market_docs(t):
         F.regexp_replace(F.array_join("rows.html", ""), r"<td>[0-9]+\.50B", ""),
         F.lit("</table>"),
     )
-    return P.documents(rows.select("capture_id", body.alias("body")), spread=t.spread)
+    return P.documents(rows.select("capture_id", body.alias("body")))
 
 
 @query("x_market_table", "SELECT rank, ticker AS identity, name, CAST(6 AS INTEGER) AS n_cells FROM (" + _MARKET + ")")
@@ -291,7 +291,7 @@ def perf_table(t):
 def dq_arity(t):
     short = F.when(F.col("p_size") % 2 == 0, F.lit("")).otherwise(F.lit("<td>c"))
     body = F.concat(F.lit("<table class='screener_table'><tr><th>A<th>B<th>C</tr><tr><td>a<td>b"), short, F.lit("</tr></table>"))
-    docs = P.documents(t("part").select(F.col("p_partkey").alias("capture_id"), body.alias("body")), spread=t.spread)
+    docs = P.documents(t.spread("part").select(F.col("p_partkey").alias("capture_id"), body.alias("body")))
     return P.dq_arity(P.table_rows(docs, "screener_table")).select("capture_id", "n_cells", "n_heads")
 
 
@@ -299,7 +299,7 @@ def dq_arity(t):
 def dq_header(t):
     label = F.when(F.col("p_size") % 2 == 0, F.lit("No.")).otherwise(F.lit("Nr"))
     body = F.concat(F.lit("<table class=groups_table><thead><tr><th>"), label, F.lit("<th>Title</tr></thead></table>"))
-    docs = P.documents(t("part").select(F.col("p_partkey").alias("capture_id"), body.alias("body")), spread=t.spread)
+    docs = P.documents(t.spread("part").select(F.col("p_partkey").alias("capture_id"), body.alias("body")))
     return P.dq_header(docs, "groups_table", ["No.", "Name"]).select("capture_id", F.array_join("missing_headers", "|").alias("missing"))
 
 
@@ -313,7 +313,7 @@ def x_spectrum_ref(t):
         F.lit('<img class="big groups_spectrum-image" src="//img.example/s'), "p_partkey", F.when(size == 1, F.lit('.PNG">')).otherwise(F.lit('.gif">'))
     )
     body = F.concat(image, F.when(size == 0, image).otherwise(F.lit("")))
-    docs = P.documents(t("part").select(F.col("p_partkey").alias("capture_id"), body.alias("body")), spread=t.spread)
+    docs = P.documents(t.spread("part").select(F.col("p_partkey").alias("capture_id"), body.alias("body")))
     return P.x_spectrum_ref(docs).select("capture_id", "source_url", "media_type")
 
 
@@ -321,7 +321,7 @@ def x_spectrum_ref(t):
 
 
 def _quotes(t):
-    return P.quote_documents(P.documents(t("quote_docs"), carry=("fetched_at",), spread=t.spread))
+    return P.quote_documents(P.documents(t("quote_docs"), carry=("fetched_at",)))
 
 
 _Q = "'P' || p_partkey AS symbol"
@@ -422,7 +422,7 @@ def missing_region(t):
     cut = F.replace(F.replace("body", F.lit("news-table"), F.lit("old-table")), F.lit(">Peers<"), F.lit(">Pears<"))
     docs = t("quote_docs").join(t("part").select(F.col("p_partkey").alias("capture_id"), "p_size"), "capture_id")
     docs = docs.withColumn("body", F.when(F.col("p_size") % 2 == 0, cut).otherwise(F.col("body")))
-    quotes = P.quote_documents(P.documents(docs, carry=("fetched_at",), spread=t.spread))
+    quotes = P.quote_documents(P.documents(docs, carry=("fetched_at",)))
     return P.missing_region(quotes).select("symbol", F.array_join("missing_regions", "|").alias("missing"), "status")
 
 
@@ -434,7 +434,7 @@ def missing_region(t):
 )
 def bundle_fanout(t):
     """Row counts of every relation over one persisted parse."""
-    docs = P.documents(t("quote_docs"), carry=("fetched_at",), spread=t.spread).persist()
+    docs = P.documents(t("quote_docs"), carry=("fetched_at",)).persist()
     parts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("relation"), "n") for name, df in P.bundle_fanout(docs).items()]
     out = parts[0]
     for p in parts[1:]:
@@ -494,7 +494,7 @@ _F = f"TIMESTAMP '{FETCHED}'"
     UNION ALL SELECT 'blogs', 'T ' || s_suppkey, '{ORIGIN}/n/' || s_suppkey, 'blog', {_F} - to_days(s_nationkey), s_nationkey || ' days', 'relative' FROM supplier""",
 )
 def x_global_news(t):
-    return plain(A.global_news(_news_docs(t), ORIGIN, spread=t.spread), "fetched_at")
+    return plain(A.global_news(_news_docs(t), ORIGIN), "fetched_at")
 
 
 @query("x_publisher_news", f"SELECT 'T ' || s_suppkey AS title, '{ORIGIN}/n/' || s_suppkey AS url, 'slug-x' AS publisher, 'Aug-' || (s_nationkey + 1) AS published_at_raw, 'date_only' AS published_at_status, CAST(NULL AS TIMESTAMP) AS published_at FROM supplier")
@@ -503,7 +503,7 @@ def x_publisher_news(t):
     day = F.concat(F.lit("Aug-"), F.col("s_nationkey") + 1)
     body = _concat(_news_table("table-fixed", (day, key, None)))
     docs = t("supplier").select(F.col("s_suppkey").alias("capture_id"), stamped(), body.alias("body"))
-    return plain(A.publisher_news(docs, "slug-x", ORIGIN, spread=t.spread), "fetched_at")
+    return plain(A.publisher_news(docs, "slug-x", ORIGIN), "fetched_at")
 
 
 def _insider_docs(t):
@@ -523,13 +523,13 @@ def _insider_docs(t):
     f"SELECT {_Q}, p_brand AS owner, {_DAY} AS transaction_date, 'Buy' AS transaction_type, CAST(p_size || '.50' AS DOUBLE) AS cost, p_size * 1000.0::DOUBLE AS value, '/f/' || p_partkey AS sec_form_url FROM part WHERE p_size % 5 <> 0",
 )
 def x_global_insider(t):
-    rows, _ = A.global_insider(_insider_docs(t), spread=t.spread)
+    rows, _ = A.global_insider(_insider_docs(t))
     return rows.select("symbol", "owner", "transaction_date", "transaction_type", "cost", "value", "sec_form_url")
 
 
 @query("x_global_insider_skipped", "SELECT p_partkey AS capture_id, p_brand AS owner FROM part WHERE p_size % 5 = 0")
 def x_global_insider_skipped(t):
-    _, skipped = A.global_insider(_insider_docs(t), spread=t.spread)
+    _, skipped = A.global_insider(_insider_docs(t))
     return skipped.select("capture_id", "owner")
 
 
@@ -540,7 +540,7 @@ def x_disclosure(t):
         F.lit('}]},"initialFundReportDates":["2001-03-31","2001-06-30"]}</script>'),
     )
     docs = t("part").select(F.col("p_partkey").alias("capture_id"), stamped(), body.alias("body"))
-    return A.disclosure(docs, "fund", spread=t.spread).select("capture_id", "details", F.array_join("report_dates", "|").alias("report_dates"))
+    return A.disclosure(docs, "fund").select("capture_id", "details", F.array_join("report_dates", "|").alias("report_dates"))
 
 
 # ---------------------------------------------------------------- calendar, tiles, futures, maps
@@ -557,7 +557,7 @@ def _release_docs(t, section: str, field: str):
     new = F.concat(F.lit(f'<script type="application/json" data-ssr-props="x"> {{"{section}":{{"{field}":['), entry, F.lit("]}} </script>"))
     old = F.concat(F.lit(f'<script id="route-init-data" type="application/json">{{"data":{{"{field}":['), entry, F.lit("]}}</script>"))
     body = F.when(F.col("o_orderkey") % 2 == 0, new).otherwise(old)
-    return t.wide("orders").select(F.col("o_orderkey").alias("capture_id"), stamped(), body.alias("body"))
+    return t.spread("orders").select(F.col("o_orderkey").alias("capture_id"), stamped(), body.alias("body"))
 
 
 _RELEASE = f"""SELECT 'O' || o_orderkey AS symbol, 'E' || o_custkey AS event, CAST(o_orderdate AS DATE) AS release_date,
@@ -653,7 +653,7 @@ def x_hierarchy(t):
 
 @query(
     "x_statement",
-    "SELECT 'C' || o_custkey AS symbol, CAST(count(*) AS INTEGER) AS n_periods, 'USD' AS currency, CASE WHEN o_custkey % 7 = 0 THEN 'no data' WHEN o_custkey % 7 = 1 THEN 'metric misaligned' WHEN o_custkey % 7 = 2 THEN 'no currency' END AS problem FROM periods GROUP BY o_custkey",
+    "SELECT 'C' || o_custkey AS symbol, CASE WHEN o_custkey % 7 > 0 THEN string_agg(y || 'FY', '|' ORDER BY y DESC) END AS periods, CASE WHEN o_custkey % 7 > 0 THEN string_agg(month(end_date) || '/' || day(end_date) || '/' || year(end_date), '|' ORDER BY y DESC) END AS ends, CASE o_custkey % 7 WHEN 0 THEN NULL WHEN 2 THEN '' ELSE 'USD' END AS currency, CASE WHEN o_custkey % 7 > 0 THEN CAST(2 AS INTEGER) END AS n_metrics, CASE WHEN o_custkey % 7 = 0 THEN 'no data' WHEN o_custkey % 7 = 1 THEN 'metric misaligned' WHEN o_custkey % 7 = 2 THEN 'no currency' END AS problem FROM periods GROUP BY o_custkey",
     "periods",
 )
 def x_statement(t):
@@ -664,9 +664,10 @@ def x_statement(t):
         .when(k == 2, F.replace("body", F.lit('"USD"'), F.lit('""')))
         .otherwise(F.col("body"))
     )
-    parsed = P.x_statement(t("statement_docs").withColumns({"whole": F.col("body"), "body": body}))
-    whole = F.from_json(F.get_json_object("whole", "$.data.Period"), "array<string>")
-    return parsed.select("symbol", F.size(whole).alias("n_periods"), F.lit("USD").alias("currency"), "problem")
+    parsed = P.x_statement(t("statement_docs").withColumn("body", body))
+    return parsed.select(
+        "symbol", F.array_join("periods", "|").alias("periods"), F.array_join("ends", "|").alias("ends"), "currency", F.size("metrics").alias("n_metrics"), "problem"
+    )
 
 
 def _sitemaps(t):

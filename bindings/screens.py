@@ -191,7 +191,7 @@ def filter_ticker(t):
 @query(
     "signal_screen",
     """SELECT row_number() OVER (ORDER BY rsi DESC, symbol) AS rank, symbol, rsi FROM securities WHERE rsi > 70
-    ORDER BY rsi DESC, symbol LIMIT 5000""",
+""",
     "securities",
 )
 def signal_screen(t):
@@ -232,7 +232,7 @@ def _trades(t):
     "insider_feed",
     f"""SELECT row_number() OVER (ORDER BY value DESC, symbol, transaction_id) AS rank, symbol, transaction_id, transaction_date, value
     FROM ({_TRADES}) WHERE side = 1 AND value >= 100000 AND transaction_date > DATE '2024-01-23' AND transaction_date <= DATE '2024-01-30'
-    ORDER BY value DESC, symbol, transaction_id LIMIT 100""",
+""",
 )
 def insider_feed(t):
     rows = S.insider_feed(_trades(t), "top_week_buys", F.lit("2024-01-30").cast("date"))
@@ -366,18 +366,29 @@ def requested_served(t):
     return L.requested_served_rows(requested, pairs.where(F.col("l_returnflag") != "R"), ["l_partkey", "l_suppkey"])
 
 
+_RELEASES = "SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS release_date, o_totalprice AS actual FROM orders"
+
+
+def _calendar_releases(t):
+    calendar = t("customer").select(F.col("c_custkey").alias("symbol"), "c_name")
+    detail = t("orders").select(F.col("o_custkey").alias("symbol"), F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("date").alias("release_date"), F.col("o_totalprice").alias("actual"))
+    return calendar, detail
+
+
 @query(
     "calendar_join_detail",
-    """SELECT c_custkey, c_name, n_history, last_release, last_actual FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n_history,
-        CAST(max(o_orderdate) AS DATE) AS last_release, max(o_totalprice) AS last_actual FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey""",
+    f"""SELECT c_custkey, c_name, n_history, last_release, last_actual FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n_history,
+        max(release_date) AS last_release, last(actual ORDER BY release_date, o_orderkey) AS last_actual FROM ({_RELEASES}) GROUP BY o_custkey) ON o_custkey = c_custkey""",
 )
 def calendar_join_detail(t):
-    calendar = t("customer").select(F.col("c_custkey").alias("symbol"), "c_name")
-    detail = t("orders").select(F.col("o_custkey").alias("symbol"), F.col("o_orderdate").cast("date").alias("release_date"), F.col("o_totalprice").alias("actual"))
-    # The last value is the highest of its day here, so that the oracle is unique.
-    latest = detail.groupBy("symbol").agg(F.max("actual").alias("best"))
-    joined = L.calendar_join_detail(calendar, detail).join(latest, "symbol", "left")
-    return joined.select(F.col("symbol").alias("c_custkey"), "c_name", "n_history", "last_release", F.col("best").alias("last_actual"))
+    joined = L.calendar_join_detail(*_calendar_releases(t), tie="id")
+    return joined.select(F.col("symbol").alias("c_custkey"), "c_name", "n_history", "last_release", "last_actual")
+
+
+@query("calendar_join_rows", f"SELECT c_custkey, c_name, o_orderkey, release_date, actual FROM customer LEFT JOIN ({_RELEASES}) ON o_custkey = c_custkey")
+def calendar_join_rows(t):
+    joined = L.calendar_join_rows(*_calendar_releases(t))
+    return joined.select(F.col("symbol").alias("c_custkey"), "c_name", F.col("id").alias("o_orderkey"), "release_date", "actual")
 
 
 # ---------------------------------------------------------------- groups
@@ -465,6 +476,19 @@ def order_group(t):
     return G.order_group(by_exchange, "Volume", True).select("rank", "name", "volume")
 
 
+@query(
+    "order_group_margin",
+    """SELECT row_number() OVER (ORDER BY gross_margin DESC, name) AS rank, name, gross_margin FROM (SELECT exchange AS name,
+        sum(rsi / 100 * market_cap) / sum(market_cap) AS gross_margin FROM securities GROUP BY exchange)""",
+    "securities",
+)
+def order_group_margin(t):
+    """An order whose measure is no column of the group table."""
+    rows = t("securities").withColumn(R.GROUP_ORDERS["Gross Margin"], F.col("rsi") / 100)
+    by_exchange = rows.groupBy(F.col("exchange").alias("name")).agg(*G.aggregates(rows))
+    return G.order_group(by_exchange, "Gross Margin", True).select("rank", "name", F.col(R.GROUP_ORDERS["Gross Margin"]).alias("gross_margin"))
+
+
 # ---------------------------------------------------------------- batch envelopes
 
 
@@ -744,6 +768,41 @@ def stmt_batch(t):
     return _batch(t)["metadata"].select("status", "requested_units", "succeeded_units", "failed_units")
 
 
+def _mixed_batch(t):
+    """Two captures per customer (the older one empty), and spellings that are no symbol."""
+    k = F.col("c_custkey")
+    spelled = F.when(k % 10 == 0, F.concat(F.lit("bad symbol "), k)).otherwise(F.concat(F.lit("c"), k))
+    docs = t("statement_docs")
+    older = docs.withColumns({"fetched_at": F.col("fetched_at") - F.expr("interval 1 day"), "body": F.lit('{"error":"no data"}')})
+    return A.statements_batch(docs.unionByName(older), t("customer").select(k.alias("position"), spelled.alias("requested")), "IA")
+
+
+@query(
+    "stmt_batch_mixed",
+    "SELECT CASE WHEN c_custkey % 10 = 0 THEN 'bad symbol ' || c_custkey ELSE 'C' || c_custkey END AS symbol, 'unit_failed' AS code, CASE WHEN c_custkey % 10 = 0 THEN 'invalid symbol' ELSE 'no capture' END AS message FROM customer WHERE c_custkey % 10 = 0 OR c_custkey NOT IN (SELECT o_custkey FROM orders)",
+)
+def stmt_batch_mixed(t):
+    return _mixed_batch(t)["unit_errors"]
+
+
+@query(
+    "stmt_batch_mixed_status",
+    """SELECT CASE WHEN count_if(ok) < count(*) THEN 'PARTIAL' ELSE 'COMPLETE' END AS status, count(*) AS requested_units, CAST(count_if(ok) AS BIGINT) AS succeeded_units,
+        CAST(count(*) - count_if(ok) AS BIGINT) AS failed_units FROM (SELECT c_custkey % 10 > 0 AND c_custkey IN (SELECT o_custkey FROM orders) AS ok FROM customer)""",
+)
+def stmt_batch_mixed_status(t):
+    return _mixed_batch(t)["metadata"].select("status", "requested_units", "succeeded_units", "failed_units")
+
+
+@query(
+    "stmt_batch_mixed_data",
+    "SELECT 'C' || o_custkey AS symbol, 2 * count(*) AS n FROM periods WHERE o_custkey % 10 > 0 AND o_custkey IN (SELECT c_custkey FROM customer) GROUP BY o_custkey",
+    "periods",
+)
+def stmt_batch_mixed_data(t):
+    return _mixed_batch(t)["data"].groupBy("symbol").agg(F.count("*").alias("n"))
+
+
 @query(
     "map_bundle",
     """SELECT (SELECT count(*) FROM leaves) AS n_constituents, (SELECT count(perf) FROM leaves l JOIN perf p ON l.symbol = p.symbol) AS n_with_perf,
@@ -857,7 +916,7 @@ def entry_screen(t):
 @query(
     "entry_earnings",
     f"""SELECT row_number() OVER (ORDER BY symbol) AS rank, symbol, {_EARN_DAY} AS earnings_date, earnings AS earnings_date_raw, earnings_session, fetched_at
-    FROM securities WHERE {_EARN_DAY} BETWEEN DATE '2001-08-01' AND DATE '2001-08-31' ORDER BY symbol LIMIT 5000""",
+    FROM securities WHERE {_EARN_DAY} BETWEEN DATE '2001-08-01' AND DATE '2001-08-31'""",
     "securities",
 )
 def entry_earnings(t):
@@ -879,7 +938,7 @@ def entry_statements_batch(t):
 
 @query(
     "entry_signal",
-    "SELECT row_number() OVER (ORDER BY volume DESC, symbol) AS rank, symbol, company, sector, industry, country, market_cap, price, fetched_at FROM securities WHERE volume > 0 ORDER BY volume DESC, symbol LIMIT 5000",
+    "SELECT row_number() OVER (ORDER BY volume DESC, symbol) AS rank, symbol, company, sector, industry, country, market_cap, price, fetched_at FROM securities WHERE volume > 0",
     "securities",
 )
 def entry_signal(t):

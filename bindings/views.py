@@ -169,7 +169,7 @@ def displays(t: Tables):
     chosen = F.when(F.lit(False), lit(""))
     for i, s in enumerate(shapes):
         chosen = chosen.when(F.col("k") % 13 == i, s)
-    base = t.wide("lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"))
+    base = t.spread("lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"))
     return base.select("k", chosen.alias("display"))
 
 
@@ -462,6 +462,6 @@ def quote_docs(t: Tables):
         "@chart": F.when(F.col("p_size") > 25, F.lit("&amp;p=w")).otherwise(F.lit("")),
     }
     body = F.concat(*[values[x] if x.startswith("@") else F.lit(x) for x in part])
-    return t("part").select(
+    return t.spread("part").select(
         k.alias("capture_id"), F.lit(FETCHED).cast("timestamp").alias("fetched_at"), body.alias("body")
     )

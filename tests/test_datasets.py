@@ -126,13 +126,3 @@ def test_progress_is_observed_in_the_same_pass(spark):
     watched, seen = Q.observed(D.build_dataset(df, "symbol_search", with_warnings=True))
     watched.write.format("noop").mode("overwrite").save()
     assert seen.get == {"rows": 3, "warnings": 2}
-
-
-def test_broadcast_only_below_the_bound(spark):
-    from tickweave.session import broadcast_if_small
-
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().logical().toString()
-
-    assert hinted(broadcast_if_small(spark.range(5), 5))
-    assert not hinted(broadcast_if_small(spark.range(6), 5))

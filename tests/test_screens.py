@@ -91,11 +91,18 @@ def test_rank_of_every_row_equals_the_window(spark):
     assert got == {(r.symbol, i + 1) for i, r in enumerate(ordered)}
 
 
-def test_deep_pages_take_the_full_rank(spark, monkeypatch):
+def test_deep_pages_may_take_the_full_rank(spark):
     df, keys = snapshot(spark), K.order_keys("price", True)
-    shallow = K.page(df, keys, 3).collect()
-    monkeypatch.setattr(K, "TOP_K_BOUND", 10)
-    assert sorted(K.page(df, keys, 3).collect()) == sorted(shallow)
+    assert sorted(K.page(df, keys, 3, full=True).collect()) == sorted(K.page(df, keys, 3).collect())
+
+
+def test_nothing_stops_a_walk_by_itself(spark):
+    for n in (6_000, 21_000):
+        data, facts = K.walk_limits(snapshot(spark, n), K.order_keys("price", True))
+        assert data.count() == n and data.agg(F.max("rank")).first()[0] == n
+        assert facts.first().status == "COMPLETE" and facts.first().requested_units == n // 20
+    with pytest.raises(ValueError, match="positive"):
+        K.walk_limits(snapshot(spark), K.order_keys("price"), max_rows=0)
 
 
 def test_rank_in_group_with_a_hot_group(spark):

@@ -23,6 +23,7 @@ def weighted_mean(value: str, weight: str = "market_cap") -> Column:
 def aggregates(df: DataFrame) -> list[Column]:
     """Count plus every group measure the snapshot has an ingredient for."""
     measures = [label_to_field(x) for labels in R.GROUP_UNITS.values() for x in labels if x != "Stocks"]
+    measures += [c for c in R.GROUP_ORDERS.values() if c not in ("name", "stocks")]  # what only orders show
     out = [F.count("*").cast("bigint").alias("stocks")]
     for name in dict.fromkeys(measures):
         if name in df.columns:

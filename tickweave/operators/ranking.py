@@ -15,8 +15,6 @@ from pyspark.sql import Window as W
 
 from ..session import cut_lineage
 
-# Largest offset+limit answered by a top-k sort; deeper pages use the full rank.
-TOP_K_BOUND = 20_000
 PAGE_SIZE = 20
 
 
@@ -53,11 +51,19 @@ def global_rank(df: DataFrame, keys: list[Column], name: str = "rank") -> DataFr
     )
 
 
-def rank_limited(df: DataFrame, keys: list[Column], count: int, offset: int = 0, name: str = "rank") -> DataFrame:
-    """Rows ``offset+1 … offset+count`` of an ordered table with their absolute rank."""
-    if offset + count > TOP_K_BOUND:
+def rank_limited(
+    df: DataFrame, keys: list[Column], count: int | None, offset: int = 0, name: str = "rank", full: bool = False
+) -> DataFrame:
+    """Rows ``offset+1 … offset+count`` of an ordered table with their absolute rank.
+
+    A top-k sort brings ``offset+count`` rows into one task. For a deep page the
+    caller asks for the ``full`` rank instead; without ``count`` every row behind
+    the offset is wanted, and the full rank is the plan.
+    """
+    if full or count is None:
         ranked = global_rank(df, keys, name)
-        return ranked.where(F.col(name).between(offset + 1, offset + count))
+        inside = F.col(name) > offset if count is None else F.col(name).between(offset + 1, offset + count)
+        return ranked.where(inside)
     top = df.orderBy(*keys).offset(offset).limit(count) if offset else df.orderBy(*keys).limit(count)
     # The window sees at most ``count`` rows.
     return top.select((F.row_number().over(W.orderBy(*keys)) + offset).cast("bigint").alias(name), *df.columns)
@@ -67,39 +73,45 @@ def top_k(df: DataFrame, keys: list[Column], k: int, name: str = "rank") -> Data
     return rank_limited(df, keys, k, 0, name)
 
 
-def page(df: DataFrame, keys: list[Column], number: int, size: int = PAGE_SIZE) -> DataFrame:
+def page(df: DataFrame, keys: list[Column], number: int, size: int = PAGE_SIZE, full: bool = False) -> DataFrame:
     """The 1-based page ``number`` of an ordered result, ranked from its start."""
     if number < 1:
         raise ValueError("page must be a positive integer")
-    return rank_limited(df, keys, size, (number - 1) * size)
+    return rank_limited(df, keys, size, (number - 1) * size, full=full)
 
 
 def walk_limits(
     df: DataFrame,
     keys: list[Column],
     *,
-    max_pages: int = 250,
-    max_rows: int = 20_000,
+    max_pages: int | None = None,
+    max_rows: int | None = None,
     first_page: int = 1,
     size: int = PAGE_SIZE,
 ) -> tuple[DataFrame, DataFrame]:
-    """A page walk with safety stops: the rows, and one status row.
+    """A page walk: the rows, and one status row.
 
-    Stops fall on page boundaries, so ``max_rows`` is rounded up to whole pages.
-    The walk is ``PARTIAL`` when rows remain beyond the stop, and one failed
-    unit stands for what was not walked.
+    It goes to the end unless the caller names a stop. Stops fall on page
+    boundaries, so ``max_rows`` is rounded up to whole pages. The walk is
+    ``PARTIAL`` when rows remain beyond the stop, and one failed unit stands for
+    what was not walked.
     """
-    pages = min(max_pages, math.ceil(max_rows / size))
-    by_rows = math.ceil(max_rows / size) <= max_pages
+    for name, stop in (("max_pages", max_pages), ("max_rows", max_rows), ("first_page", first_page)):
+        if stop is not None and stop < 1:
+            raise ValueError(f"{name} must be a positive integer")
     offset = (first_page - 1) * size
-    rows = rank_limited(df, keys, pages * size, offset)
+    by_rows = None if max_rows is None else math.ceil(max_rows / size)
+    stops = [n for n in (max_pages, by_rows) if n is not None]
+    pages = min(stops) if stops else None
+    rows = rank_limited(df, keys, None if pages is None else pages * size, offset)
     left = F.greatest(F.col("total_rows") - offset, F.lit(0))
-    done = F.least(F.ceil(left / size), F.lit(pages)).cast("bigint")
-    partial = left > pages * size
+    all_pages = F.ceil(left / size).cast("bigint")
+    done = all_pages if pages is None else F.least(all_pages, F.lit(pages)).cast("bigint")
+    partial = F.lit(False) if pages is None else left > pages * size
     status = (
         F.when(left == 0, F.lit("EMPTY")).when(partial, F.lit("PARTIAL")).otherwise(F.lit("COMPLETE"))
     )
-    stop = F.when(partial, F.lit("max_rows_reached" if by_rows else "max_pages_reached"))
+    stop = F.when(partial, F.lit("max_rows_reached" if pages == by_rows else "max_pages_reached"))
     facts = df.agg(F.count("*").alias("total_rows")).select(
         "total_rows",
         status.alias("status"),

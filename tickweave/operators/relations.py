@@ -107,16 +107,22 @@ def requested_served_rows(requested: DataFrame, served: DataFrame, on: list[str]
     return requested.join(served, on, "left_anti")
 
 
-def calendar_join_detail(calendar: DataFrame, detail: DataFrame) -> DataFrame:
+def calendar_join_rows(calendar: DataFrame, detail: DataFrame, symbol: str = "symbol") -> DataFrame:
+    """Each calendar event beside every row of its release's history."""
+    return calendar.join(detail, symbol, "left")
+
+
+def calendar_join_detail(calendar: DataFrame, detail: DataFrame, tie: str = "actual") -> DataFrame:
     """Each calendar event with its release's earlier history, aggregated first.
 
     The history is folded to one row per release before the join, so a release
-    with a very long history is never multiplied by its calendar rows.
+    with a very long history is never multiplied by its calendar rows. Of a last day
+    with several rows that with the largest ``tie`` counts.
     """
     folded = detail.groupBy("symbol").agg(
         F.count("*").alias("n_history"),
         F.max("release_date").alias("last_release"),
-        F.max_by("actual", "release_date").alias("last_actual"),
+        F.max_by("actual", F.struct("release_date", tie)).alias("last_actual"),
     )
     return calendar.join(folded, "symbol", "left")
 

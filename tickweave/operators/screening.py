@@ -140,8 +140,8 @@ def signal_rows(df: DataFrame, name: str) -> DataFrame:
     return df.where(_signal(name, df).predicate())
 
 
-def signal_screen(df: DataFrame, name: str, limit: int = R.MAX_PAGES * R.PAGE_SIZE) -> DataFrame:
-    """A signal's rows in its own order with their rank, up to the walk ceiling."""
+def signal_screen(df: DataFrame, name: str, limit: int | None = None) -> DataFrame:
+    """A signal's rows in its own order with their rank: all, or the first ``limit``."""
     spec = _signal(name, df)
     return rank_limited(df.where(spec.predicate()), order_keys(spec.order, spec.descending), limit)
 
@@ -170,7 +170,7 @@ def earnings_project(df: DataFrame, as_of: Column, date_column: str = "earnings"
     )
 
 
-def insider_feed(df: DataFrame, feed: str, as_of: Column, limit: int = R.PAGE_SIZE * 5) -> DataFrame:
+def insider_feed(df: DataFrame, feed: str, as_of: Column, limit: int | None = None) -> DataFrame:
     """One of the nine insider feeds over transactions the user holds.
 
     Needs ``transaction_date, side`` (1 buy, 2 sale), ``value``, ``ten_percent_owner``
@@ -199,11 +199,11 @@ def insider_feed(df: DataFrame, feed: str, as_of: Column, limit: int = R.PAGE_SI
 def compare_peers(df: DataFrame, symbol: str, *same: str) -> DataFrame:
     """Other symbols that share ``same`` (sector, industry, country …) with one.
 
-    The reference side is the single row of ``symbol``: a bounded broadcast.
+    A symbol with several classifications has the peers of each, once.
     """
     columns = list(same) or ["sector", "industry", "country"]
-    subject = df.where(F.col("symbol") == symbol).select(*columns).limit(1)
-    return df.join(F.broadcast(subject), columns).where(F.col("symbol") != symbol)
+    subject = df.where(F.col("symbol") == symbol).select(*columns).distinct()
+    return df.where(F.col("symbol") != symbol).join(subject, columns, "left_semi")
 
 
 def symbol_search(df: DataFrame, query: str, limit: int = 10) -> DataFrame:
@@ -230,7 +230,8 @@ def release_detail(df: DataFrame, slug: str, limit: int | None = None) -> DataFr
     if not re.match(X.SLUG.replace(r"\z", r"\Z"), slug) or len(slug) > X.SLUG_MAX["release"]:
         raise R.QueryError(f"bad release slug {slug!r}")
     rows = df.where(F.col("slug") == slug)
-    return rows.orderBy("release_date") if limit is None else rows.orderBy("release_date").limit(limit)
+    order = [F.col("release_date").asc(), F.xxhash64(*df.columns).asc()]
+    return rows.orderBy(*order) if limit is None else rows.orderBy(*order).limit(limit)
 
 
 def publisher_filter(df: DataFrame, slug: str) -> DataFrame:

@@ -21,7 +21,6 @@ from ..operators import screening as S
 from ..operators.dataset import build_dataset, provenance_cols
 from ..operators.ranking import dedupe_first, order_keys, rank_limited, walk_limits
 from ..schemas import dataset
-from ..session import broadcast_if_small
 from . import families as P
 from . import registry as R
 from .query import Filter, GroupQuery, Order, ScreenQuery
@@ -37,8 +36,8 @@ class Result:
     metadata: DataFrame
 
 
-def _documents(captures: DataFrame, spread: int | None = None) -> DataFrame:
-    return P.documents(captures, carry=("fetched_at",), spread=spread)
+def _documents(captures: DataFrame) -> DataFrame:
+    return P.documents(captures, carry=("fetched_at",))
 
 
 # ---------------------------------------------------------------- screens
@@ -73,10 +72,10 @@ def screen(
     query: ScreenQuery,
     *,
     as_of: Column | None = None,
-    max_pages: int = R.MAX_PAGES,
-    max_rows: int = R.MAX_ROWS,
+    max_pages: int | None = None,
+    max_rows: int | None = None,
 ) -> Result:
-    """Filters, order, page walk with safety stops, absolute rank, view."""
+    """Filters, order, page walk (to the end, or to the stops given), absolute rank, view."""
     rows = screen_rows(snapshot, query, as_of)
     walked, facts = walk_limits(rows, _keys(query), max_pages=max_pages, max_rows=max_rows, first_page=query.page)
     meta = provenance_cols(facts, query=query.to_json(), query_hash=query.hash(), parser_version=PARSER_VERSION)
@@ -107,8 +106,8 @@ def earnings(
     names: str | tuple[str, ...] | list[str] | None = None,
     filters: Filter | tuple[Filter, ...] | list[Filter] = (),
     order: Order | None = None,
-    max_pages: int = R.MAX_PAGES,
-    max_rows: int = R.MAX_ROWS,
+    max_pages: int | None = None,
+    max_rows: int | None = None,
 ) -> Result:
     """An earnings screen over a snapshot whose ``earnings`` column is a display."""
     if when is None and session is None and names is None:
@@ -147,20 +146,20 @@ def group(snapshot: DataFrame, query: GroupQuery) -> DataFrame:
     return provenance_cols(viewed, query_hash=query.hash(), schema_version=1)
 
 
-def screen_captures(captures: DataFrame, labels: list[str], spread: int | None = None) -> tuple[DataFrame, DataFrame]:
+def screen_captures(captures: DataFrame, labels: list[str]) -> tuple[DataFrame, DataFrame]:
     """Captured screener pages, table or JSON form, to typed rows and quarantine."""
-    docs = _documents(captures, spread)
+    docs = _documents(captures)
     rows = P.x_screener_table(docs).unionByName(P.x_screener_json(docs))
     return P.screener_table(rows, labels), rows.where(~F.col("row_ok"))
 
 
-def group_captures(captures: DataFrame, labels: list[str], spread: int | None = None) -> DataFrame:
-    return P.groups_table(P.x_groups_table(_documents(captures, spread)), labels)
+def group_captures(captures: DataFrame, labels: list[str]) -> DataFrame:
+    return P.groups_table(P.x_groups_table(_documents(captures)), labels)
 
 
-def spectrum(captures: DataFrame, dimension: str, spread: int | None = None) -> DataFrame:
+def spectrum(captures: DataFrame, dimension: str) -> DataFrame:
     """Spectrum image descriptors; no image is ever fetched."""
-    return P.x_spectrum_ref(_documents(captures, spread), R.GROUP_DIMENSIONS[dimension])
+    return P.x_spectrum_ref(_documents(captures), R.GROUP_DIMENSIONS[dimension])
 
 
 # ---------------------------------------------------------------- symbols
@@ -217,26 +216,29 @@ def statement_rows(parsed: DataFrame) -> DataFrame:
 def statements_batch(captures: DataFrame, requests: DataFrame, statement: str) -> dict[str, DataFrame]:
     """Statements for requested symbols, with failures and status as rows.
 
-    ``requests`` holds ``position, requested``. A refused or missing document is a
-    row of ``unit_errors``; the status is an aggregate over the requested units.
+    ``requests`` holds ``position, requested``. Of several captures of a symbol the
+    latest counts (of equal times the one with the largest digest). A refused, missing or invalid
+    request is a row of ``unit_errors``; the status is an aggregate over the
+    requested units: one per symbol, and one per spelling that is none.
     """
     L.statement_code(statement)
     resolved = L.sym_resolve(requests)
+    valid = F.col("canonical").isNotNull()
     wanted = dedupe_first(
-        resolved.where(F.col("canonical").isNotNull()).select(F.col("canonical").alias("symbol"), "position"),
-        ["symbol"],
-        ["position"],
+        resolved.where(valid).select(F.col("canonical").alias("symbol"), "position"), ["symbol"], ["position"]
     )
-    mine = captures.where(F.col("statement") == statement)
-    asked = broadcast_if_small(wanted.select("symbol"))
-    parsed = statement_documents(mine.join(asked, "symbol", "left_semi"))
-    outcome = wanted.join(parsed.select("symbol", "problem", "fetched_at"), "symbol", "left").withColumns(
-        {
-            "problem": F.when(F.col("fetched_at").isNull(), F.lit("no capture")).otherwise(F.col("problem")),
-            "cache_hit": F.lit(False),
-            "attempts": F.lit(1),
-        }
+    latest = latest_captures(captures.where(F.col("statement") == statement), ["symbol", "statement"])
+    parsed = statement_documents(latest.join(wanted.select("symbol"), "symbol", "left_semi"))
+    found = wanted.join(parsed.select("symbol", "problem", "fetched_at"), "symbol", "left").withColumn(
+        "problem", F.when(F.col("fetched_at").isNull(), F.lit("no capture")).otherwise(F.col("problem"))
+    )
+    invalid = resolved.where(~valid).select(
+        F.col("requested").alias("symbol"),
+        "position",
+        F.lit("invalid symbol").alias("problem"),
+        F.lit(None).cast("timestamp").alias("fetched_at"),
     )
+    outcome = found.unionByName(invalid).withColumns({"cache_hit": F.lit(False), "attempts": F.lit(1)})
     outcome = outcome.withColumn("ok", F.col("problem").isNull() | (F.col("problem") == "no data"))
     return {
         "data": statement_rows(parsed),
@@ -246,16 +248,23 @@ def statements_batch(captures: DataFrame, requests: DataFrame, statement: str) -
     }
 
 
+def latest_captures(captures: DataFrame, key: list[str]) -> DataFrame:
+    """One capture per key: the latest, of equal times that with the largest digest."""
+    rest = [c for c in captures.columns if c not in key]
+    newest = F.max_by(F.struct(*rest), F.struct("fetched_at", F.sha2("body", 256)))
+    return captures.groupBy(*key).agg(newest.alias("_newest")).select(*key, *[F.col(f"_newest.{c}").alias(c) for c in rest])
+
+
 # ---------------------------------------------------------------- quotes
 
 
-def quote(captures: DataFrame, spread: int | None = None) -> dict[str, DataFrame]:
+def quote(captures: DataFrame) -> dict[str, DataFrame]:
     """All relations of captured stock pages in registered schemas.
 
     The parse is persisted once and shared by the relations; unpersist
     ``documents`` when done.
     """
-    docs = _documents(captures, spread).persist()
+    docs = _documents(captures).persist()
     raw = P.bundle_fanout(docs)
     out = {
         "snapshot": build_dataset(raw["snapshot"], "quote_snapshot", extra="extra", with_warnings=True),
@@ -270,12 +279,12 @@ def quote(captures: DataFrame, spread: int | None = None) -> dict[str, DataFrame
 
 
 def quote_projection(bundle: dict[str, DataFrame], region: str, requests: DataFrame) -> DataFrame:
-    """One relation for requested symbols, in the order of their first request."""
+    """One relation for requested symbols; join ``requests`` again for their order."""
     resolved = L.sym_resolve(requests).where(F.col("canonical").isNotNull())
     wanted = dedupe_first(
         resolved.select(F.col("canonical").alias("symbol"), "position"), ["symbol"], ["position"]
     )
-    rows = bundle[region].join(broadcast_if_small(wanted), "symbol").orderBy("position").drop("position")
+    rows = bundle[region].join(wanted, "symbol").drop("position")
     return provenance_cols(rows, projected_from="quote")
 
 
@@ -288,9 +297,9 @@ def map_(pages: DataFrame, assets: DataFrame) -> dict[str, DataFrame]:
     return L.map_bundle(P.x_hierarchy(assets.select("body")), perf)
 
 
-def market_performance(captures: DataFrame, identity: str, labels: list[str], spread: int | None = None) -> DataFrame:
+def market_performance(captures: DataFrame, identity: str, labels: list[str]) -> DataFrame:
     """Forex (``Pair``) or crypto (``Ticker``) performance tables."""
-    return P.perf_table(P.x_market_table(_documents(captures, spread)), identity, labels)
+    return P.perf_table(P.x_market_table(_documents(captures)), identity, labels)
 
 
 def market_tiles(captures: DataFrame, anchor: str) -> tuple[DataFrame, DataFrame]:
@@ -299,11 +308,11 @@ def market_tiles(captures: DataFrame, anchor: str) -> tuple[DataFrame, DataFrame
     return rows.where("tile_ok"), rows.where(~F.col("tile_ok"))
 
 
-def market_chart(captures: DataFrame, symbol: str, timeframe: str, spread: int | None = None) -> DataFrame:
+def market_chart(captures: DataFrame, symbol: str, timeframe: str) -> DataFrame:
     """The chart descriptor of one symbol on gallery pages."""
     if timeframe not in X.MARKET_TIMEFRAMES:
         raise R.QueryError(f"timeframe must be one of {sorted(X.MARKET_TIMEFRAMES)}")
-    rows = P.x_gallery_charts(_documents(captures, spread)).where(F.col("symbol") == symbol.upper())
+    rows = P.x_gallery_charts(_documents(captures)).where(F.col("symbol") == symbol.upper())
     return provenance_cols(rows, timeframe=timeframe, kind="chart")
 
 
@@ -346,23 +355,23 @@ def _news(rows: DataFrame, origin: str) -> DataFrame:
     )
 
 
-def global_news(captures: DataFrame, origin: str, spread: int | None = None) -> DataFrame:
-    return _news(P.x_global_news(_documents(captures, spread)), origin)
+def global_news(captures: DataFrame, origin: str) -> DataFrame:
+    return _news(P.x_global_news(_documents(captures)), origin)
 
 
-def publisher_news(captures: DataFrame, slug: str, origin: str, spread: int | None = None) -> DataFrame:
-    return _news(P.x_publisher_news(_documents(captures, spread), F.lit(slug)), origin)
+def publisher_news(captures: DataFrame, slug: str, origin: str) -> DataFrame:
+    return _news(P.x_publisher_news(_documents(captures), F.lit(slug)), origin)
 
 
-def global_insider(captures: DataFrame, spread: int | None = None) -> tuple[DataFrame, DataFrame]:
+def global_insider(captures: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Insider transactions in ``quote_insider`` and the ticker-less rows."""
-    rows, skipped = P.x_global_insider(_documents(captures, spread))
+    rows, skipped = P.x_global_insider(_documents(captures))
     return build_dataset(rows.drop("capture_id", "row_no"), "quote_insider"), skipped
 
 
-def disclosure(captures: DataFrame, kind: str, spread: int | None = None) -> DataFrame:
+def disclosure(captures: DataFrame, kind: str) -> DataFrame:
     """Fund or manager portfolios: JSON kept verbatim plus report dates."""
-    return P.x_disclosure(_documents(captures, spread), kind)
+    return P.x_disclosure(_documents(captures), kind)
 
 
 def calendar(captures: DataFrame, name: str = "economic_calendar") -> DataFrame:

@@ -58,12 +58,14 @@ def column_of(label: str) -> Column:
 
 def table_rows(docs: DataFrame, css: str | None = None, table_id: str | None = None) -> DataFrame:
     """Data rows of the tables with a class or id: one row per ``tr`` with cells."""
-    rows = nodes_of(docs).where((F.col("tag") == "tr") & (F.size("cells") > 0))
-    if css:
-        rows = rows.where(has_class(F.col("table_classes"), css))
-    if table_id:
-        rows = rows.where(F.col("table_id") == table_id)
-    return rows
+
+    def is_row(n: Column) -> Column:
+        test = (n["tag"] == "tr") & (F.size(n["cells"]) > 0)
+        if css:
+            test &= has_class(n["table_classes"], css)
+        return test & (n["table_id"] == table_id) if table_id else test
+
+    return nodes_of(docs, test=is_row)
 
 
 def dq_arity(rows: DataFrame) -> DataFrame:
@@ -238,8 +240,7 @@ def x_chart_refs(docs: DataFrame) -> DataFrame:
     """Chart images with the timeframe their URL names (``d`` when it names none)."""
     frame = F.nullif(F.regexp_extract("href", r"[?&]p=([a-z]+)", 1), F.lit(""))
     return (
-        nodes_of(docs)
-        .where((F.col("tag") == "img") & F.col("href").contains("chart.ashx"))
+        nodes_of(docs, test=lambda n: (n["tag"] == "img") & n["href"].contains("chart.ashx"))
         .select(
             *keys_of(docs),
             "pos",
@@ -259,8 +260,7 @@ def x_gallery_charts(docs: DataFrame) -> DataFrame:
     url = F.coalesce(F.nullif(first, F.lit("")), F.col("href"))
     symbol = F.upper(F.regexp_extract(url, r"(?i)[?&]t=@([a-z0-9]+)", 1))
     return (
-        nodes_of(docs)
-        .where((F.col("tag") == "img") & has_class(F.col("classes"), "charts-gal"))
+        nodes_of(docs, test=lambda n: (n["tag"] == "img") & has_class(n["classes"], "charts-gal"))
         .select(*keys_of(docs), symbol.alias("symbol"), url.alias("source_url"), X.media_type(url).alias("media_type"))
         .where(F.col("symbol") != "")
     )
@@ -494,8 +494,10 @@ def x_quote_etf_holders(quotes: DataFrame) -> DataFrame:
 
 
 def x_quote_signals(quotes: DataFrame) -> DataFrame:
-    links = nodes_of(quotes, *_quote_keys(quotes)).where(
-        (F.col("tag") == "a") & has_class(F.col("classes"), "sig-tab-link") & F.col("href").contains("screener")
+    links = nodes_of(
+        quotes,
+        *_quote_keys(quotes),
+        test=lambda n: (n["tag"] == "a") & has_class(n["classes"], "sig-tab-link") & n["href"].contains("screener"),
     )
     return links.select(*_quote_keys(quotes), F.col("text").alias("signal"), F.col("href").alias("url"))
 
@@ -585,7 +587,7 @@ def x_global_news(docs: DataFrame) -> DataFrame:
     )
     base = docs.withColumns({"_tables": tables, "_headings": headings})
     ordinal = F.array_position("_tables", F.col("table_no"))
-    rows = nodes_of(base).where((F.col("tag") == "tr") & (F.size("cells") > 0) & ordinal.between(1, 2))
+    rows = nodes_of(base, test=lambda n: (n["tag"] == "tr") & (F.size(n["cells"]) > 0)).where(ordinal.between(1, 2))
     rows = rows.withColumn("category", F.get("_headings", (ordinal - 1).cast("int")))
     return _news_rows(rows, F.lit(None).cast("string"), *keys_of(docs), "category", "row_no")
 
@@ -994,15 +996,12 @@ def x_statement(df: DataFrame, body: str = "body") -> DataFrame:
     exception, so one bad document cannot fail a batch.
     """
     keys = [c for c in df.columns if c != body]
-    base = once(
-        df,
-        keys,
-        {
-            "_error": F.get_json_object(body, "$.error"),
-            "_n_keys": F.size(F.json_object_keys(body)),
-            "currency": F.get_json_object(body, "$.currency"),
-            "data": F.from_json(F.get_json_object(body, "$.data"), "map<string,array<string>>"),
-        },
+    shape = "error string, currency string, data map<string,array<string>>"
+    base = once(df, df.columns, {"_json": F.from_json(body, shape)})
+    # Only a body with this very error is looked at a second time.
+    others = F.when(F.col("_json.error") == "no data", F.size(F.json_object_keys(body)))
+    base = base.select(
+        *keys, F.col("_json.error").alias("_error"), others.alias("_n_keys"), F.col("_json.currency").alias("currency"), F.col("_json.data").alias("data")
     )
     periods = F.try_element_at("data", F.lit("Period"))
     ends = F.try_element_at("data", F.lit("Period End Date"))

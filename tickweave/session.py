@@ -6,7 +6,6 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Runtime settings that change results (time zone) or plan shape (AQE).
 RUNTIME_CONF = {
@@ -61,19 +60,6 @@ def shared_folder(spark: SparkSession) -> str:
     return path
 
 
-# Rows a requested list may have to be sent to every executor.
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it is counted to hold at most ``rows`` rows.
-
-    Spares the other side, which may hold whole documents, a shuffle. A longer
-    list comes back without hint and is joined by shuffling. Only for narrow rows.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably so that later passes all read the same rows."""
     sc = df.sparkSession.sparkContext

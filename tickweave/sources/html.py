@@ -286,7 +286,6 @@ def html_documents(
     ids: tuple[str, ...] = (),
     carry: tuple[str, ...] = (),
     skeleton: bool = False,
-    spread: int | None = None,
 ) -> DataFrame:
     """``(key, *carry, nodes)`` per body: tables, rows, cells, links, images, scripts, titles.
 
@@ -294,13 +293,10 @@ def html_documents(
     ``skeleton`` adds one ``#document`` node holding the ordered ``tag.class``
     list. Only the key, the body and the ``carry`` columns (provenance such as
     ``fetched_at``) cross into Python: column pruning does not reach through the
-    Python operator. ``spread`` redistributes the bodies first — for inputs with
-    few splits, such as one small file.
+    Python operator. Bodies are parsed where they are read; nothing is shuffled.
     """
     kept = [key, *carry]
     narrow = df.where(F.col(body).isNotNull()).select(*kept, F.col(body).alias("_body"))
-    if spread:
-        narrow = narrow.repartition(spread)
     types = ", ".join(f"`{c}` {narrow.schema[c].dataType.simpleString()}" for c in kept)
     by_class, by_id = frozenset(classes), frozenset(ids)
 
@@ -326,10 +322,13 @@ def has_class(classes: Column, name: str) -> Column:
     return F.coalesce(F.array_contains(classes, name), F.lit(False))
 
 
-def nodes_of(docs: DataFrame, *keep: str) -> DataFrame:
-    """Nodes as rows, with the key columns of the documents (all, or ``keep``)."""
+def nodes_of(docs: DataFrame, *keep: str, test=None) -> DataFrame:
+    """Nodes as rows, with the key columns of the documents (all, or ``keep``).
+
+    ``test`` of a node selects inside the array, before nodes become rows.
+    """
     keys = keep or [c for c in docs.columns if c != "nodes"]
-    return struct_rows(docs, list(keys), "nodes")
+    return struct_rows(docs, list(keys), "nodes" if test is None else F.filter("nodes", test))
 
 
 def first_text(nodes: Column, test) -> Column:
@@ -339,13 +338,13 @@ def first_text(nodes: Column, test) -> Column:
 
 def x_html_cells(docs: DataFrame) -> DataFrame:
     """Table cells with their table, place, header label and display."""
-    rows = nodes_of(docs).where(F.col("tag").isin("td", "th") & F.col("col_no").isNotNull())
+    rows = nodes_of(docs, test=lambda n: n["tag"].isin("td", "th") & n["col_no"].isNotNull())
     return rows.drop("heads", "cells", "items", "href", "id", "parent", "ancestors")
 
 
 def x_html_links(docs: DataFrame) -> DataFrame:
     """Anchors, images and references with their place in the document."""
-    rows = nodes_of(docs).where(F.col("tag").isin("a", "img", "link", "use"))
+    rows = nodes_of(docs, test=lambda n: n["tag"].isin("a", "img", "link", "use"))
     return rows.drop("heads", "cells", "items", "head", "section")
 
 
