@@ -515,15 +515,16 @@ def media_type(t):
     return t("pages").select("page_id", X.media_type(src).alias("media"))
 
 
-def _re2(pattern: str) -> str:
-    return pattern.replace("'", "''")
+# The policy in the oracle's own words: labels, then routes, then what stands before an @.
+_REDACT_SQL = r"""regexp_replace(regexp_replace(regexp_replace(text,
+    '(?i)((?:auth\b|authorization|authorisation|token|secret|passw|passphrase|pwd|credential|cookie|session|api[-_.]?key|private[-_.]?key|proxy|proxies|body|payload|content|html)[0-9A-Za-z_.-]*["'']?[ \t]*)(?:(:[ \t]*)\S[^\n]*|(=[ \t]*)[^&\s][^&\n]*)', '\1\2\3[REDACTED]', 'g'),
+    '(?i)((?:proxy|proxies|route)\b[^\n]{0,20}?)\b[a-z][a-z0-9+.-]*://[^\s"''<>]+', '\1[REDACTED]', 'g'), '(://)[^\s/@]+@', '\1[REDACTED]@', 'g')"""
 
 
 @query(
     "redact_text",
     f"""SELECT doc_id, sha256(redacted) AS digest, CAST(length(redacted) AS BIGINT) AS n, redacted <> text AS changed FROM (
-        SELECT doc_id, text, regexp_replace(regexp_replace(regexp_replace(text, '{_re2(X.URL_CREDENTIALS)}', '\\1://[REDACTED]@', 'g'),
-        '{_re2(X.SECRET_LABEL)}', '\\1\\2[REDACTED]', 'g'), '{_re2(X.PROXY_URL)}', '\\1[REDACTED]', 'g') AS redacted FROM documents)""",
+        SELECT doc_id, text, {_REDACT_SQL} AS redacted FROM documents)""",
 )
 def redact_text(t):
     base = t("documents").select("doc_id", "text", X.redact_text(F.col("text")).alias("redacted"))

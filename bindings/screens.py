@@ -884,18 +884,15 @@ def dq_unknown_field(t):
     return Q.dq_unknown_field(t("events").select(bag.alias("bag")), "bag", ["click", "view"])
 
 
-_WORDS = " || ".join(
-    f"CASE WHEN contains(lower(text), '{w}') THEN '{w}|' ELSE '' END" for w in Q.FORBIDDEN
-)
-
-
 @query(
     "dq_fixture_hygiene",
-    rf"""SELECT doc_id, reasons FROM (SELECT doc_id, rtrim({_WORDS} || CASE WHEN regexp_matches(text, '(?i)\b[a-z][a-z0-9+.-]*://[^\s/?#]+@') THEN 'url credentials|' ELSE '' END
+    r"""SELECT doc_id, reasons FROM (SELECT doc_id, rtrim(CASE WHEN contains(lower(text), 'password=') THEN 'password=|' ELSE '' END || CASE WHEN contains(lower(text), 'token = "') THEN 'token = "|' ELSE '' END
+        || CASE WHEN contains(lower(text), 'akia') THEN 'AKIA|' ELSE '' END || CASE WHEN regexp_matches(text, '://[^/\s]*@') THEN 'url credentials|' ELSE '' END
         || CASE WHEN strlen(text) > 20000 THEN 'too large|' ELSE '' END, '|') AS reasons FROM documents) WHERE reasons <> ''""",
 )
 def dq_fixture_hygiene(t):
-    return Q.dq_fixture_hygiene(t("documents"), "doc_id", "text", 20000).select("doc_id", F.array_join("reasons", "|").alias("reasons"))
+    bad = Q.dq_fixture_hygiene(t("documents"), "doc_id", "text", ("password=", 'token = "', "AKIA"), 20000)
+    return bad.select("doc_id", F.array_join("reasons", "|").alias("reasons"))
 
 
 # ---------------------------------------------------------------- entry points
