@@ -174,7 +174,7 @@ def suffix_edges(buffer: np.ndarray, pieces: np.ndarray, sizes: np.ndarray) -> t
 class Encoder:
     """Encodes units of a task's batches; remembers them up to ``most`` ids."""
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 2_000_000):
+    def __init__(self, vocabulary: Vocabulary, most: int = 1_500_000):
         self.v, self.most = vocabulary, most
         self.memo = _agree.setdefault(vocabulary.memo, {})
         names = sorted((p.encode(), i) for p, i in vocabulary.ids.items() if p)
@@ -233,15 +233,17 @@ class Encoder:
         position, piece = suffix_edges(text, self.names, self.name_size)
         size = self.name_size[piece]
         order = np.lexsort((-size, position))
-        position, to, token = position[order], (position + size)[order].tolist(), self.name_id[piece][order].tolist()
-        cut = np.searchsorted(position, np.arange(len(text) + 1)).tolist()
+        # Arrays of machine integers: as lists, the edges of a chunk would be hundreds of MB.
+        to, token = (array("i", x[order].astype(np.int32).tobytes()) for x in (position + size, self.name_id[piece]))
+        cut = array("i", np.searchsorted(position[order], np.arange(len(text) + 1)).astype(np.int32).tobytes())
+        del position, piece, size, order
         for start, end in zip(base.tolist(), (base + sizes).tolist(), strict=True):
             out = self._relax(text, start, end, cut, to, token)
             self.first.append(len(self.flat))
             self.count.append(len(out))
             self.flat.extend(out)
 
-    def _relax(self, text: np.ndarray, start: int, end: int, cut: list[int], to: list[int], token: list[int]) -> list[int]:
+    def _relax(self, text: np.ndarray, start: int, end: int, cut: array, to: array, token: array) -> list[int]:
         """Tokens of one unit: edges by position, the longest first; a place that leads nowhere is left for good."""
         agree, memo, dead = self.v.agree, self.memo, set()
         tokens, places, edges, last = [], [start], [cut[start]], -1
