@@ -180,12 +180,21 @@ def _replayed(t, df, name: str, mode: str = "append"):
         return t.spark.read.schema(df.schema).parquet(f"{folder}/rows")
 
     def keep(batch, epoch):
-        # Complete mode re-emits the whole result: the last epoch is the answer.
-        batch.write.mode("overwrite").parquet(f"{folder}/rows")
+        # An epoch that is replayed overwrites its own folder.
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/epoch={epoch}")
 
     out = df.writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/ckpt").outputMode(mode)
     out.trigger(availableNow=True).start().awaitTermination()
-    return t.spark.read.schema(df.schema).parquet(f"{folder}/rows")
+    return t.spark.read.schema(df.schema).option("recursiveFileLookup", "true").parquet(f"{folder}/rows")
+
+
+def _finished(t, stream, name: str, by: list[str]):
+    """A window of an ``update`` stream is what its last, largest emission says."""
+    rows = _replayed(t, stream, name, "update")
+    keys = ["window_start", "window_end", *by]
+    rest = [c for c in rows.columns if c not in keys]
+    last = F.max_by(F.struct(*rest), "n").alias("last")
+    return rows.groupBy(*keys).agg(last).select(*keys, "last.*")
 
 
 def _windowed(df):
@@ -198,8 +207,8 @@ _DAILY = """SELECT date_trunc('day', fetched_at) AS window_start, date_trunc('da
 
 @query("st_tumbling", _DAILY, "observations")
 def st_tumbling(t):
-    stream = W.st_tumbling(_stream(t), "1 day", ["metric"], "value")
-    return _windowed(_replayed(t, stream, "tumbling", "complete"))
+    stream = W.st_tumbling(_stream(t), "1 day", ["metric"], "value", lateness="1 day")
+    return _windowed(_finished(t, stream, "tumbling", ["metric"]))
 
 
 @query("st_tumbling_batch", _DAILY, "observations")
@@ -213,8 +222,8 @@ _SLIDING = """SELECT s AS window_start, s + INTERVAL 1 DAY AS window_end, metric
 
 @query("st_sliding", _SLIDING, "observations")
 def st_sliding(t):
-    stream = W.st_sliding(_stream(t), "1 day", "6 hours", ["metric"], "value")
-    return _windowed(_replayed(t, stream, "sliding", "complete"))
+    stream = W.st_sliding(_stream(t), "1 day", "6 hours", ["metric"], "value", lateness="1 day")
+    return _windowed(_finished(t, stream, "sliding", ["metric"]))
 
 
 _SESSIONS = """SELECT min(fetched_at) AS window_start, max(fetched_at) + INTERVAL 2 HOUR AS window_end, symbol, count(*) AS n, min(value) AS min_value, max(value) AS max_value, round(avg(value), 6) AS mean_value
@@ -242,10 +251,11 @@ def st_session(t):
     return _windowed(done)
 
 
-@query("st_dedupe")
+@query("st_dedupe", "SELECT DISTINCT symbol, metric FROM observations", "observations")
 def st_dedupe(t):
-    """Distinct (symbol, metric) rows within the state horizon; depends on batching."""
-    return _replayed(t, W.st_dedupe(_stream(t).select(*KEY, "fetched_at"), KEY), "dedupe").groupBy("metric").agg(F.count("*").alias("n"))
+    """Distinct keys; state is kept longer than the data last, so no key comes twice."""
+    stream = _stream(t).select(*KEY, "fetched_at")
+    return _replayed(t, W.st_dedupe(stream, KEY, lateness="400 days"), "dedupe").select("symbol", "metric")
 
 
 @query("st_late", "SELECT metric, false AS late, count(*) AS n FROM observations GROUP BY metric", "observations")

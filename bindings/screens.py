@@ -11,7 +11,7 @@ from tickweave.operators import quality as Q
 from tickweave.operators import ranking as K
 from tickweave.operators import relations as L
 from tickweave.operators import screening as S
-from tickweave.operators.dataset import build_dataset, provenance_cols, split_required
+from tickweave.operators.dataset import build_dataset, provenance_cols, split_required, split_dataset
 from tickweave.plans import api as A
 from tickweave.plans import families as P
 from tickweave.plans import registry as R
@@ -854,6 +854,27 @@ def dq_quarantine(t):
     return bad.select("k", F.array_join("missing_fields", ",").alias("missing"))
 
 
+def _mixed_rows(t):
+    rank = F.when(F.col("k") % 5 == 0, F.lit("x")).when(F.col("k") % 7 == 0, F.lit("-")).otherwise(F.col("k").cast("string"))
+    return t("displays").select(F.concat(F.lit("S"), "k").alias("symbol"), rank.alias("rank"), F.lit(FETCHED).cast("timestamp").alias("fetched_at"))
+
+
+@query("dq_split_good", "SELECT 'S' || k AS symbol, CAST(k AS BIGINT) AS rank FROM displays WHERE k % 5 > 0 AND k % 7 > 0", "displays")
+def dq_split_good(t):
+    """Rows that fit a dataset come through whatever their neighbours hold."""
+    return split_dataset(_mixed_rows(t), "earnings_screen")[0].select("symbol", "rank")
+
+
+@query(
+    "dq_split_bad",
+    "SELECT CASE WHEN k % 5 = 0 THEN 'rank: cannot convert x' ELSE 'rank: required value is null' END AS problem, count(*) AS n FROM displays WHERE k % 5 = 0 OR k % 7 = 0 GROUP BY ALL",
+    "displays",
+)
+def dq_split_bad(t):
+    bad = split_dataset(_mixed_rows(t), "earnings_screen")[1]
+    return bad.select(F.array_join("problems", ",").alias("problem")).groupBy("problem").agg(F.count("*").alias("n"))
+
+
 @query(
     "dq_strict",
     "SELECT symbol, earnings_date, CAST(0 AS INTEGER) AS n_warnings FROM securities",

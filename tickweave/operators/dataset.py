@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric as N
 from ..functions import temporal as M
+from ..functions.nested import let
 from ..schemas import ContractError, dataset
 
 WARNINGS = "warnings"
@@ -37,6 +38,7 @@ def build_dataset(
     extra: str | None = None,
     on_error: str = "null",
     with_warnings: bool = False,
+    passed: tuple[Column, ...] = (),
 ) -> DataFrame:
     """Project display columns onto dataset ``name``.
 
@@ -48,13 +50,14 @@ def build_dataset(
     date column for time-only displays; by default the New York date of
     ``fetched_at``.
 
-    A display that does not convert is null with its raw display kept; where a
-    field has no raw companion, and everywhere under ``on_error="raise"``, the
-    row raises when it is evaluated. ``with_warnings`` keeps the per-row
-    ``warnings`` array.
+    A display that does not convert is null with its raw display kept. Where a
+    field has no raw companion or is required, ``on_error`` decides: "null" (and
+    "raise", for every conversion) raises when the row is evaluated, "keep" leaves
+    the field null and names it in an added ``problems`` array; ``split_dataset``
+    parts the rows by it. ``with_warnings`` keeps the per-row ``warnings`` array.
     """
-    if on_error not in ("null", "raise"):
-        raise ContractError("on_error must be 'null' or 'raise'")
+    if on_error not in ("null", "raise", "keep"):
+        raise ContractError("on_error must be 'null', 'raise' or 'keep'")
     ds = dataset(name)
     known = ds.by_name
     sources = {f.name: f for f in ds.source_fields}
@@ -94,12 +97,15 @@ def build_dataset(
 
     out: dict[str, Column] = {}
     notes: list[Column] = []
+    faults: list[Column] = []
     for f in ds.source_fields:
         kind = f.struct_field().dataType.simpleString()
         override = f"{f.name}__display"
         shown_raw = F.col(override) if override in df.columns else None
         if f.name not in given:
             out[f.name] = F.lit(None).cast(kind)
+            if not f.nullable:
+                faults.append(F.lit(f"{f.name}: required value is null"))
             if f.raw:
                 out[f"{f.name}_raw"] = (F.lit(None) if shown_raw is None else shown_raw).cast("string")
                 if f.unit == "timestamp":
@@ -114,11 +120,15 @@ def build_dataset(
         ambiguous = F.lit(False) if status is None else F.coalesce(status == "ambiguous", F.lit(False))
         checked = value
         if f.unit != "text" and (on_error == "raise" or not f.raw):
-            message = F.concat(F.lit(f"{name}.{f.name}: cannot convert "), shown)
-            checked = F.when(failed, F.raise_error(message)).otherwise(checked)
+            message = F.concat(F.lit(f"{f.name}: cannot convert "), shown)
+            faults.append(F.when(failed, message))
+            if on_error != "keep":
+                checked = F.when(failed, F.raise_error(F.concat(F.lit(f"{name}."), message))).otherwise(checked)
         if not f.nullable:
-            problem = F.raise_error(F.lit(f"{name}.{f.name}: required value is null"))
-            checked = F.when(value.isNull(), problem).otherwise(checked)
+            message = F.lit(f"{f.name}: required value is null")
+            faults.append(F.when(missing, message))
+            if on_error != "keep":
+                checked = F.when(value.isNull(), F.raise_error(F.concat(F.lit(f"{name}."), message))).otherwise(checked)
         out[f.name] = checked
         if f.raw:
             out[f"{f.name}_raw"] = shown if shown_raw is None else shown_raw
@@ -139,7 +149,11 @@ def build_dataset(
             F.coalesce(F.map_entries(F.col(extra)), F.array().cast("array<struct<key string, value string>>")),
             lambda e: F.struct(e["key"].alias("key"), F.coalesce(e["value"], F.lit("")).alias("value")),
         )
-        bag = F.array_sort(F.concat(bag, more))
+        # Of a key that stands in both places the first value in order counts.
+        bag = let(
+            F.array_sort(F.concat(bag, more)),
+            lambda all_: F.filter(all_, lambda e, i: (i == 0) | (F.get(all_, i - 1)["key"] != e["key"])),
+        )
     out["extra_fields"] = F.map_from_entries(bag)
     out["fetched_at"] = F.col(fetched_at).cast("timestamp")
 
@@ -152,7 +166,20 @@ def build_dataset(
             F.map_keys(out["extra_fields"]), lambda k: F.struct(F.lit("unknown_field").alias("code"), k.alias("field"), F.lit(None).cast("string").alias("raw"))
         )
         columns.append(F.concat(drift, F.array_compact(F.array(*notes))).alias(WARNINGS))
-    return df.select(*columns)
+    if on_error == "keep":
+        columns.append(F.array_compact(F.array(*faults).cast("array<string>")).alias("problems"))
+    return df.select(*columns, *passed)
+
+
+def split_dataset(df: DataFrame, name: str, **options) -> tuple[DataFrame, DataFrame]:
+    """Rows of dataset ``name``, and the rows that do not fit it, as ``source`` JSON with their ``problems``.
+
+    One bad cell costs its row, never the job; the two counts add up to the input's.
+    """
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("source")
+    built = build_dataset(df, name, on_error="keep", passed=(whole,), **options)
+    good = built.where(F.size("problems") == 0).drop("problems", "source")
+    return good, built.where(F.size("problems") > 0).select("source", "problems", "fetched_at")
 
 
 def split_required(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:

@@ -18,7 +18,7 @@ from ..operators import grouping as G
 from ..operators import quality as Q
 from ..operators import relations as L
 from ..operators import screening as S
-from ..operators.dataset import build_dataset, provenance_cols
+from ..operators.dataset import build_dataset, provenance_cols, split_dataset
 from ..operators.ranking import dedupe_first, order_keys, rank_limited, walk_limits
 from ..schemas import dataset
 from . import families as P
@@ -198,7 +198,12 @@ def statement_documents(captures: DataFrame) -> DataFrame:
     return P.x_statement(captures.select("symbol", "statement", "fetched_at", "body"))
 
 
-def statement_rows(parsed: DataFrame) -> DataFrame:
+def _side(rows: DataFrame, name: str, quarantine: bool, **options) -> DataFrame:
+    """The rows of a dataset, or with ``quarantine`` those that do not fit it."""
+    return split_dataset(rows, name, **options)[int(quarantine)]
+
+
+def statement_rows(parsed: DataFrame, quarantine: bool = False) -> DataFrame:
     code = L.stmt_codes(F.col("statement"))
     usable = parsed.where(F.col("problem").isNull() & code.isNotNull()).withColumns(
         {
@@ -210,7 +215,7 @@ def statement_rows(parsed: DataFrame) -> DataFrame:
     long = L.stmt_long(
         usable, ["symbol", "statement_kind", "periodicity", "currency", "fetched_at"], "periods", "end_dates", "metrics"
     )
-    return build_dataset(long.drop("metric_no", "position"), "statements")
+    return _side(long.drop("metric_no", "position"), "statements", quarantine)
 
 
 def statements_batch(captures: DataFrame, requests: DataFrame, statement: str) -> dict[str, DataFrame]:
@@ -266,15 +271,17 @@ def quote(captures: DataFrame) -> dict[str, DataFrame]:
     """
     docs = _documents(captures).persist()
     raw = P.bundle_fanout(docs)
+    snapshot, bad = split_dataset(raw["snapshot"], "quote_snapshot", extra="extra", with_warnings=True)
     out = {
-        "snapshot": build_dataset(raw["snapshot"], "quote_snapshot", extra="extra", with_warnings=True),
+        "snapshot": snapshot,
+        "snapshot_quarantine": bad,
         "charts": raw["charts"],
         "snapshot_tables": raw["snapshot_tables"],
         "regions": raw["regions"],
         "documents": docs,
     }
     for name in ("description", "ratings", "news", "insider", "peers", "etf_holders", "signals"):
-        out[name] = build_dataset(raw[name], f"quote_{name}")
+        out[name], out[f"{name}_quarantine"] = split_dataset(raw[name], f"quote_{name}")
     return out
 
 
@@ -316,11 +323,11 @@ def market_chart(captures: DataFrame, symbol: str, timeframe: str) -> DataFrame:
     return provenance_cols(rows, timeframe=timeframe, kind="chart")
 
 
-def futures(captures: DataFrame) -> DataFrame:
+def futures(captures: DataFrame, quarantine: bool = False) -> DataFrame:
     """Futures tiles with their category in the ``futures_tiles`` schema."""
     tiles, listed = P.x_futures(captures.select("capture_id", "fetched_at", "body"))
     joined = L.futures_category(tiles, listed.drop("fetched_at"))
-    return build_dataset(joined.drop("capture_id"), "futures_tiles", extra="extra")
+    return _side(joined.drop("capture_id"), "futures_tiles", quarantine, extra="extra")
 
 
 def chart_descriptor(df: DataFrame, origin: str, timeframe: str = "d") -> DataFrame:
@@ -364,9 +371,17 @@ def publisher_news(captures: DataFrame, slug: str, origin: str) -> DataFrame:
 
 
 def global_insider(captures: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Insider transactions in ``quote_insider`` and the ticker-less rows."""
+    """Insider transactions in ``quote_insider``, and the ticker-less rows.
+
+    Rows that do not fit the dataset: ``insider_quarantine``.
+    """
     rows, skipped = P.x_global_insider(_documents(captures))
-    return build_dataset(rows.drop("capture_id", "row_no"), "quote_insider"), skipped
+    return _side(rows.drop("capture_id", "row_no"), "quote_insider", False), skipped
+
+
+def insider_quarantine(captures: DataFrame) -> DataFrame:
+    rows, _ = P.x_global_insider(_documents(captures))
+    return _side(rows.drop("capture_id", "row_no"), "quote_insider", True)
 
 
 def disclosure(captures: DataFrame, kind: str) -> DataFrame:
@@ -374,14 +389,15 @@ def disclosure(captures: DataFrame, kind: str) -> DataFrame:
     return P.x_disclosure(_documents(captures), kind)
 
 
-def calendar(captures: DataFrame, name: str = "economic_calendar") -> DataFrame:
+def calendar(captures: DataFrame, name: str = "economic_calendar", quarantine: bool = False) -> DataFrame:
+    """Calendar entries, or with ``quarantine`` the entries that break the dataset's contract."""
     rows = P.x_calendar(captures.select("fetched_at", "body"))
-    return build_dataset(rows.drop("position"), name)
+    return _side(rows.drop("position"), name, quarantine)
 
 
-def calendar_detail(captures: DataFrame) -> DataFrame:
+def calendar_detail(captures: DataFrame, quarantine: bool = False) -> DataFrame:
     rows = P.x_calendar_detail(captures.select("fetched_at", "body"))
-    return build_dataset(rows.drop("position"), "economic_details")
+    return _side(rows.drop("position"), "economic_details", quarantine)
 
 
 def empty(spark: SparkSession, name: str) -> DataFrame:
