@@ -116,8 +116,8 @@ def test_batch_statuses(spark):
     requests = spark.createDataFrame([(0, "a"), (1, "A "), (2, "zz"), (3, "b@d")], "position int, requested string")
     out = A.statements_batch(df, requests, "IA")
     meta = out["metadata"].first()
-    assert (meta.status, meta.requested_units, meta.succeeded_units, meta.failed_units) == ("PARTIAL", 2, 1, 1)
-    assert [(r.symbol, r.message) for r in out["unit_errors"].collect()] == [("ZZ", "no capture")]
+    assert (meta.status, meta.requested_units, meta.succeeded_units, meta.failed_units) == ("PARTIAL", 3, 1, 2)
+    assert sorted((r.symbol, r.message) for r in out["unit_errors"].collect()) == [("ZZ", "no capture"), ("b@d", "invalid symbol")]
     assert [r.canonical for r in out["resolution"].orderBy("position").collect()] == ["A", "A", "ZZ", None]
 
 
@@ -167,3 +167,33 @@ def test_cells_as_a_table_function(spark):
     captures(spark, "<table><tr><th>A<tr><td>1<td>2</table>").createOrReplaceTempView("captured")
     rows = spark.sql("SELECT capture_id, c.* FROM captured, LATERAL html_cells(body) c WHERE c.row_no = 1").collect()
     assert [(r.col_no, r.head, r.text) for r in rows] == [(0, "A", "1"), (1, None, "2")]
+
+
+def test_hierarchies_of_another_shape_are_named(spark):
+    leaf = "{name:'A',value:1}".replace("'", '"')
+    bodies = {
+        "good": f'e.exports = {{name:"R",children:[{{name:"S",children:[{{name:"I",children:[{leaf},{{name:"B"}}]}}]}}]}};more',
+        "none": "nothing here", "flat": 'e.exports={name:"R",children:[]}', "shallow": f'e.exports={{name:"R",children:[{{name:"S",children:[{leaf}]}}]}}',
+        "nameless": 'e.exports={name:"R",children:[{name:"S",children:[{name:"I",children:[{value:2}]}]}]}', "cut": 'e.exports={name:"R",children:[{name:"S"',
+    }
+    df = spark.createDataFrame(list(bodies.items()), "capture_id string, body string")
+    assert [(r.symbol, r.value) for r in P.x_hierarchy(df).orderBy("leaf_no").collect()] == [("A", 1.0), ("B", 0.0)]
+    named = {r.capture_id: r.problem for r in P.hierarchy_problems(df).collect()}
+    assert set(named) == set(bodies) - {"good"} and named["nameless"] == "leaf without name" and named["shallow"].startswith("industry")
+
+
+def test_nothing_is_shuffled_below_the_parser(spark):
+    df = spark.createDataFrame([(1, "<table class=screener_table><tr><th>A</tr><tr><td>1</tr></table>")], "capture_id long, body string")
+    plan = P.table_rows(P.documents(df), "screener_table")._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("MapInArrow") :]
+    assert "Exchange" not in below
+
+
+def test_one_bad_entry_does_not_end_the_calendar(spark):
+    from tickweave.plans import api as A
+
+    entries = '[{"ticker":"A","event":"E","date":"2026-08-12","importance":"2"},{"event":"no ticker","date":"2026-08-12"},{"ticker":"B","importance":"high"}]'
+    body = f'<script id="route-init-data" type="application/json">{{"economic":{{"entries":{entries}}}}}</script>'
+    df = spark.createDataFrame([(body,)], "body string").withColumn("fetched_at", F.lit("2026-08-12 00:00:00").cast("timestamp"))
+    good, bad = A.calendar(df).collect(), A.calendar(df, quarantine=True).collect()
+    assert [r.symbol for r in good] == ["A"] and len(bad) == 2 and all(r.problems for r in bad)

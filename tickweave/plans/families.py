@@ -13,7 +13,7 @@ from ..functions import numeric as N
 from ..functions import temporal as M
 from ..functions import text as X
 from ..functions.nested import array_rows, let, map_rows, once, struct_rows
-from ..sources.embedded import json_between, x_embedded_json, x_js_literal, x_object_literal
+from ..sources.embedded import after, json_between, x_js_literal
 from ..sources.html import first_text, has_class, html_documents, nodes_of
 from . import registry as R
 
@@ -654,15 +654,14 @@ _ENTRY = (
 
 
 def _release_rows(df: DataFrame, body: str, section: str, field: str) -> DataFrame:
-    script = json_between(F.col(body), r'(?s)<script id="route-init-data" type="application/json">\s*(.*?)\s*</script>')
-    island = json_between(F.col(body), r'(?s)<script type="application/json" data-ssr-props="[^"]*">\s*(.*?)\s*</script>')
-    payload = F.coalesce(script, island)
-    where = F.coalesce(
-        F.get_json_object("_payload", f"$.{section}.{field}"), F.get_json_object("_payload", f"$.data.{field}")
-    )
+    tag = r'(?:id="route-init-data" type="application/json"|type="application/json" data-ssr-props="[^"]*")'
+    payload = json_between(F.col(body), rf"(?s)<script {tag}>\s*(.*?)\s*</script>")
+    # Both generations of the payload in one parse.
+    holder = f"struct<{field} array<{_ENTRY}>>"
     keys = [c for c in df.columns if c != body]
-    parsed = df.withColumn("_payload", payload)
-    base = array_rows(parsed, keys, F.from_json(where, f"array<{_ENTRY}>"), "position", "e")
+    parsed = once(df, keys, {"_json": F.from_json(payload, f"struct<{section} {holder}, data {holder}>")})
+    entries = F.coalesce(F.col(f"_json.{section}.{field}"), F.col(f"_json.data.{field}"))
+    base = array_rows(parsed, keys, entries, "position", "e")
     split = M.norm_ts_calendar(F.col("e.date"))
     return base.select(
         *keys,
@@ -706,7 +705,7 @@ def x_tiles(df: DataFrame, anchor: str, body: str = "body") -> DataFrame:
     are never turned into a series.
     """
     keys = [c for c in df.columns if c != body]
-    payload = F.from_json(x_embedded_json(F.col(body), anchor), f"map<string,{_TILE}>")
+    payload = F.from_json(after(F.col(body), anchor), f"map<string,{_TILE}>")
     base = map_rows(df, keys, payload, "key", "t")
     t = F.col("t")
 
@@ -788,7 +787,7 @@ def x_map_perf(df: DataFrame, body: str = "body") -> DataFrame:
     """Ticker performance of a map page with subtype, version, hash and delay."""
     keys = [c for c in df.columns if c != body]
     payload = F.from_json(
-        x_embedded_json(F.col(body), r"initialPerf\s*:\s*"),
+        after(F.col(body), r"initialPerf\s*:\s*"),
         "struct<nodes map<string,string>, subtype string, version bigint, hash string>",
     )
     delay = F.regexp_extract(body, r"Stock quotes delayed by ([0-9]+) minute", 1).try_cast("double")
@@ -807,10 +806,44 @@ _TREE = (
 
 
 def x_hierarchy(df: DataFrame, body: str = "body") -> DataFrame:
-    """A hierarchy asset to its leaves in tree order; a leaf without value counts 0."""
+    """A hierarchy asset to its leaves in tree order; a leaf without value counts 0.
+
+    Assets of another shape have no leaves here; ``hierarchy_problems`` names them.
+    """
+    keys = [c for c in df.columns if c != body]
+    good = _hierarchies(df, body).where(F.col("problem").isNull())
+    return leaves_of(good.select(*keys, "root"), keys)
+
+
+def _hierarchies(df: DataFrame, body: str) -> DataFrame:
+    keys = [c for c in df.columns if c != body]
+    tree = F.from_json(x_js_literal(after(F.col(body), r"e\.exports\s*=\s*(?=\{)")), _TREE)
+    parsed = once(df, keys, {"root": tree})
+    return parsed.withColumn("problem", hierarchy_problem(F.col("root")))
+
+
+def hierarchy_problem(root: Column) -> Column:
+    """The first way in which a tree is not sectors of industries of named leaves; null if it is."""
+
+    def lacks(level: Column) -> Column:
+        return F.exists(level, lambda x: x["name"].isNull() | (F.coalesce(F.size(x["children"]), F.lit(0)) <= 0))
+
+    sectors = root["children"]
+    industries = F.flatten(F.transform(sectors, lambda s: s["children"]))
+    leaves = F.flatten(F.transform(industries, lambda i: i["children"]))
+    return (
+        F.when(root.isNull(), F.lit("no hierarchy"))
+        .when(F.coalesce(F.size(sectors), F.lit(0)) <= 0, F.lit("no sectors"))
+        .when(lacks(sectors), F.lit("sector without name or industries"))
+        .when(lacks(industries), F.lit("industry without name or leaves"))
+        .when(F.exists(leaves, lambda x: x["name"].isNull()), F.lit("leaf without name"))
+    )
+
+
+def hierarchy_problems(df: DataFrame, body: str = "body") -> DataFrame:
+    """Assets that are no hierarchy, each with its ``problem``."""
     keys = [c for c in df.columns if c != body]
-    tree = F.from_json(x_js_literal(x_object_literal(F.col(body), r"e\.exports\s*=\s*")), _TREE)
-    return leaves_of(df.select(*keys, tree.alias("root")), keys)
+    return _hierarchies(df, body).where(F.col("problem").isNotNull()).select(*keys, "problem")
 
 
 def leaves_of(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -21,6 +21,15 @@ def json_between(body: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(body, pattern, 1), F.lit(""))
 
 
+def after(body: Column, anchor: str) -> Column:
+    """What follows the regex ``anchor``; null without it. JVM-side.
+
+    ``from_json`` reads the first JSON value of a text and ignores the rest, so a
+    typed read of an embedded payload needs no more than this.
+    """
+    return F.nullif(F.regexp_extract(body, f"(?s){anchor}(.*)", 1), F.lit(""))
+
+
 def x_embedded_json(body: Column, anchor: str) -> Column:
     """The first JSON value after the regex ``anchor``, as its verbatim text.
 
