@@ -3,7 +3,7 @@
 Every language gets a character model of order four over letters (lower-cased) and single
 spaces. A text goes to the language with the lowest cross-entropy per character, unless it
 has no letter or its cross-entropy lies above what texts of that language, held out from the
-counts, ever show (calibrated rejection).
+counts, ever show (calibrated rejection), with an allowance for short texts.
 
 Counting runs on Spark over a bounded sample of labelled texts; what is collected is one
 row per distinct character sequence of that sample and language. The model is a few sorted
@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from .common import Texts, in_chunks, mix
 
 ORDER = 4
+SLACK = 8.0
 _SPACE = 32
 _CHUNK = 1 << 20  # several arrays per letter are alive at once
 _letters: np.ndarray | None = None
@@ -229,7 +230,8 @@ def annotate(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
         for rows, texts in in_chunks(batches, "__text" if own else text_col, _CHUNK):
             if model.languages:
                 best, entropy, confidence, found = model.score(texts)
-                limit = np.inf if model.limits is None else model.limits[best]
+                # The mean over few letters strays farther: the allowance falls with the root of their number.
+                limit = np.inf if model.limits is None else model.limits[best] + SLACK / np.sqrt(np.maximum(found, 1))
                 known = found > 0
                 names = np.where(known, np.array(model.languages, object)[best], "und")
                 accepted = known & (entropy <= limit)
