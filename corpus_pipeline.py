@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickweave.llm import jaccard_join, language_id, mixing, queries, secret_scan, sentence_pieces
-from tickweave.llm.common import materialise, split_by_ids
+from tickweave.llm.common import materialise, small_batches, split_by_ids
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,6 +19,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Without a letter, or with a cross-entropy beyond any held-out text's, a text is rejected.
     """
+    small_batches(spark)
     return language_id.annotate(docs, language_id.train(docs), only_accepted=True)
 
 
@@ -27,6 +28,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Of rows that repeat an id one stays. Documents without id or without words stay.
     """
+    small_batches(spark)
     found = materialise(jaccard_join.near_duplicate_components(docs))
     listed = found.where("id is not null").groupBy("id").agg(F.max((F.col("component_id") != F.col("id")).cast("int")).alias("copy"), F.count("*").alias("rows"))
     listed = materialise(listed.where("copy = 1 or rows > 1").select(F.col("id").alias("__id"), F.col("copy").alias("__copy")))
@@ -40,16 +42,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, the values of live secrets replaced by a mark; widely copied examples stay."""
+    small_batches(spark)
     return secret_scan.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights of their sources take them."""
+    small_batches(spark)
     return mixing.mixed_documents(docs)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix."""
+    small_batches(spark)
     return sentence_pieces.encode(docs, queries.piece_vocabulary(), keep=["doc_id", "lang", "source"])
 
 

@@ -43,6 +43,16 @@ def settings(spark: SparkSession, **values: str):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+#: Texts in an Arrow batch: both sides of the pipe hold some of them at a time.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Hand texts to Python in batches of ``BATCH_ROWS``; a session setting, as plans run later."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """``df`` kept by a reliable checkpoint; the shuffle files that made it are released."""
     with settings(df.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann_search, jaccard_join, language_id, license_scan, lm_scoring, mixing, secret_scan, sentence_pieces, topk_search, warc
+from .common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,7 +25,7 @@ def query(name: str, oracle: str | None = None):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 @query("op5_ngram_jaccard_join")
