@@ -28,6 +28,7 @@ from .common import Texts, in_chunks, ragged, run_hashes
 
 _MARK = "▁"
 _UNKNOWN = 1 << 20
+_INDEXED = 256 << 10  # bytes of distinct text indexed at a time: its edges are many times that
 _agree: dict[int, dict[int, bool]] = {}
 _encoders: dict[int, Encoder] = {}
 
@@ -168,7 +169,7 @@ def suffix_edges(buffer: np.ndarray, pieces: np.ndarray, sizes: np.ndarray) -> t
     last = np.frombuffer(b"".join(p + b"\xff" * (width - len(p)) for p in pieces.tolist()), f"S{width}")
     lo, hi = np.searchsorted(suffixes, pieces, "left"), np.searchsorted(suffixes, last, "right")
     count = hi - lo
-    return starts[order][ragged(lo, count)], np.repeat(np.arange(len(pieces)), count)
+    return starts[order].astype(np.int32)[ragged(lo, count)], np.repeat(np.arange(len(pieces), dtype=np.int32), count)
 
 
 class Encoder:
@@ -214,7 +215,10 @@ class Encoder:
         slot = np.fromiter((self.known.get(x, -1) for x in h.tolist()), np.int64, len(h))
         new = np.flatnonzero(slot < 0)
         if len(new):
-            self._learn(buffer, starts[at[new]], ends[at[new]])
+            s, e = starts[at[new]], ends[at[new]]
+            part = np.cumsum(e - s) // _INDEXED
+            for cut in np.split(np.arange(len(new)), np.flatnonzero(np.diff(part)) + 1):
+                self._learn(buffer, s[cut], e[cut])
             slot[new] = np.arange(len(self.first) - len(new), len(self.first))
             self.known.update(zip(h[new].tolist(), slot[new].tolist(), strict=True))
         first, count = np.frombuffer(self.first, np.int64) if len(self.first) else np.zeros(0, np.int64), np.frombuffer(self.count, np.int32) if len(self.count) else np.zeros(0, np.int32)
