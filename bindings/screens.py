@@ -328,32 +328,36 @@ def sym_resolve_join(t):
     return L.sym_resolve_join(requests, t("securities").select("symbol", "price")).select("position", "requested", "canonical", "price")
 
 
-def _registry(t, year: int):
-    """The registry observed in one year: priorities as entries, statuses as fields."""
-    rows = t("orders").where(F.year("o_orderdate") == year)
-    return rows.groupBy(F.col("o_orderstatus").alias("namespace"), F.concat("o_orderpriority", F.month("o_orderdate")).alias("name")).agg(
+_TURN = "1998-04-01"
+
+
+def _registry(t, later: bool):
+    """The registry of the orders before or from a day on: priorities as entries, statuses as namespaces."""
+    side = F.col("o_orderdate") >= _TURN if later else F.col("o_orderdate") < _TURN
+    name = F.concat("o_orderpriority", F.lit("/"), F.col("o_custkey") % 700)
+    return t("orders").where(side).groupBy(F.col("o_orderstatus").alias("namespace"), name.alias("name")).agg(
         F.count("*").alias("code"), (F.count("*") % 2).alias("kind")
     )
 
 
-_REG = """SELECT o_orderstatus AS namespace, o_orderpriority || month(o_orderdate) AS name, count(*) AS code, count(*) % 2 AS kind
-    FROM orders WHERE year(o_orderdate) = {0} GROUP BY ALL"""
+_REG = """SELECT o_orderstatus AS namespace, o_orderpriority || '/' || o_custkey % 700 AS name, count(*) AS code, count(*) % 2 AS kind
+    FROM orders WHERE o_orderdate {0} TIMESTAMP '1998-04-01' GROUP BY ALL"""
 _DIFF = f"""SELECT coalesce(a.namespace, b.namespace) AS namespace, coalesce(a.name, b.name) AS name,
         CASE WHEN a.name IS NULL THEN 'added' WHEN b.name IS NULL THEN 'removed' ELSE 'changed' END AS change,
         a.code AS old_code, b.code AS new_code, a.kind AS old_kind, b.kind AS new_kind
-    FROM (SELECT * FROM ({_REG.format(1996)}) WHERE namespace IN (SELECT o_orderstatus FROM orders WHERE year(o_orderdate) = 2001)) a
-    FULL JOIN ({_REG.format(2001)}) b ON a.namespace = b.namespace AND a.name = b.name
+    FROM (SELECT * FROM ({_REG.format('<')}) WHERE namespace IN (SELECT o_orderstatus FROM orders WHERE o_orderdate >= TIMESTAMP '1998-04-01')) a
+    FULL JOIN ({_REG.format('>=')}) b ON a.namespace = b.namespace AND a.name = b.name
     WHERE a.name IS NULL OR b.name IS NULL OR a.code <> b.code OR a.kind <> b.kind"""
 
 
 @query("registry_diff_join", _DIFF)
 def registry_diff_join(t):
-    return L.registry_diff(_registry(t, 1996), _registry(t, 2001)).drop("fields")
+    return L.registry_diff(_registry(t, False), _registry(t, True)).drop("fields")
 
 
 @query("registry_diff", f"SELECT namespace, change, count(*) AS n FROM ({_DIFF}) GROUP BY namespace, change")
 def registry_diff(t):
-    return L.registry_diff(_registry(t, 1996), _registry(t, 2001)).groupBy("namespace", "change").agg(F.count("*").alias("n"))
+    return L.registry_diff(_registry(t, False), _registry(t, True)).groupBy("namespace", "change").agg(F.count("*").alias("n"))
 
 
 @query(

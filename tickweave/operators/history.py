@@ -50,21 +50,21 @@ def with_previous(df: DataFrame, key: list[str], order: list[str], value: Column
     )
 
 
-def hist_dedupe_response(df: DataFrame, key: list[str], digest: str = "response_hash", order: tuple[str, ...] = ("fetched_at", "id"), mode: str = "ever") -> DataFrame:
+def hist_dedupe_response(df: DataFrame, key: list[str], digest: str = "response_hash", order: tuple[str, ...] = ("fetched_at", "id"), mode: str = "ever", unit: str = BUCKET) -> DataFrame:
     """Captures whose body hash is new: never seen (``ever``) or unlike the last (``changed``)."""
     if mode == "ever":
         first = df.groupBy(*key, digest).agg(
             F.min_by(F.struct(*[c for c in df.columns if c not in (*key, digest)]), F.struct(*order)).alias("_first")
         )
         return first.select(*key, digest, "_first.*").select(*df.columns)
-    prev = with_previous(df, key, list(order), F.col(digest), "previous")
+    prev = with_previous(df, key, list(order), F.col(digest), "previous", unit)
     return prev.where(~F.col("has_previous") | ~F.col("previous").eqNullSafe(F.col(digest))).select(*df.columns)
 
 
-def hist_change_feed(df: DataFrame, key: list[str], values: list[str], order: tuple[str, ...] = ("fetched_at", "id")) -> DataFrame:
+def hist_change_feed(df: DataFrame, key: list[str], values: list[str], order: tuple[str, ...] = ("fetched_at", "id"), unit: str = BUCKET) -> DataFrame:
     """Rows whose normalised values differ from the key's previous row."""
     hashed = df.withColumn("row_hash", hash_row(*[F.col(v) for v in values]))
-    prev = with_previous(hashed, key, list(order), F.col("row_hash"), "previous_hash")
+    prev = with_previous(hashed, key, list(order), F.col("row_hash"), "previous_hash", unit)
     changed = ~F.col("has_previous_hash") | (F.col("previous_hash") != F.col("row_hash"))
     return prev.where(changed).drop("has_previous_hash")
 
@@ -132,9 +132,9 @@ def asof_join(
     return joined.select(*key, "_row.*", found["_seen_at"].alias(f"asof_{right_at}"), *[found[c].alias(f"asof_{c}") for c in take])
 
 
-def hist_revisions(df: DataFrame, key: list[str], value: str, order: tuple[str, ...] = ("fetched_at", "id")) -> DataFrame:
+def hist_revisions(df: DataFrame, key: list[str], value: str, order: tuple[str, ...] = ("fetched_at", "id"), unit: str = BUCKET) -> DataFrame:
     """Rows that revise an earlier value of the same key, with old and new value."""
-    prev = with_previous(df, key, list(order), F.col(value), "old_value")
+    prev = with_previous(df, key, list(order), F.col(value), "old_value", unit)
     revised = F.col("has_old_value") & ~F.col("old_value").eqNullSafe(F.col(value))
     return prev.where(revised).select(*key, order[0], "old_value", F.col(value).alias("new_value"))
 

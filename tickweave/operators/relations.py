@@ -29,12 +29,12 @@ def map_join_perf(leaves: DataFrame, perf: DataFrame) -> DataFrame:
 
 
 def map_unmapped(perf: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Symbols with a performance but no leaf, in symbol order."""
-    return perf.join(leaves.select("symbol"), "symbol", "left_anti").select("symbol").orderBy("symbol")
+    """Symbols with a performance but no leaf."""
+    return perf.join(leaves.select("symbol"), "symbol", "left_anti").select("symbol")
 
 
 def map_bundle(leaves: DataFrame, perf: DataFrame) -> dict[str, DataFrame]:
-    """Constituents in tree order, unmapped symbols, and one row of facts."""
+    """Constituents with their place in the tree, unmapped symbols, and one row of facts."""
     joined = map_join_perf(leaves, perf)
     unmapped = map_unmapped(perf, leaves)
     facts = joined.agg(
@@ -42,9 +42,7 @@ def map_bundle(leaves: DataFrame, perf: DataFrame) -> dict[str, DataFrame]:
         F.count("perf").alias("n_with_perf"),
         F.countDistinct("sector").alias("n_sectors"),
     ).crossJoin(unmapped.agg(F.count("*").alias("n_unmapped")))  # one row by one row
-    place = [c for c in ("sector_no", "industry_no", "leaf_no") if c in joined.columns]
-    ordered = joined.orderBy(*place) if place else joined
-    return {"constituents": ordered, "unmapped": unmapped, "facts": facts}
+    return {"constituents": joined, "unmapped": unmapped, "facts": facts}
 
 
 def futures_category(tiles: DataFrame, listed: DataFrame, order: Sequence[str] = ("g_no", "c_no")) -> DataFrame:
