@@ -162,6 +162,27 @@ def filter_numeric(t):
     return t("securities").where(S.filter_predicate("Price", "Under 100000.5")).select("symbol", "price")
 
 
+_MEASURES = ", ".join(f"({i}, '{label}')" for i, label in enumerate(R.MEASURES, 1))
+
+
+@query(
+    "filter_measures",
+    f"""SELECT label, CAST(count_if(volume * i % 1000 > 500 AND volume * i % 1000 BETWEEN 100 AND 900 AND NOT volume * i % 1000 < 300) AS BIGINT) AS n
+    FROM securities, (VALUES {_MEASURES}) AS m(i, label) GROUP BY label""",
+    "securities",
+)
+def filter_measures(t):
+    """All three forms of option of every measure's filter, counted in one pass."""
+    shown = {c: (F.col("volume") * i % 1000).cast("double") for i, c in enumerate(R.MEASURES.values(), 1)}
+
+    def passes(label):
+        over, inside, under = (S.filter_predicate(label, o) for o in ("Over 500", "100 to 900", "Under 300"))
+        return F.count_if(S.filter_conjunction([over, inside, ~under]))
+
+    counts = F.array(*[F.struct(F.lit(x).alias("label"), passes(x).alias("n")) for x in R.MEASURES])
+    return t("securities").select("volume").withColumns(shown).agg(counts.alias("c")).select(F.inline("c"))
+
+
 @query(
     "filter_date",
     "SELECT symbol, earnings_date FROM securities WHERE earnings_date BETWEEN DATE '2001-08-01' AND DATE '2001-08-31'",

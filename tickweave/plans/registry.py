@@ -339,7 +339,18 @@ FILTERS = {
     )
 }
 
+# Every other measure of the units table has a filter and an order under its own label.
+_COVERED = {f.column for f in FILTERS.values()}
+MEASURES = {
+    label: label_to_field(label)
+    for labels in SCREEN_UNITS.values()
+    for label in labels
+    if label not in ("No.", *FILTERS) and label_to_field(label) not in _COVERED and UNIT_TYPE.get(unit_of(label, "screen")) in ("double", "bigint")
+}
+FILTERS |= {label: FilterSpec(label, "numeric", column) for label, column in MEASURES.items()}
+
 ORDERS = {
+    **MEASURES,
     "Ticker": "symbol",
     "Company": "company",
     "Sector": "sector",
