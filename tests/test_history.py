@@ -121,6 +121,15 @@ def test_streaming_change_feed_is_the_same_when_an_epoch_is_replayed(spark, tmp_
         assert sorted(r.id for r in sink.read(spark).collect()) == before
 
 
+def test_state_is_compacted_and_old_epochs_go(spark, tmp_path, df, data):
+    ordered = sorted(data, key=lambda r: (r[3], r[0]))
+    sink = S.ChangeFeed(str(tmp_path / "out"), ["symbol"], ["value"], buckets=4, full_every=2)
+    for epoch, i in enumerate(range(0, 1200, 150)):
+        sink(spark.createDataFrame(ordered[i : i + 150], "id int, symbol string, value double, fetched_at timestamp"), epoch)
+    assert {r.id for r in sink.read(spark).collect()} == {r.id for r in H.hist_change_feed(df, ["symbol"], ["value"]).collect()}
+    assert sorted(p.name for p in (tmp_path / "out" / "state").glob("epoch=*")) == [f"epoch={e}" for e in range(4, 8)]
+
+
 def test_a_lost_state_stops_the_stream(spark, tmp_path, data):
     sink = S.ChangeFeed(str(tmp_path / "out"), ["symbol"], ["value"])
     part = spark.createDataFrame(data[:50], "id int, symbol string, value double, fetched_at timestamp")

@@ -63,22 +63,44 @@ class LateRows:
 class ChangeFeed:
     """Appends the rows whose values changed since the key's last row.
 
-    The state is one ``(key, time, id, hash)`` row per key. Inside a batch the
-    bucketed change feed does the work, so a hot key is spread like in batch.
-    Rows older than their key's state are diverted as late, never compared.
+    The state is one ``(key, time, id, hash)`` row per key, in buckets by a hash of
+    the key. An epoch reads only the buckets its rows fall into and writes only the
+    keys it touched; every ``full_every``-th epoch writes the whole state, and what
+    lies before the full state preceding it is deleted. Inside a batch the bucketed
+    change feed does the work, so a hot key is spread like in batch. Rows older than
+    their key's state are diverted as late, never compared.
     """
 
-    def __init__(self, folder: str, key: list[str], values: list[str], order: tuple[str, str] = ("fetched_at", "id")):
+    def __init__(self, folder: str, key: list[str], values: list[str], order: tuple[str, str] = ("fetched_at", "id"), buckets: int = 64, full_every: int = 20):
         self.folder, self.key, self.values, self.order = folder, key, values, order
+        self.buckets, self.full_every = buckets, full_every
 
     def _state_schema(self, batch: DataFrame) -> str:
         columns = [*self.key, *self.order]
-        return ", ".join(f"{c} {batch.schema[c].dataType.simpleString()}" for c in columns) + ", row_hash string"
+        return ", ".join(f"{c} {batch.schema[c].dataType.simpleString()}" for c in columns) + ", row_hash string, bucket int"
+
+    def _state(self, batch: DataFrame, epoch: int, touched: list[int] | None) -> DataFrame:
+        """The newest row of every key before ``epoch``, of the touched buckets or all."""
+        spark, schema = batch.sparkSession, self._state_schema(batch)
+        if epoch == 0:
+            return spark.createDataFrame([], schema)
+        first = (epoch - 1) // self.full_every * self.full_every
+        # A missing epoch fails the read: starting over would append every row again.
+        paths = [f"{self.folder}/state/epoch={e}" for e in range(first, epoch)]
+        rows = spark.read.schema(schema).option("basePath", f"{self.folder}/state").parquet(*paths)
+        if touched is not None:
+            rows = rows.where(F.col("bucket").isin(touched))
+        newest = F.max_by(F.struct(*self.order, "row_hash"), F.struct(*self.order)).alias("n")
+        return rows.groupBy("bucket", *self.key).agg(newest).select("bucket", *self.key, "n.*")
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         at, tie = self.order
-        state = _read_epoch(spark, f"{self.folder}/state", epoch - 1, self._state_schema(batch))
+        bucket = F.pmod(F.hash(*self.key), F.lit(self.buckets)).alias("bucket")
+        batch = batch.persist()
+        full = epoch > 0 and epoch % self.full_every == 0
+        touched = None if full else [r.bucket for r in batch.select(bucket).distinct().collect()]  # at most ``buckets``
+        state = self._state(batch, epoch, touched)
         known = state.select(*self.key, F.struct(at, tie).alias("_seen"), F.col("row_hash").alias("_hash"))
         joined = batch.join(known, self.key, "left")
         late = joined.where(F.struct(at, tie) <= F.col("_seen"))
@@ -92,20 +114,25 @@ class ChangeFeed:
         feed.write.mode("overwrite").parquet(f"{self.folder}/feed/epoch={epoch}")
         written = spark.read.parquet(f"{self.folder}/feed/epoch={epoch}")
         # Unchanged rows advance the time of their key but not its hash.
-        newest = fresh.groupBy(*self.key).agg(F.max(F.struct(at, tie)).alias("_seen"))
+        newest = fresh.groupBy(*self.key).agg(F.max(F.struct(at, tie)).alias("_s"), F.first("_hash").alias("_hash"))
         hashes = written.groupBy(*self.key).agg(F.max_by("row_hash", F.struct(at, tie)).alias("_new"))
-        merged = (
-            known.join(newest.withColumnRenamed("_seen", "_later"), self.key, "full_outer")
-            .join(hashes, self.key, "left")
-            .select(
-                *self.key,
-                F.coalesce("_later", "_seen").alias("_s"),
-                F.coalesce("_new", "_hash").alias("row_hash"),
-            )
+        changed = newest.join(hashes, self.key, "left").select(
+            *self.key, F.col(f"_s.{at}").alias(at), F.col(f"_s.{tie}").alias(tie), F.coalesce("_new", "_hash").alias("row_hash")
         )
-        merged.select(*self.key, F.col(f"_s.{at}").alias(at), F.col(f"_s.{tie}").alias(tie), "row_hash").write.mode(
-            "overwrite"
-        ).parquet(f"{self.folder}/state/epoch={epoch}")
+        if full:
+            changed = changed.unionByName(state.drop("bucket").join(changed.select(*self.key), self.key, "left_anti"))
+        out = changed.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket")
+        out.parquet(f"{self.folder}/state/epoch={epoch}")
+        batch.unpersist()
+        if full:
+            self._forget(spark, epoch - self.full_every)
+
+    def _forget(self, spark: SparkSession, before: int) -> None:
+        """Delete the state of epochs before ``before``; a full state has taken their place."""
+        jvm = spark.sparkContext._jvm
+        for e in range(max(0, before - self.full_every), before):
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/state/epoch={e}")
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     def read(self, spark: SparkSession, part: str = "feed") -> DataFrame:
         return spark.read.option("basePath", f"{self.folder}/{part}").parquet(f"{self.folder}/{part}/epoch=*")
