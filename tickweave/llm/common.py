@@ -173,6 +173,8 @@ def in_chunks(batches: Iterator[pa.RecordBatch], column: str, size: int = _CHUNK
             part = texts.bounds[i : j + 1]
             yield table.slice(i, j - i), Texts(texts.data[part[0] : part[-1]], part - part[0])
             i = j
+        del table, texts
+    pa.default_memory_pool().release_unused()  # a worker lives on; what its task has freed goes back
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

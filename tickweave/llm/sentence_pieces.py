@@ -113,7 +113,7 @@ class Vocabulary:
         if left < 0:
             return True
         known = self._apart(left, right)
-        if len(memo) > 300_000:
+        if len(memo) > 150_000:
             memo.clear()
         memo[(left + 1) << 22 | right] = known
         return known
@@ -175,7 +175,7 @@ def suffix_edges(buffer: np.ndarray, pieces: np.ndarray, sizes: np.ndarray) -> t
 class Encoder:
     """Encodes units of a task's batches; remembers them up to ``most`` ids."""
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 1_500_000):
+    def __init__(self, vocabulary: Vocabulary, most: int = 700_000):
         self.v, self.most = vocabulary, most
         self.memo = _agree.setdefault(vocabulary.memo, {})
         names = sorted((p.encode(), i) for p, i in vocabulary.ids.items() if p)
