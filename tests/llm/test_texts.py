@@ -259,3 +259,31 @@ def test_widely_copied_values_are_examples(spark):
     assert found[20] == found[21] == []  # two owners: not one's own
     text = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
     assert text[0].startswith("key AKIAEXAMPLE") and text[10] == "key [SECRET]" and text[20].startswith("use ghp_") and text[30] is None
+
+
+@pytest.mark.parametrize("text", [
+    "see https://example.org/2019/05/a-walk-in-the-old-town for more", "org/2019/05/a-walk-in-the-old-town", "2012-summer-olympics-medal-table",
+    "covid-19-vaccination-programme-report", "doi:10.1093/bioinformatics-btab123-supplement", "https://doi.org/10.1016/S0140673620301835Ab7xQ9Zk2Lm",
+    "https://cdn.example.com/v/t51/x8Kq2ZpL0vRt7YwB3nMd/photo", "/home/u1/x8Kq2ZpL0vRt7YwB3nMd", "x8Kq2ZpL0vRt7YwB3nMd.jpg", "x8Kq2ZpL0vRt7YwB3nMd@example.com",
+    "WalkInTheOldTown2019Part2", "sk-learn-tutorial-2019-part-one", "550e8400-e29b-41d4-a716-446655440000", "ISO-8601-2004-E-2019-12-31",
+])
+def test_urls_slugs_and_identifiers_are_no_secrets(text):
+    assert [c for c in secret_scan.candidates(text) if c[0] == 3] == []
+
+
+def test_random_keys_are_secrets():
+    import random
+    import string
+
+    r = random.Random(5)
+    keys = ["".join(r.choices(string.ascii_letters + string.digits, k=40)) for _ in range(2000)]
+    keys += ["".join(r.choices(string.ascii_letters + string.digits + "+/", k=40)) for _ in range(2000)]
+    found = [bool(secret_scan.candidates(f"the key is '{k}' here")) for k in keys if any(c.isdigit() for c in k[:25]) and k[0] not in "+/"]
+    assert sum(found) >= 0.99 * len(found)
+    assert secret_scan.candidates("https://h/x?q=ghp_Abc123Def456Ghi789Jkl0")[0][0] == 3
+
+
+def test_redaction_leaves_clean_text(spark):
+    clean = "read http://example.org/2019/05/a-walk-in-the-old-town and 2012-summer-olympics-medal-table"
+    df = spark.createDataFrame([(1, clean, "en", "a"), (2, "key x8Kq2ZpL0vRt7YwB3nMd9c", "en", "b")], "doc_id long, text string, lang string, source string")
+    assert {r.doc_id: r.text for r in secret_scan.redact(df).collect()} == {1: clean, 2: "key [SECRET]"}

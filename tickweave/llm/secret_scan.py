@@ -7,7 +7,8 @@ have is a copied example (documentation, fixtures, test vectors); one that a sin
 has is likely live. So
 
 * base spans always stay, each with the verdict on its value (``live`` or ``example``), and
-* random looking tokens become spans of kind ``owned`` where one owner has them.
+* credential-like tokens become spans of kind ``owned`` where one owner has them. Such a token
+  has a known key prefix, or is no URL, path, DOI, slug or identifier: see ``credential_like``.
 
 Only hashes and positions are shuffled, never texts or values. A value that a third of all
 documents hold is combined before the shuffle and meets its spans again by a join that
@@ -33,6 +34,15 @@ KINDS = ("assign", "access", "hex", "owned")
 _ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
+#: What stands before a token that is part of a URL, a path, a DOI or an address, and what behind.
+_PLACE = re.compile(r"://|^www\.|^doi:|^10\.[0-9]{4,}/|[/\\~@#?&%]$|^[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]*$", re.I | re.A)
+_FILE = re.compile(r"@|\.[A-Za-z][A-Za-z0-9]{1,4}(?![A-Za-z0-9])|\.[A-Za-z0-9-]+[/.]", re.A)
+_EDGE = re.compile(r"[\s\"'`<>(){}\[\]|,;]")
+#: Prefixes that issuers give their keys; an unbroken tail of 16 or more characters must follow.
+_PREFIXED = re.compile(r"(?:gh[pousr]_|github_pat_|glpat-|[spr]k_(?:live|test)_|sk-(?:proj-|ant-[a-z0-9]+-)?|xox[abeoprs]-(?:[0-9]+-)*|AIza|ya29|npm_|pypi-|hf_|shp(?:at|ca|pa|ss)_|dop_v1_|eyJ)([A-Za-z0-9]{16,})")
+_UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+_CHANGE = re.compile(r"[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])")
+_PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[A-Z]|[0-9]+")
 #: A run of key characters with a digit early enough to be more than a long word.
 _RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,24}[0-9])[A-Za-z0-9+/_-]{20,}")
 _SPAN = "array<struct<kind:int,start:int,end:int,hash:string>>"
@@ -44,12 +54,45 @@ def entropy(text: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(text).values())
 
 
+def _ordinary(piece: str) -> bool:
+    """Whether a piece of one kind of characters reads like a word or a number."""
+    if piece.isdigit():
+        return len(piece) >= 4
+    return len(piece) >= 3 and (any(c in "aeiouyAEIOUY" for c in piece) or len(piece) >= 6)
+
+
+def credential_like(text: str, start: int, end: int, least: float = 3.5) -> bool:
+    """Whether the token ``text[start:end]`` looks like a key that somebody was given.
+
+    A known prefix with a random tail always does. Other tokens must stand outside URLs, paths,
+    DOIs, addresses and file names, hold eight characters without a separator, few separators, letters
+    with digits or both cases of letters, an entropy of ``least`` bits a character, and
+    either a change between letters and digits in every five characters, or less than three fifths
+    of their characters in words and numbers as slugs and identifiers have them. UUIDs are none.
+    """
+    word = text[start:end]
+    known = _PREFIXED.match(word)
+    if known and entropy(known[1]) >= 3.0 and len({(c.isdigit(), c.isupper()) for c in known[1]}) > 1:
+        return True
+    parts = re.split(r"[+/_-]+", word)
+    if max(map(len, parts)) < 8 or 8 * (len(parts) - 1) > len(word) or entropy(word) < least:
+        return False
+    if len({"d" if c.isdigit() else "u" if c.isupper() else "l" for c in "".join(parts)}) < 2:
+        return False
+    pieces = [x for part in parts for x in _PIECE.findall(part)]
+    changes = len(_CHANGE.findall(word))
+    if _UUID.fullmatch(word) or 5 * changes < len(word) and 5 * sum(len(x) for x in pieces if _ordinary(x)) >= 3 * sum(map(len, parts)):
+        return False
+    before = _EDGE.split(text[max(0, start - 2048) : start])[-1]
+    return not (word[0] == "/" or _PLACE.search(before) or _FILE.match(text, end))
+
+
 def candidates(text: str, min_entropy: float = 3.0) -> list[tuple[int, int, int, int, int]]:
     """(kind, start, end, value start, value end) of all candidates of a text, in order.
 
     Base kinds are leftmost and non-overlapping each for itself; a match that is too short is
-    dropped after it has used up its text. Random tokens neither overlap base spans nor
-    have a low entropy, and hold letters and digits.
+    dropped after it has used up its text. Credential-like tokens neither overlap base spans nor
+    have a low entropy.
     """
     out = [(0, m.start(), m.end(), *m.span(1)) for m in _ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 12]
     out += [(1, *m.span(), *m.span()) for m in _ACCESS.finditer(text)]
@@ -58,7 +101,7 @@ def candidates(text: str, min_entropy: float = 3.0) -> list[tuple[int, int, int,
     for m in _RANDOM.finditer(text):
         s, e = m.span()
         word = m.group()
-        if any(c.isalpha() for c in word) and not any(a < e and s < b for a, b in base) and entropy(word) >= min_entropy:
+        if entropy(word) >= min_entropy and credential_like(text, s, e) and not any(a < e and s < b for a, b in base):
             out.append((3, s, e, s, e))
     out.sort(key=lambda x: (x[1], x[0]))
     return out
