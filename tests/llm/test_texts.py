@@ -287,3 +287,10 @@ def test_redaction_leaves_clean_text(spark):
     clean = "read http://example.org/2019/05/a-walk-in-the-old-town and 2012-summer-olympics-medal-table"
     df = spark.createDataFrame([(1, clean, "en", "a"), (2, "key x8Kq2ZpL0vRt7YwB3nMd9c", "en", "b")], "doc_id long, text string, lang string, source string")
     assert {r.doc_id: r.text for r in secret_scan.redact(df).collect()} == {1: clean, 2: "key [SECRET]"}
+
+
+def test_keys_need_no_early_digit():
+    for key in ("xKqZpLvRtYwBnMdCfGhJsTkWbQrPzXvNmLcDf7aB2", "xKqZpLvRtYwBnMdCfGhJsTkWbQrPzXvNmLcDfHgS"):
+        assert [c[:3] for c in secret_scan.candidates(f"key {key} end")] == [(3, 4, 4 + len(key))]
+    for word in ("Donaudampfschifffahrtsgesellschaft", "internationalisation-und-lokalisierung", "getElementsByClassNameAndAttribute"):
+        assert secret_scan.candidates(word) == []

@@ -43,8 +43,8 @@ _PREFIXED = re.compile(r"(?:gh[pousr]_|github_pat_|glpat-|[spr]k_(?:live|test)_|
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _CHANGE = re.compile(r"[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])")
 _PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[A-Z]|[0-9]+")
-#: A run of key characters with a digit early enough to be more than a long word.
-_RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,24}[0-9])[A-Za-z0-9+/_-]{20,}")
+#: A whole run of key characters; ``credential_like`` decides on all of it.
+_RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}")
 _SPAN = "array<struct<kind:int,start:int,end:int,hash:string>>"
 
 
@@ -67,7 +67,8 @@ def credential_like(text: str, start: int, end: int, least: float = 3.5) -> bool
     A known prefix with a random tail always does. Other tokens must stand outside URLs, paths,
     DOIs, addresses and file names, hold eight characters without a separator, few separators, letters
     with digits or both cases of letters, an entropy of ``least`` bits a character, and
-    either a change between letters and digits in every five characters, or less than three fifths
+    either a change between letters and digits in every five characters, or (of one run) pieces
+    of less than three characters, or less than three fifths
     of their characters in words and numbers as slugs and identifiers have them. UUIDs are none.
     """
     word = text[start:end]
@@ -81,7 +82,7 @@ def credential_like(text: str, start: int, end: int, least: float = 3.5) -> bool
         return False
     pieces = [x for part in parts for x in _PIECE.findall(part)]
     changes = len(_CHANGE.findall(word))
-    if _UUID.fullmatch(word) or 5 * changes < len(word) and 5 * sum(len(x) for x in pieces if _ordinary(x)) >= 3 * sum(map(len, parts)):
+    if _UUID.fullmatch(word) or 5 * changes < len(word) and (len(parts) > 1 or 3 * len(pieces) <= len(word)) and 5 * sum(len(x) for x in pieces if _ordinary(x)) >= 3 * sum(map(len, parts)):
         return False
     before = _EDGE.split(text[max(0, start - 2048) : start])[-1]
     return not (word[0] == "/" or _PLACE.search(before) or _FILE.match(text, end))
