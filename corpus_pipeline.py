@@ -7,7 +7,6 @@ A stage works on all that the one before kept. All but the last return the colum
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickweave.llm import jaccard_join, language_id, mixing, queries, secret_scan, sentence_pieces
@@ -24,20 +23,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group that near duplicates connect.
+    """One document of each group that near duplicates connect: the smallest id, then text.
 
-    Of rows that repeat an id one stays. Documents without id or without words stay.
+    Texts are linked by a digest of their content, so rows that repeat an id stand for
+    themselves. Documents without id are a group's copies of each other, but not of documents that
+    have one: of a group one of each sort stays. Documents without words stay.
     """
     small_batches(spark)
-    found = materialise(jaccard_join.near_duplicate_components(docs))
-    listed = found.where("id is not null").groupBy("id").agg(F.max((F.col("component_id") != F.col("id")).cast("int")).alias("copy"), F.count("*").alias("rows"))
-    listed = materialise(listed.where("copy = 1 or rows > 1").select(F.col("id").alias("__id"), F.col("copy").alias("__copy")))
-    maybe, single = split_by_ids(docs, listed, "doc_id", "__id")
-    maybe = maybe.join(listed, maybe["doc_id"] == listed["__id"], "left").where("__copy is null or __copy = 0")
-    place = F.row_number().over(W.partitionBy("doc_id").orderBy(F.xxhash64("text", "source", "lang"), "text"))
-    first = maybe.where("__copy = 0").withColumn("__place", place).where("__place = 1")
-    rest = maybe.where("__copy is null")
-    return single.unionByName(rest.select(*docs.columns)).unionByName(first.select(*docs.columns))
+    keyed = docs.withColumn("__key", F.xxhash64("text"))
+    found = materialise(jaccard_join.near_duplicate_components(keyed, "__key").where("n_shingles > 0"))
+    groups = found.groupBy("component_id").count().where("count > 1").select("component_id")
+    listed = found.join(groups, "component_id").select(F.col("id").alias("__of"), F.col("component_id").alias("__group")).distinct()
+    listed = materialise(listed)
+    maybe, single = split_by_ids(keyed, listed, "__key", "__of")
+    maybe = maybe.join(listed, maybe["__key"] == listed["__of"], "left")
+    rest = maybe.where("__group is null")
+    # Aggregates combine a task's rows first, so a group may hold any share of the table.
+    first = F.min_by(F.struct(*docs.columns), F.struct("doc_id", "text", "source", "lang")).alias("__row")
+    first = maybe.where("__group is not null").groupBy("__group", F.isnull("doc_id")).agg(first).select("__row.*")
+    return single.select(*docs.columns).unionByName(rest.select(*docs.columns)).unionByName(first)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

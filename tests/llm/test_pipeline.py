@@ -38,3 +38,12 @@ def test_run_keeps_all_clean_documents(spark):
     assert pipeline.identify_language(spark, docs, folder).count() == docs.count()
     out = pipeline.run(spark, folder)
     assert out.where("not round_trip").count() == 0 and out.count() > 0
+
+
+def test_repeated_and_null_ids_neither_merge_nor_drop_texts(spark):
+    text = lambda name, last="end": " ".join([*(f"{name}{i}" for i in range(80)), last])
+    rows = [(7, text("a")), (7, text("b")), (9, text("a", "fin")), (10, text("b", "fin")), (11, text("c")), (11, text("d")), (None, text("e")), (None, text("e")), (None, text("e", "fin")), (None, None), (None, None), (None, ""), (12, text("d")), (3, text("f", "x")), (3, text("f", "w"))]
+    df = spark.createDataFrame([(*r, "en", "s") for r in rows], "doc_id long, text string, lang string, source string")
+    got = sorted(((r.doc_id, r.text) for r in pipeline.drop_near_duplicates(spark, df.repartition(3), "/nowhere").collect()), key=str)
+    want = [(7, text("a")), (7, text("b")), (11, text("c")), (11, text("d")), (None, text("e")), (None, None), (None, None), (None, ""), (3, text("f", "w"))]
+    assert got == sorted(want, key=str)
