@@ -51,9 +51,9 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the target weights of their sources take them."""
+    """Documents as often as the target weights of their sources take them, clean texts before junk."""
     small_batches(spark)
-    return mixing.mixed_documents(docs)
+    return mixing.mixed_documents(docs, quality=mixing.text_quality(F.col("text")))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """The stages of the pipeline, on small inputs, against what they must keep."""
 
 import corpus_pipeline as pipeline
+from pyspark.sql import functions as F
 
 from .conftest import shingles
 
@@ -47,3 +48,10 @@ def test_repeated_and_null_ids_neither_merge_nor_drop_texts(spark):
     got = sorted(((r.doc_id, r.text) for r in pipeline.drop_near_duplicates(spark, df.repartition(3), "/nowhere").collect()), key=str)
     want = [(7, text("a")), (7, text("b")), (11, text("c")), (11, text("d")), (None, text("e")), (None, None), (None, None), (None, ""), (3, text("f", "w"))]
     assert got == sorted(want, key=str)
+
+
+def test_mixing_takes_clean_texts_before_junk(spark):
+    rows = [(i, "ein klarer Satz über Flüsse." if i % 2 else "a### b%%% c*** d$$$ e&&& f!!", "de", f"s{i // 2 % 3}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    taken = {r.odd: r["count"] for r in pipeline.mix_sources(spark, df, "/nowhere").groupBy((F.col("doc_id") % 2).alias("odd")).count().collect()}
+    assert taken[1] > 1.1 * taken[0]
