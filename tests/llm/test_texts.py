@@ -294,3 +294,11 @@ def test_keys_need_no_early_digit():
         assert [c[:3] for c in secret_scan.candidates(f"key {key} end")] == [(3, 4, 4 + len(key))]
     for word in ("Donaudampfschifffahrtsgesellschaft", "internationalisation-und-lokalisierung", "getElementsByClassNameAndAttribute"):
         assert secret_scan.candidates(word) == []
+
+
+def test_licence_sample_is_bounded_on_skewed_lines(spark):
+    notice = "Released under the MIT License."
+    rows = [(f"{notice}\nsome ordinary line number {i}\n" + "a line that stands everywhere",) for i in range(3000)]
+    df = spark.createDataFrame([*rows, (None,), ("",)], "text string")
+    got = [r.line for r in license_scan.sample_lines(df, "text", 200).collect()]
+    assert len(got) == len(set(got)) == 101 and notice in got

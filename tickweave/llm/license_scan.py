@@ -152,19 +152,30 @@ def label_of(text: str) -> str:
     return found[0] if len(found) == 1 else NONE if not found else ""
 
 
-def train(docs: DataFrame, text_col: str = "text", sample_paragraphs: int = 8000, features: int = 1 << 16, window: int = 30, seed: int = 3) -> Model:
-    """A model from templates and about ``sample_paragraphs`` paragraphs (the documented bound) of ``docs``.
+def sample_lines(docs: DataFrame, text_col: str, most: int) -> DataFrame:
+    """At most ``most`` distinct paragraphs ``line`` of 10 to 2,000 characters, the first by a hash of their text.
 
-    Half of them, at most, hold a word that notices use; they are chosen by a hash of their text
-    among paragraphs of 10 to 2,000 characters.
+    Half of them, at most, hold a word that notices use. Distinct paragraphs are estimated by
+    their hashes; only those near the bound are shuffled, copies combined before.
     """
     lines = docs.select(F.explode(F.split(F.col(text_col), "\n")).alias("line")).where("length(line) between 10 and 2000")
-    u = F.pmod(F.xxhash64("line"), F.lit(1 << 40)) / float(1 << 40)
-    like = F.col("line").rlike("(?i)licen|creative commons|redistribution|permission is hereby")
-    counts = lines.agg(F.count_if(like).alias("like"), F.count("*").alias("all")).first()
-    half = sample_paragraphs / 2
-    picked = lines.where(F.when(like, u < half / max(counts["like"], 1)).otherwise(u < half / max(counts["all"], 1)))
-    own = sorted({r.line for r in picked.collect()})
+    lines = lines.withColumn("like", F.col("line").rlike("(?i)licen|creative commons|redistribution|permission is hereby"))
+    lines = lines.withColumn("u", F.pmod(F.xxhash64("line"), F.lit(1 << 40)) / float(1 << 40))
+    about = lambda x: F.approx_count_distinct(F.when(x, F.col("u")))
+    counts = lines.agg(about(F.col("like")).alias("like"), about(~F.col("like")).alias("other")).first()
+    half = most // 2
+    near = {name: 1.5 * half / max(counts[name], 1) for name in ("like", "other")}  # room for the estimates' error
+    picked = lines.where(F.when(F.col("like"), F.col("u") < near["like"]).otherwise(F.col("u") < near["other"])).distinct()
+    part = lambda x: picked.where(x).orderBy("u", "line").limit(half).select("line")
+    return part(F.col("like")).unionByName(part(~F.col("like")))
+
+
+def train(docs: DataFrame, text_col: str = "text", sample_paragraphs: int = 8000, features: int = 1 << 16, window: int = 30, seed: int = 3) -> Model:
+    """A model from templates and at most ``sample_paragraphs`` different paragraphs of ``docs``.
+
+    Which those are says ``sample_lines``.
+    """
+    own = sorted(r.line for r in sample_lines(docs, text_col, sample_paragraphs).collect())
     rng = np.random.default_rng(seed)
     texts, labels = [], []
     prose = [w for line in own[:2000] if label_of(line) == NONE for w in line.split()[:40]]
