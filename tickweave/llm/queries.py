@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_search, jaccard_join, language_id, license_scan, lm_scoring, mixing, secret_scan, sentence_pieces, topk_search, warc
+from . import ann_search, fill_middle, jaccard_join, language_id, license_scan, lm_scoring, mixing, secret_scan, sentence_pieces, sharding, topk_search, warc, whitening
 from .common import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,41 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     families = F.array_sort(F.array_distinct(F.transform("notices", lambda n: n["family"])))
     spans = F.array_join(F.transform("notices", lambda n: F.concat_ws(":", n["family"], n["start"], n["end"])), ",")
     return found.select(F.col("id").alias("doc_id"), "n_paragraphs", F.size("notices").cast("long").alias("n_notices"), F.array_join(families, ",").alias("families"), spans.alias("spans"))
+
+
+@query("op11_whiten")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query("op12_shard_groups")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shard_documents(table(spark, folder, "documents"), 16)
+    return placed.select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query("op13_fill_middle", """
+WITH d AS (
+    SELECT doc_id, COALESCE(text, '') AS t, length(COALESCE(text, '')) AS n, sha256('1:' || COALESCE(doc_id::VARCHAR, '')) AS h FROM documents),
+g AS (
+    SELECT doc_id, t, n, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS b,
+           ('0x' || substr(h, 17, 8))::BIGINT % 100 AS c, ('0x' || substr(h, 25, 8))::BIGINT % 100 AS e FROM d),
+f AS (
+    SELECT doc_id, t, n, least(a, b) AS p, greatest(a, b) AS q,
+           CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90 THEN 'plain' WHEN e < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM g)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN p::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN (q - p)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+              WHEN 'psm' THEN '<P>' || substr(t, 1, p) || '<S>' || substr(t, q + 1) || '<M>' || substr(t, p + 1, q - p)
+              ELSE '<S>' || substr(t, q + 1) || '<P>' || substr(t, 1, p) || '<M>' || substr(t, p + 1, q - p) END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM f""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    out = fill_middle.transform(table(spark, folder, "documents"))
+    digest = lambda c: F.sha2(c, 256)
+    return out.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        digest(F.col("output")).alias("output_sha256"), digest(fill_middle.restored("output", "form")).alias("restored_sha256"),
+    )
