@@ -14,7 +14,7 @@ from ..functions import temporal as M
 from ..functions import text as X
 from ..functions.nested import array_rows, let, map_rows, once, struct_rows
 from ..sources.embedded import after, json_between, x_js_literal
-from ..sources.html import first_text, has_class, html_documents, nodes_of
+from ..sources.html import first_text, has_class, html_documents, nodes_of, within
 from . import registry as R
 
 # Classes and ids that mark the regions of the page families.
@@ -271,10 +271,10 @@ def x_gallery_charts(docs: DataFrame) -> DataFrame:
 
 def quote_documents(docs: DataFrame) -> DataFrame:
     """Documents with the header's identity columns, ``symbol`` first of all."""
-    header = F.get(F.filter("nodes", lambda n: has_class(n["classes"], "quote-header")), F.lit(0))["pos"]
+    header = F.get(F.filter("nodes", lambda n: has_class(n["classes"], "quote-header")), F.lit(0))
 
     def inside(n: Column) -> Column:
-        return F.coalesce(F.array_contains(n["ancestors"], F.col("_header")), F.lit(False))
+        return F.coalesce(within(n, F.col("_header")), F.lit(False))
 
     ticker = F.get(F.filter("nodes", lambda n: inside(n) & n["attrs"]["data-ticker"].isNotNull()), F.lit(0))["attrs"]["data-ticker"]
     company = first_text(
@@ -460,17 +460,17 @@ def x_quote_insider(quotes: DataFrame) -> DataFrame:
 
 def _ticker_links(quotes: DataFrame, label: str, name: str) -> DataFrame:
     """Tagged spans beside the link called ``label``, in page order."""
-    parent = F.get(
+    link = F.get(
         F.filter("nodes", lambda n: (n["tag"] == "a") & has_class(n["classes"], "tab-link") & (n["text"] == label)),
         F.lit(0),
-    )["parent"]
+    )
     spans = let(
-        parent,
+        F.struct(link["parent"].alias("pos"), link["parent_last"].alias("last")),
         lambda p: F.filter(
             "nodes",
             lambda n: (n["tag"] == "span")
             & (F.coalesce(n["attrs"]["data-boxover-ticker"], F.lit("")) != "")
-            & F.array_contains(n["ancestors"], p),
+            & within(n, p),
         ),
     )
     listed = quotes

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -27,13 +28,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ITEM_DDL = "col_no int, tag string, classes array<string>, text string, href string, attrs map<string,string>"
 NODE_DDL = (
-    "pos int, tag string, id string, classes array<string>, parent int, ancestors array<int>, "
+    "pos int, tag string, id string, classes array<string>, parent int, last int, parent_last int, "
     "table_no int, table_id string, table_classes array<string>, row_no int, col_no int, "
     "section string, head string, text string, href string, attrs map<string,string>, "
     f"heads array<string>, cells array<string>, items array<struct<{ITEM_DDL}>>"
 )
 NODE_FIELDS = (
-    "pos", "tag", "id", "classes", "parent", "ancestors", "table_no", "table_id", "table_classes",
+    "pos", "tag", "id", "classes", "parent", "last", "parent_last", "table_no", "table_id", "table_classes",
     "row_no", "col_no", "section", "head", "text", "href", "attrs", "heads", "cells", "items",
 )
 
@@ -62,24 +63,88 @@ IMPLIED_END = {
 TABLE_PARTS = frozenset("table thead tbody tfoot tr".split())
 
 
-# One markup token: comment, declaration, end tag, start tag with its attributes.
-# The last alternative takes start tags whose quotes do not pair up.
-_TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"""
-    r"""|<([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<([a-zA-Z][^\s/>]*)([^>]*)>""",
-    re.S,
+# Most tags hold no ``<`` and no unpaired quote; the last group is any other ``<``. A try ends at the next ``<``.
+_PLAIN = re.compile(
+    r"""</([a-zA-Z][^\s/<>]*+)[^<>]*+>|<([a-zA-Z][^\s/<>"']*+)(?=[\s/>])((?:[^<>"']++|"[^"<>]*+"|'[^'<>]*+')*+)>|(<)"""
 )
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_STOP = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 _RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in ("script", "style")}
 
 
+class _Markup:
+    """The markup tokens of one body, in time linear in its length.
+
+    A tag ends at the first ``>`` outside quotes or, where its quotes do not pair up, at the
+    first ``>`` of all. Both searches remember what they learnt: behind the last ``>`` of the
+    body nothing is a tag, and a quote that was followed once is never followed again.
+    """
+
+    def __init__(self, body: str):
+        self.body, self.last = body, body.rfind(">")
+        self.known: dict[int, int] = {}
+
+    def _unquoted(self, at: int) -> int:
+        """The first ``>`` from ``at`` on that stands outside quotes, or -1."""
+        seen = []
+        while True:
+            found = _STOP.search(self.body, at)
+            if found is None:
+                end = -1
+                break
+            here = found.start()
+            if self.body[here] == ">":
+                end = here
+                break
+            if here in self.known:
+                end = self.known[here]
+                break
+            seen.append(here)
+            close = self.body.find(self.body[here], here + 1)
+            if close < 0:
+                end = -1
+                break
+            at = close + 1
+        for quote in seen:
+            self.known[quote] = end
+        return end
+
+    def odd(self, at: int) -> tuple[int, str | None, str | None, str] | None:
+        """``(end, closed tag, opened tag, attributes)`` of what a ``<`` begins; comments and declarations name no tag."""
+        body = self.body
+        if body.startswith("!--", at + 1):
+            close = body.find("-->", at + 4)
+            return len(body) if close < 0 else close + 3, None, None, ""
+        if at > self.last:
+            return None
+        following = body[at + 1 : at + 2]
+        if following in ("!", "?"):
+            return body.index(">", at) + 1, None, None, ""
+        closing = following == "/"
+        name = _NAME.match(body, at + 2 if closing else at + 1)
+        if name is None:
+            return None
+        if closing:
+            return body.index(">", name.end()) + 1, name.group(), None, ""
+        end = self._unquoted(name.end())
+        if end < 0:
+            end = body.index(">", name.end())
+        return end + 1, None, name.group(), body[name.end() : end]
+
+    def raw_end(self, tag: str, at: int) -> tuple[int, int]:
+        """Where the code of a script or style element stops, and where its end tag does."""
+        close = _RAW_END[tag].search(self.body, at, self.last + 1)
+        return (close.start(), close.end()) if close else (len(self.body), len(self.body))
+
+
 class _Open:
     """An element whose end tag has not been seen."""
 
-    __slots__ = ("tag", "pos", "node", "mark", "table", "row", "section")
+    __slots__ = ("tag", "pos", "node", "mark", "table", "row", "section", "children")
 
     def __init__(self, tag, pos, mark, parent):
-        self.tag, self.pos, self.node, self.mark = tag, pos, None, mark
+        self.tag, self.pos, self.node, self.mark, self.children = tag, pos, None, mark, None
         self.table = self.row = self.section = None
         if parent is not None:
             self.table, self.row, self.section = parent.table, parent.row, parent.section
@@ -107,25 +172,32 @@ class _Nodes:
         self.tables: list[_Table] = []
         self.count = 0
         self.code: str | None = None
-        at = 0
-        while (m := _TOKEN.search(body, at)) is not None:
-            if m.start() > at:
-                self._text(body[at : m.start()])
-            at = m.end()
-            end, tag, attributes = m.group(1), m.group(2) or m.group(4), m.group(3) or m.group(5)
+        self.places: dict[str, list[int]] = {}
+        at, begun, markup = 0, 0, _Markup(body)
+        while (m := _PLAIN.search(body, at)) is not None:
+            start, end = m.span()
+            closed, tag, attributes, odd = m.groups()
+            if odd:
+                found = markup.odd(start)
+                if found is None:  # a ``<`` of the text
+                    at = end
+                    continue
+                end, closed, tag, attributes = found
+            if start > begun:
+                self._text(body[begun:start])
+            at = begun = end
             if tag is not None:
                 tag = tag.lower()
-                self._start(tag, attributes or "")
+                self._start(tag, attributes)
                 if tag in _RAW_END:
-                    close = _RAW_END[tag].search(body, at)
-                    stop = close.start() if close else len(body)
+                    stop, after = markup.raw_end(tag, at)
                     self.code = body[at:stop]
                     self._end(tag)
-                    at = close.end() if close else len(body)
-            elif end is not None:
-                self._end(end.lower())
-        if at < len(body):
-            self._text(body[at:])
+                    at = begun = after
+            elif closed is not None:
+                self._end(closed.lower())
+        if begun < len(body):
+            self._text(body[begun:])
         while self.open:
             self._end_last()
         self._fill_tables()
@@ -138,6 +210,11 @@ class _Nodes:
 
     def _end_last(self) -> None:
         e = self.open.pop()
+        self.places[e.tag].pop()
+        for child in e.children or ():
+            child["parent_last"] = self.count - 1
+        if e.node is not None:
+            e.node["last"] = self.count - 1
         if e.node is not None and e.node["keep"]:
             text = self.code if e.tag == "script" else "".join(self.words[e.mark :])
             e.node["text"] = (text or "").strip()
@@ -145,20 +222,26 @@ class _Nodes:
     def _imply_ends(self, tag: str) -> None:
         if tag in IMPLIED_END:
             ended, fence = IMPLIED_END[tag]
-        elif tag in BLOCK:
+        elif tag in BLOCK and self.places.get("p"):
             ended, fence = ("p",), ("td", "th", "table", "li", "button", "div")
         else:
             return
-        cut = None
-        for at in range(len(self.open) - 1, -1, -1):
-            name = self.open[at].tag
-            if name in fence:
-                break
-            if name in ended:
-                cut = at
-        while cut is not None and len(self.open) > cut:
+        if not any(self.places.get(name) for name in ended):
+            return
+        wall = self._deepest(fence)
+        cut = len(self.open)
+        for name in ended:
+            places = self.places.get(name, ())
+            inside = bisect_right(places, wall)
+            if inside < len(places):
+                cut = min(cut, places[inside])
+        while len(self.open) > cut:
             self._end_last()
 
+    def _deepest(self, tags: tuple[str, ...]) -> int:
+        """The place of the innermost open element among ``tags``, or -1."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
     def _start(self, tag: str, written: str) -> None:
         self._imply_ends(tag)
         attrs: dict[str, str] = {}
@@ -196,7 +279,7 @@ class _Nodes:
                 "id": attrs.get("id"),
                 "classes": classes,
                 "parent": parent.pos if parent else None,
-                "ancestors": [e.pos for e in self.open],
+                "last": self.count,
                 "section": here.section,
                 "href": attrs.get("href", attrs.get("xlink:href", attrs.get("src"))),
                 "attrs": list(attrs.items()),
@@ -218,9 +301,14 @@ class _Nodes:
                     row["items"].append(node)
             here.node = node
             self.out.append(node)
+            if parent is not None:
+                if parent.children is None:
+                    parent.children = []
+                parent.children.append(node)
         self.count += 1
         if tag in VOID:
             return
+        self.places.setdefault(tag, []).append(len(self.open))
         self.open.append(here)
 
     def _fill_tables(self) -> None:
@@ -237,14 +325,13 @@ class _Nodes:
                 }
 
     def _end(self, tag: str) -> None:
-        for at in range(len(self.open) - 1, -1, -1):
-            name = self.open[at].tag
-            if name == tag:
-                while len(self.open) > at:
-                    self._end_last()
-                return
-            if name == "table" or (name in ("td", "th") and tag not in TABLE_PARTS):
-                return
+        if self.open and self.open[-1].tag == tag:
+            self._end_last()
+            return
+        at = self._deepest((tag,))
+        if at >= 0 and at >= self._deepest(("table",) if tag in TABLE_PARTS else ("table", "td", "th")):
+            while len(self.open) > at:
+                self._end_last()
 
 
 _MAP = pa.map_(pa.string(), pa.string())
@@ -253,7 +340,7 @@ _ITEM = pa.struct(
      ("href", pa.string()), ("attrs", _MAP)]
 )
 _NODE_TYPES = {
-    "pos": pa.int32(), "parent": pa.int32(), "ancestors": pa.list_(pa.int32()),
+    "pos": pa.int32(), "parent": pa.int32(), "last": pa.int32(), "parent_last": pa.int32(),
     "classes": pa.list_(pa.string()), "table_classes": pa.list_(pa.string()),
     "table_no": pa.int32(), "row_no": pa.int32(), "col_no": pa.int32(), "attrs": _MAP,
     "heads": pa.list_(pa.string()), "cells": pa.list_(pa.string()), "items": pa.list_(_ITEM),
@@ -261,14 +348,17 @@ _NODE_TYPES = {
 _FLUSH_NODES = 16384
 
 
-def _pack(source: pa.RecordBatch, kept: list[str], docs: list[list[dict]]) -> pa.RecordBatch:
+def _pack(source: pa.RecordBatch, kept: list[str], docs: list[list[dict]], fields: frozenset[str]) -> pa.RecordBatch:
     """The documents of a slice of the input batch beside its carried columns."""
     flat = [node for nodes in docs for node in nodes]
     offsets = [0]
     for nodes in docs:
         offsets.append(offsets[-1] + len(nodes))
     columns = [
-        pa.array([n.get(f) for n in flat], _NODE_TYPES.get(f, pa.string())) for f in NODE_FIELDS
+        pa.array([n.get(f) for n in flat], _NODE_TYPES.get(f, pa.string()))
+        if f in fields
+        else pa.nulls(len(flat), _NODE_TYPES.get(f, pa.string()))
+        for f in NODE_FIELDS
     ]
     nodes = pa.ListArray.from_arrays(
         pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(columns, names=NODE_FIELDS)
@@ -286,29 +376,36 @@ def html_documents(
     ids: tuple[str, ...] = (),
     carry: tuple[str, ...] = (),
     skeleton: bool = False,
+    fields: tuple[str, ...] = NODE_FIELDS,
+    tables: tuple[str, ...] = (),
 ) -> DataFrame:
     """``(key, *carry, nodes)`` per body: tables, rows, cells, links, images, scripts, titles.
 
     ``classes`` and ``ids`` name further elements to keep with their text;
     ``skeleton`` adds one ``#document`` node holding the ordered ``tag.class``
-    list. Only the key, the body and the ``carry`` columns (provenance such as
+    list. ``fields`` names the node fields a plan reads (others are null) and ``tables``
+    the classes or ids of the tables it reads: nodes inside other tables then stay behind. Only the key, the body and the ``carry`` columns (provenance such as
     ``fetched_at``) cross into Python: column pruning does not reach through the
     Python operator. Bodies are parsed where they are read; nothing is shuffled.
     """
     kept = [key, *carry]
     narrow = df.where(F.col(body).isNotNull()).select(*kept, F.col(body).alias("_body"))
     types = ", ".join(f"`{c}` {narrow.schema[c].dataType.simpleString()}" for c in kept)
-    by_class, by_id = frozenset(classes), frozenset(ids)
+    by_class, by_id, wanted, read = frozenset(classes), frozenset(ids), frozenset(fields), frozenset(tables)
+
+    def within(node: dict) -> bool:
+        return "table_no" not in node or node.get("table_id") in read or not read.isdisjoint(node["table_classes"])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = _Nodes(by_class, by_id, skeleton)
         for batch in batches:
             start, size, docs = 0, 0, []
             for at in range(batch.num_rows):
-                docs.append(parser.parse(batch.column(len(kept))[at].as_py()))
+                nodes = parser.parse(batch.column(len(kept))[at].as_py())
+                docs.append([n for n in nodes if within(n)] if read else nodes)
                 size += len(docs[-1])
                 if size >= _FLUSH_NODES or at + 1 == batch.num_rows:
-                    yield _pack(batch.slice(start, len(docs)), kept, docs)
+                    yield _pack(batch.slice(start, len(docs)), kept, docs, wanted)
                     start, size, docs = at + 1, 0, []
 
     return narrow.mapInArrow(parse, f"{types}, nodes array<struct<{NODE_DDL}>>")
@@ -322,6 +419,11 @@ def has_class(classes: Column, name: str) -> Column:
     return F.coalesce(F.array_contains(classes, name), F.lit(False))
 
 
+def within(node: Column, element: Column) -> Column:
+    """Whether a node lies inside an element, given that element's ``pos`` and ``last``."""
+    return (node["pos"] > element["pos"]) & (node["pos"] <= element["last"])
+
+
 def nodes_of(docs: DataFrame, *keep: str, test=None) -> DataFrame:
     """Nodes as rows, with the key columns of the documents (all, or ``keep``).
 
@@ -339,7 +441,7 @@ def first_text(nodes: Column, test) -> Column:
 def x_html_cells(docs: DataFrame) -> DataFrame:
     """Table cells with their table, place, header label and display."""
     rows = nodes_of(docs, test=lambda n: n["tag"].isin("td", "th") & n["col_no"].isNotNull())
-    return rows.drop("heads", "cells", "items", "href", "id", "parent", "ancestors")
+    return rows.drop("heads", "cells", "items", "href", "id", "parent", "last", "parent_last")
 
 
 def x_html_links(docs: DataFrame) -> DataFrame:
