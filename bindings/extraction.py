@@ -320,8 +320,8 @@ def x_spectrum_ref(t):
 # ---------------------------------------------------------------- quote pages
 
 
-def _quotes(t):
-    return P.quote_documents(P.documents(t("quote_docs"), carry=("fetched_at",)))
+def _quotes(t, region: str | None = None):
+    return P.quote_documents(P.documents(t("quote_docs"), carry=("fetched_at",), **(P.region_reads(region) if region else {})))
 
 
 _Q = "'P' || p_partkey AS symbol"
@@ -368,7 +368,7 @@ def x_quote_description(t):
     f"SELECT {_Q}, timezone('UTC', timezone('America/New_York', CAST({_DAY} AS TIMESTAMP))) AS published_at, 'Upgrade' AS status, 'Desk ' || p_size AS analyst, 'Hold' AS rating_raw, CAST(p_size AS DOUBLE) AS price_target, '$' || p_size AS price_target_raw, strftime({_DAY}, '%b-%d-%y') AS published_at_raw FROM part",
 )
 def x_quote_ratings(t):
-    built = build_dataset(P.x_quote_ratings(_quotes(t)), "quote_ratings")
+    built = build_dataset(P.x_quote_ratings(_quotes(t, "ratings")), "quote_ratings")
     return plain(built.select("symbol", "published_at", "status", "analyst", "rating_raw", "price_target", "price_target_raw", "published_at_raw"))
 
 
@@ -377,7 +377,7 @@ def x_quote_ratings(t):
     f"SELECT {_Q}, timezone('UTC', timezone('America/New_York', CAST({_DAY} AS TIMESTAMP) + INTERVAL 975 MINUTE)) AS published_at, 'exact' AS published_at_status, 'News of P' || p_partkey AS title, '/n/' || p_partkey AS url, 'Wire' AS publisher FROM part",
 )
 def x_quote_news(t):
-    built = build_dataset(P.x_quote_news(_quotes(t)), "quote_news")
+    built = build_dataset(P.x_quote_news(_quotes(t, "news")), "quote_news")
     return plain(built.select("symbol", "published_at", "published_at_status", "title", "url", "publisher"))
 
 
@@ -386,7 +386,7 @@ def x_quote_news(t):
     f"SELECT {_Q}, 'Owner ' || p_size AS owner, 'CEO' AS relationship, {_DAY} AS transaction_date, 'Sale' AS transaction_type, CAST(p_size || '.50' AS DOUBLE) AS cost, p_partkey * 1000.0::DOUBLE AS shares, CAST(p_partkey || '.50e9' AS DOUBLE) AS value, 1000.0::DOUBLE AS shares_total, '/f4/' || p_partkey AS sec_form_url FROM part",
 )
 def x_quote_insider(t):
-    built = build_dataset(P.x_quote_insider(_quotes(t)), "quote_insider")
+    built = build_dataset(P.x_quote_insider(_quotes(t, "insider")), "quote_insider")
     return built.select("symbol", "owner", "relationship", "transaction_date", "transaction_type", "cost", "shares", "value", "shares_total", "sec_form_url")
 
 
@@ -543,6 +543,103 @@ def x_disclosure(t):
     return A.disclosure(docs, "fund").select("capture_id", "details", F.array_join("report_dates", "|").alias("report_dates"))
 
 
+# ---------------------------------------------------------------- what the families refuse
+
+
+def _broken_table(t, css: str, second: str):
+    """A page per part: sound, with another header, with a rank that is none, or without the table."""
+    kind = F.col("p_size") % 4
+    body = _concat(
+        [F.when(kind == 3, F.lit("<table class=other>")).otherwise(F.lit(f"<table class={css}>")), "<thead><tr><th>",
+         F.when(kind == 1, F.lit("Nr")).otherwise(F.lit("No.")), f"<th>{second}</thead><tr><td>", F.when(kind == 2, F.lit("first")).otherwise(F.lit("7")),
+         "<td>", F.col("p_name"), "</table>"]
+    )
+    return t("part").select(F.col("p_partkey").alias("capture_id"), stamped(), body.alias("body"))
+
+
+def _broken_quotes(t):
+    """Stock pages that lack a rating's cell, a news link, an insider cell or their symbol, by size."""
+    kind, body = F.col("p_size") % 4, F.col("body")
+    changes = {0: ("<td>Hold", ""), 1: ("tab-link-news", "tab-link-old"), 2: ("<td>CEO", ""), 3: ("data-ticker=", "data-other=")}
+    for k, (old, new) in changes.items():
+        body = F.when(kind == k, F.replace("body", F.lit(old), F.lit(new))).otherwise(body)
+    docs = t("quote_docs").join(t("part").select(F.col("p_partkey").alias("capture_id"), "p_size"), "capture_id")
+    return docs.select("capture_id", "fetched_at", body.alias("body"))
+
+
+def _broken_insider(t):
+    docs = _insider_docs(t).join(t("part").select(F.col("p_partkey").alias("capture_id"), "p_size"), "capture_id")
+    body = F.when(F.col("p_size") % 5 == 1, F.replace("body", F.lit("<th>Cost"), F.lit("<th>Price"))).otherwise(F.col("body"))
+    return docs.select("capture_id", "fetched_at", body.alias("body"))
+
+
+def _broken_news(t):
+    at = F.col("capture_id") % 3
+    changed = F.when(at == 1, F.replace("body", F.lit("05:25AM"), F.lit("some day"))).when(at == 2, F.replace("body", F.lit("nn-tab-link"), F.lit("other")))
+    return _news_docs(t).withColumn("body", changed.otherwise(F.col("body")))
+
+
+def _broken_funds(t):
+    root = F.when(F.col("p_size") % 2 == 0, F.lit("initialFundDetailsData")).otherwise(F.lit("details"))
+    body = F.concat(F.lit('<script>{"'), root, F.lit('":{"name":"'), "p_name", F.lit('"}}</script>'))
+    return t("part").select(F.col("p_partkey").alias("capture_id"), stamped(), body.alias("body"))
+
+
+def _broken_spectra(t):
+    image = '<img class="groups_spectrum-image" src="//img.example/s.png">'
+    body = F.repeat(F.lit(image), (F.col("p_size") % 3).cast("int"))
+    return t("part").select(F.col("p_partkey").alias("capture_id"), stamped(), body.alias("body"))
+
+
+_TABLE_ERRORS = """SELECT '{0}' AS family, CASE p_size % 4 WHEN 1 THEN 'unexpected header' WHEN 2 THEN 'rank or cell count' WHEN 3 THEN 'no table' END AS problem, count(*) AS n FROM part GROUP BY ALL"""
+_QUOTE_ERRORS = "SELECT '{0}', CASE WHEN p_size % 4 = {1} THEN '{2}' END, count(*) FROM part WHERE {3} GROUP BY ALL"
+
+
+@query(
+    "page_errors",
+    " UNION ALL ".join(
+        [
+            _TABLE_ERRORS.format("groups"),
+            _TABLE_ERRORS.format("market"),
+            "SELECT 'spectrum', CASE WHEN p_size % 3 <> 1 THEN 'not one spectrum image' END, count(*) FROM part GROUP BY ALL",
+            _QUOTE_ERRORS.format("stock", 3, "no symbol", "true"),
+            _QUOTE_ERRORS.format("ratings", 0, "short row", "p_size % 4 <> 3"),
+            _QUOTE_ERRORS.format("stock_news", 1, "no link", "p_size % 4 <> 3"),
+            _QUOTE_ERRORS.format("stock_insider", 2, "short row", "p_size % 4 <> 3"),
+            "SELECT 'global_news', CASE s_suppkey % 3 WHEN 1 THEN CASE WHEN i = 1 THEN 'unknown time' END WHEN 2 THEN 'no link' END, count(*) FROM supplier, range(3) r(i) GROUP BY ALL",
+            "SELECT 'publisher_news', CASE s_suppkey % 3 WHEN 1 THEN CASE WHEN i = 1 THEN 'unknown time' END WHEN 2 THEN 'no link' END, count(*) FROM supplier, range(3) r(i) GROUP BY ALL",
+            "SELECT 'global_insider', CASE p_size % 5 WHEN 0 THEN 'no ticker' WHEN 1 THEN 'unexpected header' END, count(*) FROM part GROUP BY ALL",
+            "SELECT 'fund', CASE WHEN p_size % 2 = 1 THEN 'no portfolio' END, count(*) FROM part GROUP BY ALL",
+        ]
+    ),
+)
+def page_errors(t):
+    """Accepted rows (null problem) and refused ones of eleven families: both halves are all rows."""
+    quotes = _broken_quotes(t)
+    sources = {
+        "groups": _broken_table(t, "groups_table", "Name"), "market": _broken_table(t, "groups_table", "Ticker"), "spectrum": _broken_spectra(t),
+        "stock": quotes, "ratings": quotes, "stock_news": quotes, "stock_insider": quotes, "global_news": _broken_news(t),
+        "publisher_news": _broken_news(t), "global_insider": _broken_insider(t), "fund": _broken_funds(t),
+    }
+    named = lambda df: P.quote_documents(P.documents(df, carry=("fetched_at",))).where(F.col("symbol").isNotNull())
+    docs = lambda df: P.documents(df, carry=("fetched_at",))
+    kept = {
+        "groups": lambda df: P.x_groups_table(docs(df)).where("row_ok"), "market": lambda df: P.x_market_table(docs(df)).where("row_ok"),
+        "spectrum": lambda df: P.x_spectrum_ref(docs(df)), "stock": named, "ratings": lambda df: P.x_quote_ratings(named(df)),
+        "stock_news": lambda df: P.x_quote_news(named(df)), "stock_insider": lambda df: P.x_quote_insider(named(df)),
+        "global_news": lambda df: A.global_news(df, ORIGIN), "publisher_news": lambda df: A.publisher_news(df, "slug-x", ORIGIN),
+        "global_insider": lambda df: A.global_insider(df)[0], "fund": lambda df: A.disclosure(df, "fund"),
+    }
+    parts = []
+    for family, pages in sources.items():
+        parts.append(A.page_errors(pages, family).select(F.lit(family).alias("family"), "problem"))
+        parts.append(kept[family](pages).select(F.lit(family).alias("family"), F.lit(None).cast("string").alias("problem")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.groupBy("family", "problem").agg(F.count("*").alias("n"))
+
+
 # ---------------------------------------------------------------- calendar, tiles, futures, maps
 
 
@@ -648,6 +745,21 @@ def x_hierarchy(t):
     return P.x_hierarchy(docs).select("sector", "industry", "symbol", "value")
 
 
+@query(
+    "hierarchy_problems",
+    "SELECT leaf_no AS capture_id, CASE leaf_no % 4 WHEN 1 THEN 'value of leaf ' || symbol || ' is no number' WHEN 2 THEN 'industry without name or leaves' ELSE 'no hierarchy' END AS problem FROM leaves WHERE leaf_no % 4 > 0",
+    "leaves",
+)
+def hierarchy_problems(t):
+    """Assets with a text for a value, without a level or of no shape; every fourth has no children and is sound."""
+    kind = F.col("leaf_no") % 4
+    leaf = F.concat(F.lit('{name:"'), "symbol", F.lit('",value:"9"}'))
+    inner = F.when(kind == 1, F.concat(F.lit('{name:"I",children:['), leaf, F.lit("]}"))).otherwise(leaf)
+    tree = F.concat(F.lit('{name:"Root",children:[{name:"S",children:['), inner, F.lit("]}]}"))
+    body = F.when(kind == 0, F.lit('e.exports={name:"Root",children:[]};')).when(kind == 3, F.lit("e.exports=null;")).otherwise(F.concat(F.lit("e.exports = "), tree, F.lit(";")))
+    return P.hierarchy_problems(t("leaves").select(F.col("leaf_no").alias("capture_id"), body.alias("body")))
+
+
 # ---------------------------------------------------------------- statements and symbols
 
 

@@ -175,11 +175,15 @@ def test_hierarchies_of_another_shape_are_named(spark):
         "good": f'e.exports = {{name:"R",children:[{{name:"S",children:[{{name:"I",children:[{leaf},{{name:"B"}}]}}]}}]}};more',
         "none": "nothing here", "flat": 'e.exports={name:"R",children:[]}', "shallow": f'e.exports={{name:"R",children:[{{name:"S",children:[{leaf}]}}]}}',
         "nameless": 'e.exports={name:"R",children:[{name:"S",children:[{name:"I",children:[{value:2}]}]}]}', "cut": 'e.exports={name:"R",children:[{name:"S"',
+        "childless": 'e.exports={name:"R"}',
     }
+    for name, value in {"text": '"abc"', "digits": '"5"', "truth": "true", "list": "[1]"}.items():
+        bodies[name] = f'e.exports={{name:"R",children:[{{name:"S",children:[{{name:"I",children:[{{name:"A",value:{value}}}]}}]}}]}}'
     df = spark.createDataFrame(list(bodies.items()), "capture_id string, body string")
     assert [(r.symbol, r.value) for r in P.x_hierarchy(df).orderBy("leaf_no").collect()] == [("A", 1.0), ("B", 0.0)]
     named = {r.capture_id: r.problem for r in P.hierarchy_problems(df).collect()}
-    assert set(named) == set(bodies) - {"good"} and named["nameless"] == "leaf without name" and named["shallow"].startswith("industry")
+    assert set(named) == set(bodies) - {"good", "flat", "childless"} and named["nameless"] == "leaf without name" and named["shallow"].startswith("industry")
+    assert all(named[k] == "value of leaf A is no number" for k in ("text", "digits", "truth", "list"))
 
 
 def test_nothing_is_shuffled_below_the_parser(spark):
@@ -197,3 +201,30 @@ def test_one_bad_entry_does_not_end_the_calendar(spark):
     df = spark.createDataFrame([(body,)], "body string").withColumn("fetched_at", F.lit("2026-08-12 00:00:00").cast("timestamp"))
     good, bad = A.calendar(df).collect(), A.calendar(df, quarantine=True).collect()
     assert [r.symbol for r in good] == ["A"] and len(bad) == 2 and all(r.problems for r in bad)
+
+
+@pytest.mark.parametrize("body", ["<a x " * 100_000, '<a "x>' * 50_000, '<a "' * 100_000 + ">", "<aaa" * 100_000 + ">", "<a>" * 20_000 + "</a>" * 20_000, "<i>" * 20_000 + "<h1></x>" * 20_000])
+def test_parsing_is_linear(body):
+    import time
+
+    start = time.perf_counter()
+    D._Nodes(frozenset(), frozenset(), False).parse(body)
+    assert time.perf_counter() - start < 5
+
+
+def test_ancestors_are_ranges(spark):
+    body = "<table id=t><tr><td>a<table><tr><td>b</table><td><a href=x>c</a></table><a href=y>d</a>"
+    nodes = D.nodes_of(D.html_documents(captures(spark, body))).orderBy("pos").collect()
+    outer = nodes[0]
+    assert [n.text for n in nodes if outer.pos < n.pos <= outer.last and n.tag == "a"] == ["c"]
+    assert [n.text for n in nodes if n.tag == "a"] == ["c", "d"]
+
+
+def test_refused_rows_carry_their_place(spark):
+    body = "<table class=groups_table><tr><th>No.<th>Name</tr><tr><td>1<td>A</tr><tr><td>x<td>B</tr><tr><td>2</tr></table>"
+    df = captures(spark, body, "<p>nothing</p>")
+    rows = sorted((r.capture_id, r.row_no, r.problem) for r in A.page_errors(df, "groups").collect() if r.row_no is not None)
+    assert rows == [(0, 2, "rank or cell count"), (0, 3, "rank or cell count")]
+    assert [(r.capture_id, r.problem) for r in A.page_errors(df, "groups").collect() if r.row_no is None] == [(1, "no table")]
+    with pytest.raises(ValueError):
+        A.page_errors(df, "no such family")

@@ -362,6 +362,16 @@ def _news(rows: DataFrame, origin: str) -> DataFrame:
     )
 
 
+def page_errors(captures: DataFrame, family: str) -> DataFrame:
+    """Documents and rows that a page family refuses, each with its ``problem``.
+
+    Together with the family's own rows they are all rows of the pages; see ``families.page_errors``.
+    """
+    docs = _documents(captures)
+    regions = ("ratings", "stock_news", "stock_insider")
+    return P.page_errors(P.quote_documents(docs).where(F.col("symbol").isNotNull()) if family in regions else docs, family)
+
+
 def global_news(captures: DataFrame, origin: str) -> DataFrame:
     return _news(P.x_global_news(_documents(captures)), origin)
 

@@ -34,6 +34,16 @@ def documents(df: DataFrame, key: str = "capture_id", **options) -> DataFrame:
     return html_documents(df, key, classes=CLASSES, ids=IDS, **options)
 
 
+# The table that a region of a stock page stands in, and the node fields its plan reads.
+REGION_TABLES = {"ratings": "js-table-ratings", "news": "news-table", "insider": "body-table"}
+REGION_FIELDS = ("pos", "tag", "classes", "last", "attrs", "text", "href", "table_id", "table_classes", "row_no", "cells", "heads", "items")
+
+
+def region_reads(region: str) -> dict[str, tuple[str, ...]]:
+    """Options of ``documents`` for a plan that reads the page's header and one region."""
+    return {"tables": (REGION_TABLES[region],), "fields": REGION_FIELDS}
+
+
 # ---------------------------------------------------------------- shared pieces
 
 
@@ -163,11 +173,14 @@ def screener_table(rows: DataFrame, labels: list[str]) -> DataFrame:
     return header_table(rows.where("row_ok"), labels, "screen", ("No.", "Ticker"), raw=False)
 
 
+def _numbered(*identity: str) -> Column:
+    """Whether a row's table counts its rows and then names them by one of ``identity``."""
+    return F.coalesce((F.get("heads", F.lit(0)) == "No.") & F.get("heads", F.lit(1)).isin(*identity), F.lit(False))
+
+
 def x_groups_table(docs: DataFrame) -> DataFrame:
     """Group rows: the provider's index, the name, labels and displays."""
-    rows = table_rows(docs, "groups_table")
-    contract = (F.get("heads", F.lit(0)) == "No.") & (F.get("heads", F.lit(1)) == "Name")
-    return rows.where(F.coalesce(contract, F.lit(False))).select(
+    return table_rows(docs, "groups_table").where(_numbered("Name")).select(
         *keys_of(docs),
         F.get("cells", F.lit(0)).try_cast("bigint").alias("rank"),
         F.get("cells", F.lit(1)).alias("name"),
@@ -183,10 +196,7 @@ def groups_table(rows: DataFrame, labels: list[str]) -> DataFrame:
 
 def x_market_table(docs: DataFrame) -> DataFrame:
     """Market performance rows; the identity column is ``Pair`` or ``Ticker``."""
-    rows = table_rows(docs, "groups_table")
-    identity = F.get("heads", F.lit(1)).isin("Pair", "Ticker")
-    contract = (F.get("heads", F.lit(0)) == "No.") & identity
-    return rows.where(F.coalesce(contract, F.lit(False))).select(
+    return table_rows(docs, "groups_table").where(_numbered("Pair", "Ticker")).select(
         *keys_of(docs),
         F.get("cells", F.lit(0)).try_cast("bigint").alias("rank"),
         F.get("cells", F.lit(1)).alias("identity"),
@@ -219,11 +229,13 @@ def perf_table(rows: DataFrame, identity: str, labels: list[str]) -> DataFrame:
     )
 
 
+def _spectra() -> Column:
+    return F.filter("nodes", lambda n: (n["tag"] == "img") & has_class(n["classes"], "groups_spectrum-image"))
+
+
 def x_spectrum_ref(docs: DataFrame, dimension: str = "sector") -> DataFrame:
     """The one spectrum image of a group page; pages with another count drop out."""
-    images = F.filter(
-        "nodes", lambda n: (n["tag"] == "img") & has_class(n["classes"], "groups_spectrum-image")
-    )
+    images = _spectra()
     src = F.trim(F.get(images, F.lit(0))["href"])
     url = F.when(src.startswith("//"), F.concat(F.lit("https:"), src)).otherwise(src)
     return docs.where(F.size(images) == 1).select(
@@ -395,8 +407,17 @@ def x_quote_description(quotes: DataFrame) -> DataFrame:
     return quotes.select(*keys, bio.alias("description")).where(F.col("description") != "")
 
 
-def _quote_rows(quotes: DataFrame, css: str | None = None, table_id: str | None = None) -> DataFrame:
-    return table_rows(quotes, css, table_id).where(F.size("cells") >= F.size("heads"))
+def _whole() -> Column:
+    """Whether a row has a cell for every header."""
+    return F.size("cells") >= F.size("heads")
+
+
+def _linked_news() -> Column:
+    return item(lambda i: (i["tag"] == "a") & has_class(i["classes"], "tab-link-news"))
+
+
+def _with_form() -> Column:
+    return F.array_contains("heads", "SEC Form 4")
 
 
 def _quote_keys(quotes: DataFrame) -> list[str]:
@@ -405,7 +426,7 @@ def _quote_keys(quotes: DataFrame) -> list[str]:
 
 def x_quote_ratings(quotes: DataFrame) -> DataFrame:
     day = M.norm_date_rating(cell("Date"))
-    return _quote_rows(quotes, "js-table-ratings").select(
+    return table_rows(quotes, "js-table-ratings").where(_whole()).select(
         *_quote_keys(quotes),
         F.date_format(day, "yyyy-MM-dd 00:00").alias("published_at"),
         cell("Date").alias("published_at__display"),
@@ -419,7 +440,7 @@ def x_quote_ratings(quotes: DataFrame) -> DataFrame:
 
 
 def x_quote_news(quotes: DataFrame) -> DataFrame:
-    link = item(lambda i: (i["tag"] == "a") & has_class(i["classes"], "tab-link-news"))
+    link = _linked_news()
     right = item(lambda i: has_class(i["classes"], "news-link-right"))
     rows = table_rows(quotes, table_id="news-table").where((F.size("cells") >= 2) & link.isNotNull())
     when = F.get("cells", F.lit(0))
@@ -454,7 +475,7 @@ def _insider_columns() -> list[Column]:
 
 
 def x_quote_insider(quotes: DataFrame) -> DataFrame:
-    rows = _quote_rows(quotes, "body-table").where(F.array_contains("heads", "SEC Form 4"))
+    rows = table_rows(quotes, "body-table").where(_whole() & _with_form())
     return rows.select(*_quote_keys(quotes), cell("Insider Trading").alias("owner"), *_insider_columns())
 
 
@@ -554,14 +575,19 @@ def bundle_fanout(docs: DataFrame) -> dict[str, DataFrame]:
 # ---------------------------------------------------------------- news
 
 
-def _news_rows(rows: DataFrame, default: Column, *columns) -> DataFrame:
+def _news_cells() -> tuple[Column, Column]:
+    """A news row's time display and its link."""
     link_col = item(lambda i: has_class(i["classes"], "news_link-cell"))["col_no"]
     when = item(lambda i: has_class(i["classes"], "news_date-cell"))["text"]
 
     def link(css: str) -> Column:
         return item(lambda i: (i["tag"] == "a") & (i["col_no"] == link_col) & has_class(i["classes"], css))
 
-    anchor = F.coalesce(link("nn-tab-link"), link("tab-link"))
+    return when, F.coalesce(link("nn-tab-link"), link("tab-link"))
+
+
+def _news_rows(rows: DataFrame, default: Column, *columns) -> DataFrame:
+    when, anchor = _news_cells()
     icon = item(lambda i: (i["tag"] == "use") & F.coalesce(i["href"].rlike(r"(?i)#[a-z0-9-]+-light\z"), F.lit(False)))
     publisher = F.coalesce(F.nullif(F.regexp_extract(icon["href"], r"(?i)#([a-z0-9-]+)-light\z", 1), F.lit("")), default)
     return rows.where(when.isNotNull() & anchor.isNotNull()).select(
@@ -574,8 +600,8 @@ def _news_rows(rows: DataFrame, default: Column, *columns) -> DataFrame:
     )
 
 
-def x_global_news(docs: DataFrame) -> DataFrame:
-    """Global news rows with their category: first table News, second Blogs."""
+def _listed_news(docs: DataFrame) -> DataFrame:
+    """Rows of the first two news tables, each with its category."""
 
     def listing(n: Column) -> Column:
         return (n["tag"] == "table") & has_class(n["classes"], "styled-table-new") & has_class(n["classes"], "table-fixed")
@@ -588,8 +614,12 @@ def x_global_news(docs: DataFrame) -> DataFrame:
     base = docs.withColumns({"_tables": tables, "_headings": headings})
     ordinal = F.array_position("_tables", F.col("table_no"))
     rows = nodes_of(base, test=lambda n: (n["tag"] == "tr") & (F.size(n["cells"]) > 0)).where(ordinal.between(1, 2))
-    rows = rows.withColumn("category", F.get("_headings", (ordinal - 1).cast("int")))
-    return _news_rows(rows, F.lit(None).cast("string"), *keys_of(docs), "category", "row_no")
+    return rows.withColumn("category", F.get("_headings", (ordinal - 1).cast("int")))
+
+
+def x_global_news(docs: DataFrame) -> DataFrame:
+    """Global news rows with their category: first table News, second Blogs."""
+    return _news_rows(_listed_news(docs), F.lit(None).cast("string"), *keys_of(docs), "category", "row_no")
 
 
 def x_publisher_news(docs: DataFrame, slug: Column) -> DataFrame:
@@ -606,11 +636,13 @@ INSIDER_HEADS = (
 )
 
 
+def _insider_contract() -> Column:
+    return F.size(F.array_except(F.array(*[F.lit(h) for h in INSIDER_HEADS]), "heads")) == 0
+
+
 def x_global_insider(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Insider rows and the quarantined rows that name no ticker."""
-    rows = table_rows(docs, table_id="insider-table").where(
-        F.size(F.array_except(F.array(*[F.lit(h) for h in INSIDER_HEADS]), "heads")) == 0
-    )
+    rows = table_rows(docs, table_id="insider-table").where(_insider_contract())
     anchor = item(lambda i: (i["tag"] == "a") & (i["col_no"] == column_of("Ticker")))["text"]
     symbol = F.coalesce(F.nullif(anchor, F.lit("")), F.nullif(cell("Ticker"), F.lit("")))
     out = rows.select(
@@ -626,15 +658,19 @@ DISCLOSURE_ROOTS = {
 }
 
 
-def x_disclosure(docs: DataFrame, kind: str) -> DataFrame:
-    """The portfolio JSON of a disclosure page, verbatim, with its report dates."""
-    root, dates = DISCLOSURE_ROOTS[kind]
-    script = first_text(
+def _disclosed(root: str) -> Column:
+    return first_text(
         F.col("nodes"),
         lambda n: (n["tag"] == "script")
         & n["text"].startswith("{")
         & F.get_json_object(n["text"], f"$.{root}").startswith("{"),
     )
+
+
+def x_disclosure(docs: DataFrame, kind: str) -> DataFrame:
+    """The portfolio JSON of a disclosure page, verbatim, with its report dates."""
+    root, dates = DISCLOSURE_ROOTS[kind]
+    script = _disclosed(root)
     base = docs.withColumn("_json", script).where(F.col("_json").isNotNull())
     return base.select(
         *keys_of(docs),
@@ -645,6 +681,74 @@ def x_disclosure(docs: DataFrame, kind: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- what the families refuse
+
+
+def _refused(docs: DataFrame, rows: DataFrame, problem: Column) -> DataFrame:
+    keys = keys_of(docs)
+    return rows.withColumn("problem", problem).where(F.col("problem").isNotNull()).select(*keys, "row_no", "problem")
+
+
+def _without(docs: DataFrame, missing: Column, problem: str) -> DataFrame:
+    """Whole documents that a family cannot read: their ``row_no`` is null."""
+    return docs.where(F.coalesce(missing, F.lit(True))).select(*keys_of(docs), F.lit(None).cast("int").alias("row_no"), F.lit(problem).alias("problem"))
+
+
+def _no_table(css: str | None = None, table_id: str | None = None) -> Column:
+    def fits(n: Column) -> Column:
+        named = n["table_id"] == table_id if table_id else has_class(n["table_classes"], css)
+        return (n["tag"] == "tr") & (F.size(n["cells"]) > 0) & F.coalesce(named, F.lit(False))
+
+    return ~F.exists("nodes", fits)
+
+
+def _first_problem(**checks: Column) -> Column:
+    """The name of the first check that does not hold, spelled with blanks; null when all hold."""
+    return F.coalesce(*[F.when(~F.coalesce(held, F.lit(False)), F.lit(name.replace("_", " "))) for name, held in checks.items()])
+
+
+def page_errors(docs: DataFrame, family: str) -> DataFrame:
+    """``(*keys, row_no, problem)`` of every document and row that a family's relation leaves out.
+
+    Each test is the one that the family's own plan keeps rows by, so accepted and refused
+    rows add up to the rows that are there. A document without the structure is one row with
+    a null ``row_no``. ``docs`` are parsed documents; for the regions of a stock page
+    (``ratings``, ``stock_news``, ``stock_insider``) those of ``quote_documents``.
+    """
+    whole = is_rank(F.get("cells", F.lit(0))) & (F.size("cells") == F.size("heads"))
+    if family in ("groups", "market"):
+        identity = ("Name",) if family == "groups" else ("Pair", "Ticker")
+        rows = table_rows(docs, "groups_table")
+        refused = _refused(docs, rows, _first_problem(unexpected_header=_numbered(*identity), rank_or_cell_count=whole))
+        return _without(docs, _no_table("groups_table"), "no table").unionByName(refused)
+    if family == "spectrum":
+        return _without(docs, F.size(_spectra()) != 1, "not one spectrum image")
+    if family == "stock":
+        quotes = quote_documents(docs)
+        return _without(quotes.select(*keys_of(docs), "symbol", "nodes"), F.col("symbol").isNull(), "no symbol").drop("symbol")
+    if family == "ratings":
+        return _refused(docs, table_rows(docs, "js-table-ratings"), _first_problem(short_row=_whole()))
+    if family == "stock_news":
+        checks = {"short_row": F.size("cells") >= 2, "no_link": _linked_news().isNotNull()}
+        return _refused(docs, table_rows(docs, table_id="news-table"), _first_problem(**checks))
+    if family == "stock_insider":
+        return _refused(docs, table_rows(docs, "body-table").where(_with_form()), _first_problem(short_row=_whole()))
+    if family in ("global_news", "publisher_news"):
+        when, anchor = _news_cells()
+        rows = _listed_news(docs) if family == "global_news" else table_rows(docs, "table-fixed")
+        checks = {"no_time": when.isNotNull(), "no_link": anchor.isNotNull(), "unknown_time": M.norm_ts_news_kind(when).isNotNull()}
+        return _without(docs, _no_table("table-fixed"), "no table").unionByName(_refused(docs, rows, _first_problem(**checks)))
+    if family == "global_insider":
+        rows = table_rows(docs, table_id="insider-table")
+        anchor = item(lambda i: (i["tag"] == "a") & (i["col_no"] == column_of("Ticker")))["text"]
+        named = F.coalesce(F.nullif(anchor, F.lit("")), F.nullif(cell("Ticker"), F.lit(""))).isNotNull()
+        refused = _refused(docs, rows, _first_problem(unexpected_header=_insider_contract(), no_ticker=named))
+        return _without(docs, _no_table(table_id="insider-table"), "no table").unionByName(refused)
+    if family in DISCLOSURE_ROOTS:
+        return _without(docs, _disclosed(DISCLOSURE_ROOTS[family][0]).isNull(), "no portfolio")
+    raise R.QueryError(f"unknown page family {family!r}")
+
+
 # ---------------------------------------------------------------- JSON bodies
 
 _ENTRY = (
@@ -798,7 +902,7 @@ def x_map_perf(df: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
-_LEAF = "struct<name string, description string, value double>"
+_LEAF = "struct<name string, description string, value variant>"
 _TREE = (
     "struct<name string, children array<struct<name string, children array<struct<name string, "
     f"children array<{_LEAF}>>>>>>"
@@ -817,26 +921,45 @@ def x_hierarchy(df: DataFrame, body: str = "body") -> DataFrame:
 
 def _hierarchies(df: DataFrame, body: str) -> DataFrame:
     keys = [c for c in df.columns if c != body]
-    tree = F.from_json(x_js_literal(after(F.col(body), r"e\.exports\s*=\s*(?=\{)")), _TREE)
-    parsed = once(df, keys, {"root": tree})
-    return parsed.withColumn("problem", hierarchy_problem(F.col("root")))
+    written = x_js_literal(after(F.col(body), r"e\.exports\s*=\s*(?=\{)"))
+    parsed = once(df, keys, {"_tree": F.struct(F.from_json(written, _TREE).alias("root"), F.get_json_object(written, "$.children").alias("children"))})
+    parsed = parsed.select(*keys, F.col("_tree.root").alias("root"), F.col("_tree.children").alias("_children"))
+    return parsed.withColumn("problem", hierarchy_problem(F.col("root"), F.col("_children"))).drop("_children")
+
 
+def is_number(value: Column) -> Column:
+    """Whether a VARIANT is a JSON number; texts and booleans that would convert are none."""
+    return F.schema_of_variant(value).rlike(r"\A(?:BIGINT|DOUBLE|FLOAT|DECIMAL.*)\z")
 
-def hierarchy_problem(root: Column) -> Column:
-    """The first way in which a tree is not sectors of industries of named leaves; null if it is."""
+
+def hierarchy_problem(root: Column, children: Column) -> Column:
+    """The first way in which a tree is not sectors of industries of named leaves; null if it is.
+
+    ``children`` is the root's field as written: a named root that has none, or an
+    empty list, is an export without leaves and no problem. A leaf's value is absent,
+    null or a number.
+    """
+
+    def nameless(x: Column) -> Column:
+        return F.coalesce(x["name"], F.lit("")) == ""
 
     def lacks(level: Column) -> Column:
-        return F.exists(level, lambda x: x["name"].isNull() | (F.coalesce(F.size(x["children"]), F.lit(0)) <= 0))
+        return F.exists(level, lambda x: nameless(x) | (F.coalesce(F.size(x["children"]), F.lit(0)) <= 0))
+
+    def odd(x: Column) -> Column:
+        return x["value"].isNotNull() & (F.schema_of_variant(x["value"]) != "VOID") & ~is_number(x["value"])
 
     sectors = root["children"]
     industries = F.flatten(F.transform(sectors, lambda s: s["children"]))
     leaves = F.flatten(F.transform(industries, lambda i: i["children"]))
     return (
-        F.when(root.isNull(), F.lit("no hierarchy"))
+        F.when(root.isNull() | nameless(root), F.lit("no hierarchy"))
+        .when(children.isNull() | (children == "[]"), F.lit(None).cast("string"))
         .when(F.coalesce(F.size(sectors), F.lit(0)) <= 0, F.lit("no sectors"))
         .when(lacks(sectors), F.lit("sector without name or industries"))
         .when(lacks(industries), F.lit("industry without name or leaves"))
-        .when(F.exists(leaves, lambda x: x["name"].isNull()), F.lit("leaf without name"))
+        .when(F.exists(leaves, nameless), F.lit("leaf without name"))
+        .when(F.exists(leaves, odd), F.concat(F.lit("value of leaf "), F.get(F.filter(leaves, odd), F.lit(0))["name"], F.lit(" is no number")))
     )
 
 
@@ -858,7 +981,7 @@ def leaves_of(df: DataFrame, keys: list[str]) -> DataFrame:
             *keys, "sector_no", "industry_no", "leaf_no", "sector", "industry",
             F.col("leaf.name").alias("symbol"),
             F.col("leaf.description").alias("description"),
-            F.coalesce("leaf.value", F.lit(0.0)).alias("value"),
+            F.coalesce(F.try_variant_get("leaf.value", "$", "double"), F.lit(0.0)).alias("value"),
         )
     )
 
