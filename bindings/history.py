@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tickweave.operators import history as H
 from tickweave.operators import relations as L
+from tickweave.streaming import keyed as K
+from tickweave.streaming import progress as G
 from tickweave.streaming import sinks as S
 from tickweave.streaming import windows as W
 
@@ -153,12 +155,22 @@ def hist_window_stats(t):
     return stats.select(*KEY, "id", F.round("moving_mean", 6).alias("moving_mean"), "moving_min", "moving_max", "n_rows")
 
 
+@query(
+    "hist_range_stats",
+    """SELECT symbol, metric, id, round(avg(value) OVER w, 6) AS moving_mean, min(value) OVER w AS moving_min, max(value) OVER w AS moving_max, count(value) OVER w AS n_rows
+    FROM observations WINDOW w AS (PARTITION BY symbol, metric ORDER BY fetched_at RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW)""",
+    "observations",
+)
+def hist_range_stats(t):
+    """The same over the seven days up to each observation."""
+    stats = H.hist_range_stats(_obs(t), KEY, "value", range_seconds=7 * 86400)
+    return stats.select(*KEY, "id", F.round("moving_mean", 6).alias("moving_mean"), "moving_min", "moving_max", "n_rows")
+
+
 # ---------------------------------------------------------------- streaming
 
 
-def _stream(t):
-    """The events table as a stream of observations."""
-    raw = t.spark.readStream.schema(t("events").schema).parquet(t.path("events*"))
+def _events(raw):
     return W.timed(
         raw.select(
             F.col("event_id").alias("id"),
@@ -171,6 +183,53 @@ def _stream(t):
     )
 
 
+def _delivery():
+    """Ten days a delivery; every 17th event comes one delivery late."""
+    days = F.floor(F.datediff(F.col("ts"), F.lit("2024-01-01").cast("date")) / 10)
+    return (days + F.when(F.col("event_id") % 17 == 0, 1).otherwise(0)).cast("int")
+
+
+_DELIVERED = "(SELECT *, date_diff('day', DATE '2024-01-01', CAST(fetched_at AS DATE)) // 10 + CASE WHEN id % 17 = 0 THEN 1 ELSE 0 END AS d FROM observations)"
+
+
+def _in_deliveries(t, name: str, start, closing=None) -> str:
+    """Lay the events down delivery by delivery and run a stream over each; the folder all runs share.
+
+    ``start(stream, folder)`` starts a query until the present files are used up. ``closing``
+    adds columns of a last row, far in the future, which moves the watermark over everything.
+    """
+    folder = scratch(t, name)
+    events = t("events").withColumn("_delivery", _delivery())
+    last = events.agg(F.max("_delivery")).first()[0]
+    batches = [events.where(F.col("_delivery") == d).drop("_delivery") for d in range((last or 0) + 1)]
+    if closing is not None:
+        batches.append(closing)
+    for batch in batches:
+        batch.select(*t("events").columns).write.mode("append").parquet(f"{folder}/in")
+        stream = _events(t.spark.readStream.schema(t("events").schema).parquet(f"{folder}/in"))
+        start(stream, folder).awaitTermination()
+    return folder
+
+
+def _flush(t):
+    """One event in another year: sessions end when time has passed them."""
+    row = t("events").agg(F.max("ts").alias("ts"))
+    return row.select(
+        F.lit(-1).cast("bigint").alias("event_id"), (F.col("ts") + F.expr("interval 365 days")).alias("ts"), F.lit(-1).cast("bigint").alias("user_id"),
+        F.lit("flush").alias("event_type"), F.lit(0.0).alias("value"), F.lit("{}").alias("props"),
+    )
+
+
+def _sink(df, folder: str, mode: str = "append"):
+    out = df.writeStream.format("parquet").option("checkpointLocation", f"{folder}/ckpt").outputMode(mode)
+    return out.trigger(availableNow=True).start(f"{folder}/rows")
+
+
+def _stream(t):
+    """The events table as a stream of observations."""
+    return _events(t.spark.readStream.schema(t("events").schema).parquet(t.path("events*")))
+
+
 def _replayed(t, df, name: str, mode: str = "append"):
     """Run a stream until its files are used up; its result as a batch table."""
     folder = scratch(t, name)
@@ -236,19 +295,25 @@ def st_session_batch(t):
     return _windowed(W.st_session(_obs(t), "2 hours", ["symbol"], "value"))
 
 
-@query(
-    "st_session",
-    f"SELECT * FROM ({_SESSIONS}) WHERE window_end <= (SELECT max(fetched_at) - INTERVAL 1 HOUR FROM observations)",
-    "observations",
-)
+@query("st_session", _SESSIONS, "observations")
 def st_session(t):
-    """Sessions the stream has closed: those ending before the final watermark."""
-    stream = W.st_session(_stream(t), "2 hours", ["symbol"], "value", lateness="1 hour")
-    closed = _replayed(t, stream, "session")
-    # The final watermark has millisecond precision.
-    high = _obs(t).agg((F.date_trunc("millisecond", F.max("fetched_at")) - F.expr("interval 1 hour")).alias("high"))
-    done = closed.join(F.broadcast(high), F.col("window_end") <= F.col("high")).drop("high")
-    return _windowed(done)
+    """All sessions: a last row far in the future closes those that are open at the end."""
+    sessions = []
+
+    def start(stream, folder):
+        out = W.st_session(stream, "2 hours", ["symbol"], "value", lateness="12 days")
+        sessions.append(out.schema)
+        return _sink(out, folder)
+
+    folder = _in_deliveries(t, "session", start, _flush(t))
+    closed = t.spark.read.schema(sessions[0]).parquet(f"{folder}/rows")
+    return _windowed(closed.where(F.col("symbol") != "U-1"))
+
+
+@query("hist_sessions", _SESSIONS, "observations")
+def hist_sessions(t):
+    """The same from pieces per hour, merged by the start that reaches them."""
+    return _windowed(H.hist_sessions(_obs(t), ["symbol"], 7200, "value"))
 
 
 @query("st_dedupe", "SELECT DISTINCT symbol, metric FROM observations", "observations")
@@ -258,13 +323,44 @@ def st_dedupe(t):
     return _replayed(t, W.st_dedupe(stream, KEY, lateness="400 days"), "dedupe").select("symbol", "metric")
 
 
-@query("st_late", "SELECT metric, false AS late, count(*) AS n FROM observations GROUP BY metric", "observations")
+_LATE = f"""SELECT *, coalesce(fetched_at < max(fetched_at) OVER (ORDER BY d GROUPS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 HOUR, false) AS late FROM {_DELIVERED}"""
+
+
+@query("st_late", f"SELECT metric, late, count(*) AS n FROM ({_LATE}) GROUP BY ALL", "observations")
 def st_late(t):
-    """Every row arrives on time or late, none is lost; one file means none late."""
-    folder = scratch(t, "late")
-    sink = S.LateRows(folder, "1 hour")
-    S.run_available(_stream(t), sink, f"{folder}/ckpt")
-    return sink.read(t.spark).groupBy("metric", "late").agg(F.count("*").alias("n"))
+    """Every row arrives on time or late, none is lost; some come a delivery late."""
+    sinks = {}
+
+    def start(stream, folder):
+        sinks["rows"] = S.LateRows(f"{folder}/split", "1 hour")
+        return stream.writeStream.foreachBatch(sinks["rows"]).option("checkpointLocation", f"{folder}/ckpt").trigger(availableNow=True).start()
+
+    _in_deliveries(t, "late", start)
+    return sinks["rows"].read(t.spark).groupBy("metric", "late").agg(F.count("*").alias("n"))
+
+
+@query(
+    "on_progress",
+    f"SELECT CAST(d AS BIGINT) AS delivery, count(*) AS input_rows, count(*) FILTER (late) AS dropped_rows FROM ({_LATE}) GROUP BY d",
+    "observations",
+)
+def on_progress(t):
+    """Rows that a stream read and rows it dropped behind its watermark, by delivery, as it reported them."""
+    reports, runs = scratch(t, "progress"), []
+    with G.ProgressTable(t.spark, reports) as table:
+
+        def start(stream, folder):
+            seen = W.st_dedupe(stream.select("id", "fetched_at"), ["id"], lateness="1 hour")
+            runs.append(_sink(seen, folder))
+            return runs[-1]
+
+        _in_deliveries(t, "dropped", start)
+        for run in runs:
+            table.wait(run.runId)
+    order = F.create_map(*[F.lit(x) for i, run in enumerate(runs) for x in (str(run.runId), i)])  # one entry per delivery
+    seen = table.read().withColumn("delivery", F.try_element_at(order, F.col("run_id")).cast("bigint"))
+    sums = seen.groupBy("delivery").agg(F.sum("input_rows").alias("input_rows"), F.sum("dropped_rows").alias("dropped_rows"))
+    return sums.where(F.col("input_rows") > 0)
 
 
 @query("st_change_feed", _FEED, "observations")
@@ -275,6 +371,45 @@ def st_change_feed(t):
     return plain(sink.read(t.spark).select("symbol", "metric", "id", "fetched_at", "props"))
 
 
+_KEYED = f"""SELECT *, fetched_at <= high AS late FROM (SELECT *, max(fetched_at) OVER (PARTITION BY symbol ORDER BY d GROUPS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS high FROM {_DELIVERED})"""
+_KEYED_FEED = f"""SELECT symbol, metric, id, fetched_at, props, false AS late FROM (SELECT *, lag(props) OVER (PARTITION BY symbol ORDER BY fetched_at, id) AS p,
+    row_number() OVER (PARTITION BY symbol ORDER BY fetched_at, id) AS rn FROM ({_KEYED}) WHERE late IS NOT TRUE) WHERE rn = 1 OR p <> props
+    UNION ALL SELECT symbol, metric, id, fetched_at, props, true FROM ({_KEYED}) WHERE late"""
+
+
+def _keyed(t, name: str, **options):
+    schemas = []
+
+    def start(stream, folder):
+        feed = K.keyed_change_feed(stream, ["symbol"], ["props"], **options).select("symbol", "metric", "id", "fetched_at", "props", "late")
+        schemas.append(feed.schema)
+        return _sink(feed, folder)
+
+    with K.rocksdb(t.spark):
+        folder = _in_deliveries(t, name, start)
+    return plain(t.spark.read.schema(schemas[0]).parquet(f"{folder}/rows"))
+
+
+@query("st_keyed_feed", _KEYED_FEED, "observations")
+def st_keyed_feed(t):
+    """The change feed from keyed state; rows older than their key's state are marked late, never compared."""
+    return _keyed(t, "keyed")
+
+
+_SEEN = f"SELECT *, date_trunc('milliseconds', max(fetched_at) OVER (ORDER BY d GROUPS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) - INTERVAL 1 HOUR AS mark FROM {_DELIVERED}"
+_IN_TIME = f"SELECT *, max(fetched_at) OVER (PARTITION BY symbol ORDER BY d GROUPS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS high FROM ({_SEEN}) WHERE mark IS NULL OR fetched_at > mark"
+_EXPIRING = f"""SELECT symbol, id, fetched_at FROM (SELECT *, lag(props) OVER w AS p, lag(d) OVER w AS before, lag(fetched_at) OVER w AS since
+    FROM ({_IN_TIME}) WHERE high IS NULL OR fetched_at > high WINDOW w AS (PARTITION BY symbol ORDER BY fetched_at, id))
+    WHERE p IS NULL OR p <> props OR (before < d AND date_trunc('milliseconds', since) + INTERVAL 3 HOUR < mark)"""
+
+
+@query("st_keyed_expiry", _EXPIRING, "observations")
+def st_keyed_expiry(t):
+    """The same where keys are forgotten three hours after their last row, as the watermark sees it: they come back as new."""
+    rows = _keyed(t, "expiring", lateness="1 hour", idle_seconds=3 * 3600)
+    return rows.where(~F.col("late")).select("symbol", "id", "fetched_at")
+
+
 @query(
     "st_join_calendar",
     "SELECT o.id, o.symbol, c_name, c_mktsegment FROM observations o LEFT JOIN customer ON c_custkey = o.uid",

@@ -164,6 +164,87 @@ def hist_membership(df: DataFrame, group: list[str], capture: str, symbol: str =
     return both.select(*group, capture, symbol, change.alias("transition"))
 
 
+def hist_sessions(
+    df: DataFrame, key: list[str], gap_seconds: int, value: str, order: tuple[str, ...] = ("fetched_at", "id"), unit: str = BUCKET
+) -> DataFrame:
+    """Sessions of a key: runs of rows of which each is less than ``gap_seconds`` after the one before.
+
+    Gaps are found inside ``(key, bucket)``, with the last instant of the earlier buckets
+    carried in. A row without a gap before it belongs to the latest start at or before it,
+    in its bucket or carried. Segments of a session that spans buckets are merged by that
+    start, so a symbol with a large share of all rows is many tasks throughout.
+    """
+    at, order = order[0], list(order)
+    gap = F.expr(f"interval {gap_seconds} seconds")
+    seen = with_previous(df.select(*key, *order, value), key, order, F.col(at), "_before", unit)
+    begins = ~F.col("has__before") | (F.col(at) >= F.col("_before") + gap)
+    marked = seen.withColumns({"_bucket": _bucket(at, unit), "_begin": F.when(begins, F.col(at))})
+    inside = W.partitionBy(*key, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    carry = _carried(marked, key, order, F.col("_begin"))
+    marked = marked.withColumn("_here", F.last("_begin", ignorenulls=True).over(inside)).join(carry, [*key, "_bucket"], "left")
+    return marked.groupBy(*key, F.coalesce("_here", "_carry").alias("window_start")).agg(
+        (F.max(at) + gap).alias("window_end"),
+        F.count("*").alias("n"),
+        F.min(value).alias("min_value"),
+        F.max(value).alias("max_value"),
+        F.avg(value).alias("mean_value"),
+    )
+
+
+def hist_range_stats(
+    df: DataFrame, key: list[str], value: str, order: tuple[str, ...] = ("fetched_at", "id"), *, range_seconds: int, bucket_seconds: int = 3600
+) -> DataFrame:
+    """Mean, min, max and count of a value over the ``range_seconds`` up to each row, both ends included.
+
+    A frame is three pieces: the rows of the row's own bucket up to it, whole buckets in
+    between, which one row per bucket stands for, and the end of the bucket in which the
+    frame begins. For the last piece every row is copied once, moved on by the range, so
+    that it meets the rows whose frames begin in its bucket. Nothing windows over more than
+    one bucket of rows, however long the range and however busy the key.
+    """
+    if range_seconds % bucket_seconds or range_seconds <= 0:
+        raise ValueError("range_seconds must be a positive multiple of bucket_seconds")
+    width, reach, span = bucket_seconds * 1_000_000, range_seconds * 1_000_000, range_seconds // bucket_seconds
+    at = F.unix_micros(F.col(order[0]).cast("timestamp"))
+    base = df.select(*key, *order, F.col(value).alias("_v"), at.alias("_t"))
+    bucket = F.floor(F.col("_t") / width).cast("bigint")
+    own = base.select(*key, bucket.alias("_bucket"), "_t", F.col("_v").alias("_own"), F.lit(None).cast("double").alias("_moved"), F.struct(*order, "_v").alias("_row"))
+    moved = base.select(
+        *key, (bucket + span).alias("_bucket"), (F.col("_t") + reach).alias("_t"), F.lit(None).cast("double").alias("_own"),
+        F.col("_v").alias("_moved"), F.lit(None).cast(own.schema["_row"].dataType).alias("_row"),
+    )
+    within = W.partitionBy(*key, "_bucket").orderBy("_t")
+    upto, onward = within.rangeBetween(W.unboundedPreceding, 0), within.rangeBetween(0, W.unboundedFollowing)
+
+    def pieces(name: str, frame) -> dict[str, Column]:
+        c = F.col(f"_{name}")
+        return {f"_{name}_{f.__name__}": f(c).over(frame) for f in (F.count, F.sum, F.min, F.max)}
+
+    rows = own.unionByName(moved).withColumns(pieces("own", upto) | pieces("moved", onward)).where(F.col("_row").isNotNull())
+    whole = own.groupBy(*key, "_bucket").agg(*[f("_own").alias(f"_b_{f.__name__}") for f in (F.count, F.sum, F.min, F.max)])
+    between = W.partitionBy(*key).orderBy("_bucket").rangeBetween(1 - span, -1)
+    fold = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+    whole = whole.select(*key, "_bucket", *[f(f"_b_{n}").over(between).alias(f"_mid_{n}") for n, f in fold.items()])
+    joined = rows.join(whole, [*key, "_bucket"], "left")
+
+    def all_of(n: str) -> list[Column]:
+        return [F.col(f"_{piece}_{n}") for piece in ("own", "mid", "moved")]
+
+    def total(n: str) -> Column:
+        a, b, c = (F.coalesce(x, F.lit(0)) for x in all_of(n))
+        return a + b + c
+
+    return joined.select(
+        *key,
+        *[F.col(f"_row.{c}").alias(c) for c in order],
+        F.col("_row._v").alias(value),
+        (total("sum") / F.nullif(total("count"), F.lit(0))).alias("moving_mean"),
+        F.least(*all_of("min")).alias("moving_min"),
+        F.greatest(*all_of("max")).alias("moving_max"),
+        total("count").cast("bigint").alias("n_rows"),
+    )
+
+
 def hist_window_stats(
     df: DataFrame, key: list[str], value: str, order: tuple[str, ...] = ("fetched_at", "id"), rows: int = 3, unit: str = BUCKET
 ) -> DataFrame:
