@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickweave.session import configure
+from tickweave.session import configure, shared_folder
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -42,6 +44,11 @@ class Tables:
         return self(name).repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def scratch(t: Tables, name: str) -> str:
+    """A fresh place in the shared folder for a query that writes."""
+    return os.path.join(shared_folder(t.spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
 def view(name: str, sql: str | None = None):
     """Register a domain view; ``sql`` is its DuckDB form for the oracles."""
 

@@ -7,21 +7,18 @@ never sees the markup.
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import functions as F
 
 from tickweave.functions import hashing as H
 from tickweave.operators.dataset import build_dataset
 from tickweave.plans import api as A
 from tickweave.plans import families as P
-from tickweave.session import shared_folder
 from tickweave.sources import captures as C
 from tickweave.sources import html as D
 from tickweave.sources.embedded import x_embedded_json
+from tickweave.sources.runs import RunLog
 
-from .core import query
+from .core import query, scratch
 from .screens import plain
 from .scalars import HOST, ORIGIN
 from .views import FETCHED
@@ -29,11 +26,6 @@ from .views import FETCHED
 PAGE_NAMES = {"page_id": "capture_id", "url": "endpoint", "html": "body"}
 
 
-def scratch(t, name: str) -> str:
-    """A fresh place in the shared folder for a query that writes."""
-    return os.path.join(shared_folder(t.spark), f"{name}-{uuid.uuid4().hex[:12]}")
-
-
 def stamped():
     return F.lit(FETCHED).cast("timestamp").alias("fetched_at")
 
@@ -84,6 +76,24 @@ def hist_append(t):
     return history.groupBy("capture_date").agg(F.count("*").alias("n"), F.countDistinct("symbol").alias("symbols"))
 
 
+@query(
+    "hist_append_runs",
+    "SELECT capture_date, count(*) AS n, count(DISTINCT symbol) AS symbols FROM (SELECT CAST(fetched_at AS DATE) AS capture_date, symbol FROM observations) GROUP BY capture_date",
+    "observations",
+)
+def hist_append_runs(t):
+    """Three runs, one of them repeated and one after a crash that left files, compacted: each row once."""
+    log = RunLog(t.spark, scratch(t, "runs"), "observations")
+    rows = t("observations").select("id", "symbol", "metric", "value", "fetched_at")
+    kinds = {"clicks": F.col("metric") == "click", "views": F.col("metric") == "view", "rest": ~F.col("metric").isin("click", "view")}
+    rows.withColumn("capture_date", F.to_date("fetched_at")).write.partitionBy("capture_date").parquet(f"{log.folder}/run=views")  # never committed
+    for run in ("clicks", "views", "clicks", "rest"):
+        log.append(rows.where(kinds[run]), run)
+    log.compact("all")
+    log.sweep()
+    return log.read().groupBy("capture_date").agg(F.count("*").alias("n"), F.countDistinct("symbol").alias("symbols"))
+
+
 # ---------------------------------------------------------------- classification
 
 

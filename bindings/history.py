@@ -10,14 +10,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickweave.operators import history as H
+from tickweave.operators.intervals import IntervalTable
 from tickweave.operators import relations as L
 from tickweave.streaming import keyed as K
 from tickweave.streaming import progress as G
 from tickweave.streaming import sinks as S
 from tickweave.streaming import windows as W
 
-from .core import VIEW_SQL, query
-from .extraction import scratch
+from .core import VIEW_SQL, query, scratch
 from .screens import plain
 
 VIEW_SQL["m"] = "SELECT DISTINCT metric, CAST(fetched_at AS DATE) AS capture, symbol FROM observations"
@@ -72,6 +72,21 @@ def hist_scd2(t):
     return plain(H.hist_scd2(feed, ["symbol"]).select("symbol", "id", "valid_from", "valid_to", "is_current"))
 
 
+@query(
+    "hist_scd2_incremental",
+    f"""SELECT symbol, id, fetched_at AS valid_from, lead(fetched_at) OVER w AS valid_to, lead(fetched_at) OVER w IS NULL AS is_current
+    FROM ({_FEED}) WINDOW w AS (PARTITION BY symbol ORDER BY fetched_at, id)""",
+    "observations",
+)
+def hist_scd2_incremental(t):
+    """The same table from three batches out of order, one of them delivered twice."""
+    table = IntervalTable(scratch(t, "intervals"), ["symbol"], ["props"], buckets=16)
+    part = F.pmod(F.xxhash64("id"), F.lit(3))
+    for epoch, number in enumerate((2, 0, 0, 1)):
+        table.apply(_obs(t).where(part == number), 1 if number == 0 else epoch)
+    return plain(table.read(t.spark).select("symbol", "id", "valid_from", "valid_to", "is_current"))
+
+
 @query(
     "hist_current",
     "SELECT symbol, metric, max(fetched_at) AS fetched_at, arg_max(id, (fetched_at, id)) AS id, arg_max(value, (fetched_at, id)) AS value FROM observations GROUP BY symbol, metric",

@@ -11,6 +11,8 @@ from tickweave.operators import quality as Q
 from tickweave.operators import ranking as K
 from tickweave.operators import relations as L
 from tickweave.operators import screening as S
+from tickweave.operators.rank_index import RankIndex
+from tickweave.operators.sketches import SketchTable, error_bound
 from tickweave.operators.dataset import build_dataset, provenance_cols, split_required, split_dataset
 from tickweave.plans import api as A
 from tickweave.plans import families as P
@@ -18,7 +20,7 @@ from tickweave.plans import registry as R
 from tickweave.plans.query import Filter, GroupQuery, Order, ScreenQuery
 from tickweave.schemas import dataset, dq_contract, dq_contract_nulls, empty_typed
 
-from .core import query
+from .core import query, scratch
 from .views import AS_OF, FETCHED
 
 BIG_CAP = "market_cap >= 1000000"
@@ -622,6 +624,26 @@ def rank_in_group(t):
     return K.rank_in_group(rows, ["sector"], K.order_keys("market_cap", True), 5)
 
 
+_UNITS = "SELECT u.unit, CAST(date_trunc(u.unit, l_shipdate) AS DATE) AS start, l_returnflag, count(*) AS n_rows, count(DISTINCT l_partkey) AS symbols, true AS close FROM lineitem, (VALUES ('day'), ('week'), ('month'), ('year')) u(unit) GROUP BY ALL"
+
+
+@query("distinct_rollup", _UNITS)
+def distinct_rollup(t):
+    """Universe sizes of days, weeks, months and years from one table of daily sketches, beside the exact counts."""
+    lines = t("lineitem").select("l_returnflag", "l_partkey", "l_shipdate")
+    table = SketchTable(scratch(t, "sketches"), ["l_returnflag"], "l_partkey", "l_shipdate", period="year")
+    table.put(lines)
+    out = None
+    for unit in ("day", "week", "month", "year"):
+        start = F.date_trunc(unit, "l_shipdate").cast("date").alias("start")
+        exact = lines.groupBy("l_returnflag", start).agg(F.countDistinct("l_partkey").alias("symbols"))
+        both = table.counts(t.spark, unit).join(exact, ["l_returnflag", "start"])
+        near = F.abs(F.col("estimate") - F.col("symbols")) <= F.greatest(F.lit(1), F.col("symbols") * error_bound())
+        part = both.select("unit", "start", "l_returnflag", "n_rows", "symbols", near.alias("close"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("rank_position", "SELECT l_orderkey, CAST(l_linenumber + 1 AS BIGINT) AS rank FROM lineitem")
 def rank_position(t):
     return K.rank_position(t("lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey", "l_linenumber").select("l_orderkey", "rank")
@@ -671,6 +693,25 @@ def page(t):
     return K.page(t("securities").select("symbol", "market_cap"), K.order_keys("market_cap", True), 2)
 
 
+_PRICED = "SELECT *, row_number() OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity) AS rank, count(*) OVER () AS n FROM lineitem"
+
+
+@query(
+    "page_indexed",
+    f"""SELECT p.name, rank, l_orderkey, l_linenumber, l_extendedprice FROM ({_PRICED})
+    JOIN (VALUES ('first', 1), ('middle', 2), ('last', 3)) p(name, k) ON (rank - 1) // 20 = CASE k WHEN 1 THEN 0 WHEN 2 THEN n // 40 ELSE (n - 1) // 20 END""",
+)
+def page_indexed(t):
+    """Three pages of the largest table from one stored order: the first, a middle one, the last."""
+    keys = [F.col("l_extendedprice").desc_nulls_last()] + [F.col(c).asc() for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")]
+    rows = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    index = RankIndex.build(rows, keys, scratch(t, "order"), part_rows=10_000)
+    at = {"first": 1, "middle": index.total // 40 + 1, "last": (index.total - 1) // 20 + 1}
+    pages = [index.page(n).withColumn("name", F.lit(name)) for name, n in at.items()]
+    out = pages[0].unionByName(pages[1]).unionByName(pages[2])
+    return out.select("name", "rank", "l_orderkey", "l_linenumber", "l_extendedprice")
+
+
 @query(
     "walk_limits",
     "SELECT count(*) AS total_rows, CASE WHEN count(*) > 60 THEN 'PARTIAL' ELSE 'COMPLETE' END AS status, CASE WHEN count(*) > 60 THEN 'max_rows_reached' END AS stop_code, CAST(4 AS BIGINT) AS requested_units, CAST(3 AS BIGINT) AS succeeded_units, CAST(1 AS BIGINT) AS failed_units, CAST(60 AS BIGINT) AS n_rows FROM securities",

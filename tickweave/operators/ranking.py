@@ -51,15 +51,21 @@ def global_rank(df: DataFrame, keys: list[Column], name: str = "rank") -> DataFr
     )
 
 
+#: Rows that a sort in one task may have to hold; deeper pages are ranked in full.
+ONE_TASK_ROWS = 100_000
+
+
 def rank_limited(
-    df: DataFrame, keys: list[Column], count: int | None, offset: int = 0, name: str = "rank", full: bool = False
+    df: DataFrame, keys: list[Column], count: int | None, offset: int = 0, name: str = "rank", full: bool | None = None
 ) -> DataFrame:
     """Rows ``offset+1 … offset+count`` of an ordered table with their absolute rank.
 
-    A top-k sort brings ``offset+count`` rows into one task. For a deep page the
-    caller asks for the ``full`` rank instead; without ``count`` every row behind
-    the offset is wanted, and the full rank is the plan.
+    A top-k sort brings ``offset+count`` rows into one task. Beyond ``ONE_TASK_ROWS`` of
+    them, or where the caller says ``full``, the table is ranked over ranges instead; so it is
+    without ``count``, when every row behind the offset is wanted. The rows are the same.
     """
+    if full is None:
+        full = count is None or offset + count > ONE_TASK_ROWS
     if full or count is None:
         ranked = global_rank(df, keys, name)
         inside = F.col(name) > offset if count is None else F.col(name).between(offset + 1, offset + count)
@@ -73,7 +79,7 @@ def top_k(df: DataFrame, keys: list[Column], k: int, name: str = "rank") -> Data
     return rank_limited(df, keys, k, 0, name)
 
 
-def page(df: DataFrame, keys: list[Column], number: int, size: int = PAGE_SIZE, full: bool = False) -> DataFrame:
+def page(df: DataFrame, keys: list[Column], number: int, size: int = PAGE_SIZE, full: bool | None = None) -> DataFrame:
     """The 1-based page ``number`` of an ordered result, ranked from its start."""
     if number < 1:
         raise ValueError("page must be a positive integer")
