@@ -52,8 +52,8 @@ def test_an_empty_table_has_an_index(spark, tmp_path):
 
 
 def test_deep_pages_are_not_one_task(spark):
-    near = rank_limited(numbered(spark, 10), order_keys("v"), 20)
-    deep = rank_limited(numbered(spark, 10), order_keys("v"), 20, 10_000_000)
+    near = rank_limited(numbered(spark, 1000), order_keys("v"), 20)
+    deep = rank_limited(numbered(spark, 1000), order_keys("v"), 20, 10_000_000)
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     assert any(x in plan(near) for x in ("TakeOrdered", "GlobalLimit")) and not any(x in plan(deep) for x in ("TakeOrdered", "GlobalLimit"))
 
