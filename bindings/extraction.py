@@ -10,11 +10,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickweave.functions import hashing as H
+from tickweave.operators import ranking as K
 from tickweave.operators.dataset import build_dataset
 from tickweave.plans import api as A
 from tickweave.plans import families as P
 from tickweave.sources import captures as C
 from tickweave.sources import html as D
+from tickweave.sources import sitemaps as M
+from tickweave.sources import variant as V
 from tickweave.sources.embedded import x_embedded_json
 from tickweave.sources.runs import RunLog
 
@@ -815,6 +818,58 @@ def x_universe_unexpected(t):
     return A.symbols(_sitemaps(t), HOST)[1].groupBy("capture_id").agg(F.count("*").alias("n"))
 
 
+@query("x_universe_split", "SELECT 'C' || c_custkey AS symbol, row_number() OVER (ORDER BY c_custkey) AS at, (SELECT count(*) FROM customer WHERE c_custkey % 10 = 0) AS n_bad FROM customer WHERE c_custkey % 10 > 0")
+def x_universe_split(t):
+    """Sitemaps written as XML files and read record by record: first-seen order, every tenth entry broken."""
+    folder = scratch(t, "sitemaps")
+    loc = F.concat(F.lit(f"<url>\n<loc>https://{HOST}/stock?t=C"), "c_custkey", F.when(F.col("c_custkey") % 10 == 0, F.lit("</lock>")).otherwise(F.lit("</loc>")))
+    twin = F.concat(F.lit(f"<url><loc>https://{HOST}/stock?t=C"), "c_custkey", F.lit("&amp;ty=oc</loc></url>"))
+    entry = F.concat(loc, F.lit("<lastmod>2001-08-01</lastmod>\n</url>\n"), F.when(F.col("c_custkey") % 10 > 0, twin).otherwise(F.lit("")))
+    # A sorted file per range of keys, so that the files' order is the keys'.
+    rows = t("customer").select("c_custkey", entry.alias("value")).repartitionByRange(4, "c_custkey").sortWithinPartitions("c_custkey")
+    rows.select("value").write.text(folder)
+    records, bad = M.sitemap_records(t.spark, folder)
+    first, _ = M.sitemap_symbols(records, HOST)
+    placed = K.global_rank(first.select("symbol", *M.PLACE), [F.col(c) for c in M.PLACE], "at").select("symbol", "at")
+    return placed.crossJoin(bad.agg(F.count("*").alias("n_bad")))  # by one row
+
+
+@query(
+    "x_disclosure_variant",
+    """SELECT p_partkey AS capture_id, '{"initialFundDetailsData":{"name":"' || p_name || '","holdings":[{"size":' || CASE p_size % 3 WHEN 0 THEN CAST(p_size AS VARCHAR) WHEN 1 THEN '"n/a"' ELSE 'null' END || ', "since":"2001-0' || (p_size % 9 + 1) || '-15"},7]},"initialFundReportDates":["soon","2001-06-30"]}' AS source,
+    p_name AS name, CAST(i AS INTEGER) AS pos, CASE WHEN i = 1 THEN 'number' ELSE 'object' END AS kind, CASE WHEN i = 0 AND p_size % 3 = 0 THEN p_size::DOUBLE END AS size,
+    CASE WHEN i = 0 THEN make_date(2001, CAST(p_size % 9 + 1 AS INTEGER), 15) END AS since, DATE '2001-06-30' AS last_report, CAST(1 AS INTEGER) AS n_reports FROM part, range(2) r(i)""",
+)
+def x_disclosure_variant(t):
+    """Holdings whose fields change type, from VARIANT: the page's text as written, typed dates, other types as null."""
+    size = F.when(F.col("p_size") % 3 == 0, F.col("p_size").cast("string")).when(F.col("p_size") % 3 == 1, F.lit('"n/a"')).otherwise(F.lit("null"))
+    body = F.concat(
+        F.lit('<script>{"initialFundDetailsData":{"name":"'), "p_name", F.lit('","holdings":[{"size":'), size, F.lit(', "since":"2001-0'), F.col("p_size") % 9 + 1,
+        F.lit('-15"},7]},"initialFundReportDates":["soon","2001-06-30"]}</script>'),
+    )
+    docs = P.documents(t("part").select(F.col("p_partkey").alias("capture_id"), body.alias("body")))
+    pages = V.disclosures(docs, "fund").withColumn("name", V.typed(F.col("page"), "$.name", "string"))
+    keep = ["capture_id", "source", "name", "report_dates"]
+    items = V.exploded(pages, "page", "$.holdings", keep)
+    return items.select(
+        "capture_id", "source", "name", "pos", V.kind_of(F.col("item")).alias("kind"), V.typed(F.col("item"), "$.size", "double").alias("size"),
+        V.typed(F.col("item"), "$.since", "date").alias("since"), F.element_at("report_dates", -1).alias("last_report"), F.size("report_dates").alias("n_reports"),
+    )
+
+
+@query(
+    "x_suggestions_variant",
+    "SELECT 'P' || p_partkey AS symbol, p_name AS company, CAST(p_size AS BIGINT) AS score, CASE WHEN p_size % 2 = 0 THEN 'number' ELSE 'text' END AS kind FROM part",
+)
+def x_suggestions_variant(t):
+    """Additional fields of suggestions keep the type they were written in."""
+    quote = F.when(F.col("p_size") % 2 == 0, F.lit("")).otherwise(F.lit('"'))
+    body = F.concat(F.lit('[{"ticker":"p'), "p_partkey", F.lit('","company":"'), "p_name", F.lit('","score":'), quote, "p_size", quote, F.lit("}]"))
+    rows = V.suggestion_variants(t("part").select(F.col("p_partkey").alias("capture_id"), body.alias("body")))
+    score = F.try_variant_get("fields", "$.score", "variant")
+    return rows.select("symbol", "company", F.try_variant_get("fields", "$.score", "bigint").alias("score"), V.kind_of(score).alias("kind"))
+
+
 @query(
     "x_suggestions",
     "SELECT 'P' || p_partkey AS symbol, p_name AS company, p_brand AS exchange, '{\"provider_symbol\":\"' || p_size || '\",\"score\":\"' || p_size || '\"}' AS extra FROM part WHERE p_size % 5 <> 0",

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tickweave.functions import hashing as H
 from tickweave.functions import numeric as N
+from tickweave.operators import event_signals as E
 from tickweave.operators import grouping as G
 from tickweave.operators import quality as Q
 from tickweave.operators import ranking as K
@@ -221,6 +222,51 @@ def signal_screen(t):
     return S.signal_screen(t("securities"), "Overbought").select("rank", "symbol", "rsi")
 
 
+_CHANGES = """SELECT *, level - old AS step FROM (SELECT 'C' || o_custkey AS symbol, o_orderdate AS ts, 6 - CAST(o_orderpriority[1] AS INTEGER) AS level,
+    lag(6 - CAST(o_orderpriority[1] AS INTEGER)) OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderdate, o_orderkey) AS old FROM orders) WHERE level <> old"""
+_RECENT = "SELECT symbol, {1} AS {0}, max(ts) AS latest FROM ({2}) JOIN securities USING (symbol) WHERE CAST(ts AS DATE) > CAST(fetched_at AS DATE) - 400 AND ts <= fetched_at GROUP BY symbol HAVING {3}"
+
+
+def _event_signal(name: str, measure: str, total: str, events: str, test: str, direction: str = "DESC") -> str:
+    rows = _RECENT.format(measure, total, events, test)
+    return f"SELECT '{name}' AS signal, row_number() OVER (ORDER BY {measure} {direction}, symbol) AS rank, symbol, CAST({measure} AS BIGINT) AS measure, CAST(latest AS DATE) AS latest FROM ({rows})"
+
+
+_DEALS = "SELECT 'C' || o_custkey AS symbol, o_orderdate AS ts, CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN -1 END * CAST(round(o_totalprice * 100) AS BIGINT) AS v FROM orders"
+_STORIES = "SELECT 'C' || o_custkey AS symbol, o_orderdate AS ts FROM orders"
+
+
+@query(
+    "signal_events",
+    " UNION ALL ".join(
+        [
+            _event_signal("Upgrades", "upgrades", "count(*)", f"SELECT * FROM ({_CHANGES}) WHERE step > 0", "count(*) >= 1"),
+            _event_signal("Downgrades", "downgrades", "count(*)", f"SELECT * FROM ({_CHANGES}) WHERE step < 0", "count(*) >= 1"),
+            _event_signal("Recent Insider Buying", "net_value", "sum(v)", _DEALS, "sum(v) > 0"),
+            _event_signal("Recent Insider Selling", "net_value", "sum(v)", _DEALS, "sum(v) < 0", "ASC"),
+            _event_signal("Major News", "stories", "count(*)", _STORIES, "count(*) >= 3"),
+        ]
+    ),
+    "securities",
+)
+def signal_events(t):
+    """Five signals from relations of events, as of each snapshot row: priorities stand for ratings, orders for dealings and stories."""
+    orders = t("orders").select(
+        F.concat(F.lit("C"), "o_custkey").alias("symbol"), F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("desk"),
+        F.col("o_orderdate").cast("timestamp").alias("published_at"), F.col("o_orderdate").cast("timestamp").alias("transaction_date"), "o_orderpriority",
+        F.when(F.col("o_orderstatus") == "O", "buy").when(F.col("o_orderstatus") == "F", "sell").alias("side"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("value"),
+    )
+    changes = E.rating_changes(orders, 6 - F.substring("o_orderpriority", 1, 1).try_cast("int"), ["desk"])
+    events = {"ratings": changes, "insider": orders, "news": orders}
+    snapshot, out = t("securities").select("symbol", "fetched_at"), None
+    for name, (kind, measure, _) in E.EVENT_SIGNALS.items():
+        rows = E.event_signal(name, snapshot, events[kind], days=400, least=3 if name == "Major News" else 1)
+        rows = rows.select(F.lit(name).alias("signal"), "rank", "symbol", F.col(measure).cast("bigint").alias("measure"), F.col("latest").cast("date").alias("latest"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("signal_membership", "SELECT symbol, rel_volume > 2 AS in_signal FROM securities", "securities")
 def signal_membership(t):
     return S.signal_membership(t("securities"), "Unusual Volume")
@@ -651,12 +697,12 @@ def rank_position(t):
 
 @query(
     "period_length",
-    """SELECT 'C' || o_custkey AS symbol, y || 'FY' AS period_label, end_date - lead(end_date) OVER (PARTITION BY o_custkey ORDER BY y DESC) AS days FROM periods""",
+    """SELECT 'C' || o_custkey AS symbol, metric, y || 'FY' AS period_label, end_date - lead(end_date) OVER (PARTITION BY o_custkey, metric ORDER BY y DESC) AS days FROM periods, (VALUES ('Orders'), ('Total Revenue')) m(metric)""",
     "periods",
 )
 def period_length(t):
-    rows = A.statements(t("statement_docs")).where(F.col("metric") == "Orders")
-    return rows.select("symbol", "period_label", F.col("period_length_days").alias("days"))
+    rows = A.statements(t("statement_docs"))
+    return rows.select("symbol", "metric", "period_label", F.col("period_length_days").alias("days"))
 
 
 @query(

@@ -658,7 +658,7 @@ DISCLOSURE_ROOTS = {
 }
 
 
-def _disclosed(root: str) -> Column:
+def disclosed(root: str) -> Column:
     return first_text(
         F.col("nodes"),
         lambda n: (n["tag"] == "script")
@@ -670,7 +670,7 @@ def _disclosed(root: str) -> Column:
 def x_disclosure(docs: DataFrame, kind: str) -> DataFrame:
     """The portfolio JSON of a disclosure page, verbatim, with its report dates."""
     root, dates = DISCLOSURE_ROOTS[kind]
-    script = _disclosed(root)
+    script = disclosed(root)
     base = docs.withColumn("_json", script).where(F.col("_json").isNotNull())
     return base.select(
         *keys_of(docs),
@@ -745,7 +745,7 @@ def page_errors(docs: DataFrame, family: str) -> DataFrame:
         refused = _refused(docs, rows, _first_problem(unexpected_header=_insider_contract(), no_ticker=named))
         return _without(docs, _no_table(table_id="insider-table"), "no table").unionByName(refused)
     if family in DISCLOSURE_ROOTS:
-        return _without(docs, _disclosed(DISCLOSURE_ROOTS[family][0]).isNull(), "no portfolio")
+        return _without(docs, disclosed(DISCLOSURE_ROOTS[family][0]).isNull(), "no portfolio")
     raise R.QueryError(f"unknown page family {family!r}")
 
 
