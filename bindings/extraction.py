@@ -773,6 +773,51 @@ def hierarchy_problems(t):
     return P.hierarchy_problems(t("leaves").select(F.col("leaf_no").alias("capture_id"), body.alias("body")))
 
 
+@query(
+    "map_",
+    f"""SELECT 'constituent' AS part, l.sector, l.industry, l.symbol, CASE WHEN leaf_no % 4 = 0 THEN 0 ELSE leaf_no + 0.5::DOUBLE END AS value, p.perf
+        FROM leaves l LEFT JOIN (SELECT l2.symbol, s.s_nationkey + 0.25::DOUBLE AS perf FROM leaves l2 JOIN supplier s ON s.s_suppkey = l2.leaf_no) p ON p.symbol = l.symbol
+        UNION ALL SELECT 'unmapped', NULL, NULL, 'Z' || s_suppkey, NULL, NULL FROM supplier""",
+    "leaves",
+)
+def map_(t):
+    """The public map: performance pages and hierarchy assets, one per supplier, joined, with the symbols it lacks."""
+    value = F.when(F.col("leaf_no") % 4 == 0, F.lit("")).otherwise(F.concat(F.lit(",value:"), "leaf_no", F.lit(".5")))
+    suppliers = t("supplier").join(t("leaves"), F.col("leaf_no") == F.col("s_suppkey"), "left")
+    own = F.coalesce(F.concat(F.lit('"'), "symbol", F.lit('":'), "s_nationkey", F.lit(".25,")), F.lit(""))
+    page = F.concat(F.lit('<script>x({initialPerf: {"nodes":{'), own, F.lit('"Z'), "s_suppkey", F.lit('":'), "s_nationkey", F.lit('},"subtype":"d1","version":7,"hash":"h"}, y:1})</script>Stock quotes delayed by 1 minute.'))
+    asset = F.concat(
+        F.lit('e.exports = {name:"Root",children:[{name:"'), "sector", F.lit('",children:[{name:"'), "industry", F.lit('",children:[{name:"'), "symbol", F.lit('"'), value, F.lit("}]}]}]};")
+    )
+    bundle = A.map_(suppliers.select(page.alias("body")), t("leaves").select(asset.alias("body")))
+    none = F.lit(None)
+    inside = bundle["constituents"].select(F.lit("constituent").alias("part"), "sector", "industry", "symbol", "value", "perf")
+    outside = bundle["unmapped"].select(F.lit("unmapped").alias("part"), none.cast("string").alias("sector"), none.cast("string").alias("industry"), "symbol", none.cast("double").alias("value"), none.cast("double").alias("perf"))
+    return inside.unionByName(outside)
+
+
+@query(
+    "spectrum",
+    "SELECT p_partkey AS capture_id, 'https://img.example/s' || p_partkey || '.png' AS source_url, 'image/png' AS media_type, 'industry' AS dimension FROM part",
+)
+def spectrum(t):
+    image = F.concat(F.lit('<img class="groups_spectrum-image" src="//img.example/s'), "p_partkey", F.lit('.png">'))
+    docs = t("part").select(F.col("p_partkey").alias("capture_id"), stamped(), image.alias("body"))
+    return A.spectrum(docs, "Industry").select("capture_id", "source_url", "media_type", F.col("group").alias("dimension"))
+
+
+@query(
+    "market_chart",
+    "SELECT p_partkey AS capture_id, 'EURUSD' AS symbol, 'https://img.example/c?t=@eurusd&k=' || p_partkey AS source_url, 'd' AS timeframe, 'chart' AS kind FROM part",
+)
+def market_chart(t):
+    """One pair's chart on gallery pages that show three."""
+    image = lambda pair: F.concat(F.lit(f'<img class="charts-gal" srcset="https://img.example/c?t=@{pair}&amp;k='), "p_partkey", F.lit(' 1x, https://img.example/big 2x" src="/x">'))
+    body = F.concat(image("gbpusd"), image("eurusd"), image("usdjpy"))
+    docs = t("part").select(F.col("p_partkey").alias("capture_id"), stamped(), body.alias("body"))
+    return A.market_chart(docs, "eurusd", "d").select("capture_id", "symbol", "source_url", "timeframe", "kind")
+
+
 # ---------------------------------------------------------------- statements and symbols
 
 

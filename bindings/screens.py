@@ -1043,6 +1043,21 @@ def entry_screen(t):
     return plain(A.screen_page(t("securities"), FLAGSHIP))
 
 
+@query(
+    "screen",
+    """SELECT rank, symbol, company, sector, country, market_cap, price, change_percent, status, total_rows, succeeded_units FROM (
+        SELECT *, row_number() OVER (ORDER BY market_cap DESC, symbol) AS rank, count(*) OVER () AS total_rows,
+               CASE WHEN count(*) OVER () > 40 THEN 'PARTIAL' ELSE 'COMPLETE' END AS status, CAST(least(2, ceil(count(*) OVER () / 20.0)) AS BIGINT) AS succeeded_units
+        FROM securities WHERE sector = 'BUILDING' AND market_cap > 1000000) WHERE rank <= 40""",
+    "securities",
+)
+def screen(t):
+    """The public screen: a walk of two pages, each row beside the walk's status."""
+    result = A.screen(t("securities"), FLAGSHIP, max_pages=2)
+    facts = result.metadata.select("status", "total_rows", "succeeded_units")
+    return plain(result.data.drop("fetched_at", "extra_fields").crossJoin(facts))  # one row
+
+
 @query(
     "entry_earnings",
     f"""SELECT row_number() OVER (ORDER BY symbol) AS rank, symbol, {_EARN_DAY} AS earnings_date, earnings AS earnings_date_raw, earnings_session, fetched_at
