@@ -386,18 +386,19 @@ def _score_part(docs: pa.Table, answers: pa.Table, model: Model) -> pa.Table:
             score = score + np.bincount(of[rare], per_word[0][inverse], minlength=len(texts))
         base = np.bincount(of, np.log10(c + 0.5), minlength=len(texts)) + np.log10(model.ends + 0.5) - n_tokens * floor
         n_known = np.bincount(of, c > 0, minlength=len(texts)).astype(np.int64) + (model.ends > 0)
-        out.append(pa.table([rows["id"], rows["row_tag"], pa.array(n_tokens), pa.array(n_known), pa.array(base), pa.array(score), pa.array(open_score)], names=NAMES))
+        out.append(pa.table([rows["id"], rows["row_tag"], pa.array(n_tokens), pa.array(n_known), pa.array(base), pa.array(open_score), pa.array(score)], names=NAMES))
     return pa.concat_tables(out)
 
 
-NAMES = ["id", "row_tag", "n_tokens", "n_known", "base_score", "score", "open_score"]
+NAMES = ["id", "row_tag", "n_tokens", "n_known", "base_score", "score", "class_score"]
 
 
 def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", tag: Column | None = None, part_rows: int = 5000, **options) -> DataFrame:
-    """One row per row of ``docs``: id, ``row_tag`` (the value of ``tag``), ``n_tokens``, ``n_known``, ``base_score``, ``score``, ``open_score``, ``train_tokens``.
+    """One row per row of ``docs``: id, ``row_tag`` (the value of ``tag``), ``n_tokens``, ``n_known``, ``base_score``, ``score``, ``class_score``, ``train_tokens``.
 
-    In ``score`` a word that was not seen in training is the event "an unseen word of this rare
-    class", as the base knows one unknown word; ``open_score`` goes on to spell it out.
+    ``score`` is the log10 probability of the text: a word that was not seen in training is
+    spelled out, so what unseen words get sums to the share left for them. ``class_score`` stops at
+    the event "an unseen word of this rare class", as the base knows one unknown word.
 
     Learns from the rows for which ``learn`` holds (null: it does not). Null texts are empty:
     an end token alone. Rows that repeat an id are scored each for itself. ``part_rows`` texts are a
@@ -409,6 +410,6 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     dealt = rows.select("id", "row_tag", F.coalesce("text", F.lit("")).alias("text")).withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(parts)).cast("int"))
     asks = dealt.groupBy("part").applyInArrow(lambda t: _asks(t, model), "part int, h long")
     answers = asks.join(rare, "h").select("part", "h", "n", "kept")
-    kind = f"id {docs.schema[id_col].dataType.simpleString()}, row_tag boolean, n_tokens long, n_known long, base_score double, score double, open_score double"
+    kind = f"id {docs.schema[id_col].dataType.simpleString()}, row_tag boolean, n_tokens long, n_known long, base_score double, score double, class_score double"
     scored = dealt.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(lambda d, a: _score_part(d, a, model), kind)
     return scored.withColumn("train_tokens", F.lit(int(model.tokens)).cast("long"))

@@ -52,9 +52,10 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op2_mix_sources", """
 WITH d AS (
-    SELECT doc_id, source, COALESCE(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-           -ln((CAST('0x' || substr(md5('0' || chr(31) || COALESCE(doc_id::VARCHAR, chr(30))), 1, 13) AS BIGINT)::DOUBLE + 0.5) / 4503599627370496.0) AS key
-    FROM documents),
+    SELECT doc_id, source, size, -ln(u) / CASE WHEN size = 0 OR length(text) / size BETWEEN 4 AND 11 THEN 1.0 ELSE 0.25 END AS key
+    FROM (SELECT *, COALESCE(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+                 (CAST('0x' || substr(md5('0' || chr(31) || COALESCE(doc_id::VARCHAR, chr(30)) || chr(31) || COALESCE(md5(text), chr(30))), 1, 13) AS BIGINT)::DOUBLE + 0.5) / 4503599627370496.0 AS u
+          FROM documents)),
 s AS (
     SELECT source, sum(size)::DOUBLE AS n, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1]::DOUBLE AS w
     FROM d GROUP BY source),
@@ -72,7 +73,9 @@ r AS (
     FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
 SELECT doc_id, size, n AS source_size, target, (epochs * size + greatest(0, least(size, room)))::BIGINT AS taken FROM r""")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix_sources(table(spark, folder, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    docs = table(spark, folder, "documents")
+    quality = mixing.word_length_quality(docs["text"], mixing.word_count(docs["text"]))
+    return mixing.mix_sources(docs, quality=quality).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 @query("op10_secret_scan")
@@ -128,7 +131,7 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     held = F.coalesce(fold(5) == 1, F.lit(False))
     out = lm_scoring.score(table(spark, folder, "documents"), fold(5) != 1, tag=held)
-    return out.select(F.col("id").alias("doc_id"), F.col("row_tag").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "open_score")
+    return out.select(F.col("id").alias("doc_id"), F.col("row_tag").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "class_score")
 
 
 def piece_vocabulary(path: str | None = None) -> sentence_pieces.Vocabulary:
