@@ -53,6 +53,14 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """``df`` kept by a reliable checkpoint; the shuffle files that made it are released."""
     with settings(df.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):

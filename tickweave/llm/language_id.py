@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Texts, in_chunks, mix
+from .common import Texts, free_name, in_chunks, mix
 
 ORDER = 4
 SLACK = 8.0
@@ -225,9 +225,11 @@ def annotate(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
     if keep is None:
         keep = [c for c in docs.columns if only_accepted or c not in NEW]
     fields = [docs.schema[c] for c in keep]
+    own = text_col not in keep
+    body = free_name(docs, "body") if own else text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in in_chunks(batches, "__text" if own else text_col, _CHUNK):
+        for rows, texts in in_chunks(batches, body, _CHUNK):
             if model.languages:
                 best, entropy, confidence, found = model.score(texts)
                 # The mean over few letters strays farther: the allowance falls with the root of their number.
@@ -245,8 +247,7 @@ def annotate(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
             more = [pa.array(names, pa.string()), pa.array(np.where(known, confidence, 0.0)), pa.array(np.where(known, entropy, np.nan)), pa.array(found.astype(np.int64)), pa.array(accepted)]
             yield pa.RecordBatch.from_arrays([*kept, *more], names=[*keep, *NEW])
 
-    own = text_col not in keep
-    source = docs.select(*keep, F.col(text_col).alias("__text")) if own else docs.select(*keep)
+    source = docs.select(*keep, F.col(text_col).alias(body)) if own else docs.select(*keep)
     new = [] if only_accepted else [T.StructField(n, t) for n, t in zip(NEW, (T.StringType(), T.DoubleType(), T.DoubleType(), T.LongType(), T.BooleanType()), strict=True)]
     return source.mapInArrow(run, T.StructType([*fields, *new]))
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, split_by_ids
+from .common import free_name, materialise, split_by_ids
 
 #: Kinds in the order in which spans with one start are listed.
 KINDS = ("assign", "access", "hex", "owned")
@@ -35,7 +36,8 @@ _ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 #: What stands before a token that is part of a URL, a path, a DOI or an address, and what behind.
-_PLACE = re.compile(r"://|^www\.|^doi:|^10\.[0-9]{4,}/|[/\\~@#?&%]$|^[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]*$", re.I | re.A)
+_LEAD = re.compile(r"www\.|doi:|10\.[0-9]{4,}/", re.I | re.A)
+_HOST = re.compile(r"[A-Za-z0-9.-]*", re.A)
 _FILE = re.compile(r"@|\.[A-Za-z][A-Za-z0-9]{1,4}(?![A-Za-z0-9])|\.[A-Za-z0-9-]+[/.]", re.A)
 _EDGE = re.compile(r"[\s\"'`<>(){}\[\]|,;]")
 #: Prefixes that issuers give their keys; an unbroken tail of 16 or more characters must follow.
@@ -61,7 +63,42 @@ def _ordinary(piece: str) -> bool:
     return len(piece) >= 3 and (any(c in "aeiouyAEIOUY" for c in piece) or len(piece) >= 6)
 
 
-def credential_like(text: str, start: int, end: int, least: float = 3.5) -> bool:
+class Places:
+    """Whether tokens of one text, asked for in order, stand inside a URL, path, DOI or address.
+
+    What decides lies between the last separator and the token, however far that is; it is
+    looked at once for all tokens behind the same separator.
+    """
+
+    def __init__(self, text: str):
+        self.text, self.edges = text, _EDGE.finditer(text)
+        self.following, self.edge = next(self.edges, None), 0
+        self._look()
+
+    def _look(self) -> None:
+        stop = self.following.start() if self.following else len(self.text)
+        lead, scheme = _LEAD.match(self.text, self.edge, stop), self.text.find("://", self.edge, stop)
+        self.settled = min(lead.end() if lead else stop + 1, scheme + 3 if scheme >= 0 else stop + 1)
+        self.host = _HOST.match(self.text, self.edge, stop).end()
+        twice = self.text.find("..", self.edge, self.host)
+        if twice >= 0:
+            self.host = twice + 1
+
+    def inside(self, start: int) -> bool:
+        moved = False
+        while self.following and self.following.end() <= start:
+            self.edge, self.following, moved = self.following.end(), next(self.edges, None), True
+        if moved:
+            self._look()
+        if start == self.edge:
+            return False
+        if self.settled <= start or self.text[start - 1] in "/\\~@#?&%":
+            return True
+        dot = self.text.rfind(".", self.edge, start) if start <= self.host else -1
+        return dot > self.edge and (dot + 1 == start or self.text[dot + 1 : start].isalpha())
+
+
+def credential_like(text: str, start: int, end: int, places: Places, least: float = 3.5) -> bool:
     """Whether the token ``text[start:end]`` looks like a key that somebody was given.
 
     A known prefix with a random tail always does. Other tokens must stand outside URLs, paths,
@@ -84,8 +121,7 @@ def credential_like(text: str, start: int, end: int, least: float = 3.5) -> bool
     changes = len(_CHANGE.findall(word))
     if _UUID.fullmatch(word) or 5 * changes < len(word) and (len(parts) > 1 or 3 * len(pieces) <= len(word)) and 5 * sum(len(x) for x in pieces if _ordinary(x)) >= 3 * sum(map(len, parts)):
         return False
-    before = _EDGE.split(text[max(0, start - 2048) : start])[-1]
-    return not (word[0] == "/" or _PLACE.search(before) or _FILE.match(text, end))
+    return not (word[0] == "/" or places.inside(start) or _FILE.match(text, end))
 
 
 def candidates(text: str, min_entropy: float = 3.0) -> list[tuple[int, int, int, int, int]]:
@@ -98,11 +134,21 @@ def candidates(text: str, min_entropy: float = 3.0) -> list[tuple[int, int, int,
     out = [(0, m.start(), m.end(), *m.span(1)) for m in _ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 12]
     out += [(1, *m.span(), *m.span()) for m in _ACCESS.finditer(text)]
     out += [(2, *m.span(), *m.span()) for m in _HEX.finditer(text)]
-    base = sorted((s, e) for _, s, e, _, _ in out)
+    begins, reach, furthest = [], [], 0  # base spans by start, and how far those up to each reach
+    for s, e in sorted((s, e) for _, s, e, _, _ in out):
+        furthest = max(furthest, e)
+        begins.append(s)
+        reach.append(furthest)
+
+    def covered(s: int, e: int) -> bool:
+        before = bisect_left(begins, e)
+        return before > 0 and reach[before - 1] > s
+
+    places = Places(text)
     for m in _RANDOM.finditer(text):
         s, e = m.span()
         word = m.group()
-        if entropy(word) >= min_entropy and credential_like(text, s, e) and not any(a < e and s < b for a, b in base):
+        if entropy(word) >= min_entropy and credential_like(text, s, e, places) and not covered(s, e):
             out.append((3, s, e, s, e))
     out.sort(key=lambda x: (x[1], x[0]))
     return out
@@ -160,34 +206,40 @@ def rendered(spans, kinds=KINDS):
     return F.array_join(F.transform(some, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])), ",")
 
 
-def _redacted(batches: Iterator[pa.RecordBatch], column: str, mark: str) -> Iterator[pa.RecordBatch]:
+def _redacted(batches: Iterator[pa.RecordBatch], column: str, values: str, mark: str, kinds: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for text, live in zip(batch.column(column).to_pylist(), batch.column("__live").to_pylist(), strict=True):
+        for text, live in zip(batch.column(column).to_pylist(), batch.column(values).to_pylist(), strict=True):
             if text is not None:
                 live, out, at = set(live), [], 0
-                for _, _, _, a, b in sorted(candidates(text), key=lambda c: (c[3], -c[4])):
-                    if a >= at and _hash(text[a:b]) in live:
+                for kind, _, _, a, b in sorted(candidates(text), key=lambda c: (c[3], -c[4])):
+                    if kind in kinds and a >= at and _hash(text[a:b]) in live:
                         out += [text[at:a], mark]
                         at = b
                 text = "".join([*out, text[at:]])
             texts.append(text)
-        names = [n for n in batch.schema.names if n != "__live"]
+        names = [n for n in batch.schema.names if n != values]
         columns = [pa.array(texts, batch.schema.field(n).type) if n == column else batch.column(n) for n in names]
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]", **options) -> DataFrame:
-    """``docs`` with the live values of ``find_secrets`` replaced by ``mark``; examples stay.
+#: Kinds that are replaced: a bare run of hex digits is as often a commit, a digest or an order number.
+REDACTED = (0, 1, 3)
+
+
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]", kinds: tuple[int, ...] = REDACTED, **options) -> DataFrame:
+    """``docs`` with the live values of ``find_secrets`` replaced by ``mark``; examples and other ``kinds`` stay.
 
     All rows and columns are kept, a null text stays null. Only texts that may hold a live
     value are joined (by id) to the hashes of theirs and scanned again; a row with another row's id
     loses no more than values that are live there.
     """
     spans = find_secrets(docs, id_col, text_col, **options)
-    live = spans.select(F.col("id").alias("__id"), F.explode(F.filter("spans", lambda s: s["live"])).alias("s")).select("__id", F.col("s.hash").alias("hash"))
-    live = materialise(live.distinct().groupBy("__id").agg(F.collect_list("hash").alias("__live")))
-    maybe, clean = split_by_ids(docs, live, id_col, "__id")
-    maybe = maybe.join(live, maybe[id_col].eqNullSafe(live["__id"]), "left").drop("__id")
-    maybe = maybe.withColumn("__live", F.coalesce("__live", F.array().cast("array<string>")))
-    return clean.unionByName(maybe.mapInArrow(lambda it: _redacted(it, text_col, mark), docs.schema))
+    key, values = free_name(docs, "key"), free_name(docs, "live")
+    chosen = F.filter("spans", lambda s: s["live"] & s["kind"].isin(*kinds))
+    live = spans.select(F.col("id").alias(key), F.explode(chosen).alias("s")).select(key, F.col("s.hash").alias("hash"))
+    live = materialise(live.distinct().groupBy(key).agg(F.collect_list("hash").alias(values)))
+    maybe, clean = split_by_ids(docs, live, id_col, key)
+    maybe = maybe.join(live, maybe[id_col].eqNullSafe(live[key]), "left").drop(key)
+    maybe = maybe.withColumn(values, F.coalesce(values, F.array().cast("array<string>")))
+    return clean.unionByName(maybe.mapInArrow(lambda it: _redacted(it, text_col, values, mark, kinds), docs.schema))
