@@ -72,3 +72,10 @@ def test_ann_of_few_and_none(spark):
     assert ann_search.search(u.where("id = 0"), u, 20, ann_search.build_index(u)).count() == 4
     none = ann_search.usable(df.where("false"))
     assert ann_search.search(none, none, 20, ann_search.build_index(none)).count() == 0
+
+
+def test_vectors_of_another_length_take_no_part(spark):
+    rows = [(i, [float(i % 7), float(i), 1.0]) for i in range(30)] + [(100 + i, [1.0]) for i in range(20)]
+    u = ann_search.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found = ann_search.search(u.where("id = 0"), u, 5, ann_search.build_index(u)).collect()
+    assert len(found) == 5 and all(r.id < 30 for r in found)

@@ -182,7 +182,7 @@ def test_model_scores(spark, documents):
         t = tokens(by_id[r.id])
         base = sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(counts[w] > 0 for w in t), n)
-        assert r.base_score == pytest.approx(base, rel=1e-9) and r.score < 0 and r.open_score <= r.score + 1e-9
+        assert r.base_score == pytest.approx(base, rel=1e-9) and r.score < 0 and r.score <= r.class_score + 1e-9
 
 
 def test_model_beats_the_base_on_held_out_texts(spark):
@@ -289,6 +289,48 @@ def test_redaction_leaves_clean_text(spark):
     assert {r.doc_id: r.text for r in secret_scan.redact(df).collect()} == {1: clean, 2: "key [SECRET]"}
 
 
+def test_long_addresses_stay_addresses():
+    key = "x8Kq2ZpL0vRt7YwB3nMd9c"
+    far = "https://h.example/" + "ab12/" * 3000 + key
+    assert [c for c in secret_scan.candidates(far) if c[0] == 3] == []
+    assert [c[1] for c in secret_scan.candidates(f"{far} {key}") if c[0] == 3] == [len(far) + 1]
+    assert [c for c in secret_scan.candidates("host.name.example." + key) if c[0] == 3] == []
+
+
+@pytest.mark.parametrize("text", ["token=abcdefghijklmnop x8Kq2ZpL0vRt7YwB3nMd9c " * 20_000, "x8Kq2ZpL0vRt7YwB3nMd9c." * 40_000, "https://" + "x8Kq2ZpL0vRt7YwB3nMd9c=" * 40_000])
+def test_scans_are_linear(text):
+    import time
+
+    start = time.perf_counter()
+    secret_scan.candidates(text)
+    assert time.perf_counter() - start < 20
+
+
+def test_redaction_leaves_bare_hex_and_odd_columns(spark):
+    text = "commit 0123456789abcdef0123456789abcdef01234567 order 1234567890123456789 token=abcdefghijklmnop"
+    df = spark.createDataFrame([(1, text, "en", "a", 5, "x")], "doc_id long, text string, lang string, source string, key int, live string")
+    row = secret_scan.redact(df).first()
+    assert row.text == text.replace("abcdefghijklmnop", "[SECRET]") and (row.key, row.live) == (5, "x")
+    assert secret_scan.redact(df, kinds=(2,)).first().text.count("[SECRET]") == 2
+
+
+def test_no_bin_holds_a_source_of_junk(spark):
+    df = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("## $$ "), F.col("id")).alias("text"), F.lit("s").alias("source"))
+    for weight in (0.05, 1.0, 40.0):
+        keys = df.select((-F.ln(mixing.uniform(F.lit(0), F.col("doc_id"), F.md5(F.col("text").cast("binary")))) / weight).alias("key"))
+        most = keys.groupBy(F.floor(F.log2("key") * 256)).count().agg(F.max("count")).first()[0]
+        assert most < 60
+    taken = mixing.mix_sources(df, quality=F.lit(0.05), share=0.5).agg(F.sum("taken"), F.first("target")).first()
+    assert taken[0] == math.floor(taken[1] + 1e-9)
+
+
+def test_room_of_words_is_the_weight(spark):
+    texts = {"plain words of a text": 1.0, "a b c d e f": 0.25, "x" * 30: 0.25, "": 1.0, " ": 1.0}
+    df = spark.createDataFrame([(t, w) for t, w in texts.items()] + [(None, 1.0)], "text string, want double")
+    got = df.select("want", mixing.word_length_quality(F.col("text"), mixing.word_count(F.col("text"))).alias("q")).collect()
+    assert all(r.q == r.want for r in got)
+
+
 def test_keys_need_no_early_digit():
     for key in ("xKqZpLvRtYwBnMdCfGhJsTkWbQrPzXvNmLcDf7aB2", "xKqZpLvRtYwBnMdCfGhJsTkWbQrPzXvNmLcDfHgS"):
         assert [c[:3] for c in secret_scan.candidates(f"key {key} end")] == [(3, 4, 4 + len(key))]

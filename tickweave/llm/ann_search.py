@@ -190,11 +190,14 @@ def _cell(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.DataFrame:
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(id, v): vectors in double precision, without null ids, nulls, non-finite components and zero vectors.
 
-    Rows that repeat an id count once, with the smallest of their vectors.
+    Rows that repeat an id count once, with the smallest of their vectors. Where lengths differ,
+    vectors of the most frequent length take part (of two, the shorter).
     """
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     v = v.where(F.col("id").isNotNull() & F.col("v").isNotNull() & ~bad & F.exists("v", lambda x: x != 0))
+    lengths = v.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    v = v.where(F.size("v") == (lengths["d"] if lengths else 1))
     return v.groupBy("id").agg(F.min("v").alias("v"))
 
 
