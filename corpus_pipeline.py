@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickweave.llm import jaccard_join, language_id, mixing, queries, secret_scan, sentence_pieces
-from tickweave.llm.common import materialise, small_batches, split_by_ids
+from tickweave.llm.common import free_name, materialise, small_batches, split_by_ids
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,21 +26,21 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group that near duplicates connect: the smallest id, then text.
 
     Texts are linked by a digest of their content, so rows that repeat an id stand for
-    themselves. Documents without id are a group's copies of each other, but not of documents that
-    have one: of a group one of each sort stays. Documents without words stay.
+    themselves. Documents without id come after all that have one. Documents without words stay.
     """
     small_batches(spark)
-    keyed = docs.withColumn("__key", F.xxhash64("text"))
-    found = materialise(jaccard_join.near_duplicate_components(keyed, "__key").where("n_shingles > 0"))
+    key, of, group, row = (free_name(docs, n) for n in ("key", "of", "group", "row"))
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    found = materialise(jaccard_join.near_duplicate_components(keyed, key).where("n_shingles > 0"))
     groups = found.groupBy("component_id").count().where("count > 1").select("component_id")
-    listed = found.join(groups, "component_id").select(F.col("id").alias("__of"), F.col("component_id").alias("__group")).distinct()
+    listed = found.join(groups, "component_id").select(F.col("id").alias(of), F.col("component_id").alias(group)).distinct()
     listed = materialise(listed)
-    maybe, single = split_by_ids(keyed, listed, "__key", "__of")
-    maybe = maybe.join(listed, maybe["__key"] == listed["__of"], "left")
-    rest = maybe.where("__group is null")
+    maybe, single = split_by_ids(keyed, listed, key, of)
+    maybe = maybe.join(listed, maybe[key] == listed[of], "left")
+    rest = maybe.where(F.col(group).isNull())
     # Aggregates combine a task's rows first, so a group may hold any share of the table.
-    first = F.min_by(F.struct(*docs.columns), F.struct("doc_id", "text", "source", "lang")).alias("__row")
-    first = maybe.where("__group is not null").groupBy("__group", F.isnull("doc_id")).agg(first).select("__row.*")
+    first = F.min_by(F.struct(*docs.columns), F.struct(F.isnull("doc_id"), "doc_id", "text", "source", "lang")).alias(row)
+    first = maybe.where(F.col(group).isNotNull()).groupBy(group).agg(first).select(f"{row}.*")
     return single.select(*docs.columns).unionByName(rest.select(*docs.columns)).unionByName(first)
 
 
