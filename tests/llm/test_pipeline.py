@@ -18,7 +18,7 @@ def test_stages_keep_columns_and_clean_documents(spark, documents, tmp_path):
     ids = lambda name: sorted((r.doc_id for r in kept[name].select("doc_id").collect()), key=str)
     assert not {5, 6, 7} & set(ids("language_id"))
     rows = kept["language_id"].collect()
-    assert len(ids("near_duplicates")) == len(set(ids("near_duplicates"))) and not {2, 3} & set(ids("near_duplicates")) and 1 in ids("near_duplicates") and None in ids("near_duplicates")
+    assert len(ids("near_duplicates")) == len(set(ids("near_duplicates"))) and not {2, 3} & set(ids("near_duplicates")) and 1 in ids("near_duplicates") and None not in ids("near_duplicates")
     sets = [shingles(r.text) for r in kept["near_duplicates"].where("doc_id is not null").collect()]
     assert all(4 * len(a & b) < 3 * len(a | b) for i, a in enumerate(sets) for b in sets[i + 1 :])
     assert len(rows) >= len(ids("near_duplicates")) == kept["secrets"].count()
