@@ -1,41 +1,50 @@
 """Perplexity by a hierarchical Pitman-Yor language model over words.
 
-A token is predicted in two steps. Its *class* - the token itself if it is one of the
-``common`` most frequent, else one of ``rare_classes`` by its last two bytes - follows the
-class before it: a restaurant per preceding class, whose parent is the restaurant of all
-classes, whose parent is uniform. A rare token then follows its class: a restaurant per rare
-class whose parent spells words backwards, byte by byte (two bytes of context, then one,
-then none, then uniform). An end token closes every text.
+Every word seen before another (and the start of a text) is a restaurant whose dishes are the
+words that followed it. All of them share one parent, the restaurant of all words; its parent
+spells words backwards, byte by byte (two bytes of context, then one, then none, then uniform).
+An end token closes every text. Nothing is classed or capped: each seen pair of words is a row.
 
 Seating is a Chinese-restaurant process, sampled by Gibbs sweeps: a sweep re-seats the
-customers of every dish, given how many tables the rest of its restaurant had in the sweep before and
-what the parent predicts; tables are the parent's customers. Customers are seated in runs of
-a quarter of those already there, so a dish with millions costs some seventy draws.
+customers of every dish, given how many tables its restaurant had in the sweep before and
+what the parent predicts; tables are the parent's customers. So a dish needs its own row, its
+context's tables and its word's probability only: pairs are dealt by a hash of both words, and
+a context that a third of all tokens follow is as many tasks as any other rows. Customers are
+seated in runs of a quarter of those already there, so a dish with millions costs some seventy
+draws; draws are hashes of dish, sweep and run, so reruns agree. A dish with one customer
+has one table, whatever is drawn: such pairs enter the sweeps as sums by context and by word.
 Predictive probabilities are averaged over the sweeps after the burn-in.
 
-Everything that grows with the corpus is a table: word counts and seatings are aggregated by
-word; texts are dealt into parts, each part asks for its distinct words once, and answers
-meet the texts again by part. What every task holds is bounded: a matrix of classes and the
-byte contexts (``CONTEXTS`` rows: the nearer byte and a class of the farther).
+Pairs travel packed, as one row of arrays per task and bucket. Texts are dealt into parts of
+about ``part_bytes``; a part asks for its distinct words and pairs once, and the answers meet
+the texts again by part.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Texts, in_chunks, materialise, mix, ragged, words_of
+from tickweave.session import shared_folder
+
+from .common import Texts, Words, in_chunks, mix, ragged, words_of
 
 _BEGIN = 256
 _SYMBOLS = 257
 _FAR = 16  # classes of the farther of two context symbols
 CONTEXTS = _SYMBOLS * _FAR
+#: What stands for the start and the end of a text among hashes of words.
+START, END = (int(h) for h in mix(np.array([0x5EED, 0xE4D], np.uint64)).view(np.int64))
+_FLUSH = 3_000_000  # tokens that a task gathers before it sends their pairs
 
 
 def new_table_odds(theta: float, discount: float, tables, base):
@@ -65,11 +74,97 @@ def discount_of(counts: np.ndarray) -> float:
     return float(np.clip(one / (one + 2 * two), 0.1, 0.95)) if one else 0.5
 
 
+def _uniform(bits: np.ndarray) -> np.ndarray:
+    return (bits >> np.uint64(11)).astype(float) * 2.0**-53 + 2.0**-54
+
+
+def draw(bits: np.ndarray, n: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Binomial draws from 64 random bits each: by inversion, or the normal limit where the variance exceeds 50."""
+    flip = p > 0.5
+    q = np.where(flip, 1 - p, p)
+    mean, var = n * q, n * q * (1 - q)
+    u = _uniform(bits)
+    out = np.zeros(len(n))
+    large = np.flatnonzero(var > 50)
+    if len(large):
+        angle = _uniform(mix(bits[large] + np.uint64(1)))
+        normal = np.sqrt(-2 * np.log(u[large])) * np.cos(2 * np.pi * angle)
+        out[large] = np.clip(np.rint(mean[large] + np.sqrt(var[large]) * normal), 0, n[large])
+    live = np.flatnonzero((var <= 50) & (q > 0))
+    term = np.exp(n[live] * np.log1p(-q[live]))
+    total, ratio = term.copy(), q[live] / (1 - q[live])
+    k = 0
+    while len(live):
+        more = (total < u[live]) & (k < n[live])
+        live, term, total, ratio = live[more], term[more], total[more], ratio[more]
+        term = term * ratio * (n[live] - k) / (k + 1)
+        k += 1
+        total = total + term
+        out[live] = k
+    return np.where(flip, n - out, out).astype(np.int64)
+
+
+def seat_rows(customers: np.ndarray, fresh: np.ndarray, discount: float, keys: np.ndarray, sweep: int) -> np.ndarray:
+    """Tables of dishes that lie anywhere: ``fresh`` is a new table's odds, ``keys`` their 64-bit names."""
+    t = (customers > 0).astype(np.int64)
+    k = t.copy()
+    live = np.flatnonzero(customers > k)
+    step = 0
+    while len(live):
+        run = np.minimum(np.maximum(k[live] // 4, 1), customers[live] - k[live])
+        p = fresh[live] / (k[live] - discount * t[live] + fresh[live])
+        t[live] += draw(mix(keys[live] ^ np.uint64((sweep + 1) * 100_003 + step)), run, np.clip(p, 0, 1))
+        k[live] += run
+        live = live[customers[live] > k[live]]
+        step += 1
+    return t
+
+
+def pair_key(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    return mix(u * np.uint64(0x9E3779B97F4A7C15) + v)
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets are ranges of keys, so sorted keys lie in runs of one bucket."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def combined(u: np.ndarray, v: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct pairs by ascending key: key, both words, summed counts."""
+    key = pair_key(u, v)
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    at = order[first]
+    return key[first], u[at], v[at], np.add.reduceat(n[order], first) if len(first) else n
+
+
+def _runs(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
+    found, starts = np.unique(bucket_of(keys, buckets), return_index=True)
+    for b, s, e in zip(found.tolist(), starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True):
+        yield b, slice(s, e)
+
+
+def tokens_of(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash before and hash of every token, the text of each, and the places of words among tokens."""
+    n = np.diff(words.first)
+    room = n + 1
+    first = np.concatenate(([0], np.cumsum(room)[:-1])).astype(np.int64)
+    owner = np.repeat(np.arange(len(n)), room)
+    now = np.full(int(room.sum()), np.int64(END).view(np.uint64), np.uint64)
+    at = np.arange(len(words.hashes)) + np.repeat(np.arange(len(n)), n)
+    now[at] = words.hashes
+    then = np.empty_like(now)
+    then[1:] = now[:-1]
+    then[first] = np.int64(START).view(np.uint64)
+    return then, now, owner, at
+
+
 @dataclass
 class Spelling:
     """Words from their last byte to the first: pairs of last bytes, then one byte at a time."""
 
-    pair: np.ndarray  # log10 of the two last symbols, given their rare class
+    pair: np.ndarray  # log10 of the two last symbols
     step: np.ndarray  # log10 of a symbol, given the context row of the two after it
 
     def log_p(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -93,43 +188,6 @@ def context_row(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return one * _FAR + (mix(two.astype(np.uint64) + np.uint64(1)) % np.uint64(_FAR)).astype(np.int64)
 
 
-def rare_class(last: np.ndarray, before: np.ndarray, classes: int) -> np.ndarray:
-    return (mix((last * _SYMBOLS + before + 77).astype(np.uint64)) % np.uint64(classes)).astype(np.int64)
-
-
-@dataclass
-class Model:
-    common: np.ndarray  # hashes of the words that are classes of their own, ascending
-    common_count: np.ndarray
-    rare_classes: int
-    log_class: np.ndarray | None = None  # log10 of a class given the one before; last row: the start
-    spelling: Spelling | None = None
-    rare_customers: np.ndarray | None = None
-    rare_tables: np.ndarray | None = None
-    rare_unseen: np.ndarray | None = None  # what the spelling gives to words not seen in training
-    rare_discount: float = 0.5
-    theta: float = 1.0
-    tokens: int = 0
-    words: int = 0
-    ends: int = 0
-
-    @property
-    def classes(self) -> int:
-        """Common words, rare classes, and the end."""
-        return len(self.common) + self.rare_classes + 1
-
-    def class_of(self, hashes, data, starts, ends) -> tuple[np.ndarray, np.ndarray]:
-        """Class of each word, and which words are rare."""
-        if len(self.common):
-            at = np.minimum(np.searchsorted(self.common, hashes), len(self.common) - 1)
-            rare = self.common[at] != hashes
-        else:
-            at, rare = np.zeros(len(hashes), np.int64), np.ones(len(hashes), bool)
-        out = at.astype(np.int64)
-        out[rare] = len(self.common) + rare_class(*last_symbols(data, starts[rare], ends[rare]), self.rare_classes)
-        return out, rare
-
-
 def lowered(texts: Texts) -> np.ndarray:
     return np.where((texts.data >= 65) & (texts.data <= 90), texts.data + 32, texts.data).astype(np.uint8)
 
@@ -150,31 +208,6 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), word, pa.array(n)], names=["h", "word", "n"])
 
 
-def _sequences(model: Model, texts: Texts, words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Class before and class of every token (ends included), text of each token, rare words."""
-    cls, rare = model.class_of(words.hashes, lowered(texts), words.starts, words.ends)
-    n = np.diff(words.first)
-    room = n + 1
-    first = np.concatenate(([0], np.cumsum(room)[:-1])).astype(np.int64)
-    owner = np.repeat(np.arange(len(texts)), room)
-    now = np.full(int(room.sum()), model.classes - 1, np.int64)
-    now[np.arange(len(cls)) + np.repeat(np.arange(len(texts)), n)] = cls
-    then = np.empty_like(now)
-    then[1:] = now[:-1]
-    then[first] = model.classes
-    return then, now, owner, rare
-
-
-def _pair_counts(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    """Pairs of classes of one task, counted in a matrix of fixed size."""
-    total = np.zeros((model.classes + 1) * model.classes, np.int64)
-    for _, texts in in_chunks(batches, "text"):
-        then, now, _, _ = _sequences(model, texts, words_of(texts))
-        total += np.bincount(then * model.classes + now, minlength=len(total))
-    key = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(key // model.classes), pa.array(key % model.classes), pa.array(total[key])], names=["u", "v", "n"])
-
-
 def _spelling_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often symbols follow contexts in words, weighted by the words' tables, per task."""
     size = (CONTEXTS + _SYMBOLS) * _SYMBOLS
@@ -183,7 +216,7 @@ def _spelling_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         texts = _binary(batch.column("word"))
         starts, ends = texts.bounds[:-1], texts.bounds[1:]
         some = ends > starts
-        starts, ends, weight = starts[some], ends[some], batch.column("t").to_numpy()[some]
+        starts, ends, weight = starts[some], ends[some], np.ones(int(some.sum()))
         data = texts.data
         last, before = last_symbols(data, starts, ends)
         keys, weights = [CONTEXTS * _SYMBOLS + last * _SYMBOLS + before], [weight]
@@ -209,14 +242,13 @@ def _binary(column: pa.Array) -> Texts:
     return Texts(np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0])
 
 
-def fit_spelling(counts: pd.DataFrame, rare_classes: int, theta: float, sweeps: int, seed: int) -> Spelling:
+def fit_spelling(counts: pd.DataFrame, theta: float, sweeps: int, seed: int) -> Spelling:
     """The backward model of bytes; its tables have a fixed number of rows."""
     dense = np.zeros((CONTEXTS + _SYMBOLS, _SYMBOLS))
     dense.ravel()[counts["key"].to_numpy(np.int64)] = counts["n"].to_numpy(float)
     two, pair = dense[:CONTEXTS].astype(np.int64), dense[CONTEXTS:]
     rng = np.random.default_rng(seed)
     near = np.arange(CONTEXTS) // _FAR  # rows that share their nearer symbol share a parent
-    a, b = np.divmod(np.arange(_SYMBOLS * _SYMBOLS), _SYMBOLS)
     uniform = np.full(_SYMBOLS, 1 / _SYMBOLS)
     p1, p0 = np.tile(uniform, (_SYMBOLS, 1)), uniform
     d2 = discount_of(two)
@@ -240,176 +272,304 @@ def fit_spelling(counts: pd.DataFrame, rare_classes: int, theta: float, sweeps:
             total += (two - d2 * t2 + new_table_odds(theta, d2, tables2, p1[near])) / (two.sum(axis=1, keepdims=True) + theta)
             used += 1
     q = (pair + 0.05) / (pair.sum() + 0.05 * pair.size)
-    cls = rare_class(a, b, rare_classes)
-    mass = np.bincount(cls, q.ravel(), minlength=rare_classes)
-    return Spelling(np.log10(q / mass[cls].reshape(q.shape)), np.log10(total / used).astype(np.float32))
+    return Spelling(np.log10(q), np.log10(total / used).astype(np.float32))
 
 
-def _restaurant(parent: np.ndarray, theta: float, discount: float, seeds: tuple[int, int], averaged: bool):
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        rng = np.random.default_rng([*seeds, int(frame["u"].iloc[0])])
-        n = frame["n"].to_numpy()
-        t = seat(n, parent[frame["v"].to_numpy()], float(frame["t"].sum()), theta, discount, rng)
-        return frame.assign(t=t, kept=frame["kept"] + (n - discount * t) * averaged)
+def _discount(one: int, two: int) -> float:
+    return float(np.clip(one / (one + 2 * two), 0.1, 0.95)) if one else 0.5
 
-    return run
 
+PACKED = "bucket int, u binary, v binary, n binary"
 
-def _discount(frame: DataFrame) -> float:
-    one, two = frame.agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
-    return float(np.clip(one / (one + 2 * two), 0.1, 0.95)) if one else 0.5
 
+def _pack(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The distinct pairs of some millions of tokens at a time: one row a bucket."""
 
-def _fit_classes(pairs: DataFrame, model: Model, sweeps: int, seed: int) -> np.ndarray:
-    """log10 of the averaged predictive matrix; restaurants are seated where their rows are.
+    def sent(held):
+        u, v = (np.concatenate(side) for side in zip(*held, strict=True))
+        key, u, v, n = combined(u, v, np.ones(len(u), np.int64))
+        rows = [(b, u[s].tobytes(), v[s].tobytes(), n[s].tobytes()) for b, s in _runs(key, buckets)]
+        return _batch(rows)
+
+    held, size = [], 0
+    for _, texts in in_chunks(batches, "text"):
+        then, now, _, _ = tokens_of(words_of(texts))
+        held.append((then, now))
+        size += len(then)
+        if size >= _FLUSH:
+            yield sent(held)
+            held, size = [], 0
+    if held:
+        yield sent(held)
 
-    ``pairs`` has a row per seen pair of classes; a sweep sends sums by class to the driver,
-    the last one what is left of each count on average.
-    """
-    size, theta, d2 = model.classes, model.theta, _discount(pairs)
-    uniform = np.full(size, 1 / size)
-    parent, used = uniform, 0
-    total = np.zeros((size + 1, size), np.float32)
-    tables = pairs.select("u", "v", "n", F.lit(1).cast("long").alias("t"), F.lit(0.0).alias("kept"))
-    customers = np.zeros(size + 1)
-    sums = pairs.groupBy("u").agg(F.sum("n").alias("n")).toPandas()
-    customers[sums["u"]] = sums["n"]
-    for sweep in range(sweeps):
-        averaged = sweep >= sweeps // 2
-        run = _restaurant(parent, theta, d2, (seed, sweep), averaged)
-        tables = materialise(tables.groupBy("u").applyInPandas(run, "u long, v long, n long, t long, kept double"))
-        by_u, by_v = (tables.groupBy(c).agg(F.sum("t").alias("t")).toPandas() for c in "uv")
-        t2, c0 = np.zeros(size + 1), np.zeros(size, np.int64)
-        t2[by_u["u"]], c0[by_v["v"]] = by_u["t"], by_v["t"]
-        d1 = discount_of(c0)
-        t0 = seat(c0, uniform, float((c0 > 0).sum()), theta, d1, np.random.default_rng([seed, sweep]))
-        parent = (c0 - d1 * t0 + new_table_odds(theta, d1, t0.sum(), uniform)) / (c0.sum() + theta)
-        if averaged:
-            total += new_table_odds(theta, d2, t2[:, None], parent[None, :]).astype(np.float32)
-            used += 1
-    kept = tables.select("u", "v", "kept").toPandas()
-    total[kept["u"], kept["v"]] += kept["kept"].to_numpy(np.float32)
-    total /= (used * (customers + theta)[:, None]).astype(np.float32)
-    return np.log10(total)
 
+def _batch(rows) -> pa.RecordBatch:
+    b, u, v, n = zip(*rows, strict=True) if rows else ((), (), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), *(pa.array(c, pa.binary()) for c in (u, v, n))], names=["bucket", "u", "v", "n"])
 
-def _seat_words(batches: Iterator[pa.RecordBatch], model: Model, tables: np.ndarray, samples: int, seed: int) -> Iterator[pa.RecordBatch]:
-    """Tables of each rare word: of the last sample, and what they take off its count on average."""
+
+def _numbers(column, kind=np.uint64) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(b, kind) for b in column.to_pylist() if b is not None)])
+
+
+def _combine(table: pa.Table) -> pa.Table:
+    """A bucket's distinct pairs in two rows: those seen once (without counts), and the others."""
+    _, u, v, n = combined(_numbers(table["u"]), _numbers(table["v"]), _numbers(table["n"], np.int64))
+    b, one = table["bucket"][0].as_py(), n == 1
+    rows = [(b, u[one].tobytes(), v[one].tobytes(), None), (b, u[~one].tobytes(), v[~one].tobytes(), n[~one].tobytes())]
+    return pa.Table.from_batches([_batch(rows)])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            u, v, n = (np.frombuffer(row[c], np.int64) for c in "uvn")
+            for i in range(0, len(n), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 100_000]) for c in (u, v, n)], names=["u", "v", "n"])
+
+
+def _single_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many pairs seen once a word opens (``su``) and closes (``sv``), per bucket."""
+    for batch in batches:
+        for row in batch.select(["u", "v"]).to_pylist():
+            for side in "uv":
+                h, n = np.unique(np.frombuffer(row[side], np.int64), return_counts=True)
+                none = np.zeros(len(h), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n if side == "u" else none), pa.array(n if side == "v" else none)], names=["h", "su", "sv"])
+
+
+def _spelled(batches: Iterator[pa.RecordBatch], spelling: Spelling, share: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = _binary(batch.column("word"))
-        starts, ends = texts.bounds[:-1], texts.bounds[1:]
-        n = batch.column("n").to_numpy()
-        h = batch.column("h").to_numpy()
-        last = last_symbols(texts.data, starts, ends)
-        cls = rare_class(*last, model.rare_classes)
-        base = 10 ** model.spelling.log_p(texts.data, starts, ends)
-        rng = np.random.default_rng([seed, int(np.abs(h[0])) if len(h) else 0])
-        t, mean = None, np.zeros(len(n))
-        for _ in range(samples):
-            t = seat(n, base, tables[cls], model.theta, model.rare_discount, rng)
-            mean += t
-        yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("n"), pa.array(n - model.rare_discount * mean / samples), pa.array(t), pa.array(cls), pa.array(base)], names=["h", "n", "kept", "t", "cls", "base"])
-
-
-def train(texts: DataFrame, common: int = 600, rare_classes: int = 128, sweeps: int = 4, theta: float = 1.0, seed: int = 11) -> tuple[Model, DataFrame]:
-    """The model of a column of texts ``text``, and (h, n, kept) of all words that are not common."""
+        base = share * 10 ** spelling.log_p(texts.data, texts.bounds[:-1], texts.bounds[1:])
+        yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("n"), pa.array(base)], names=["h", "n", "base"])
+
+
+def _seat_words(batches: Iterator[pa.RecordBatch], odds: float, discount: float, sweep: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        h, c, base = (batch.column(x).to_numpy() for x in ("h", "c", "base"))
+        t = seat_rows(c, odds * base, discount, h.view(np.uint64), sweep)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(t)], names=[*batch.schema.names, "t"])
+
+
+def _seat_pairs(batches: Iterator[pa.RecordBatch], theta: float, discount: float, sweep: int, weight: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        u, v, n, tables, p, off = (batch.column(x).to_numpy() for x in ("u", "v", "n", "tables", "p", "off"))
+        t = seat_rows(n, new_table_odds(theta, discount, tables, p), discount, pair_key(u.view(np.uint64), v.view(np.uint64)), sweep)
+        yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in "uvn"), pa.array(t), pa.array(off + weight * t)], names=["u", "v", "n", "t", "off"])
+
+
+class Store:
+    """Named Parquet tables in the session's shared folder; a table goes when its successor is written."""
+
+    def __init__(self, spark):
+        self.spark, self.folder = spark, os.path.join(shared_folder(spark), f"restaurants-{uuid.uuid4().hex}")
+        self.made: dict[str, int] = {}
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        made = self.made[name] = self.made.get(name, 0) + 1
+        df.write.parquet(f"{self.folder}/{name}-{made}")
+        old = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}-{made - 1}")
+        old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}-{made}")
+
+
+@dataclass
+class Model:
+    spelling: Spelling
+    theta: float
+    discount: float  # of the restaurants of pairs
+    word_discount: float
+    samples: int
+    share: float  # what the base gives to words, the rest to the end
+    tokens: int
+    words: int
+    ends: int
+    buckets: int
+    new_word: np.ndarray  # by sample: what a word not seen in training gets, times its spelling
+    opening: np.ndarray  # by sample: weight of the parent at a text's start
+    closing: np.ndarray  # by sample: the parent's probability of the end
+
+
+def train(texts: DataFrame, sweeps: int = 3, burn_in: int = 1, theta: float = 1.0, seed: int = 11, bucket_tokens: int = 2_000_000) -> tuple[Model, DataFrame, DataFrame, DataFrame]:
+    """The model of a column of texts ``text``: its numbers, its words, its pairs seen once, and the others.
+
+    Words are (h, n, a, p): count, and by sample the weight of the parent in the word's own
+    restaurant and the parent's probability of the word. Pairs seen once are packed; the others
+    are (u, v, n, off), ``off`` their tables, averaged over the samples, of which the sweeps after
+    ``burn_in`` (fewer than ``sweeps``) give one each.
+    """
+    spark, store = texts.sparkSession, Store(texts.sparkSession)
     counted = texts.select("text").mapInArrow(_word_counts, "h long, word binary, n long")
-    vocabulary = materialise(counted.groupBy("h", "word").agg(F.sum("n").alias("n")))
-    rows, tokens, ends = vocabulary.count(), vocabulary.agg(F.sum("n")).first()[0] or 0, texts.count()
-    top = vocabulary.orderBy(F.desc("n"), "h").limit(common).select("h", "n").toPandas()
-    h = top["h"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(h)
-    model = Model(h[order], top["n"].to_numpy(np.int64)[order], rare_classes, theta=theta, tokens=tokens + ends, words=rows + (ends > 0), ends=ends)
-    pairs = texts.select("text").mapInArrow(lambda it: _pair_counts(it, model), "u long, v long, n long")
-    pairs = materialise(pairs.groupBy("u", "v").agg(F.sum("n").alias("n")))
-    model.log_class = _fit_classes(pairs, model, sweeps, seed)
-
-    listed = texts.sparkSession.createDataFrame(pd.DataFrame({"h": top["h"].astype("int64")}), "h long")
-    rare = vocabulary.join(F.broadcast(listed), "h", "left_anti")  # at most ``common`` rows
-    weighted = rare.withColumn("t", F.lit(1).cast("long")).select("word", "t")
-    spelled = weighted.mapInArrow(_spelling_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
-    model.spelling = fit_spelling(spelled, rare_classes, theta, sweeps, seed)
-    model.rare_discount = _discount(rare)
-    tables, seated = np.ones(rare_classes), None
-    for sweep in range(2):
-        seated = rare.mapInArrow(lambda it, now=tables, s=sweep: _seat_words(it, model, now, 1 + s * sweeps // 2, seed + s), "h long, n long, kept double, t long, cls long, base double")
-        seated = materialise(seated) if sweep else seated
-        totals = seated.groupBy("cls").agg(F.sum("t").alias("t"), F.sum("n").alias("n"), F.sum("base").alias("base")).toPandas()
-        tables, model.rare_customers = np.zeros(rare_classes), np.zeros(rare_classes)
-        tables[totals["cls"]], model.rare_customers[totals["cls"]] = totals["t"], totals["n"]
-    model.rare_tables, model.rare_unseen = tables, np.ones(rare_classes)
-    model.rare_unseen[totals["cls"]] = np.clip(1 - totals["base"], 1e-3, 1)
-    return model, seated.select("h", "n", "kept")
-
-
-def _asks(docs: pa.Table, model: Model) -> pa.Table:
-    """The distinct words of one part that are not common."""
-    found = [np.zeros(0, np.uint64)]
-    for _, texts in in_chunks(docs.to_batches(), "text"):
-        words = words_of(texts)
-        found.append(np.setdiff1d(words.hashes, model.common))
-    h = np.unique(np.concatenate(found))
+    vocabulary = store.keep("vocabulary", counted.groupBy("h").agg(F.min("word").alias("word"), F.sum("n").alias("n")))
+    rows, seen = vocabulary.agg(F.count("*"), F.sum("n")).first()
+    ends = texts.count()
+    tokens = (seen or 0) + ends
+    spelled = vocabulary.select("word").mapInArrow(_spelling_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
+    spelling, share = fit_spelling(spelled, theta, 4, seed), 1 - (ends + 0.5) / (tokens + 1)
+    buckets = max(1, -(-tokens // bucket_tokens))
+
+    packed = store.keep("packed", texts.select("text").mapInArrow(lambda it: _pack(it, buckets), PACKED).groupBy("bucket").applyInArrow(_combine, PACKED))
+    once = packed.where("n is null")
+    multi = store.keep("pairs", packed.where("n is not null").mapInArrow(_unpacked, "u long, v long, n long").withColumns({"t": F.lit(1).cast("long"), "off": F.lit(0.0)}))
+    sums = once.mapInArrow(_single_sums, "h long, su long, sv long").groupBy("h").agg(F.sum("su").alias("su"), F.sum("sv").alias("sv"))
+    ones = sums.agg(F.sum("su")).first()[0] or 0
+    d2 = _discount(ones, multi.where("n = 2").count())
+    marks = spark.createDataFrame([(START, ends, 0.0), (END, ends, 1 - share)], "h long, n long, base double")
+    listed = vocabulary.mapInArrow(lambda it: _spelled(it, spelling, share), "h long, n long, base double").unionByName(marks)
+    none = F.array().cast("array<double>")
+    state = store.keep("words", listed.join(sums, "h", "left").select("h", "n", "base", F.coalesce("su", F.lit(0)).alias("su"), F.coalesce("sv", F.lit(0)).alias("sv"), none.alias("a"), none.alias("p_s")))
+
+    d1, tables1, news = None, 0.0, []
+    for sweep in range(sweeps + 1):
+        by_u, by_v = (multi.groupBy(F.col(c).alias("h")).agg(F.sum("t").alias(f"t{c}")) for c in "uv")
+        held = state.select("h", "n", "base", "su", "sv", "a", "p_s").join(by_u, "h", "left").join(by_v, "h", "left")
+        held = held.withColumns({"tables": F.col("su") + F.coalesce("tu", F.lit(0)), "c": F.col("sv") + F.coalesce("tv", F.lit(0))}).drop("tu", "tv")
+        if d1 is None:
+            held = store.keep("words", held)
+            d1 = _discount(*held.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first())
+            tables1 = float(held.where("c > 0").count())
+        kind = "h long, n long, base double, su long, sv long, a array<double>, p_s array<double>, tables long, c long, t long"
+        seated = store.keep("words", held.mapInArrow(lambda it, odds=theta + d1 * tables1, s=sweep, d=d1: _seat_words(it, odds, d, s), kind))
+        customers, tables1 = (float(x or 0) for x in seated.agg(F.sum("c"), F.sum("t")).first())
+        fresh = (theta + d1 * tables1) / (customers + theta)
+        p = (F.col("c") - d1 * F.col("t")) / (customers + theta) + fresh * F.col("base")
+        a = (theta + d2 * F.col("tables")) / (F.col("n") + theta)
+        state = seated.withColumn("p", p)
+        if sweep > burn_in:
+            state = state.withColumns({"a": F.concat("a", F.array(a)), "p_s": F.concat("p_s", F.array("p"))})
+            news.append(fresh)
+        if sweep < sweeps:
+            asked = multi.join(state.select(F.col("h").alias("v"), "p"), "v").join(state.select(F.col("h").alias("u"), "tables"), "u")
+            weight = (sweep >= burn_in) / (sweeps - burn_in)
+            multi = store.keep("pairs", asked.mapInArrow(lambda it, s=sweep, w=weight: _seat_pairs(it, theta, d2, s, w), "u long, v long, n long, t long, off double"))
+    ends_rows = {r.h: r for r in state.where(F.col("h").isin(START, END)).collect()}
+    model = Model(spelling, theta, d2, d1, len(news), share, tokens, rows + (ends > 0), ends, buckets, np.array(news), np.array(ends_rows[START].a), np.array(ends_rows[END].p_s))
+    return model, state.select("h", "n", "a", F.col("p_s").alias("p")), once, multi
+
+
+KNOWN = "bucket int, k binary, kept binary"
+
+
+def _keyed(rows) -> pa.RecordBatch:
+    b, k, kept = zip(*rows, strict=True) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(k, pa.binary()), pa.array(kept, pa.binary())], names=["bucket", "k", "kept"])
+
+
+def _known_once(batches: Iterator[pa.RecordBatch], kept: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            k = pair_key(np.frombuffer(row["u"], np.uint64), np.frombuffer(row["v"], np.uint64))
+            yield _keyed([(row["bucket"], k.tobytes(), np.full(len(k), kept, np.float32).tobytes())])
+
+
+def _known(batches: Iterator[pa.RecordBatch], buckets: int, discount: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        u, v, n, off = (batch.column(c).to_numpy() for c in ("u", "v", "n", "off"))
+        k, kept = pair_key(u.view(np.uint64), v.view(np.uint64)), (n - discount * off).astype(np.float32)
+        order = np.argsort(k)
+        k, kept = k[order], kept[order]
+        yield _keyed([(b, k[s].tobytes(), kept[s].tobytes()) for b, s in _runs(k, buckets)])
+
+
+def _ask_words(docs: pa.Table) -> pa.Table:
+    """The distinct words of one part."""
+    h = np.unique(np.concatenate([np.zeros(0, np.uint64), *(words_of(texts).hashes for _, texts in in_chunks(docs.to_batches(), "text"))]))
     return pa.table({"part": pa.array(np.full(len(h), docs["part"][0].as_py(), np.int32)), "h": pa.array(h.view(np.int64))})
 
 
+def _ask_pairs(docs: pa.Table, buckets: int) -> pa.Table:
+    """The distinct pairs of one part, a row for each bucket."""
+    keys = np.unique(np.concatenate([np.zeros(0, np.uint64), *(pair_key(*tokens_of(words_of(texts))[:2]) for _, texts in in_chunks(docs.to_batches(), "text"))]))
+    part, rows = docs["part"][0].as_py(), [(b, keys[s].tobytes()) for b, s in _runs(keys, buckets)]
+    return pa.table({"part": pa.array([part] * len(rows), pa.int32()), "bucket": pa.array([b for b, _ in rows], pa.int32()), "k": pa.array([k for _, k in rows], pa.binary())})
+
+
+def _answer(asks: pa.Table, known: pa.Table) -> pa.Table:
+    k, kept = _numbers(known["k"]), _numbers(known["kept"], np.float32)
+    order = np.argsort(k)
+    k, kept = k[order], kept[order]
+    out = []
+    for blob in asks["k"].to_pylist():
+        asked = np.frombuffer(blob, np.uint64)
+        at = np.minimum(np.searchsorted(k, asked), max(len(k) - 1, 0))
+        out.append((np.where(k[at] == asked, kept[at], 0) if len(k) else np.zeros(len(asked))).astype(np.float32).tobytes())
+    return pa.table({"part": asks["part"], "bucket": asks["bucket"], "kept": pa.array(out, pa.binary())})
+
+
+def _matrix(column: pa.ChunkedArray, samples: int) -> np.ndarray:
+    flat = column.combine_chunks().flatten() if len(column) else pa.array([], pa.float64())
+    return flat.to_numpy(zero_copy_only=False).reshape(-1, samples)
+
+
 def _score_part(docs: pa.Table, answers: pa.Table, model: Model) -> pa.Table:
-    known, count, kept = (answers[c].to_numpy() for c in ("h", "n", "kept"))
-    order = np.argsort(known)
-    known, count, kept = known[order], count[order], kept[order]
+    kept_rows = answers.filter(pc.is_valid(answers["kept"])).sort_by("bucket")
+    found = answers.filter(pc.is_null(answers["kept"])).sort_by("h")
+    known, count = (found[c].to_numpy() for c in ("h", "n"))
+    weight, parent = _matrix(found["a"], model.samples), _matrix(found["p"], model.samples)
+    chunks = [(rows, texts, words_of(texts)) for rows, texts in in_chunks(docs.to_batches(), "text")]
+    keys = np.unique(np.concatenate([np.zeros(0, np.uint64), *(pair_key(*tokens_of(w)[:2]) for _, _, w in chunks)]))
+    kept = _numbers(kept_rows["kept"], np.float32)
     floor = np.log10(model.tokens + 0.5 * (model.words + 1))
+    # Rows behind the known words: a word not seen in training, a text's start, its end.
+    weight = np.vstack([weight, np.ones((1, model.samples)), model.opening, np.ones((1, model.samples))])
+    parent = np.vstack([parent, model.new_word, np.zeros((1, model.samples)), model.closing])
+    count = np.concatenate([count, [0, model.ends, model.ends]]).astype(float)
+    fresh, start, end = len(known), len(known) + 1, len(known) + 2
     out = []
-    for rows, texts in in_chunks(docs.to_batches(), "text"):
-        words, data = words_of(texts), lowered(texts)
-        then, now, owner, rare = _sequences(model, texts, words)
+    for rows, texts, words in chunks:
+        then, now, owner, places = tokens_of(words)
         n_tokens = np.diff(words.first) + 1
-        of = np.repeat(np.arange(len(texts)), n_tokens - 1)
-        c = np.zeros(len(words.hashes))
-        if len(model.common):
-            c[~rare] = model.common_count[np.searchsorted(model.common, words.hashes[~rare])]
-        score = np.bincount(owner, model.log_class[then, now], minlength=len(texts))
-        open_score = score
-        if rare.any():
-            h, first, inverse = np.unique(words.hashes[rare].view(np.int64), return_index=True, return_inverse=True)
-            starts, ends = words.starts[rare][first], words.ends[rare][first]
-            cls = rare_class(*last_symbols(data, starts, ends), model.rare_classes)
-            at = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
-            hit = known[at] == h if len(known) else np.zeros(len(h), bool)
-            n, k = np.zeros(len(h)), np.zeros(len(h))
-            if len(known):
-                n[hit], k[hit] = count[at[hit]], kept[at[hit]]
-            fresh = new_table_odds(model.theta, model.rare_discount, model.rare_tables[cls], 1.0)
-            spelled = np.logaddexp(np.log(np.maximum(k, 1e-300)), np.log(fresh) + model.spelling.log_p(data, starts, ends) * np.log(10)) / np.log(10)
-            event = np.where(hit, spelled, np.log10(fresh) + np.log10(model.rare_unseen[cls]))
-            c[rare] = n[inverse]
-            per_word = np.stack([event, spelled]) - np.log10(model.rare_customers[cls] + model.theta)
-            open_score = score + np.bincount(of[rare], per_word[1][inverse], minlength=len(texts))
-            score = score + np.bincount(of[rare], per_word[0][inverse], minlength=len(texts))
-        base = np.bincount(of, np.log10(c + 0.5), minlength=len(texts)) + np.log10(model.ends + 0.5) - n_tokens * floor
-        n_known = np.bincount(of, c > 0, minlength=len(texts)).astype(np.int64) + (model.ends > 0)
-        out.append(pa.table([rows["id"], rows["row_tag"], pa.array(n_tokens), pa.array(n_known), pa.array(base), pa.array(open_score), pa.array(score)], names=NAMES))
+        h, first, inverse = np.unique(words.hashes.view(np.int64), return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
+        at = np.where(known[at] == h, at, fresh) if len(known) else np.full(len(h), fresh)
+        extra = np.zeros(len(h))  # log10 of what a new word's spelling adds
+        new = np.flatnonzero(at == fresh)
+        if len(new):
+            extra[new] = model.spelling.log_p(lowered(texts), words.starts[first[new]], words.ends[first[new]]) + np.log10(model.share)
+        v = np.full(len(now), end)
+        v[places] = at[inverse]
+        u = np.empty_like(v)
+        u[1:] = v[:-1]
+        u[np.concatenate(([0], np.cumsum(n_tokens)[:-1])).astype(np.int64)] = start
+        own = kept[np.searchsorted(keys, pair_key(then, now))].astype(float)
+        p = np.zeros(len(v))
+        for s in range(model.samples):
+            p += weight[u, s] * parent[v, s]
+        p = own / (count[u] + model.theta) + p / model.samples
+        token = np.log10(p)
+        token[places] += extra[inverse]
+        base = np.bincount(owner, np.log10(count[v] + 0.5) - floor, minlength=len(texts))
+        n_known = np.bincount(owner, count[v] > 0, minlength=len(texts)).astype(np.int64)
+        out.append(pa.table([rows["id"], rows["row_tag"], pa.array(n_tokens), pa.array(n_known), pa.array(base), pa.array(np.bincount(owner, token, minlength=len(texts)))], names=NAMES))
     return pa.concat_tables(out)
 
 
-NAMES = ["id", "row_tag", "n_tokens", "n_known", "base_score", "score", "class_score"]
+NAMES = ["id", "row_tag", "n_tokens", "n_known", "base_score", "score"]
 
 
-def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", tag: Column | None = None, part_rows: int = 5000, **options) -> DataFrame:
-    """One row per row of ``docs``: id, ``row_tag`` (the value of ``tag``), ``n_tokens``, ``n_known``, ``base_score``, ``score``, ``class_score``, ``train_tokens``.
+def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", tag: Column | None = None, part_bytes: int = 16 << 20, **options) -> DataFrame:
+    """One row per row of ``docs``: id, ``row_tag`` (the value of ``tag``), ``n_tokens``, ``n_known``, ``base_score``, ``score``, ``train_tokens``.
 
     ``score`` is the log10 probability of the text: a word that was not seen in training is
-    spelled out, so what unseen words get sums to the share left for them. ``class_score`` stops at
-    the event "an unseen word of this rare class", as the base knows one unknown word.
+    spelled out, so what unseen words get sums to the share left for them.
 
     Learns from the rows for which ``learn`` holds (null: it does not). Null texts are empty:
-    an end token alone. Rows that repeat an id are scored each for itself. ``part_rows`` texts are a
-    part on average; parts follow a hash of id and text. Other columns are not read.
+    an end token alone. Rows that repeat an id are scored each for itself. A part holds about
+    ``part_bytes`` of text, or one text that is longer; parts follow a hash of id and text. An empty
+    table gives no rows; without a row to learn from, words are spelled out by bytes that are all alike.
+    Other columns are not read, whatever their names.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"), (F.lit(False) if tag is None else tag).alias("row_tag"))
-    model, rare = train(rows.where("learn").select("text"), **options)
-    parts = max(1, -(-docs.count() // part_rows))
+    model, words, once, multi = train(rows.where("learn").select("text"), **options)
+    parts = max(1, -(-(rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0) // part_bytes))
     dealt = rows.select("id", "row_tag", F.coalesce("text", F.lit("")).alias("text")).withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(parts)).cast("int"))
-    asks = dealt.groupBy("part").applyInArrow(lambda t: _asks(t, model), "part int, h long")
-    answers = asks.join(rare, "h").select("part", "h", "n", "kept")
-    kind = f"id {docs.schema[id_col].dataType.simpleString()}, row_tag boolean, n_tokens long, n_known long, base_score double, score double, class_score double"
+    kept = 1 - model.discount
+    known = once.mapInArrow(lambda it: _known_once(it, kept), KNOWN).unionByName(multi.mapInArrow(lambda it: _known(it, model.buckets, model.discount), KNOWN))
+    asks = dealt.groupBy("part").applyInArrow(lambda t: _ask_pairs(t, model.buckets), "part int, bucket int, k binary")
+    pairs = asks.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_answer, "part int, bucket int, kept binary")
+    found = dealt.groupBy("part").applyInArrow(_ask_words, "part int, h long").join(words, "h").select("part", "h", "n", "a", "p")
+    answers = pairs.unionByName(found, allowMissingColumns=True)
+    kind = f"id {docs.schema[id_col].dataType.simpleString()}, row_tag boolean, n_tokens long, n_known long, base_score double, score double"
     scored = dealt.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(lambda d, a: _score_part(d, a, model), kind)
     return scored.withColumn("train_tokens", F.lit(int(model.tokens)).cast("long"))

@@ -131,7 +131,7 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     held = F.coalesce(fold(5) == 1, F.lit(False))
     out = lm_scoring.score(table(spark, folder, "documents"), fold(5) != 1, tag=held)
-    return out.select(F.col("id").alias("doc_id"), F.col("row_tag").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "class_score")
+    return out.select(F.col("id").alias("doc_id"), F.col("row_tag").alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def piece_vocabulary(path: str | None = None) -> sentence_pieces.Vocabulary:
