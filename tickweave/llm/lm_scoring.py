@@ -44,7 +44,7 @@ _FAR = 16  # classes of the farther of two context symbols
 CONTEXTS = _SYMBOLS * _FAR
 #: What stands for the start and the end of a text among hashes of words.
 START, END = (int(h) for h in mix(np.array([0x5EED, 0xE4D], np.uint64)).view(np.int64))
-_FLUSH = 3_000_000  # tokens that a task gathers before it sends their pairs
+_FLUSH = 1_500_000  # tokens that a task gathers before it sends their pairs
 
 
 def new_table_odds(theta: float, discount: float, tables, base):
@@ -391,7 +391,7 @@ class Model:
     closing: np.ndarray  # by sample: the parent's probability of the end
 
 
-def train(texts: DataFrame, sweeps: int = 3, burn_in: int = 1, theta: float = 1.0, seed: int = 11, bucket_tokens: int = 2_000_000) -> tuple[Model, DataFrame, DataFrame, DataFrame]:
+def train(texts: DataFrame, sweeps: int = 3, burn_in: int = 1, theta: float = 1.0, seed: int = 11, bucket_tokens: int = 1_000_000) -> tuple[Model, DataFrame, DataFrame, DataFrame]:
     """The model of a column of texts ``text``: its numbers, its words, its pairs seen once, and the others.
 
     Words are (h, n, a, p): count, and by sample the weight of the parent in the word's own
@@ -440,7 +440,7 @@ def train(texts: DataFrame, sweeps: int = 3, burn_in: int = 1, theta: float = 1.
             state = state.withColumns({"a": F.concat("a", F.array(a)), "p_s": F.concat("p_s", F.array("p"))})
             news.append(fresh)
         if sweep < sweeps:
-            asked = multi.join(state.select(F.col("h").alias("v"), "p"), "v").join(state.select(F.col("h").alias("u"), "tables"), "u")
+            asked = multi.join(state.select(F.col("h").alias("v"), "p").hint("shuffle_hash"), "v").join(state.select(F.col("h").alias("u"), "tables").hint("shuffle_hash"), "u")
             weight = (sweep >= burn_in) / (sweeps - burn_in)
             multi = store.keep("pairs", asked.mapInArrow(lambda it, s=sweep, w=weight: _seat_pairs(it, theta, d2, s, w), "u long, v long, n long, t long, off double"))
     ends_rows = {r.h: r for r in state.where(F.col("h").isin(START, END)).collect()}
@@ -548,7 +548,7 @@ def _score_part(docs: pa.Table, answers: pa.Table, model: Model) -> pa.Table:
 NAMES = ["id", "row_tag", "n_tokens", "n_known", "base_score", "score"]
 
 
-def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", tag: Column | None = None, part_bytes: int = 16 << 20, **options) -> DataFrame:
+def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", tag: Column | None = None, part_bytes: int = 4 << 20, **options) -> DataFrame:
     """One row per row of ``docs``: id, ``row_tag`` (the value of ``tag``), ``n_tokens``, ``n_known``, ``base_score``, ``score``, ``train_tokens``.
 
     ``score`` is the log10 probability of the text: a word that was not seen in training is
@@ -568,7 +568,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     known = once.mapInArrow(lambda it: _known_once(it, kept), KNOWN).unionByName(multi.mapInArrow(lambda it: _known(it, model.buckets, model.discount), KNOWN))
     asks = dealt.groupBy("part").applyInArrow(lambda t: _ask_pairs(t, model.buckets), "part int, bucket int, k binary")
     pairs = asks.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_answer, "part int, bucket int, kept binary")
-    found = dealt.groupBy("part").applyInArrow(_ask_words, "part int, h long").join(words, "h").select("part", "h", "n", "a", "p")
+    found = dealt.groupBy("part").applyInArrow(_ask_words, "part int, h long").join(words.hint("shuffle_hash"), "h").select("part", "h", "n", "a", "p")
     answers = pairs.unionByName(found, allowMissingColumns=True)
     kind = f"id {docs.schema[id_col].dataType.simpleString()}, row_tag boolean, n_tokens long, n_known long, base_score double, score double"
     scored = dealt.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(lambda d, a: _score_part(d, a, model), kind)
