@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tickweave.session import shared_folder
 
-from .common import Texts, Words, in_chunks, mix, ragged, words_of
+from .common import Texts, Words, in_chunks, mix, ragged, settings, words_of
 
 _BEGIN = 256
 _SYMBOLS = 257
@@ -368,7 +368,8 @@ class Store:
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         made = self.made[name] = self.made.get(name, 0) + 1
-        df.write.parquet(f"{self.folder}/{name}-{made}")
+        with settings(self.spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+            df.write.parquet(f"{self.folder}/{name}-{made}")
         old = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}-{made - 1}")
         old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}-{made}")
