@@ -370,10 +370,13 @@ class Store:
         made = self.made[name] = self.made.get(name, 0) + 1
         with settings(self.spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
             df.write.parquet(f"{self.folder}/{name}-{made}")
-        old = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}-{made - 1}")
-        old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
+        self.drop(name, made - 1)
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}-{made}")
 
+    def drop(self, name: str, made: int = 1) -> None:
+        old = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}-{made}")
+        old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
+
 
 @dataclass
 class Model:
@@ -420,6 +423,7 @@ def train(texts: DataFrame, sweeps: int = 3, burn_in: int = 1, theta: float = 1.
     listed = vocabulary.mapInArrow(lambda it: _spelled(it, spelling, share), "h long, n long, base double").unionByName(marks)
     none = F.array().cast("array<double>")
     state = store.keep("words", listed.join(sums, "h", "left").select("h", "n", "base", F.coalesce("su", F.lit(0)).alias("su"), F.coalesce("sv", F.lit(0)).alias("sv"), none.alias("a"), none.alias("p_s")))
+    store.drop("vocabulary")
 
     d1, tables1, news = None, 0.0, []
     for sweep in range(sweeps + 1):
