@@ -452,3 +452,112 @@ def test_licence_sample_is_bounded_on_skewed_lines(spark):
     df = spark.createDataFrame([*rows, (None,), ("",)], "text string")
     got = [r.line for r in license_scan.sample_lines(df, "text", 200).collect()]
     assert len(got) == len(set(got)) == 101 and notice in got
+
+
+MIT_TEXT = """/*
+ * Copyright (c) 2019 A. Person
+ *
+ * Permission is hereby granted, free of charge, to any person obtaining a copy
+ * of this software and associated documentation files (the "Software"), to deal
+ * in the Software without restriction, including without limitation the rights
+ * to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+ * copies of the Software, and to permit persons to whom the Software is
+ * furnished to do so, subject to the following conditions:
+ *
+ * The above copyright notice and this permission notice shall be included in all
+ * copies or substantial portions of the Software.
+ *
+ * THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+ * IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+ * FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
+ */
+int main() { return 0; }
+"""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+"""
+BSD_THIRD = """2. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL_TEXT = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version %d of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+"""
+ISC_TEXT = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted"
+
+
+@pytest.fixture(scope="module")
+def licence_model(spark):
+    return license_scan.train(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+
+
+def test_licence_versions_and_wrapped_notices(spark, licence_model):
+    cases = [
+        (MIT_TEXT, ["MIT"]), (BSD_TEXT, ["BSD-2-Clause"]), (BSD_TEXT + BSD_THIRD, ["BSD-3-Clause"]), (GPL_TEXT % 2, ["GPL-2.0"]), (GPL_TEXT % 3, ["GPL-3.0"]),
+        ((GPL_TEXT % 3).replace("GNU General", "GNU Lesser General"), ["LGPL-3.0"]), ("Licensed under the GNU General Public License, version 2", ["GPL-2.0"]),
+        ("Released under the BSD 2-Clause License.", ["BSD-2-Clause"]), ("Licensed under CC BY 3.0.", ["CC-BY-3.0"]), ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0"]),
+        (ISC_TEXT + ", provided that the above\ncopyright notice and this permission notice appear in all copies.", ["ISC"]), (ISC_TEXT + ".", ["0BSD"]),
+        ("Distributed under the Eclipse Public License 2.0, licensed under the Eclipse Public License 2.0.", ["EPL-2.0"]), ("// SPDX-License-Identifier: AGPL-3.0\nint x;", ["AGPL-3.0"]),
+        ("Use of this source code is governed by a proprietary license, see the LICENSE file of the vendor.", ["unknown"]),
+        ("Released under the MIT License.\n\n" + "word " * 60 + "\n\nReleased under the ISC License.", ["MIT", "ISC"]),
+        ("The driver showed a licence at the border, and the shop sold wine under licence.", []), ("", []), (None, []), ("x" * 3_000_000, []), ("é\n\n" * 3, []),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)] * 2, "doc_id long, text string")
+    rows = license_scan.scan(df, licence_model).collect()
+    assert len(rows) == 2 * len(cases)
+    for r in rows:
+        text, families = cases[r.id]
+        assert [n.family for n in r.notices] == families, (r.id, r.notices)
+        assert all(0 <= n.start < n.end <= len(text) and 0 < n.probability <= 1 for n in r.notices)
+    assert all(r.n_paragraphs == len([p for p in (t or "").split("\n\n") if p.split()]) for r in rows if (t := cases[r.id][0]) != MIT_TEXT)
+
+
+def plain_families(text, confirm=0.6):
+    """Notices by templates alone: every stretch of the text against every template, no windows, hashes or classifier."""
+    tokens = license_scan.tokens_of((text or "").encode())[0]
+    found = []
+    for family, texts in license_scan.TEMPLATES.items():
+        for template in texts if family not in (license_scan.TERMS, license_scan.UNKNOWN) else ():
+            mine = license_scan.tokens_of(template.encode())[0]
+            theirs = {*zip(mine, mine[1:])}
+            for i in [k for k, pair in enumerate(zip(tokens, tokens[1:])) if pair in theirs]:
+                part = tokens[i : i + len(mine) * 3 // 2 + 2]
+                shared = {*zip(part, part[1:])} & theirs
+                versions = {p for p in theirs if p[1].isdigit()}
+                marks = {m.encode() for m in license_scan._MARKS}
+                if len(shared) >= confirm * len(theirs) and versions <= shared and marks & set(part[: len(mine)]) == marks & set(mine):
+                    found.append((len(shared), family))
+    return max(found)[1] if found else None
+
+
+def test_licence_scan_finds_what_templates_alone_find(spark, licence_model):
+    notices = ["Released under the MIT License.", "Licensed under the Mozilla Public License, version 2.0.", "Licensed under CC BY-SA 3.0.", GPL_TEXT % 2, "Licensed under the Apache License, Version 2.0.", ""]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text is not null").select("doc_id", "text").limit(150).collect()
+    rows = [(r.doc_id, f"{r.text[:2000]}\n{notices[i % len(notices)]}\n{r.text[2000:4000]}") for i, r in enumerate(docs)]
+    got = {r.id: {n.family for n in r.notices} for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), licence_model).collect()}
+    for doc_id, text in rows:
+        want = plain_families(text)
+        assert (want in got[doc_id]) if want else not got[doc_id], (doc_id, want, got[doc_id])
+
+
+def test_templates_confirm_their_own_family():
+    for family, texts in license_scan.TEMPLATES.items():
+        for text in texts:
+            got = [f for _, _, f, _ in license_scan.confirmed(license_scan.tokens_of(f"ordinary words. {text} more words".encode())[0])]
+            assert got == ([] if family == license_scan.UNKNOWN else [family])
+
+
+def test_many_notices_in_one_text_take_linear_time(spark, licence_model):
+    text = ("Released under the MIT License. " + "word " * 80) * 2000
+    (row,) = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), licence_model).collect()
+    assert len(row.notices) == 2000 and all(text[n.start : n.end] == "Released under the MIT License" for n in row.notices)
