@@ -320,13 +320,16 @@ def paragraphs(texts: Texts, window: int) -> Paragraphs:
 
 
 def features_of(p: Paragraphs, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(paragraph, feature) of all words and pairs of words."""
+    """(paragraph, feature) of all words and pairs of words, each once: a word said thirty times tells no more than said once."""
     one = ragged(p.first, p.count)
     row = np.repeat(np.arange(len(p.first)), p.count)
     two = ragged(p.first, p.count - 1)
     pair = mix(p.words[two] * np.uint64(0x9E3779B97F4A7C15) + p.words[np.minimum(two + 1, max(len(p.words) - 1, 0))]) if len(two) else p.words[:0]
     h = np.concatenate([p.words[one], pair])
-    return np.concatenate([row, np.repeat(np.arange(len(p.first)), p.count - 1)]), (h % np.uint64(size)).astype(np.int64)
+    row = np.concatenate([row, np.repeat(np.arange(len(p.first)), p.count - 1)])
+    key = np.sort(row * size + (h % np.uint64(size)).astype(np.int64))
+    key = key[np.flatnonzero(np.diff(key, prepend=-1))]
+    return key // size, key % size
 
 
 def fit(p: Paragraphs, y: np.ndarray, classes: int, features: int, rounds: int = 80, decay: float = 1e-4) -> Linear:
@@ -410,7 +413,7 @@ def train(docs: DataFrame, text_col: str = "text", sample_paragraphs: int = 8000
                 texts.append(" ".join(kept))
                 labels.append(family)
     for line, label in sampled:
-        if label:
+        if label == NONE or (label and len(line.split()) <= window):  # a window of a longer one may lack the notice
             texts.append(line)
             labels.append(label)
     if NONE not in labels:
@@ -418,7 +421,7 @@ def train(docs: DataFrame, text_col: str = "text", sample_paragraphs: int = 8000
         labels.append(NONE)
     families = list(TEMPLATES)
     held = rng.random(len(texts)) < 0.2
-    part = lambda pick: paragraphs(texts_of(pa.array([" ".join(t.split()) for t, h in zip(texts, pick, strict=True) if h])), 400)
+    part = lambda pick: paragraphs(texts_of(pa.array([" ".join(t.split()) for t, h in zip(texts, pick, strict=True) if h])), window)
     of = lambda pick, p: np.array([x for x, h in zip(labels, pick, strict=True) if h])[p.owner]
     learn, test = part(~held), part(held)
     seen, asked = of(~held, learn), of(held, test)
